@@ -1 +1 @@
-
+"""Operators for preparing language-model training data."""

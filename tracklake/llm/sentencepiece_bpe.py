@@ -25,7 +25,7 @@ from tracklake.llm._text import pieces, text_bytes
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE = 400_000
+CACHE = 300_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, bytes | int]]:
@@ -87,6 +87,8 @@ class Model:
         self.shorter: dict[str, str] = {}
         self.compatible: dict[tuple[str, str], bool] = {}
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.packed = {p: struct.pack("<I", i) for p, i in self.ids.items()}
         self.surface = [self._surface(p, k) for p, _, k in self.pieces]
 
     @staticmethod
@@ -110,11 +112,9 @@ class Model:
         return parts
 
     def fits(self, left: str, right: str) -> bool:
-        key = (left, right)
-        if (found := self.compatible.get(key)) is None:
-            if len(self.compatible) >= CACHE:
-                self.compatible.clear()
-            found = self.compatible[key] = self.merged(left + right) == [left, right]
+        if len(self.compatible) >= CACHE:
+            self.compatible.clear()
+        found = self.compatible[left, right] = self.merged(left + right) == [left, right]
         return found
 
     def prefix(self, piece: str) -> str:
@@ -135,38 +135,45 @@ class Model:
             if size > 1:
                 longest[end - size + 1] = size
         failed = bytearray(n // 8 + 1)
+        compatible = self.compatible
         out: list[str] = []
         pos = 0
+        last = None
         token = text[: longest[0]] if n else ""
         while pos < n:
-            last = out[-1] if out else None
             while token:
                 end = pos + len(token)
-                if not failed[end >> 3] >> (end & 7) & 1 and (last is None or self.fits(last, token)):
-                    break
+                if not failed[end >> 3] >> (end & 7) & 1:
+                    if last is None or ((known := compatible.get((last, token))) is None and self.fits(last, token)) or known:
+                        break
                 token = self.prefix(token)
             if token:
                 out.append(token)
-                pos = end
-                token = text[pos : pos + longest[pos]] if pos < n else ""
+                last, pos = token, end
+                if pos < n:
+                    token = text[pos : pos + longest[pos]]
             else:
                 failed[pos >> 3] |= 1 << (pos & 7)
                 token = out.pop()
                 pos -= len(token)
+                last = out[-1] if out else None
         return out
 
     def chunk_ids(self, chunk: bytes) -> bytes:
         """Packed ids of a stretch of text that no piece reaches out of."""
-        if (found := self.known.get(chunk)) is None:
-            out: list[int] = []
+        if (found := self.known.get(chunk)) is not None:
+            return found
+        if (found := self.older.get(chunk)) is None:
+            packed = self.packed
+            out = []
             for piece in self.split(chunk.decode().replace(" ", SPACE)):
-                i = self.ids.get(piece)
-                out += (i,) if i is not None else (self.byte_ids[b] for b in piece.encode())
-            found = np.array(out, "<u4").tobytes()
-            if len(chunk) <= 64:
-                if len(self.known) >= CACHE:
-                    self.known.clear()
-                self.known[chunk] = found
+                ids = packed.get(piece)
+                out.append(ids if ids is not None else struct.pack(f"<{len(b := piece.encode())}I", *(self.byte_ids[x] for x in b)))
+            found = b"".join(out)
+        if len(chunk) <= 64:
+            if len(self.known) >= CACHE:
+                self.known, self.older = {}, self.known
+            self.known[chunk] = found
         return found
 
     def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracklake.llm._links import linked_components, shared_buckets
 from tracklake.llm._text import encoded, hashes, long_column, mix, pieces, shingles, words
-from tracklake.operators.graph import connected_components
 from tracklake.storage import materialize
 
 SKETCH = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"
@@ -109,25 +109,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5, bands: i
     reps = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"))
     reps = materialize(reps, "representatives")
     keys = reps.select("rep", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    members = materialize(keys.join(materialize(shared.select("key", "hub"), "buckets"), "key"), "members")
+    members = shared_buckets(keys)
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = materialize(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(width), "doc_id long, hashes array<long>"), "sets")
-    tried = materialize(_verified(members.where("hub < rep").select("hub", "rep").distinct(), sets, percent), "verified")
-    components = connected_components(tried.where("linked"), "hub", "rep")
-    for turn in range(1, rounds):
-        named = members.select("key", "rep").join(components.withColumnsRenamed({"node": "rep"}), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        named = materialize(named, "named")
-        draw = F.xxhash64("rep", F.lit(turn))
-        mixed = named.groupBy("key").agg(F.min_by("rep", draw).alias("hub"), F.min_by("component", draw).alias("own"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        mixed = materialize(mixed.select("key", "hub", "own"), "mixed")
-        fresh = named.join(mixed, "key").where("component <> own").select(F.least("hub", "rep").alias("hub"), F.greatest("hub", "rep").alias("rep")).distinct()
-        fresh = materialize(_verified(fresh.join(tried.select("hub", "rep"), ["hub", "rep"], "left_anti"), sets, percent), "verified")
-        gained = not fresh.where("linked").isEmpty()
-        tried = tried.unionAll(fresh)
-        if not gained:
-            break
-        components = connected_components(tried.where("linked"), "hub", "rep")
+    components = linked_components(members, lambda pairs: _verified(pairs, sets, percent), rounds)
     named = reps.select("k1", "k2", "rep").join(components.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
     out = sketches.select("doc_id", "n_shingles", "k1", "k2").join(materialize(named, "classes"), ["k1", "k2"], "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))

@@ -8,11 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracklake.llm._vectors import usable
+from tracklake.llm.line_dedup import fuzzy_lines
 from tracklake.llm.mixing import mix_sources
 from tracklake.llm.near_dedup import near_duplicates
+from tracklake.llm.rp_forest import forest_neighbours
 from tracklake.llm.sentencepiece_bpe import encode_documents
 from tracklake.llm.sharding import kd_shards
 from tracklake.llm.toxicity import fit, score_documents
+from tracklake.llm.va_file import exact_top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +34,11 @@ def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = fuzzy_lines(_table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "line", "group", "kept")
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -39,6 +48,19 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op7_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = F.transform("embedding", lambda x: F.floor(64 * x.cast("double")).cast("double"))
+    vectors = _table(spark, sf_dir, "embeddings").where(usable(F.col("embedding"))).select("vec_id", whole.alias("vector"))
+    found = exact_top_k(vectors, vectors.where("vec_id % 20 = 0"))
+    return found.select("query_id", "rank", "vec_id", F.col("score").cast("bigint").alias("score"))
+
+
+def op8_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = F.col("embedding").cast("array<double>")
+    vectors = _table(spark, sf_dir, "embeddings").where(usable(F.col("embedding"), zero=False)).select("vec_id", wide.alias("vector"))
+    return forest_neighbours(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
@@ -52,8 +74,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_kd_shards": op2_kd_shards,
+    "op3_fuzzy_lines": op3_fuzzy_lines,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_sentencepiece": op5_sentencepiece,
+    "op7_va_file": op7_va_file,
+    "op8_rp_forest": op8_rp_forest,
     "op9_mix_sources": op9_mix_sources,
     "op10_toxicity": op10_toxicity,
 }

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklake.llm._vectors import usable
+from tracklake.llm.brown import brown_scores
 from tracklake.llm.line_dedup import fuzzy_lines
 from tracklake.llm.mixing import mix_sources
 from tracklake.llm.near_dedup import near_duplicates
 from tracklake.llm.rp_forest import forest_neighbours
+from tracklake.llm.sanitise import KINDS, find_private, listed
 from tracklake.llm.sentencepiece_bpe import encode_documents
 from tracklake.llm.sharding import kd_shards
 from tracklake.llm.toxicity import fit, score_documents
@@ -29,6 +31,11 @@ def _remainder(n: int):
     return F.crc32(F.col("doc_id").cast("bigint").cast("string")) % n
 
 
+def op1_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = brown_scores(_table(spark, sf_dir, "documents"), _remainder(7) != 2)
+    return scored.withColumn("held_out", _remainder(7) == 2).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = kd_shards(_table(spark, sf_dir, "documents"), 16)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -48,6 +55,13 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op6_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_private(_table(spark, sf_dir, "documents"))
+    base = F.concat(*(listed(k, F.col(k)) for k in KINDS))
+    counts = [F.size(k).cast("bigint").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, F.sha2(F.array_join(base, ",").cast("binary"), 256).alias("base_sha256"), F.array_join(F.concat(base, listed("term", F.col("term"))), ",").alias("spans"))
+
+
 def op7_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = F.transform("embedding", lambda x: F.floor(64 * x.cast("double")).cast("double"))
     vectors = _table(spark, sf_dir, "embeddings").where(usable(F.col("embedding"))).select("vec_id", whole.alias("vector"))
@@ -73,10 +87,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_brown": op1_brown,
     "op2_kd_shards": op2_kd_shards,
     "op3_fuzzy_lines": op3_fuzzy_lines,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_sanitise": op6_sanitise,
     "op7_va_file": op7_va_file,
     "op8_rp_forest": op8_rp_forest,
     "op9_mix_sources": op9_mix_sources,

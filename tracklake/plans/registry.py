@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tracklake.plans import behaviour, curation, detection
+
 FLAGSHIP = "track_events"
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = curation.QUERIES | detection.QUERIES | behaviour.QUERIES
+ORACLE_SQL = curation.ORACLE_SQL | detection.ORACLE_SQL | behaviour.ORACLE_SQL

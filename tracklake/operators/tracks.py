@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tracklake.functions.motion import episodes, fuse, motion_score, smoothed
 from tracklake.params import EventParams, FusionParams, MotionParams, OnlineParams
+from tracklake.storage import materialize
 
 FILL = 3.0  # distance of a hand that was never seen (fixed value)
 
@@ -76,9 +77,13 @@ def decisions(obs: DataFrame, online: OnlineParams, motion: MotionParams, fusion
     fill = lambda a, x: F.struct(F.coalesce(x["d"], a["last"]).alias("last"), F.concat(a["out"], F.array(F.coalesce(x["d"], a["last"]))).alias("out"))
     series = F.aggregate("buf", zero, fill, lambda a: a["out"])
     recent = F.transform(F.slice("buf", F.greatest(F.size("buf") - online.window + 1, F.lit(1)), online.window), lambda x: F.coalesce(x["obj"], F.lit(0.0)))
-    due = due.select("track", "session", "step", percentile(recent, fusion.obj_percentile).alias("obj_score"), smoothed(series, motion.smooth).alias("series"))
-    due = due.withColumn("eps", episodes(F.col("series"), online.fps, motion))
+    # each step is written, as folding projections into one would compute a series once for every use
+    due = materialize(due.select("track", "session", "step", recent.alias("recent"), series.alias("series")), "series")
+    due = due.select("track", "session", "step", percentile(F.col("recent"), fusion.obj_percentile).alias("obj_score"), smoothed(F.col("series"), motion.smooth).alias("series"))
+    due = materialize(due, "smooth")
+    due = materialize(due.withColumn("eps", episodes(F.col("series"), online.fps, motion)), "episodes")
     due = due.withColumn("mot_score", motion_score(F.col("eps"), F.size("series"), online.fps, online.window, motion)).withColumn("fused", fuse(F.col("obj_score"), F.col("mot_score"), fusion))
+    due = materialize(due.drop("series", "eps"), "fused")
     return due.select("track", "session", "step", "obj_score", "mot_score", "fused.decision", "fused.score", "fused.reason")
 
 

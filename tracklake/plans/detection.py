@@ -8,6 +8,7 @@ from tracklake.functions.geometry import size_bucket
 from tracklake.operators import evaluate as E
 from tracklake.plans import views as V
 from tracklake.plans.views import OBJECTS, with_views
+from tracklake.storage import materialize
 
 INTER = "greatest(least({a}.x2, {b}.x2) - greatest({a}.x1, {b}.x1), 0) * greatest(least({a}.y2, {b}.y2) - greatest({a}.y1, {b}.y1), 0)"
 AREA = "({a}.x2 - {a}.x1) * ({a}.y2 - {a}.y1)"
@@ -35,7 +36,7 @@ ap AS (SELECT cls, n_gt, area / n_gt AS ap FROM (SELECT cls, count(*) AS n_gt FR
 
 
 def _matched(spark, sf):
-    return E.match(V.truth(spark, sf), V.predictions(spark, sf))
+    return materialize(E.match(V.truth(spark, sf), V.predictions(spark, sf)), "matched")
 
 
 def match_detections(spark, sf):

@@ -17,8 +17,10 @@ def hamming(a: Column, b: Column) -> Column:
 
 def text_simhash(docs: DataFrame, column: str = "text") -> DataFrame:
     """``doc_id, h``: the sign of each of 64 sums of bits over the distinct words of the text."""
-    words = docs.select("doc_id", F.explode(F.array_distinct(F.split(name_key(F.col(column)), " "))).alias("w"))
-    bits = words.select("doc_id", F.conv(F.substring(F.md5("w"), 1, 16), 16, -10).cast("bigint").alias("x"))
+    # hashed inside the array, so that the 64 sums read one column instead of hashing 64 times
+    words = F.array_distinct(F.split(name_key(F.col(column)), " "))
+    hashed = F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 16), 16, -10).cast("bigint"))
+    bits = docs.select("doc_id", F.explode(hashed).alias("x"))
     sums = [F.sum(F.when(F.shiftrightunsigned("x", i).bitwiseAND(1) == 1, 1).otherwise(-1)).alias(f"s{i}") for i in range(64)]
     code = F.lit(0).cast("bigint")
     for i in range(64):

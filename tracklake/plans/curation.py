@@ -14,10 +14,10 @@ from tracklake.storage import materialize
 PART = "SELECT DISTINCT p_type AS name FROM part"
 MAP_SQL = "class_map(name, target, class_id) AS (VALUES ('standard', 'cigarette', 0), ('economy', 'vape', 1), ('medium', 'cigar', 2), ('promo', 'pipe', 3), ('small', NULL, NULL))"
 FILES = "files AS (SELECT page_id AS idx, 'src' || (page_id % 3) AS source, 'IMG_' || (page_id % 40) || CASE WHEN page_id % 2 = 0 THEN '.rf.' || page_id || '.jpg' ELSE '.png' END AS name FROM pages)"
-SIM = """words AS (SELECT DISTINCT doc_id, unnest(string_split(regexp_replace(lower(trim(text)), '\\s+', ' ', 'g'), ' ')) AS w FROM documents),
-bits AS (SELECT doc_id, ('0x' || substr(md5(w), 1, 16))::UBIGINT AS x FROM words),
-sums AS (SELECT doc_id, i, sum(CASE WHEN (x >> i) & 1 = 1 THEN 1 ELSE -1 END) AS s FROM bits, range(64) r(i) GROUP BY ALL),
-hashes AS (SELECT doc_id AS idx, sum(CASE WHEN s > 0 THEN (1::HUGEINT << i) ELSE 0 END)::UBIGINT AS h FROM sums GROUP BY ALL),
+SIM = """words AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(string_split(regexp_replace(lower(trim(text)), '\\s+', ' ', 'g'), ' ')) AS w FROM documents),
+bits AS MATERIALIZED (SELECT doc_id, ('0x' || substr(md5(w), 1, 16))::UBIGINT AS x FROM words),
+sums AS MATERIALIZED (SELECT doc_id, i, sum(CASE WHEN (x >> i) & 1 = 1 THEN 1 ELSE -1 END) AS s FROM bits, range(64) r(i) GROUP BY ALL),
+hashes AS MATERIALIZED (SELECT doc_id AS idx, sum(CASE WHEN s > 0 THEN (1::HUGEINT << i) ELSE 0 END)::UBIGINT AS h FROM sums GROUP BY ALL),
 pairs AS (SELECT a.idx AS i, b.idx AS j, bit_count(xor(a.h, b.h))::INT AS d FROM hashes a JOIN hashes b ON a.idx < b.idx AND bit_count(xor(a.h, b.h)) <= 6)"""
 COMPONENTS = """ends AS (SELECT i AS a, j AS b FROM pairs UNION ALL SELECT j, i FROM pairs),
 reach(a, b) AS (SELECT a, a FROM ends UNION SELECT r.a, e.b FROM reach r JOIN ends e ON r.b = e.a),

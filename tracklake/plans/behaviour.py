@@ -31,8 +31,8 @@ UNION ALL SELECT track, session, step, n, i + 1, vs, CASE WHEN vs[i + 1] > 1.0 T
 CASE WHEN start IS NULL AND vs[i + 1] <= 1.0 AND vs[i + 1] < 0.6 AND i - far <= 3 THEN i WHEN start IS NOT NULL AND vs[i + 1] > 1.0 THEN NULL ELSE start END,
 CASE WHEN start IS NOT NULL AND vs[i + 1] > 1.0 THEN start END, CASE WHEN start IS NOT NULL AND vs[i + 1] > 1.0 THEN i END FROM eps WHERE i < n),
 found AS (SELECT track, session, step, n, s, e FROM eps WHERE s IS NOT NULL UNION ALL SELECT track, session, step, n, start, NULL FROM eps WHERE i = n AND start IS NOT NULL),
-scored AS (SELECT track, session, step, max(CASE WHEN coalesce(e, n) <= greatest(0, n - 12) THEN 0.0 WHEN e IS NOT NULL THEN CASE WHEN e - s BETWEEN 0.3 AND 5.0 THEN 1.0 ELSE 0.2 END WHEN n - s BETWEEN 0.3 AND 5.0 THEN 0.7 WHEN n - s > 5.0 THEN 0.2 ELSE 0.3 END)
-* CASE WHEN count(*) FILTER (s >= n - 20) > 4 THEN 0.5 ELSE 1.0 END AS mot FROM found GROUP BY ALL),
+scored AS (SELECT track, session, step, (max(CASE WHEN coalesce(e, n) <= greatest(0, n - 12) THEN 0.0 WHEN e IS NOT NULL THEN CASE WHEN e - s BETWEEN 0.3 AND 5.0 THEN 1.0 ELSE 0.2 END WHEN n - s BETWEEN 0.3 AND 5.0 THEN 0.7 WHEN n - s > 5.0 THEN 0.2 ELSE 0.3 END)
+* CASE WHEN count(*) FILTER (s >= n - 20) > 4 THEN 0.5 ELSE 1.0 END)::DOUBLE AS mot FROM found GROUP BY ALL),
 judged AS (SELECT x.track, x.session, x.step, obj_score, coalesce(mot, 0.0) AS mot_score, obj_score >= 0.35 AND coalesce(mot, 0.0) >= 0.5 OR obj_score >= 0.75 OR coalesce(mot, 0.0) >= 0.95 AS decision,
 CASE WHEN obj_score >= 0.35 AND coalesce(mot, 0.0) >= 0.5 THEN 'object+motion' WHEN obj_score >= 0.75 THEN 'object' WHEN coalesce(mot, 0.0) >= 0.95 THEN 'motion' ELSE '' END AS reason,
 CASE WHEN obj_score >= 0.35 AND coalesce(mot, 0.0) >= 0.5 THEN sqrt(obj_score * mot) WHEN obj_score >= 0.75 THEN obj_score WHEN coalesce(mot, 0.0) >= 0.95 THEN mot ELSE sqrt(obj_score * coalesce(mot, 0.0)) END AS score
@@ -84,7 +84,7 @@ def rolling_decisions(spark, sf):
     order = Window.partitionBy("track").orderBy("step")
     rows = V.observations(spark, sf).withColumn("decision", F.col("obj") >= FUSION.obj_thr).withColumn("rn", F.row_number().over(order))
     last = F.coalesce(F.max(F.when(F.col("decision"), F.col("rn"))).over(order.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
-    return rows.select("track", "step", F.sum(F.col("decision").cast("int")).over(order.rowsBetween(-3, 0)).alias("positives"), (F.col("rn") - last).alias("neg_run"))
+    return rows.select("track", "step", F.sum(F.col("decision").cast("int")).over(order.rowsBetween(-3, 0)).alias("positives"), (F.col("rn") - last).cast("bigint").alias("neg_run"))
 
 
 def _decisions(spark, sf):

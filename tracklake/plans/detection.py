@@ -87,8 +87,8 @@ def screened(spark, sf):
 
 def evaluation_report(spark, sf):
     """The whole report in long form."""
-    ap = _ap(spark, sf)
-    level = E.image_level(V.images(spark, sf), V.truth(spark, sf), V.predictions(spark, sf), OBJECTS)
+    ap = materialize(_ap(spark, sf), "ap")
+    level = materialize(E.image_level(V.images(spark, sf), V.truth(spark, sf), V.predictions(spark, sf), OBJECTS), "level")
     rows = ap.select(F.lit("ap50").alias("metric"), F.col("cls").cast("string").alias("key"), F.col("ap").alias("value"))
     rows = rows.unionByName(ap.agg(F.avg("ap").alias("value")).select(F.lit("map50").alias("metric"), F.lit("").alias("key"), "value"))
     wide = F.explode(F.array(*(F.struct(F.lit(c).alias("key"), F.col(c).cast("double").alias("value")) for c in ("tp", "fp", "fn", "tn", "precision", "recall", "fpr"))))

@@ -44,5 +44,7 @@ def ranked(hits: DataFrame, k: int) -> DataFrame:
     """
     entries = F.arrays_zip(F.transform("scores", lambda s: -s).alias("down"), F.col("ids").alias("vec_id"))
     lists = hits.select("query_id", entries.alias("own")).groupBy("query_id").agg(F.flatten(F.collect_list("own")).alias("own"))
-    top = lists.select("query_id", F.posexplode(F.slice(F.array_sort(F.array_distinct("own")), 1, k)).alias("rank", "hit"))
+    ordered = lists.select("query_id", F.array_sort("own").alias("own"))
+    fresh = F.filter("own", lambda x, i: (i == 0) | (x != F.col("own")[F.greatest(i - 1, F.lit(0))]))  # equal entries stand together
+    top = ordered.select("query_id", F.posexplode(F.slice(fresh, 1, k)).alias("rank", "hit"))
     return top.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.down")).alias("score"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracklake.operators.graph import connected_components
@@ -12,28 +12,36 @@ from tracklake.storage import materialize
 
 
 def shared_buckets(keys: DataFrame) -> DataFrame:
-    """``(key, rep, hub)`` of the buckets with two members or more; the hub is the smallest member."""
-    shared = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    return materialize(keys.join(materialize(shared.select("key", "hub"), "buckets"), "key"), "members")
+    """``(key, rep, hub)`` of the buckets with two members or more; the hub is the smallest member.
+
+    A column ``code`` of ``keys`` (one value a member) comes along as ``code`` and ``hub_code``.
+    """
+    coded = ["code"] if "code" in keys.columns else []
+    shared = keys.groupBy("key").agg(F.min("rep").alias("hub"), *(F.min_by(c, "rep").alias(f"hub_{c}") for c in coded), F.count("*").alias("n")).where("n > 1")
+    return materialize(keys.join(materialize(shared.drop("n"), "buckets"), "key"), "members")
 
 
-def linked_components(members: DataFrame, verified: Callable[[DataFrame], DataFrame], rounds: int) -> DataFrame:
-    """``(node, component)`` of all linked members of ``members`` (key, rep, hub).
+def linked_components(members: DataFrame, verified: Callable[[DataFrame], DataFrame], rounds: int, close: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    """``(node, component)`` of all linked members of ``members`` (key, rep, hub, perhaps codes).
 
-    A bucket of n gives n - 1 pairs, from its hub to the others. ``verified`` adds ``linked`` to
-    distinct pairs (hub, rep), hub < rep. As a hub may be unlike two members that are alike, the
-    buckets whose members lie in different components afterwards are dealt again, from a hub drawn
-    anew, until a round links nothing or ``rounds`` are done.
+    A bucket of n gives n - 1 pairs, from its hub to the others. Pairs whose codes are not
+    ``close`` go before they are shuffled. ``verified`` adds ``linked`` to distinct pairs
+    (hub, rep), hub < rep. As a hub may be unlike two members that are alike, the buckets whose
+    members lie in different components afterwards are dealt again, from a hub drawn anew, until a
+    round links nothing or ``rounds`` are done.
     """
-    tried = materialize(verified(members.where("hub < rep").select("hub", "rep").distinct()), "verified")
+    coded = ["code"] if close else []
+    near = close(F.col("code"), F.col("hub_code")) if close else F.lit(True)
+    tried = materialize(verified(members.where("hub < rep").where(near).select("hub", "rep").distinct()), "verified")
     components = connected_components(tried.where("linked"), "hub", "rep")
     for turn in range(1, rounds):
-        named = members.select("key", "rep").join(components.withColumnsRenamed({"node": "rep"}), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        named = members.select("key", "rep", *coded).join(components.withColumnsRenamed({"node": "rep"}), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         named = materialize(named, "named")
         draw = F.xxhash64("rep", F.lit(turn))
-        mixed = named.groupBy("key").agg(F.min_by("rep", draw).alias("hub"), F.min_by("component", draw).alias("own"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        mixed = materialize(mixed.select("key", "hub", "own"), "mixed")
-        fresh = named.join(mixed, "key").where("component <> own").select(F.least("hub", "rep").alias("hub"), F.greatest("hub", "rep").alias("rep")).distinct()
+        drawn = [F.min_by(c, draw).alias(f"hub_{c}") for c in coded]
+        mixed = named.groupBy("key").agg(F.min_by("rep", draw).alias("hub"), F.min_by("component", draw).alias("own"), *drawn, F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+        mixed = materialize(mixed.drop("low", "high"), "mixed")
+        fresh = named.join(mixed, "key").where("component <> own").where(near).select(F.least("hub", "rep").alias("hub"), F.greatest("hub", "rep").alias("rep")).distinct()
         fresh = materialize(verified(fresh.join(tried.select("hub", "rep"), ["hub", "rep"], "left_anti")), "verified")
         gained = not fresh.where("linked").isEmpty()
         tried = tried.unionAll(fresh)

@@ -11,20 +11,36 @@ from tracklake.operators.graph import connected_components
 from tracklake.storage import materialize
 
 
+SMALL = 16
+
+
 def shared_buckets(keys: DataFrame) -> DataFrame:
     """``(key, rep, hub)`` of the buckets with two members or more; the hub is the smallest member.
 
-    A column ``code`` of ``keys`` (one value a member) comes along as ``code`` and ``hub_code``.
+    A column ``code`` of ``keys`` (one value a member) comes along as ``code`` and ``hub_code``, and
+    with it the size ``n`` of the bucket.
     """
     coded = ["code"] if "code" in keys.columns else []
     shared = keys.groupBy("key").agg(F.min("rep").alias("hub"), *(F.min_by(c, "rep").alias(f"hub_{c}") for c in coded), F.count("*").alias("n")).where("n > 1")
-    return materialize(keys.join(materialize(shared.drop("n"), "buckets"), "key"), "members")
+    return materialize(keys.join(materialize(shared if coded else shared.drop("n"), "buckets"), "key"), "members")
+
+
+def _all_pairs(members: DataFrame, close: Callable[[Column, Column], Column]) -> DataFrame:
+    """``(hub, rep)`` of all close pairs in buckets of at most ``SMALL`` members."""
+    listed = members.where(F.col("n") <= SMALL).groupBy("key").agg(F.collect_list(F.struct("rep", "code")).alias("m"))
+
+    def later(x: Column) -> Column:
+        others = F.filter("m", lambda y: (x["rep"] < y["rep"]) & close(x["code"], y["code"]))
+        return F.transform(others, lambda y: F.struct(x["rep"].alias("hub"), y["rep"].alias("rep")))
+
+    return listed.select(F.explode(F.flatten(F.transform("m", later))).alias("p")).select("p.hub", "p.rep")
 
 
 def linked_components(members: DataFrame, verified: Callable[[DataFrame], DataFrame], rounds: int, close: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """``(node, component)`` of all linked members of ``members`` (key, rep, hub, perhaps codes).
 
-    A bucket of n gives n - 1 pairs, from its hub to the others. Pairs whose codes are not
+    A bucket of n gives n - 1 pairs, from its hub to the others; with codes, one of at most
+    ``SMALL`` members gives all its pairs and needs no further round. Pairs whose codes are not
     ``close`` go before they are shuffled. ``verified`` adds ``linked`` to distinct pairs
     (hub, rep), hub < rep. As a hub may be unlike two members that are alike, the buckets whose
     members lie in different components afterwards are dealt again, from a hub drawn anew, until a
@@ -32,7 +48,11 @@ def linked_components(members: DataFrame, verified: Callable[[DataFrame], DataFr
     """
     coded = ["code"] if close else []
     near = close(F.col("code"), F.col("hub_code")) if close else F.lit(True)
-    tried = materialize(verified(members.where("hub < rep").where(near).select("hub", "rep").distinct()), "verified")
+    pairs = members.where("hub < rep").where(near).select("hub", "rep")
+    if close:
+        pairs = pairs.unionAll(_all_pairs(members, close))
+        members = members.where(F.col("n") > SMALL)
+    tried = materialize(verified(pairs.distinct()), "verified")
     components = connected_components(tried.where("linked"), "hub", "rep")
     for turn in range(1, rounds):
         named = members.select("key", "rep", *coded).join(components.withColumnsRenamed({"node": "rep"}), "rep", "left").withColumn("component", F.coalesce("component", "rep"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import sys
 import time
 
 from pyspark.sql import SparkSession
@@ -26,7 +27,8 @@ def main() -> None:
             start = time.perf_counter()
             registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)
-        seconds[name] = round(statistics.median(runs[1:]), 3)
+        seconds[name] = round(statistics.median(runs[1:] or runs), 3)
+        print(name, [round(r, 2) for r in runs], file=sys.stderr, flush=True)
     print(json.dumps({"metric": "total seconds of the headline queries, warm", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds, "sf": sf_dir}))
 
 

@@ -69,7 +69,9 @@ def average_precision(matched: DataFrame, gt_counts: DataFrame) -> DataFrame:
     order = Window.partitionBy("cls").orderBy(F.desc("conf"), "image", "det_idx")
     counted = matched.withColumn("ctp", F.sum(F.col("tp").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("n", F.row_number().over(order))
     counted = counted.withColumn("precision", F.col("ctp") / F.col("n"))
-    envelope = F.max("precision").over(order.rowsBetween(0, Window.unboundedFollowing))
+    # from the last rank on, as a frame that ends at the last row is summed anew for every row
+    back = Window.partitionBy("cls").orderBy(F.desc("n"))
+    envelope = F.max("precision").over(back.rowsBetween(Window.unboundedPreceding, 0))
     area = counted.withColumn("envelope", envelope).groupBy("cls").agg(F.sum(F.when(F.col("tp"), F.col("envelope")).otherwise(0.0)).alias("area"))
     joined = gt_counts.join(area, "cls", "full")
     ap = F.when(F.coalesce("n_gt", F.lit(0)) > 0, F.coalesce("area", F.lit(0.0)) / F.col("n_gt"))

@@ -1,10 +1,13 @@
-"""Links among members of shared buckets, by star-shaped candidate pairs."""
+"""Links among members of shared buckets: few candidate pairs first, then all that are still open."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklake.operators.graph import connected_components
@@ -12,60 +15,118 @@ from tracklake.storage import materialize
 
 
 SMALL = 16
+GROWTH = 8
 
 
-def shared_buckets(keys: DataFrame) -> DataFrame:
-    """``(key, rep, hub)`` of the buckets with two members or more; the hub is the smallest member.
-
-    A column ``code`` of ``keys`` (one value a member) comes along as ``code`` and ``hub_code``, and
-    with it the size ``n`` of the bucket.
-    """
-    coded = ["code"] if "code" in keys.columns else []
-    shared = keys.groupBy("key").agg(F.min("rep").alias("hub"), *(F.min_by(c, "rep").alias(f"hub_{c}") for c in coded), F.count("*").alias("n")).where("n > 1")
-    return materialize(keys.join(materialize(shared if coded else shared.drop("n"), "buckets"), "key"), "members")
-
+@dataclass
+class Close:
+    """What two members of a bucket must meet to be a pair. ``columns`` come along with the members;
+    buckets are read in the order of the first. ``reach(x, y)`` says of members x before y whether y
+    and so all between may pair with x; ``near(x, y)`` whether they do. Both get dicts of arrays."""
 
-def _all_pairs(members: DataFrame, close: Callable[[Column, Column], Column]) -> DataFrame:
-    """``(hub, rep)`` of all close pairs in buckets of at most ``SMALL`` members."""
-    listed = members.where(F.col("n") <= SMALL).groupBy("key").agg(F.collect_list(F.struct("rep", "code")).alias("m"))
+    columns: list[str]
+    reach: Callable[[dict, dict], np.ndarray]
+    near: Callable[[dict, dict], np.ndarray]
 
-    def later(x: Column) -> Column:
-        others = F.filter("m", lambda y: (x["rep"] < y["rep"]) & close(x["code"], y["code"]))
-        return F.transform(others, lambda y: F.struct(x["rep"].alias("hub"), y["rep"].alias("rep")))
 
-    return listed.select(F.explode(F.flatten(F.transform("m", later))).alias("p")).select("p.hub", "p.rep")
-
-
-def linked_components(members: DataFrame, verified: Callable[[DataFrame], DataFrame], rounds: int, close: Callable[[Column, Column], Column] | None = None) -> DataFrame:
-    """``(node, component)`` of all linked members of ``members`` (key, rep, hub, perhaps codes).
-
-    A bucket of n gives n - 1 pairs, from its hub to the others; with codes, one of at most
-    ``SMALL`` members gives all its pairs and needs no further round. Pairs whose codes are not
-    ``close`` go before they are shuffled. ``verified`` adds ``linked`` to distinct pairs
-    (hub, rep), hub < rep. As a hub may be unlike two members that are alike, the buckets whose
-    members lie in different components afterwards are dealt again, from a hub drawn anew, until a
-    round links nothing or ``rounds`` are done.
+def shared_buckets(keys: DataFrame) -> DataFrame:
+    """``(key, rep)`` of the buckets with two members or more."""
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    return materialize(keys.join(materialize(shared, "buckets"), "key"), "members")
+
+
+def bucket_pairs(rows: dict[str, np.ndarray], cap: int, close: Close | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers (a, b) of pairs of different components in buckets, and the keys of buckets of which
+    pairs may be missing. ``rows`` hold whole buckets in order. With ``cap`` 0 the first member of
+    each bucket is paired with all others, else each member with at most ``cap`` later ones."""
+    key, component = rows["key"], rows["component"]
+    extra = {c: rows[c] for c in close.columns} if close else {}
+
+    def part(at: np.ndarray) -> dict[str, np.ndarray]:
+        return {c: v[at] for c, v in extra.items()}
+
+    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    size = np.diff(np.append(heads, len(key)))
+    mixed = np.maximum.reduceat(component, heads) > np.minimum.reduceat(component, heads)
+    if not cap:
+        b = np.flatnonzero(np.repeat(mixed, size))
+        a = np.repeat(heads, size)[b]
+        use = component[a] != component[b]
+        if close:
+            use &= close.near(part(a), part(b))
+        return a[use], b[use], key[heads[mixed & (size > 2)]]
+    at, d = np.flatnonzero(np.repeat(mixed, size)), 1
+    made, firsts, seconds, short = np.zeros(len(key), np.int64), [], [], []
+    while len(at := at[at + d < len(key)]) and len(at := at[key[at + d] == key[at]]):
+        if close:
+            at = at[close.reach(part(at), part(at + d))]
+        hit = at[component[at] != component[at + d]]
+        if close:
+            hit = hit[close.near(part(hit), part(hit + d))]
+        firsts.append(hit)
+        seconds.append(hit + d)
+        made[hit] += 1
+        full = made[at] >= cap
+        short.append(key[at[full]])
+        at, d = at[~full], d + 1
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(none + firsts), np.concatenate(none + seconds), np.unique(np.concatenate(none + short))
+
+
+def _scan(columns: list[str], cap: int, close: Close | None):
+    """``(hub, rep, open)`` from rows in the order of buckets: pairs, and keys of buckets left open."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict[str, np.ndarray]] = []
+
+        def done(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
+            a, b, left = bucket_pairs(rows, cap, close)
+            low, high = np.minimum(rows["rep"][a], rows["rep"][b]), np.maximum(rows["rep"][a], rows["rep"][b])
+            ends = [pa.concat_arrays([pa.array(x), pa.nulls(len(left), pa.int64())]) for x in (low, high)]
+            return pa.RecordBatch.from_arrays([*ends, pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(left)])], names=["hub", "rep", "open"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in columns}
+            last = int(np.flatnonzero(np.concatenate([[True], rows["key"][1:] != rows["key"][:-1]]))[-1])
+            if held and (last or rows["key"][0] != held[-1]["key"][-1]):
+                cut = last if last else 0
+                yield done({c: np.concatenate([*(h[c] for h in held), rows[c][:cut]]) for c in columns})
+                held = [{c: rows[c][cut:] for c in columns}]
+            else:
+                held.append(rows)
+        if held:
+            yield done({c: np.concatenate([h[c] for h in held]) for c in columns})
+
+    return run
+
+
+def linked_components(members: DataFrame, verified: Callable[[DataFrame], DataFrame], close: Close | None = None) -> DataFrame:
+    """``(node, component)`` of all linked members of ``members`` (key, rep, columns of ``close``).
+
+    ``verified`` adds ``linked`` to distinct pairs (hub, rep), hub < rep. First each bucket gives a
+    star from its first member or, with ``close``, at most ``SMALL`` close pairs for each member.
+    Buckets that left pairs out are read again with the components found so far, for close pairs of
+    different components, under a bound ``GROWTH`` times larger, until no bucket leaves any out. So
+    every close pair of a bucket is tested or has its ends in one component, while a bucket of n
+    like members gives a multiple of n pairs only. A bucket is read by one task.
     """
-    coded = ["code"] if close else []
-    near = close(F.col("code"), F.col("hub_code")) if close else F.lit(True)
-    pairs = members.where("hub < rep").where(near).select("hub", "rep")
-    if close:
-        pairs = pairs.unionAll(_all_pairs(members, close))
-        members = members.where(F.col("n") > SMALL)
-    tried = materialize(verified(pairs.distinct()), "verified")
-    components = connected_components(tried.where("linked"), "hub", "rep")
-    for turn in range(1, rounds):
-        named = members.select("key", "rep", *coded).join(components.withColumnsRenamed({"node": "rep"}), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        named = materialize(named, "named")
-        draw = F.xxhash64("rep", F.lit(turn))
-        drawn = [F.min_by(c, draw).alias(f"hub_{c}") for c in coded]
-        mixed = named.groupBy("key").agg(F.min_by("rep", draw).alias("hub"), F.min_by("component", draw).alias("own"), *drawn, F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        mixed = materialize(mixed.drop("low", "high"), "mixed")
-        fresh = named.join(mixed, "key").where("component <> own").where(near).select(F.least("hub", "rep").alias("hub"), F.greatest("hub", "rep").alias("rep")).distinct()
-        fresh = materialize(verified(fresh.join(tried.select("hub", "rep"), ["hub", "rep"], "left_anti")), "verified")
-        gained = not fresh.where("linked").isEmpty()
-        tried = tried.unionAll(fresh)
-        if not gained:
-            break
+    columns = ["key", "rep", "component", *(close.columns if close else [])]
+    order = ["key", *(close.columns[:1] if close else []), "rep"]
+    rows, tried, cap = members.withColumn("component", F.col("rep")), None, SMALL if close else 0
+    while True:
+        dealt = rows.select(*columns).repartition("key").sortWithinPartitions(*order)
+        found = materialize(dealt.mapInArrow(_scan(columns, cap, close), "hub long, rep long, open long"), "scanned")
+        fresh = found.where("hub IS NOT NULL").select("hub", "rep").distinct()
+        if tried is not None:
+            fresh = fresh.join(tried.select("hub", "rep"), ["hub", "rep"], "left_anti")
+        fresh = materialize(verified(fresh), "verified")
+        tried = fresh if tried is None else tried.unionAll(fresh)
         components = connected_components(tried.where("linked"), "hub", "rep")
-    return components
+        left = found.where("open IS NOT NULL").select(F.col("open").alias("key")).distinct()
+        if left.isEmpty():
+            return components
+        members = materialize(members.join(left, "key"), "open-members")
+        named = members.join(components.withColumnRenamed("node", "rep"), "rep", "left")
+        rows, cap = named.withColumn("component", F.coalesce("component", "rep")), cap * GROWTH or SMALL

@@ -112,7 +112,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5, bands: i
     members = shared_buckets(keys)
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = materialize(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(width), "doc_id long, hashes array<long>"), "sets")
-    components = linked_components(members, lambda pairs: _verified(pairs, sets, percent), rounds)
+    components = linked_components(members, lambda pairs: _verified(pairs, sets, percent))
     named = reps.select("k1", "k2", "rep").join(components.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
     out = sketches.select("doc_id", "n_shingles", "k1", "k2").join(materialize(named, "classes"), ["k1", "k2"], "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))

@@ -52,3 +52,12 @@ def test_lines_with_a_changed_word(spark):
         found.setdefault(r.group, set()).add(tuple(text[r.doc_id, r.line].split()))
     assert {frozenset(g) for g in found.values()} == grouped(classes, links)
     assert sum(r.kept for r in judged) == len(found)
+
+
+def test_telling_terms_of_a_copied_text(spark):
+    from tracklake.llm.sanitise import find_private
+
+    texts = [f"mail zebulon now jane@corp.org number {i} word{i}" for i in range(4)] + [f"plain words number {i} now mail word{i}" for i in range(4, 60)]
+    rows = [*enumerate(texts), *((100 + i, texts[0]) for i in range(300))]
+    got = find_private(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all([s.value for s in r.term] == (["zebulon"] if r.doc_id < 4 or r.doc_id >= 100 else []) for r in got)

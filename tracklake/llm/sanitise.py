@@ -72,7 +72,7 @@ def find_private(docs: DataFrame, threshold: float = 0.8, support: int = 3) -> D
     log(N / n(e)), and both stand together in ``support`` different texts at least, t discloses e:
     in all texts that hold e, each occurrence of t outside of the base spans is a term span. Pairs
     are made only of terms and entities of the same text, and texts that are equal count once
-    in n(t,e) and n(e).
+    in all four counts.
 
     Null and empty texts have no spans. A null doc_id stays null; repeated rows are handled each.
     An empty table gives no rows. Other columns are ignored.
@@ -82,10 +82,10 @@ def find_private(docs: DataFrame, threshold: float = 0.8, support: int = 3) -> D
     rows = rows.select("doc_id", "row", "text", *(base_spans(F.col("text"), k).alias(k) for k in KINDS))
     values = F.array_distinct(F.flatten(F.array(*(_entities(k) for k in KINDS))))
     own = F.size("entities") > 0
-    rows = rows.withColumn("entities", values).withColumn("digest", F.when(own, F.xxhash64("text"))).withColumn("text", F.when(own, F.col("text")))
+    rows = rows.withColumn("entities", values).withColumn("digest", F.xxhash64("text")).withColumn("text", F.when(own, F.col("text")))
     rows = materialize(rows, "private")
     holders = rows.where(own)
-    n_docs = rows.count()
+    n_docs = rows.select("digest").distinct().count()
 
     def terms(t: Column) -> Column:
         return F.filter(F.array_distinct(F.split(F.lower(t), r"[\x20\x09-\x0D]+")), lambda w: w.rlike(r"\p{L}"))
@@ -97,7 +97,8 @@ def find_private(docs: DataFrame, threshold: float = 0.8, support: int = 3) -> D
     both = known.dropDuplicates(["digest", "entity"]).select("entity", "n_entity", F.explode(terms(F.col("text"))).alias("term"))
     both = both.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.first("n_entity").alias("n_entity")).where(F.col("n_both") >= support)
     both = materialize(both.where(~F.contains("entity", "term")), "pairs")
-    n_term = docs.select(F.explode(terms(text)).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    distinct = docs.select(text.alias("text")).withColumn("digest", F.xxhash64("text")).dropDuplicates(["digest"])
+    n_term = distinct.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     told = F.log(F.lit(float(n_docs)) * F.col("n_both") / (F.greatest("n_term", "n_both") * F.col("n_entity")))
     shares = told >= threshold * F.log(F.lit(float(n_docs)) / F.col("n_entity"))
     flagged = materialize(both.join(n_term, "term").where(shares).select("entity", "term", F.lit(True).alias("flagged")), "flagged")

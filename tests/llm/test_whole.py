@@ -61,3 +61,20 @@ def test_telling_terms_of_a_copied_text(spark):
     rows = [*enumerate(texts), *((100 + i, texts[0]) for i in range(300))]
     got = find_private(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert all([s.value for s in r.term] == (["zebulon"] if r.doc_id < 4 or r.doc_id >= 100 else []) for r in got)
+
+
+def test_links_in_a_bucket_of_unlike_pairs(spark):
+    from tracklake.llm._text import hashes, shingles
+
+    import pyarrow as pa
+
+    names = [f"w{i}" for i in range(3000)]
+    lowest = min(names, key=lambda w: shingles(hashes(pa.array([w.encode()])), np.array([0, 1]), 1)[0][0])
+    rest = [w for w in names if w != lowest]
+    rows = []
+    for i in range(40):  # forty pairs of copies, unlike one another but for the word that puts all in one bucket
+        own = [lowest, *rest[20 * i : 20 * i + 20]]
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join([*own, "end"]))]
+    random.Random(1).shuffle(rows)
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=1, bands=1, rows=1).collect()
+    assert all(r.component_id == r.doc_id // 2 * 2 for r in got)

@@ -90,15 +90,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(b, "rep").join(a, "hub").withColumn("common", common).select("hub", "rep", (100 * F.col("common") >= percent * union).alias("linked"))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5, bands: int = 64, rows: int = 6, rounds: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5, bands: int = 64, rows: int = 6) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (doc_id, text).
 
     Documents with the same shingle set are collapsed first. The representatives are banded;
-    each bucket gives star edges from its smallest member, so a bucket of n gives n - 1 pairs,
-    and every pair is verified on the full sets. Buckets whose members still lie in different
-    components are dealt again, from a hub drawn anew each round, up to ``rounds`` in all or
-    until a round links nothing. Two documents at the threshold share one of the 64 bands of 6
-    with a probability above 0.99999.
+    each bucket gives star edges from its smallest member, and every pair is verified on the full
+    sets. Buckets whose members still lie in different components are read again until no pair
+    across components is untested, so all pairs that share a band count. Two documents at the
+    threshold share one of the 64 bands of 6 with a probability above 0.99999.
 
     Null, empty and blank texts have no shingles and stay alone; a null ``doc_id`` gives a null
     ``component_id`` unless equal texts carry an id, and is kept only without shingles or ids. Repeated rows come

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +24,24 @@ def _chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids, "doc_id", "left_semi").select(*COLUMNS)
 
 
+def _null_ids_named(stage: Callable) -> Callable:
+    """The stage on documents whose null ids are replaced by ones of their own above all others, so
+    that each follows its own verdict and comes last where the smallest id counts; null again in the result."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if docs.where("doc_id IS NULL").isEmpty():
+            return stage(spark, docs, sf_dir)
+        ids = docs.select("doc_id").unionAll(spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id"))
+        top = F.lit(max(0, ids.agg(F.max("doc_id")).first()[0] or 0)).cast("bigint")
+        named = docs.withColumn("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), top + 1 + F.monotonically_increasing_id()))
+        out = stage(spark, materialize(named.select(*COLUMNS), "named"), sf_dir)
+        return out.withColumn("doc_id", F.when(F.col("doc_id") <= top, F.col("doc_id")))
+
+    return run
+
+
+@_null_ids_named
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score of 0.7 or more go; the field is fitted on the labelled documents among ``docs``."""
     field = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -28,6 +49,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return docs.join(toxic, "doc_id", "left_anti").select(*COLUMNS)
 
 
+@_null_ids_named
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later occurrences of a line are cut; a document of which no word is left goes, one that had none stays."""
     dropped = materialize(dropped_lines(fuzzy_lines(docs)), "dropped")
@@ -36,11 +58,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return cut.where(~bare).withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 
 
+@_null_ids_named
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     return _chosen(docs, materialize(near_duplicates(docs).where("kept").select("doc_id"), "kept"))
 
 
+@_null_ids_named
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are taken as often as the mix of sources says, up to three times."""
     taken = materialize(mix_sources(docs).where("copies > 0").select("doc_id", "copies").distinct(), "taken")

@@ -78,3 +78,25 @@ def test_links_in_a_bucket_of_unlike_pairs(spark):
     random.Random(1).shuffle(rows)
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=1, bands=1, rows=1).collect()
     assert all(r.component_id == r.doc_id // 2 * 2 for r in got)
+
+
+def test_pipeline_with_null_columns(spark, tmp_path):
+    import corpus_pipeline
+
+    rnd = random.Random(8)
+
+    def text(i):
+        return " ".join(f"w{rnd.randrange(5000)}x{i}" for _ in range(40))
+
+    own = [text(i) for i in range(40)]
+    rows = [(i if i % 4 else None, t, None, None, None) for i, t in enumerate(own)]
+    rows += [(None, own[4] + " end", None, None, None), (None, own[5] + " end", None, None, None), (77, None, None, None, None), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (500, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    near = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, str(tmp_path)).collect()
+    # of a text and its near copy, both without id, one stays; a near copy without id of one with an id goes
+    assert len(near) == 42 and sum(r.doc_id is None for r in near) == 11 and own[5] in {r.text for r in near}
+    assert sum(r.text in (own[4], own[4] + " end") for r in near) == 1 and own[5] + " end" not in {r.text for r in near}
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sum(r.doc_id is None and r.n_tokens > 2 for r in out) == 10 and {r.doc_id for r in out} >= {i for i in range(40) if i % 4}

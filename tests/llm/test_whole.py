@@ -100,3 +100,20 @@ def test_pipeline_with_null_columns(spark, tmp_path):
     assert sum(r.text in (own[4], own[4] + " end") for r in near) == 1 and own[5] + " end" not in {r.text for r in near}
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sum(r.doc_id is None and r.n_tokens > 2 for r in out) == 10 and {r.doc_id for r in out} >= {i for i in range(40) if i % 4}
+
+
+def test_search_in_repeated_rows(spark):
+    from tracklake.llm.rp_forest import forest_neighbours
+    from tracklake.llm.va_file import exact_top_k
+
+    v = np.floor(np.random.RandomState(2).standard_normal((200, 8)) * 8)
+    once = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, vector array<double>")
+    thrice = once.unionAll(once).unionAll(once).repartition(1)
+    asked = once.where("vec_id % 40 = 0")
+    for found in (exact_top_k(thrice, asked), forest_neighbours(thrice, asked, depth=2, share=1.0)):
+        got = {}
+        for r in found.orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append(r.vec_id)
+        for q in range(0, 200, 40):
+            ids = np.delete(np.arange(200), q)
+            assert got[q] == ids[np.lexsort((ids, -(v[ids] @ v[q])))][:20].tolist()

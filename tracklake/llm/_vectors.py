@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracklake.storage import materialize
+
 
 def usable(vector: Column, zero: bool = True) -> Column:
     """Neither null nor empty, without null or non-finite components; ``zero``: may be all zeros."""
@@ -22,6 +24,14 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
     return values.reshape(len(column), width)
 
 
+def without_repeats(vectors: DataFrame) -> DataFrame:
+    """``vec_id, vector`` without repeats of the same row; nothing is moved where no id stands twice."""
+    vectors = vectors.select("vec_id", "vector")
+    if vectors.groupBy("vec_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return vectors
+    return materialize(vectors.distinct(), "vectors")
+
+
 def width_of(vectors: DataFrame, column: str) -> int:
     first = vectors.select(F.size(column)).first()
     return first[0] if first else 0

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklake.llm._vectors import best, exact, matrix, ranked, width_of
+from tracklake.llm._vectors import best, exact, matrix, ranked, width_of, without_repeats
 from tracklake.storage import materialize
 
 
@@ -160,7 +160,7 @@ def forest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, trees
     width, n_queries = width_of(vectors, "vector"), queries.count()
     if not width or not n_queries:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    vectors, queries = vectors.select("vec_id", "vector"), queries.select("vec_id", "vector")
+    vectors, queries = without_repeats(vectors), queries.select("vec_id", "vector")
     sample = vectors.orderBy(F.xxhash64("vec_id", F.lit(23)), "vec_id").limit(sample_rows).toArrow().combine_chunks()
     forest = fit_forest(matrix(sample.column("vector").combine_chunks(), width), trees, depth)
     size = trees * forest.leaves

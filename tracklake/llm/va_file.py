@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklake.llm._vectors import best, exact, matrix, ranked, width_of
+from tracklake.llm._vectors import best, exact, matrix, ranked, width_of, without_repeats
 
 CHUNK = 256
 
@@ -81,6 +81,7 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, bits: int =
     width, total = width_of(vectors, "vector"), queries.count()
     if not width or not total:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    vectors, queries = without_repeats(vectors), queries.select("vec_id", "vector").distinct()
     spark, parts = vectors.sparkSession, -(-total // block)
     hits = []
     for part in range(parts):

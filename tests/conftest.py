@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -9,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 @pytest.fixture(scope="session")
 def spark():
-    conf = {"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.session.timeZone": "UTC", "spark.default.parallelism": "4"}
+    conf = {"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.session.timeZone": "UTC", "spark.default.parallelism": "4", "spark.checkpoint.dir": f"file://{tempfile.mkdtemp(prefix='tracklake-tests-')}"}
     session = SparkSession.builder.master("local[4]").config(map=conf).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session

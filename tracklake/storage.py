@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import re
 import tempfile
 import uuid
 
@@ -9,12 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a fresh one only where it is unset (tests)."""
+    """The folder named by ``spark.checkpoint.dir``. Where it is unset, a local session, whose executors
+    are this process, gets a folder of its own; on a cluster, where each machine would write to its
+    own disk, that is an error."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = f"file://{tempfile.mkdtemp(prefix='tracklake-')}"
         spark.conf.set("spark.checkpoint.dir", named)
-        spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
 
@@ -28,4 +33,22 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables of ``materialize`` that nothing reads any more, and let the context cleaner drop
+    the shuffle files of the jobs that wrote them. None and tables from elsewhere are passed over."""
+    jvm = None
+    for table in tables:
+        if (path := getattr(table, "written_to", None)) is not None:
+            context = table.sparkSession.sparkContext
+            jvm = context._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+            table.written_to = None
+    if jvm is not None:
+        gc.collect()
+        jvm.System.gc()

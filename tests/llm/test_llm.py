@@ -199,29 +199,6 @@ def test_telling_terms(spark):
     assert clean == "mail [term] now [email] number 1 word1"
 
 
-def test_close_members(monkeypatch):
-    import pyarrow as pa
-
-    from tracklake.llm import line_dedup
-
-    rng = np.random.default_rng(3)
-    key = np.sort(rng.integers(0, 60, 900))
-    key[300:420] = key[300]
-    key.sort()
-    code = rng.integers(-(2**62), 2**62, 900)
-    for i in range(0, 890, 7):
-        code[i + 1] = code[i] ^ (1 << int(rng.integers(0, 60)))
-    rows = set(zip(key.tolist(), code.tolist(), strict=True))
-    near = {(k, c) for k, c in rows if any(k == k2 and c != c2 and (c ^ c2).bit_count() <= 3 for k2, c2 in rows)}
-    batches = [pa.RecordBatch.from_arrays([pa.array(key[a : a + 50]), pa.array(code[a : a + 50])], names=["key", "code"]) for a in range(0, 900, 50)]
-    for large in (4096, 40):
-        monkeypatch.setattr(line_dedup, "LARGE", large)
-        got = [r for b in line_dedup._close_members(iter(batches)) for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
-        sizes = Counter(k for k, _ in rows)
-        assert len(got) == len(set(got))
-        assert set(got) == near | {(k, c) for k, c in rows if sizes[k] > large}
-
-
 def test_lines(spark):
     base = "the quick brown fox jumps over the lazy dog and then it runs home again to sleep for a long long while under the old oak tree by the river"
     rows = [(1, f"{base}\nown line one\n"), (2, f"{base.upper()}\nanother own line"), (3, base.replace("fox", "foxy") + "\n\nthird"), (4, None), (5, ""), (6, "own line one")]

@@ -24,36 +24,80 @@ def grouped(nodes, links):
     return {frozenset(g) for g in out.values()}
 
 
-def test_lines_with_a_changed_word(spark):
+def test_banded_edit_distance():
+    import pyarrow as pa
+
+    from tracklake.llm.line_dedup import similar
+
+    rnd = random.Random(6)
+    pairs = []
+    for _ in range(400):
+        a = [rnd.randrange(4) for _ in range(rnd.randrange(1, 30))]
+        b = [x for x in a if rnd.random() > 0.1]
+        b = [rnd.randrange(4) if rnd.random() < 0.1 else x for x in b] + [rnd.randrange(4)] * rnd.randrange(3)
+        pairs.append((a, b))
+    pairs.append((list(range(900)), list(range(50, 950))))
+    a, b = (pa.array([np.array(p[i], np.uint32).tobytes() for p in pairs], pa.binary()) for i in (0, 1))
+    for least in (0.5, 0.8, 0.9):
+        want = []
+        for x, y in pairs:
+            most = int((1 - least) * max(len(x), len(y)) + 1e-9)
+            want.append(edit_distance(np.array(x), np.array(y), most) <= most)
+        assert similar(a, b, least).tolist() == want
+
+
+def test_line_groups_against_all_pairs(spark):
     rnd = random.Random(5)
-    common = [f"w{i}" for i in range(60)]
+    vocabulary = [f"w{i}" for i in range(3000)]
     lines = []
-    for size in (3, 4, 5, 6, 8, 10, 14, 20, 27, 40):
-        for _ in range(6):
-            own = [rnd.choice(common) for _ in range(size)]
-            one, more = list(own), list(own)
+    for size in (5, 6, 8, 10, 14, 20, 27, 40, 80, 150, 300):
+        for turn in range(8):
+            own = [rnd.choice(vocabulary) for _ in range(size)]
+            one, most, longer = list(own), list(own), list(own)
             one[rnd.randrange(size)] = "other"
-            for k in rnd.sample(range(size), size // 4):
-                more[k] = rnd.choice(common)
-            longer = [*own, *rnd.sample(common, rnd.randrange(1, 3))]
-            lines += [own, one, more, longer]
-    rows = [(i if i % 7 else None, " ".join(x)) for i, x in enumerate(lines)]
-    classes = {tuple(x) for x in lines}
+            for k in rnd.sample(range(size), size // 5):  # similarity 0.8
+                most[k] = f"new{size}x{turn}x{k}" if turn % 2 else rnd.choice(vocabulary)
+            for _ in range(max(1, size // 8)):
+                longer.insert(rnd.randrange(size), rnd.choice(vocabulary))
+            lines += [own, one, most, longer]
+    lines += [["a"] * 8, ["a"] * 9, ["a", "b"] * 5, ["a", "b"] * 5 + ["b"]]
+    rows = [(i, " ".join(x)) for i, x in enumerate(lines)]
+    classes = sorted({tuple(x) for x in lines})
     number = {w: k for k, w in enumerate(sorted({w for x in classes for w in x}))}
     coded = {x: np.array([number[w] for w in x]) for x in classes}
-    links = [(x, y) for x in classes for y in classes if x < y and edit_distance(coded[x], coded[y], 99) <= max(len(x), len(y)) // 5]
-    df = spark.createDataFrame([r for r in rows if r[0] is not None], "doc_id long, text string")
-    df = df.unionAll(spark.createDataFrame([(None, "\n".join(t for i, t in rows if i is None))], "doc_id long, text string"))
-    text = {(i, 0): t for i, t in rows if i is not None} | {(None, k): t for k, t in enumerate(t for i, t in rows if i is None)}
-    judged = fuzzy_lines(df.repartition(3)).collect()
+    links = [(x, y) for k, x in enumerate(classes) for y in classes[k + 1 :] if abs(len(x) - len(y)) <= max(len(x), len(y)) // 5 and edit_distance(coded[x], coded[y], 99) <= max(len(x), len(y)) // 5]
+    judged = fuzzy_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     assert len(judged) == len(lines)
+    group = {tuple(lines[r.doc_id]): r.group for r in judged}
+    met = sum(group[x] == group[y] for x, y in links)
+    assert len(lines) > 300 and met >= 0.97 * len(links)
     found = {}
-    for r in judged:
-        found.setdefault(r.group, set()).add(tuple(text[r.doc_id, r.line].split()))
-    assert {frozenset(g) for g in found.values()} == grouped(classes, links)
+    for x in classes:
+        found.setdefault(group[x], set()).add(x)
+    whole = {x: g for g in grouped(classes, links) for x in g}
+    assert all(g <= whole[next(iter(g))] for g in found.values())  # no pair is joined that all pairs would not join
     assert sum(r.kept for r in judged) == len(found)
 
 
+def test_lines_on_odd_rows(spark):
+    from pyspark.sql import functions as F
+
+    from tracklake.llm.line_dedup import dropped_lines, without_lines
+
+    text = "one two three four five six\n\nalone in here"
+    rows = [(None, text), (None, "one two three four five seven"), (3, text), (3, text), (4, None), (5, ""), (6, "long " * 60000), (7, "long " * 60001)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("dropped", "own", "line", "group", "kept", "lines"):
+        df = df.withColumn(name, F.lit("x"))
+    judged = fuzzy_lines(df)
+    assert sorted((r.doc_id or 0, r.line, r.kept) for r in judged.collect()) == [(0, 0, False), (0, 0, False), (0, 2, False), (3, 0, True), (3, 0, True), (3, 2, True), (3, 2, True), (6, 0, True), (7, 0, False)]
+    out = without_lines(df, dropped_lines(judged))
+    assert out.columns == df.columns
+    left = sorted((r.doc_id or 0, -1 if r.text is None else len(r.text)) for r in out.collect())
+    assert left == [(0, 0), (0, 0), (3, len(text)), (3, len(text)), (4, -1), (5, 0), (6, 300000), (7, 0)]
+    assert fuzzy_lines(df.limit(0)).count() == 0 and without_lines(df.limit(0), dropped_lines(judged)).count() == 0
+
+
 def test_telling_terms_of_a_copied_text(spark):
     from tracklake.llm.sanitise import find_private
 

@@ -11,76 +11,68 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklake.operators.graph import connected_components
-from tracklake.storage import materialize
+from tracklake.storage import discard, materialize
 
-
-SMALL = 16
-GROWTH = 8
+SMALL = 8
+NO_PAIRS = (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
 @dataclass
 class Close:
     """What two members of a bucket must meet to be a pair. ``columns`` come along with the members;
-    buckets are read in the order of the first. ``reach(x, y)`` says of members x before y whether y
-    and so all between may pair with x; ``near(x, y)`` whether they do. Both get dicts of arrays."""
+    ``near(x, y)`` says which pairs may be linked. It gets two dicts of arrays."""
 
     columns: list[str]
-    reach: Callable[[dict, dict], np.ndarray]
     near: Callable[[dict, dict], np.ndarray]
 
 
 def shared_buckets(keys: DataFrame) -> DataFrame:
-    """``(key, rep)`` of the buckets with two members or more."""
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    return materialize(keys.join(materialize(shared, "buckets"), "key"), "members")
+    """``(key, rep, company)`` of the buckets with two members or more. ``company``, negative, counts the
+    fellows of a member in all its buckets: the text that others were copied from has most."""
+    shared = materialize(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+    members = materialize(keys.join(shared, "key"), "members")
+    company = materialize(members.groupBy("rep").agg((-F.sum("n")).alias("company")), "company")
+    ranked = materialize(members.join(company, "rep").select("key", "rep", "company"), "ranked-members")
+    discard(shared, members, company)
+    return ranked
 
 
-def bucket_pairs(rows: dict[str, np.ndarray], cap: int, close: Close | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def bucket_pairs(rows: dict[str, np.ndarray], first: int, stop: int, close: Close | None, small: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row numbers (a, b) of pairs of different components in buckets, and the keys of buckets of which
-    pairs may be missing. ``rows`` hold whole buckets in order. With ``cap`` 0 the first member of
-    each bucket is paired with all others, else each member with at most ``cap`` later ones."""
+    pairs may be missing. ``rows`` hold whole buckets in order. The members ``first`` to ``stop - 1``
+    of each bucket are hubs, paired with all members after them; of buckets of at most ``small``, all are."""
     key, component = rows["key"], rows["component"]
-    extra = {c: rows[c] for c in close.columns} if close else {}
-
-    def part(at: np.ndarray) -> dict[str, np.ndarray]:
-        return {c: v[at] for c, v in extra.items()}
-
     heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     size = np.diff(np.append(heads, len(key)))
     mixed = np.maximum.reduceat(component, heads) > np.minimum.reduceat(component, heads)
-    if not cap:
-        b = np.flatnonzero(np.repeat(mixed, size))
-        a = np.repeat(heads, size)[b]
-        use = component[a] != component[b]
-        if close:
-            use &= close.near(part(a), part(b))
-        return a[use], b[use], key[heads[mixed & (size > 2)]]
-    at, d = np.flatnonzero(np.repeat(mixed, size)), 1
-    made, firsts, seconds, short = np.zeros(len(key), np.int64), [], [], []
-    while len(at := at[at + d < len(key)]) and len(at := at[key[at + d] == key[at]]):
+    found = [NO_PAIRS]
+    last = np.where(size <= small, size, stop)
+    for hub in range(first, max(stop, small)):
+        use = np.flatnonzero(mixed & (size > hub + 1) & (last > hub))
+        if not len(use):
+            break
+        after = size[use] - hub - 1
+        a = np.repeat(heads[use] + hub, after)
+        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(after) - after, after)
+        fits = component[a] != component[b]
+        a, b = a[fits], b[fits]
         if close:
-            at = at[close.reach(part(at), part(at + d))]
-        hit = at[component[at] != component[at + d]]
-        if close:
-            hit = hit[close.near(part(hit), part(hit + d))]
-        firsts.append(hit)
-        seconds.append(hit + d)
-        made[hit] += 1
-        full = made[at] >= cap
-        short.append(key[at[full]])
-        at, d = at[~full], d + 1
-    none = [np.zeros(0, np.int64)]
-    return np.concatenate(none + firsts), np.concatenate(none + seconds), np.unique(np.concatenate(none + short))
-
-
-def _scan(columns: list[str], cap: int, close: Close | None):
+            fits = close.near({c: rows[c][a] for c in close.columns}, {c: rows[c][b] for c in close.columns})
+            a, b = a[fits], b[fits]
+        found.append((a, b))
+    a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+    return a, b, key[heads[mixed & (size > last + 1)]]
+
+
+def _scan(columns: list[str], first: int, stop: int, close: Close | None):
     """``(hub, rep, open)`` from rows in the order of buckets: pairs, and keys of buckets left open."""
+    small = SMALL if close else 0  # such a bucket has few pairs, of which few are close
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict[str, np.ndarray]] = []
 
         def done(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
-            a, b, left = bucket_pairs(rows, cap, close)
+            a, b, left = bucket_pairs(rows, first, stop, close, small)
             low, high = np.minimum(rows["rep"][a], rows["rep"][b]), np.maximum(rows["rep"][a], rows["rep"][b])
             ends = [pa.concat_arrays([pa.array(x), pa.nulls(len(left), pa.int64())]) for x in (low, high)]
             return pa.RecordBatch.from_arrays([*ends, pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(left)])], names=["hub", "rep", "open"])
@@ -102,31 +94,47 @@ def _scan(columns: list[str], cap: int, close: Close | None):
     return run
 
 
-def linked_components(members: DataFrame, verified: Callable[[DataFrame], DataFrame], close: Close | None = None) -> DataFrame:
-    """``(node, component)`` of all linked members of ``members`` (key, rep, columns of ``close``).
-
-    ``verified`` adds ``linked`` to distinct pairs (hub, rep), hub < rep. First each bucket gives a
-    star from its first member or, with ``close``, at most ``SMALL`` close pairs for each member.
-    Buckets that left pairs out are read again with the components found so far, for close pairs of
-    different components, under a bound ``GROWTH`` times larger, until no bucket leaves any out. So
-    every close pair of a bucket is tested or has its ends in one component, while a bucket of n
-    like members gives a multiple of n pairs only. A bucket is read by one task.
+def _merged(components: DataFrame | None, linked: DataFrame) -> DataFrame:
+    """``components`` (node, component) after the further links (hub, rep); components stay named by their smallest member."""
+    if components is None:
+        return connected_components(linked, "hub", "rep")
+    of = {end: components.select(F.col("node").alias(end), F.col("component").alias(f"{end}_of")) for end in ("hub", "rep")}
+    ends = materialize(linked.join(of["hub"], "hub", "left").join(of["rep"], "rep", "left").select(F.coalesce("hub_of", "hub").alias("a"), F.coalesce("rep_of", "rep").alias("b")), "joined")
+    moved = connected_components(ends, "a", "b")
+    fresh = moved.select("node", F.col("node").alias("component")).join(components.select("node"), "node", "left_anti")
+    renamed = moved.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    out = materialize(components.unionAll(fresh).join(renamed, "component", "left").select("node", F.coalesce("to", "component").alias("component")), "components")
+    discard(ends, moved, components)
+    return out
+
+
+def linked_components(members: DataFrame, verified: Callable[[DataFrame], DataFrame], close: Close | None = None, order: str = "rep") -> DataFrame:
+    """``(node, component)`` of all linked members of ``members`` (key, rep, ``order``, columns of ``close``).
+
+    ``verified`` adds ``linked`` to distinct pairs (hub, rep), hub < rep. In the first round the first
+    member of each bucket, by ``order``, is a hub: it is paired with all others of other components.
+    Buckets that still span several components are read again with the next 2, 4, 8 ... members
+    as hubs, until every member has been one. So each close pair of a bucket is tested once or has
+    its ends in one component, while a bucket of like members gives a star. A bucket is read by one
+    task; it holds the bucket's numbers, no texts.
     """
     columns = ["key", "rep", "component", *(close.columns if close else [])]
-    order = ["key", *(close.columns[:1] if close else []), "rep"]
-    rows, tried, cap = members.withColumn("component", F.col("rep")), None, SMALL if close else 0
+    rows, tried, components, owned, first, stop = members.withColumn("component", F.col("rep")), [], None, None, 0, 1
     while True:
-        dealt = rows.select(*columns).repartition("key").sortWithinPartitions(*order)
-        found = materialize(dealt.mapInArrow(_scan(columns, cap, close), "hub long, rep long, open long"), "scanned")
+        dealt = rows.repartition("key").sortWithinPartitions("key", order, "rep").select(*columns)
+        found = materialize(dealt.mapInArrow(_scan(columns, first, stop, close), "hub long, rep long, open long"), "scanned")
         fresh = found.where("hub IS NOT NULL").select("hub", "rep").distinct()
-        if tried is not None:
-            fresh = fresh.join(tried.select("hub", "rep"), ["hub", "rep"], "left_anti")
+        for past in tried:
+            fresh = fresh.join(past.select("hub", "rep"), ["hub", "rep"], "left_anti")
         fresh = materialize(verified(fresh), "verified")
-        tried = fresh if tried is None else tried.unionAll(fresh)
-        components = connected_components(tried.where("linked"), "hub", "rep")
-        left = found.where("open IS NOT NULL").select(F.col("open").alias("key")).distinct()
+        tried.append(fresh)
+        components = _merged(components, fresh.where("linked"))
+        left = materialize(found.where("open IS NOT NULL").select(F.col("open").alias("key")).distinct(), "open")
         if left.isEmpty():
+            discard(owned, found, left, *tried)
             return components
-        members = materialize(members.join(left, "key"), "open-members")
+        still = materialize(members.join(left, "key"), "open-members")
+        discard(owned, found, left)
+        members = owned = still
         named = members.join(components.withColumnRenamed("node", "rep"), "rep", "left")
-        rows, cap = named.withColumn("component", F.coalesce("component", "rep")), cap * GROWTH or SMALL
+        rows, first, stop = named.withColumn("component", F.coalesce("component", "rep")), stop, 2 * stop + 1

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tracklake.llm._links import linked_components, shared_buckets
 from tracklake.llm._text import encoded, hashes, long_column, mix, pieces, shingles, words
-from tracklake.storage import materialize
+from tracklake.storage import discard, materialize
 
 SKETCH = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"
 
@@ -94,9 +94,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5, bands: i
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (doc_id, text).
 
     Documents with the same shingle set are collapsed first. The representatives are banded;
-    each bucket gives star edges from its smallest member, and every pair is verified on the full
-    sets. Buckets whose members still lie in different components are read again until no pair
-    across components is untested, so all pairs that share a band count. Two documents at the
+    each bucket gives star edges from the member that shares most buckets with others, and every pair
+    is verified on the full sets. Buckets whose members still lie in different components are read
+    again until no pair across components is untested, so all pairs that share a band count. Two documents at the
     threshold share one of the 64 bands of 6 with a probability above 0.99999.
 
     Null, empty and blank texts have no shingles and stay alone; a null ``doc_id`` gives a null
@@ -111,7 +111,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5, bands: i
     members = shared_buckets(keys)
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = materialize(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(width), "doc_id long, hashes array<long>"), "sets")
-    components = linked_components(members, lambda pairs: _verified(pairs, sets, percent))
+    components = linked_components(members, lambda pairs: _verified(pairs, sets, percent), order="company")
+    discard(members, sets)
     named = reps.select("k1", "k2", "rep").join(components.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
     out = sketches.select("doc_id", "n_shingles", "k1", "k2").join(materialize(named, "classes"), ["k1", "k2"], "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))

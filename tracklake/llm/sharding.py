@@ -2,43 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tracklake.storage import materialize
+from tracklake.storage import discard, materialize
 
 CODE_BITS, HASH_BITS, STEP = 20, 40, 10
 KEY_BITS = CODE_BITS + HASH_BITS
 
 
 def default_dimensions() -> dict[str, Column]:
-    """Codes from 0 to 2**20 - 1: source and language by checksum, size on a logarithmic scale."""
-    scale = 1 << CODE_BITS
-    size = F.least(F.lit(scale - 1), (F.log2(F.col("size").cast("double")) * (scale / 40)).cast("bigint"))
-    return {"source": F.shiftright(F.crc32(F.col("source")), 12), "lang": F.shiftright(F.crc32(F.col("lang")), 12), "size": size}
+    """Source, language, and size in steps of 1/64 octave."""
+    return {"source": F.col("source").cast("string"), "lang": F.col("lang").cast("string"), "size": F.floor(F.log2(F.col("size").cast("double")) * 64).cast("bigint")}
 
 
 def kd_shards(docs: DataFrame, shards: int | None = 16, target_bytes: int | None = None, dimensions: dict[str, Column] | None = None) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot`` for every row of ``docs`` (doc_id, text and the dimensions' columns).
 
-    The tree splits every node that stands for more than one shard at the median of its bytes
-    (or, for an odd number of shards, at the fitting share) along the dimension that spreads
-    widest in the node. Rows with equal codes are ordered by a hash of doc_id, so that a value
-    that a third of the rows share is split as well. All nodes of a level are split together: a
-    histogram of at most 1,024 cells a node finds the cell of the median, and only that cell is
-    refined, until it holds one document. Sizes of shards so differ by a few documents at most.
-    Give ``shards``, or ``target_bytes`` with ``shards=None``.
-
-    Null texts have size 1 and checksum 0; null metadata has code 0. Rows with equal doc_id and
-    equal code stay together. An empty table gives no rows. Other columns are ignored.
+    A dimension's values, in their order, become coordinates by their share of the bytes: a value's
+    coordinate is the middle of its stretch of the running sum of bytes, so a dimension on which a
+    node holds one value has no width there, whatever its type. The tree splits every node that
+    stands for more than one shard at the median of its bytes (or, for an odd number of shards, at
+    the fitting share) along the dimension that is widest in the node. Rows with equal coordinates
+    are ordered by a hash of doc_id, so that a value that a third of the rows share is split as
+    well. All nodes of a level are split together: a histogram of at most 1,024 cells a node finds
+    the cell of the median, and only that cell is refined, until it holds one document. Sizes of
+    shards so differ by a few documents at most. Give ``shards``, or ``target_bytes`` with
+    ``shards=None``. Distinct values of a dimension are ranked in one task: bin finer ones, as size is.
+
+    Null texts have size 1 and checksum 0; null metadata is a value of its own, the first. Rows with
+    equal doc_id and equal coordinates stay together. An empty table gives no rows. Other columns
+    are ignored.
     """
     dimensions = dimensions or default_dimensions()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.withColumn("size", (F.octet_length(text) + 1).cast("bigint"))
-    codes = [F.coalesce(c.cast("bigint"), F.lit(0).cast("bigint")).alias(f"code_{i}") for i, c in enumerate(dimensions.values())]
-    spread = F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("bigint"), F.lit(29)), 64 - HASH_BITS)
-    rows = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "size", F.crc32(text).alias("text_crc32"), spread.alias("spread"), F.lit(0).cast("bigint").alias("node"), *codes)
-    rows = materialize(rows, "rows")
+    spread = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit("")).cast("binary")), 1, 10), 16, 10).cast("bigint")
+    values = [c.alias(f"value_{i}") for i, c in enumerate(dimensions.values())]
+    rows = materialize(rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "size", F.crc32(text).alias("text_crc32"), spread.alias("spread"), *values), "valued-rows")
+    coded, codes = rows, []
+    for i in range(len(values)):
+        codes.append(materialize(_coordinates(rows, f"value_{i}", f"code_{i}"), "coordinates"))
+        coded = coded.join(codes[i].withColumnRenamed(f"value_{i}", f"own_{i}"), F.col(f"value_{i}").eqNullSafe(F.col(f"own_{i}"))).drop(f"value_{i}", f"own_{i}")
+    coded = materialize(coded.withColumn("node", F.lit(0).cast("bigint")), "rows")
+    discard(rows, *codes)
+    rows = coded
     if target_bytes:
         total = rows.agg(F.sum("size")).first()[0] or 0
         shards = max(1, -(-total // target_bytes))
@@ -48,12 +56,24 @@ def kd_shards(docs: DataFrame, shards: int | None = 16, target_bytes: int | None
     return _slots(rows)
 
 
-def _table(rows: DataFrame, values: list[tuple], schema: str) -> DataFrame:
-    return rows.sparkSession.createDataFrame(values, schema)
+def _coordinates(rows: DataFrame, value: str, code: str) -> DataFrame:
+    """``value`` with its ``code``, from 0 to 2**20 - 1."""
+    upto = Window.orderBy(F.col(value).asc_nulls_first())
+    totals = rows.groupBy(value).agg(F.sum("size").alias("own"))
+    summed = totals.withColumn("upto", F.sum("own").over(upto)).withColumn("whole", F.sum("own").over(Window.partitionBy()))
+    middle = (2 * F.col("upto") - F.col("own")).cast("double") / (2 * F.col("whole"))
+    return summed.select(value, F.least(F.lit((1 << CODE_BITS) - 1), F.floor(middle * (1 << CODE_BITS))).cast("bigint").alias(code))
+
+
+def _table(spark: SparkSession, values: list[tuple[int, ...]], names: str) -> DataFrame:
+    """A table of whole numbers as a literal of the plan: no Python worker, no task."""
+    rows = ", ".join("(" + ", ".join(f"{int(x)}L" for x in v) + ")" for v in values) or "(" + ", ".join(["0L"] * len(names.split(","))) + ")"
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({names})" + ("" if values else " WHERE false"))
 
 
 def _split(rows: DataFrame, leaves: dict[int, int], n_codes: int):
     """One level of the tree. Nodes are named by the first shard under them; all that the driver holds is bounded by the number of shards times 1,024."""
+    spark = rows.sparkSession
     spans = [f(f"code_{i}").alias(f"{name}{i}") for i in range(n_codes) for name, f in (("lo", F.min), ("hi", F.max))]
     found = {r.node: r for r in rows.groupBy("node").agg(F.sum("size").alias("size"), *spans).collect()}
     axis, need = {}, {}
@@ -68,12 +88,12 @@ def _split(rows: DataFrame, leaves: dict[int, int], n_codes: int):
     for i in range(1, n_codes):
         chosen = F.when(F.col("axis") == i, F.col(f"code_{i}")).otherwise(chosen)
     key = chosen * (1 << HASH_BITS) + F.col("spread")
-    plan = _table(rows, list(axis.items()), "node long, axis int")
+    plan = _table(spark, list(axis.items()), "node, axis")
     keyed = materialize(rows.join(F.broadcast(plan), "node").select("node", "size", key.alias("key")), "keyed") if axis else None
     for shift in range(KEY_BITS - STEP, -1, -STEP):
         if not prefix:
             break
-        at = _table(rows, list(prefix.items()), "node long, prefix long")
+        at = _table(spark, list(prefix.items()), "node, prefix")
         inside = keyed.withColumn("prefix", F.shiftrightunsigned("key", shift + STEP)).join(F.broadcast(at), ["node", "prefix"])
         cells = inside.groupBy("node", F.shiftrightunsigned("key", shift).alias("cell")).agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
         by_node: dict[int, list] = {}
@@ -90,10 +110,12 @@ def _split(rows: DataFrame, leaves: dict[int, int], n_codes: int):
                 cut[node] = (cell + (2 * need[node] >= size)) << shift
                 del prefix[node]
     moves = [(node, axis[node], cut[node], node + leaves[node] // 2) for node in axis]
-    plan = _table(rows, moves, "node long, axis int, cut long, right long")
+    plan = _table(spark, moves, "node, axis, cut, right")
     joined = rows.join(F.broadcast(plan), "node", "left")
     node = F.when(F.col("cut").isNotNull() & (key >= F.col("cut")), F.col("right")).otherwise(F.col("node"))
-    rows = materialize(joined.withColumn("node", node).drop("axis", "cut", "right"), "rows")
+    moved = materialize(joined.withColumn("node", node).drop("axis", "cut", "right"), "rows")
+    discard(rows, keyed)
+    rows = moved
     deeper = {}
     for node, n in leaves.items():
         deeper[node] = n // 2 if n > 1 else n

@@ -239,14 +239,14 @@ def vectors(spark):
 
 def best_rows(v, q, k=20):
     s = (v * v[q]).sum(axis=1)
-    ids = np.array([i for i in range(len(v)) if i != q])
+    ids = np.array([i for i in range(len(v)) if i != q], int)
     return ids[np.lexsort((ids, -s[ids]))][:k].tolist()
 
 
 def test_exact_search(vectors):
     v = np.floor(vectors[0] * 8)
     df = vectors[1].withColumn("vector", F.transform("vector", lambda x: F.floor(x * 8).cast("double")))
-    got = exact_top_k(df, df.where("vec_id % 20 = 0"), block=7).orderBy("query_id", "rank").collect()
+    got = exact_top_k(df, df.where("vec_id % 20 = 0"), rows=64, block=7).orderBy("query_id", "rank").collect()
     for q in range(0, 600, 20):
         assert [r.vec_id for r in got if r.query_id == q] == best_rows(v, q)
     assert exact_top_k(df.limit(0), df.limit(0)).count() == 0
@@ -254,11 +254,67 @@ def test_exact_search(vectors):
 
 
 def test_forest_search(vectors):
-    got = forest_neighbours(vectors[1], vectors[1].where("vec_id % 20 = 0"), depth=4).collect()
+    got = forest_neighbours(vectors[1], vectors[1].where("vec_id % 20 = 0"), leaf_rows=40).collect()
     hit = sum(len({r.vec_id for r in got if r.query_id == q} & set(best_rows(vectors[0], q))) for q in range(0, 600, 20))
     assert hit / 600 >= 0.9 and all(r.score == pytest.approx(vectors[0][r.query_id] @ vectors[0][r.vec_id]) for r in got)
 
 
+def test_cell_bounds_hold():
+    from tracklake.llm.va_file import cell_bounds
+
+    rng = np.random.default_rng(5)
+    v, q = rng.standard_normal((500, 24)) * 10 ** rng.uniform(-3, 3, 24), rng.standard_normal((40, 24))
+    low, high = v.min(axis=0), v.max(axis=0)
+    for bits in (2, 6, 8):
+        cell = (high - low) / (1 << bits)
+        codes = np.clip((v - low) // cell, 0, (1 << bits) - 1).astype(np.uint8)
+        middle, reach = cell_bounds(q, codes, low, cell)
+        assert (np.abs(q @ v.T - middle) <= reach[:, None]).all()
+
+
+@pytest.mark.parametrize("n", [1, 2, 15, 25, 300])
+def test_small_searches_miss_no_row(spark, n):
+    v = np.floor(np.random.RandomState(n).standard_normal((n, 6)) * 3)  # many ties
+    v[n // 2 :] = v[n // 2]
+    df = spark.createDataFrame([(i, x.tolist(), "x", "y") for i, x in enumerate(v)], "vec_id long, vector array<double>, score string, query_id string")
+    asked = df.where("vec_id % 20 = 0")
+    exact = exact_top_k(df, asked, rows=7, block=3, bits=3).orderBy("query_id", "rank").collect()
+    forest = forest_neighbours(df, asked, leaf_rows=8, recall=0.5, probes=5).orderBy("query_id", "rank").collect()
+    for q in range(0, n, 20):
+        assert [r.vec_id for r in exact if r.query_id == q] == best_rows(v, q)
+        assert [r.rank for r in forest if r.query_id == q] == list(range(1, min(20, n - 1) + 1))
+
+
+def test_recall_on_the_embeddings(spark):
+    import os
+
+    from tracklake.llm.queries import op7_va_file, op8_rp_forest
+
+    path = "/root/testdata/sf0.1"
+    if not os.path.isdir(path):
+        pytest.skip("no tables")
+    found = {r.query_id: r for r in op8_rp_forest(spark, path).groupBy("query_id").agg(F.collect_set("vec_id").alias("ids")).collect()}
+    rows = spark.read.parquet(f"{path}/embeddings.parquet").collect()
+    v = {r.vec_id: np.array(r.embedding, np.float64) for r in rows}
+    ids = np.array(sorted(v))
+    table = np.stack([v[i] for i in ids])
+    hit = 0
+    for q, r in found.items():
+        s = table @ v[q]
+        s[ids == q] = -np.inf
+        hit += len(set(r.ids) & set(ids[np.argsort(-s)[:20]].tolist()))
+    assert len(found) == sum(i % 20 == 0 for i in v) and hit >= 0.9 * 20 * len(found)
+    whole = np.floor(64 * table)
+    got = {}
+    for r in op7_va_file(spark, path).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    for q, own in got.items():
+        s = whole @ whole[ids == q][0]
+        s[ids == q] = -np.inf
+        order = np.lexsort((ids, -s))[:20]
+        assert own == [(int(ids[o]), int(s[o])) for o in order]
+
+
 def test_toxicity(spark):
     rnd = random.Random(6)
     words = [f"w{i}" for i in range(300)]

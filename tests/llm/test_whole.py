@@ -154,7 +154,7 @@ def test_search_in_repeated_rows(spark):
     once = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, vector array<double>")
     thrice = once.unionAll(once).unionAll(once).repartition(1)
     asked = once.where("vec_id % 40 = 0")
-    for found in (exact_top_k(thrice, asked), forest_neighbours(thrice, asked, depth=2, share=1.0)):
+    for found in (exact_top_k(thrice, asked), forest_neighbours(thrice, asked, leaf_rows=50, recall=1.0, probes=200)):
         got = {}
         for r in found.orderBy("query_id", "rank").collect():
             got.setdefault(r.query_id, []).append(r.vec_id)

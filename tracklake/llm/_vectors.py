@@ -32,6 +32,11 @@ def without_repeats(vectors: DataFrame) -> DataFrame:
     return materialize(vectors.distinct(), "vectors")
 
 
+def one_a_query(queries: DataFrame) -> DataFrame:
+    """``vec_id, vector`` with one row an id; of several vectors the smallest."""
+    return queries.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+
+
 def width_of(vectors: DataFrame, column: str) -> int:
     first = vectors.select(F.size(column)).first()
     return first[0] if first else 0
@@ -42,11 +47,6 @@ def exact(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     return np.einsum("ij,ij->i", q, v)
 
 
-def best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k largest scores, ties to smaller ids."""
-    return np.lexsort((ids, -score))[:k]
-
-
 def ranked(hits: DataFrame, k: int) -> DataFrame:
     """``query_id, rank, vec_id, score`` from rows ``(query_id, ids, scores)`` of local best lists.
 

@@ -7,18 +7,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracklake.llm._vectors import best, exact, matrix, ranked, width_of, without_repeats
+from tracklake.llm._vectors import exact, matrix, one_a_query, ranked, width_of, without_repeats
 from tracklake.storage import materialize
 
 
 @dataclass
 class Forest:
-    """For each tree, the hyperplanes level by level: ``planes[t][d]`` is (normals, offsets) of 2**d nodes."""
+    """For each tree, the hyperplanes level by level: ``planes[t][d]`` is (normals, offsets, slopes) of 2**d nodes."""
 
-    planes: list[list[tuple[np.ndarray, np.ndarray]]]
+    planes: list[list[tuple[np.ndarray, np.ndarray, np.ndarray]]]
 
     @property
     def leaves(self) -> int:
@@ -29,34 +29,61 @@ class Forest:
         out = []
         for tree in self.planes:
             node = np.zeros(len(v), np.int64)
-            for normal, offset in tree:
+            for normal, offset, _ in tree:
                 node = 2 * node + (np.einsum("ij,ij->i", v, normal[node]) >= offset[node])
             out.append(node)
         return np.stack(out, axis=1)
 
     def priorities(self, q: np.ndarray) -> np.ndarray:
-        """For each row, the priority of all leaves of all trees: the least signed margin on the way
-        down. Taking leaves by it is what popping one queue shared by the trees gives."""
+        """For each row, the priority of all leaves of all trees: the logarithm of the chance that a
+        near row lies there, by the margins on the way down. Taking leaves by it is what popping one
+        queue shared by the trees gives."""
         out = []
         for tree in self.planes:
-            p = np.full((len(q), 1), np.inf)
-            for normal, offset in tree:
-                m = q @ normal.T - offset
-                p = np.stack([np.minimum(p, -m), np.minimum(p, m)], axis=2).reshape(len(q), -1)
+            p = np.zeros((len(q), 1))
+            for normal, offset, slope in tree:
+                m = (q @ normal.T - offset) * slope
+                p = np.stack([p - np.logaddexp(0, m), p - np.logaddexp(0, -m)], axis=2).reshape(len(q), -1)
             out.append(p)
         return np.concatenate(out, axis=1)
 
+    def ranks(self, q: np.ndarray, near: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """For each row of ``q``, as how manieth leaf that holds any row it visits the first one with its row of ``near``."""
+        p = self.priorities(q)
+        p[:, counts == 0] = -np.inf
+        own = np.take_along_axis(p, self.leaf(near) + np.arange(len(self.planes)) * self.leaves, axis=1).max(axis=1)
+        return (p > own[:, None]).sum(axis=1) + 1
+
+    def visited(self, q: np.ndarray, visits: int, counts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row, leaf number over all trees) of the leaves that each row visits: the best ``visits`` of all,
+        and of the first tree as many of the best as hold ``least`` vectors; leaves without any are left out."""
+        p = self.priorities(q)
+        p[:, counts == 0] = -np.inf
+        size, n = p.shape[1], self.leaves
+        chosen = np.zeros(p.shape, bool)
+        m = min(visits, size)
+        np.put_along_axis(chosen, np.argpartition(-p, m - 1, axis=1)[:, :m], True, axis=1)
+        order = np.argsort(-p[:, :n], axis=1)
+        before = np.cumsum(counts[:n][order], axis=1) - counts[:n][order]
+        row, place = np.nonzero(before < least)
+        chosen[row, order[row, place]] = True
+        chosen[:, counts == 0] = False
+        return np.nonzero(chosen)
+
 
 def fit_forest(sample: np.ndarray, trees: int, depth: int, seed: int = 11) -> Forest:
-    """Each node splits its part of the sample at the median along the line through two of its rows."""
+    """Each node splits its part of the sample at the median along the line through two of its rows.
+    The slope says how fast a margin decides: near rows keep about 0.45 of a margin, the rest scatters."""
     rng = np.random.RandomState(seed)
     planes = []
     for _ in range(trees):
         node, tree = np.zeros(len(sample), np.int64), []
         for level in range(depth):
-            normal, offset = rng.standard_normal((1 << level, sample.shape[1])), np.zeros(1 << level)
+            normal, offset, slope = rng.standard_normal((1 << level, sample.shape[1])), np.zeros(1 << level), np.zeros(1 << level)
+            rows = np.argsort(node, kind="stable")
+            ends = np.searchsorted(node[rows], np.arange((1 << level) + 1))
             for k in range(1 << level):
-                own = np.flatnonzero(node == k)
+                own = rows[ends[k] : ends[k + 1]]
                 for _ in range(8 if len(own) > 1 else 0):
                     a, b = sample[rng.choice(own, 2, replace=False)]
                     if (a != b).any():
@@ -64,14 +91,15 @@ def fit_forest(sample: np.ndarray, trees: int, depth: int, seed: int = 11) -> Fo
                         break
                 normal[k] /= np.linalg.norm(normal[k])
                 if len(own):
-                    offset[k] = np.median(sample[own] @ normal[k])
-            tree.append((normal, offset))
+                    along = sample[own] @ normal[k]
+                    offset[k], slope[k] = np.median(along), 1 / max(along.std(), 1e-9)
+            tree.append((normal, offset, slope))
             node = 2 * node + (np.einsum("ij,ij->i", sample, normal[node]) >= offset[node])
         planes.append(tree)
     return Forest(planes)
 
 
-PACKED = "place int, ids binary, data binary"
+PACKED = "place int, salt int, ids binary, data binary"
 
 
 def _counted(shared, width: int):
@@ -88,23 +116,20 @@ def _counted(shared, width: int):
     return run
 
 
-def _dealt(shared, width: int, most: int, share: float | None):
-    """Rows ``(place, salt, vec_id, data)``: each vector once a tree (``share`` None), each query once a visited leaf."""
+def _dealt(shared, width: int, visits: int | None, least: int = 0):
+    """Rows ``(place, salt, vec_id, data)``: each vector once a tree (``visits`` None), each query once a visited leaf."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest, salts = shared.value
-        size = len(forest.planes) * forest.leaves
+        forest, salts, counts = shared.value
         for big in batches:
-            for first in range(0, big.num_rows, 1024):
-                batch = big.slice(first, 1024)
+            for first in range(0, big.num_rows, 256):
+                batch = big.slice(first, 256)
                 v, ids = matrix(batch.column("vector"), width), batch.column("vec_id").to_numpy(zero_copy_only=False)
-                if share is None:
+                if visits is None:
                     place = (forest.leaf(v) + np.arange(len(forest.planes)) * forest.leaves).astype(np.int64)
+                    row, place = np.repeat(np.arange(len(v)), place.shape[1]), place.ravel()
                 else:
-                    p, m = forest.priorities(v), max(1, int(np.ceil(share * size)))
-                    place = np.argpartition(-p, min(m, size) - 1, axis=1)[:, :m] if m < size else np.tile(np.arange(size), (len(v), 1))
-                row = np.repeat(np.arange(len(v)), place.shape[1])
-                place = place.ravel()
+                    row, place = forest.visited(v, visits, counts, least)
                 mixed = (ids[row].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
                 salt = (mixed % salts[place].astype(np.uint64)).astype(np.int32)
                 data = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width * 8), len(row), [None, pa.py_buffer(np.ascontiguousarray(v[row]))]).cast(pa.binary())
@@ -116,7 +141,7 @@ def _dealt(shared, width: int, most: int, share: float | None):
 def _pack(table: pa.Table) -> pa.Table:
     ids = table.column("vec_id").to_numpy()
     data = b"".join(table.column("data").to_pylist())
-    return pa.table({"place": pa.array([table.column("place")[0].as_py()], pa.int32()), "ids": pa.array([ids.tobytes()], pa.binary()), "data": pa.array([data], pa.binary())})
+    return pa.table({**{c: pa.array([table.column(c)[0].as_py()], pa.int32()) for c in ("place", "salt")}, "ids": pa.array([ids.tobytes()], pa.binary()), "data": pa.array([data], pa.binary())})
 
 
 def _rerank(width: int, k: int):
@@ -142,37 +167,87 @@ def _rerank(width: int, k: int):
     return run
 
 
-def forest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, trees: int = 4, depth: int = 6, share: float = 0.36, sample_rows: int = 8192, most: int = 2048) -> DataFrame:
-    """``query_id, rank, vec_id, score``: about the k rows of ``vectors`` with the largest inner product.
+def _visits(vectors: DataFrame, sample: pa.Table, forest: Forest, counts: np.ndarray, width: int, k: int, recall: float, probes: int) -> int:
+    """How many leaves a query visits so that the first ``probes`` rows of the sample would find the
+    share ``recall`` of their k true neighbours, which are searched among all rows."""
+    asked = sample.slice(0, probes)
+    ids, q = asked.column("vec_id").to_numpy(), matrix(asked.column("vector").combine_chunks(), width)
+    shared = vectors.sparkSession.sparkContext.broadcast((ids, q))
+    near = vectors.mapInArrow(_nearest(shared, width, k), "query long, score double, vec_id long, vector array<double>")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    found = near.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k).toArrow().combine_chunks()  # probes * k rows
+    if not found.num_rows:
+        return 1
+    ranks = forest.ranks(q[found.column("query").to_numpy()], matrix(found.column("vector").combine_chunks(), width), counts)
+    return max(1, int(np.quantile(ranks, recall, method="higher")))
+
 
-    Both tables hold ``vec_id`` and ``vector``, of one width, whole and finite. The trees are fitted
-    on the ``sample_rows`` first rows by a hash of the id, and every row is then put into one leaf
-    of each tree. A query visits the best ``share`` of all leaves by a priority queue that the trees
-    share, and the candidates of these leaves are ranked by the exact inner product, ties to the
-    smaller vec_id. The row with the query's own vec_id is no candidate. Leaves and their queries
-    are packed into blocks of about ``most`` rows, so a leaf of any size is spread over tasks.
+def _nearest(shared, width: int, k: int):
+    """The k nearest rows of a partition to each of a few queries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, q = shared.value
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            v, own = matrix(batch.column("vector"), width), batch.column("vec_id").to_numpy(zero_copy_only=False)
+            s = q @ v.T
+            s[ids[:, None] == own[None, :]] = -np.inf
+            top = np.argsort(-s, axis=1, kind="stable")[:, :k]
+            fresh = (np.repeat(np.arange(len(q)), top.shape[1]), np.take_along_axis(s, top, axis=1).ravel(), own[top.ravel()], v[top.ravel()])
+            held = fresh if held is None else tuple(np.concatenate(x) for x in zip(held, fresh, strict=True))
+            order = np.lexsort((held[2], -held[1], held[0]))
+            held = tuple(x[order] for x in held)
+            place = np.arange(len(order)) - np.searchsorted(held[0], held[0])
+            held = tuple(x[(place < k) & (held[1] > -np.inf)] for x in held)
+        if held is not None and len(held[0]):
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(held[0]) + 1, dtype=np.int32) * width), pa.array(held[3].ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1]), pa.array(held[2]), lists], names=["query", "score", "vec_id", "vector"])
+
+    return run
+
+
+def forest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, trees: int = 16, leaf_rows: int = 200, recall: float = 0.95, probes: int = 100, sample_rows: int = 8192, most_depth: int = 10, most: int = 2048) -> DataFrame:
+    """``query_id, rank, vec_id, score``: about the k rows of ``vectors`` with the largest inner product.
 
-    ``share`` trades recall for work: 0.36 gives 0.97 on vectors without clusters. A query that has
-    met fewer than k candidates gets these. Repeated ids with the same vector count once; no vectors
-    or no queries give no rows.
+    Both tables hold ``vec_id`` and ``vector``, whole and finite and of one width; a vector of another
+    width raises. The trees are fitted on the ``sample_rows`` first rows by a hash of the id, and every
+    row is then put into one leaf of each tree. Leaves hold about ``leaf_rows`` rows, so the depth
+    grows with the table, up to ``most_depth``, beyond which leaves grow. A query visits leaves by a
+    priority queue that the trees share: as many as ``probes`` rows of the sample need to find the share
+    ``recall`` of their true neighbours, and of the first tree until these hold k + 1 rows at least; the candidates of these leaves are ranked by the exact
+    inner product, ties to the smaller vec_id. The row with the query's own vec_id is no candidate.
+    Leaves are packed into blocks of about ``most`` rows, each of which meets the leaf's queries in a
+    task of its own, so a leaf of any size is spread.
+
+    On 51,282 vectors of 64 components almost without clusters, 123 of 4,096 leaves find 0.95 of
+    the neighbours and meet 36 % of the rows; of fewer vectors, 20 are a larger part and take more.
+    Repeated rows count once; an id with several vectors is a candidate with each, and asks with the
+    smallest. No vectors or no queries give no rows.
     """
     spark = vectors.sparkSession
-    width, n_queries = width_of(vectors, "vector"), queries.count()
-    if not width or not n_queries:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    vectors, queries = without_repeats(vectors), queries.select("vec_id", "vector")
-    sample = vectors.orderBy(F.xxhash64("vec_id", F.lit(23)), "vec_id").limit(sample_rows).toArrow().combine_chunks()
+    width = width_of(vectors, "vector")
+    if not width or queries.isEmpty():
+        return spark.sql("SELECT 0L AS query_id, 0 AS rank, 0L AS vec_id, 0D AS score WHERE false")
+    vectors, queries = without_repeats(vectors), one_a_query(queries)
+    depth = min(most_depth, max(0, int(np.ceil(np.log2(max(1, vectors.count()) / leaf_rows)))))
+    sample = vectors.orderBy(F.xxhash64("vec_id", F.lit(23)), "vec_id", "vector").limit(sample_rows).toArrow().combine_chunks()
     forest = fit_forest(matrix(sample.column("vector").combine_chunks(), width), trees, depth)
-    size = trees * forest.leaves
-    counts = vectors.mapInArrow(_counted(spark.sparkContext.broadcast(forest), width), "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
-    salts = np.ones(size, np.int64)
-    for r in counts.collect():  # at most one row a leaf
-        salts[r.place] = -(-r.n // most)
+    size, share_out = trees * forest.leaves, spark.sparkContext.broadcast
+    found = vectors.mapInArrow(_counted(share_out(forest), width), "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    counts = np.zeros(size, np.int64)
+    for r in found.collect():  # at most one row a leaf
+        counts[r.place] = r.n
+    salts = np.maximum(1, -(-counts // most))
     rows = "place int, salt int, vec_id long, data binary"
-    dealt = vectors.mapInArrow(_dealt(spark.sparkContext.broadcast((forest, salts)), width, most, None), rows)
+    dealt = vectors.mapInArrow(_dealt(share_out((forest, salts, counts)), width, None), rows)
     blocks = materialize(dealt.groupBy("place", "salt").applyInArrow(_pack, PACKED), "leaves")
-    query_salts = np.full(size, -(-n_queries // most), np.int64)
-    asked = queries.mapInArrow(_dealt(spark.sparkContext.broadcast((forest, query_salts)), width, most, share), rows)
-    asked = materialize(asked.groupBy("place", "salt").applyInArrow(_pack, PACKED), "asked").withColumnsRenamed({"ids": "query_ids", "data": "queries"})
-    met = blocks.join(asked, "place").mapInArrow(_rerank(width, k), "query_id long, ids array<long>, scores array<double>")
+    visits = _visits(vectors, sample, forest, counts, width, k, recall, probes)
+    query_salts = np.full(size, -(-queries.count() // most), np.int64)
+    asked = queries.mapInArrow(_dealt(share_out((forest, query_salts, counts)), width, visits, k + 1), rows)
+    asked = materialize(asked.groupBy("place", "salt").applyInArrow(_pack, PACKED), "asked").select("place", F.col("ids").alias("query_ids"), F.col("data").alias("queries"))
+    parts = blocks.groupBy("place").agg(F.collect_list("salt").alias("salts"))
+    asked = asked.join(parts, "place").select("place", F.explode("salts").alias("salt"), "query_ids", "queries")
+    met = blocks.join(asked, ["place", "salt"]).select("query_ids", "queries", "ids", "data").mapInArrow(_rerank(width, k), "query_id long, ids array<long>, scores array<double>")
     return ranked(met, k)

@@ -3,90 +3,141 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracklake.llm._vectors import best, exact, matrix, ranked, width_of, without_repeats
+from tracklake.llm._vectors import exact, matrix, one_a_query, width_of, without_repeats
+from tracklake.storage import discard, materialize
 
-CHUNK = 256
+CODES = "part long, ids binary, codes binary"
+ASKED = "query_ids binary, queries binary"
+BOUNDS = "query_id long, ids array<long>, uppers array<double>, floors array<double>"
 
 
-def _scan(shared, k: int, bits: int):
-    """Best lists of one block of queries over a partition, kept up to date batch by batch."""
+def _ranges(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                v = matrix(batch.column("vector"), width)
+                yield pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32()), pa.array(v.min(axis=0)), pa.array(v.max(axis=0))], names=["place", "low", "high"])
+
+    return run
+
+
+def _encoded(shared, bits: int, rows: int):
+    """Blocks of the file: ids, and one byte a component that names its cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, cell = shared.value
+        number = 0
+        for big in batches:
+            for first in range(0, big.num_rows, rows):
+                batch = big.slice(first, rows)
+                v = matrix(batch.column("vector"), len(low))
+                codes = np.clip((v - low) // cell, 0, (1 << bits) - 1).astype(np.uint8)
+                yield pa.RecordBatch.from_pydict({"part": [number], "ids": [batch.column("vec_id").to_numpy(zero_copy_only=False).astype(np.int64).tobytes()], "codes": [codes.tobytes()]}, schema=pa.schema([("part", pa.int64()), ("ids", pa.binary()), ("codes", pa.binary())]))
+                number += 1
+
+    return run
+
+
+def _asked(width: int, block: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for big in batches:
+            for first in range(0, big.num_rows, block):
+                batch = big.slice(first, block)
+                q = matrix(batch.column("vector"), width)
+                yield pa.RecordBatch.from_pydict({"query_ids": [batch.column("vec_id").to_numpy(zero_copy_only=False).astype(np.int64).tobytes()], "queries": [q.tobytes()]}, schema=pa.schema([("query_ids", pa.binary()), ("queries", pa.binary())]))
+
+    return run
+
+
+def cell_bounds(q: np.ndarray, codes: np.ndarray, low: np.ndarray, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For queries and coded vectors, the middle of the inner product's bounds, and for each query how
+    far the product can be from it. Products of codes are taken in single precision, which the
+    distance allows for."""
+    steep = q * cell
+    scaled = np.abs(steep).sum(axis=1)
+    middle = (steep.astype(np.float32) @ codes.T.astype(np.float32)).astype(np.float64) + (q @ (low + cell / 2))[:, None]
+    return middle, scaled / 2 + scaled * 256 * len(low) * 2.0**-23 + 1e-9 * (1 + np.abs(q) @ np.abs(low))
+
+
+def _scanned(shared, k: int, chunk: int = 256):
+    """For each query and block of the file, the vectors that may be among the query's k best of the block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, q = shared.value
-        n, width = q.shape
-        scores, ids = [np.zeros(0)] * n, [np.zeros(0, np.int64)] * n
+        low, cell = shared.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            v, own = matrix(batch.column("vector"), width), batch.column("vec_id").to_numpy(zero_copy_only=False)
-            low, high = v.min(axis=0), v.max(axis=0)
-            cell = np.maximum((high - low) / (1 << bits), 1e-12)
-            codes = np.minimum((v - low) // cell, (1 << bits) - 1).astype(np.uint8)
-            centre = low + (codes + 0.5) * cell
-            for first in range(0, n, CHUNK):
-                block = q[first : first + CHUNK]
-                middle = block @ centre.T
-                radius = np.abs(block) @ (cell * 0.5) * (1 + 1e-9) + 1e-6
-                if len(own) > k + 1:
-                    floor = np.partition(middle, len(own) - k - 1, axis=1)[:, len(own) - k - 1] - radius
-                else:
-                    floor = np.full(len(block), -np.inf)
-                floor = np.maximum(floor, [scores[first + i][-1] if len(scores[first + i]) == k else -np.inf for i in range(len(block))])
-                row, column = np.nonzero(middle + radius[:, None] >= floor[:, None])
-                at = np.searchsorted(row, np.arange(len(block) + 1))
-                for i in range(len(block)):
-                    j = first + i
-                    cand = column[at[i] : at[i + 1]]
-                    cand = cand[own[cand] != query_ids[j]]
-                    upper = middle[i, cand] + radius[i]
-                    order = np.argsort(-upper, kind="stable")
-                    cand, upper = cand[order], upper[order]
-                    done = 0
-                    while done < len(cand) and not (len(scores[j]) == k and upper[done] < scores[j][-1]):
-                        part = cand[done : done + 2 * k]
-                        s = np.concatenate([scores[j], exact(np.broadcast_to(block[i], (len(part), width)), v[part])])
-                        c = np.concatenate([ids[j], own[part]])
-                        keep = best(s, c, k)
-                        scores[j], ids[j] = s[keep], c[keep]
-                        done += len(part)
-        use = [j for j in range(n) if len(ids[j])]
-        if use:
-            at = np.concatenate([[0], np.cumsum([len(ids[j]) for j in use])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(query_ids[use]), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([ids[j] for j in use]))), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([scores[j] for j in use])))],
-                names=["query_id", "ids", "scores"],
-            )
+            for r in range(batch.num_rows):
+                ids, query_ids = (np.frombuffer(batch.column(c)[r].as_py(), np.int64) for c in ("ids", "query_ids"))
+                codes = np.frombuffer(batch.column("codes")[r].as_py(), np.uint8).reshape(len(ids), -1)
+                queries = np.frombuffer(batch.column("queries")[r].as_py(), np.float64).reshape(len(query_ids), -1)
+                for first in range(0, len(query_ids), chunk):
+                    own = query_ids[first : first + chunk]
+                    middle, reach = cell_bounds(queries[first : first + chunk], codes, low, cell)
+                    middle[own[:, None] == ids[None, :]] = -np.inf
+                    kth = np.partition(middle, len(ids) - k, axis=1)[:, len(ids) - k] - reach if len(ids) > k else np.full(len(own), -np.inf)
+                    row, column = np.nonzero((middle + reach[:, None] >= kth[:, None]) & (middle > -np.inf))
+                    at = pa.array(np.searchsorted(row, np.arange(len(own) + 1)).astype(np.int32))
+                    lists = [pa.ListArray.from_arrays(at, pa.array(x)) for x in (ids[column], middle[row, column] + reach[row], middle[row, column] - reach[row])]
+                    yield pa.RecordBatch.from_arrays([pa.array(own), *lists], names=["query_id", "ids", "uppers", "floors"])
 
     return run
 
 
-def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, bits: int = 6, block: int = 4096) -> DataFrame:
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        score = np.zeros(0)
+        if batch.num_rows:
+            q, v = (batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) for c in ("query", "vector"))
+            score = exact(q, v)
+        yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("vec_id"), pa.array(score)], names=["query_id", "vec_id", "score"])
+
+
+def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, bits: int = 8, rows: int = 8192, block: int = 1024) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k rows of ``vectors`` with the largest inner product.
 
-    Both tables hold ``vec_id`` and ``vector``, of one width, whole and finite. The queries are
-    dealt into blocks of about ``block`` rows by a hash, and each block is shared with all parts
-    of the vectors; its size is fixed by ``block``. A batch of vectors is quantised to ``2**bits`` cells
-    a dimension; the scan of the cells bounds each inner product from both sides, and whole
-    vectors are read in the order of their bounds until no bound reaches the kth score. Of equal
-    scores the smaller vec_id comes first; the row with the query's own vec_id is no candidate.
-    Repeated ids with the same vector count once. No vectors or no queries give no rows.
+    Both tables hold ``vec_id`` and ``vector``, whole and finite and of one width; a vector of another
+    width raises. The vectors are quantised once, to ``2**bits`` cells (at most 256) of each dimension's
+    range over the whole table, and stored as a file of one byte a component in blocks of ``rows``.
+    Each block of ``block`` queries meets each block of the file, which bounds all inner products from
+    both sides; whole vectors are then read in the order of the upper bounds: first the ``2 * k``
+    highest of each query, which gives a kth score, then those whose bound still reaches it. No query
+    passes through the driver.
+
+    Of equal scores the smaller vec_id comes first; the row with the query's own vec_id is no
+    candidate. Repeated rows count once; an id with several vectors is a candidate with each, and
+    asks with the smallest. No vectors or no queries give no rows.
     """
-    width, total = width_of(vectors, "vector"), queries.count()
-    if not width or not total:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    vectors, queries = without_repeats(vectors), queries.select("vec_id", "vector").distinct()
-    spark, parts = vectors.sparkSession, -(-total // block)
-    hits = []
-    for part in range(parts):
-        own = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(parts)) == part).select("vec_id", "vector").toArrow().combine_chunks()
-        if own.num_rows:
-            shared = spark.sparkContext.broadcast((own.column("vec_id").to_numpy(), matrix(own.column("vector").combine_chunks(), width)))
-            hits.append(vectors.select("vec_id", "vector").mapInArrow(_scan(shared, k, bits), "query_id long, ids array<long>, scores array<double>"))
-    return ranked(reduce(DataFrame.unionAll, hits), k)
+    spark = vectors.sparkSession
+    width = width_of(vectors, "vector")
+    if not width or queries.isEmpty():
+        return spark.sql("SELECT 0L AS query_id, 0 AS rank, 0L AS vec_id, 0D AS score WHERE false")
+    vectors, queries = without_repeats(vectors), one_a_query(queries)
+    ranges = vectors.mapInArrow(_ranges(width), "place int, low double, high double").groupBy("place").agg(F.min("low").alias("low"), F.max("high").alias("high")).orderBy("place").collect()  # a row a dimension
+    low = np.array([r.low for r in ranges])
+    shared = spark.sparkContext.broadcast((low, np.maximum((np.array([r.high for r in ranges]) - low) / (1 << bits), 1e-12)))
+    codes = materialize(vectors.mapInArrow(_encoded(shared, bits, rows), CODES), "va-file")
+    asked = materialize(queries.select("vec_id", "vector").mapInArrow(_asked(width, block), ASKED), "va-queries")
+    # each block of the stated queries against each block of the file
+    bounds = materialize(codes.crossJoin(asked).select("ids", "codes", "query_ids", "queries").mapInArrow(_scanned(shared, k), BOUNDS), "va-bounds")
+    kth = F.element_at(F.sort_array(F.flatten(F.collect_list("floors")), False), F.least(F.lit(k), F.size(F.flatten(F.collect_list("floors")))))
+    found = F.flatten(F.collect_list(F.arrays_zip(F.col("uppers").alias("upper"), F.col("ids").alias("vec_id"))))
+    whole = bounds.where(F.size("ids") > 0).groupBy("query_id").agg(found.alias("found"), kth.alias("kth"))
+    ordered = F.sort_array(F.filter("found", lambda x: x["upper"] >= F.col("kth")), False)
+    candidates = materialize(whole.select("query_id", F.posexplode(ordered).alias("place", "x")).select("query_id", "place", F.col("x.vec_id").alias("vec_id"), F.col("x.upper").alias("upper")), "va-candidates")
+    asking = queries.select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"))
+
+    def read(chosen: DataFrame) -> DataFrame:
+        return chosen.select("query_id", "vec_id").join(vectors, "vec_id").join(asking, "query_id").select("query_id", "vec_id", "query", "vector").mapInArrow(_read, "query_id long, vec_id long, score double")
+
+    first = materialize(read(candidates.where(F.col("place") < 2 * k)), "va-read")
+    floor = first.groupBy("query_id").agg(F.element_at(F.sort_array(F.collect_list("score"), False), F.least(F.lit(k), F.count("*").cast("int"))).alias("sure"))
+    rest = candidates.where(F.col("place") >= 2 * k).join(floor, "query_id").where("upper >= sure")
+    scored = materialize(first.unionAll(read(rest)).distinct(), "va-scores")
+    discard(codes, asked, bounds, candidates, first)
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from tracklake.operators.graph import connected_components
 from tracklake.storage import discard, materialize
 
-SMALL = 8
 NO_PAIRS = (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
@@ -37,45 +36,49 @@ def shared_buckets(keys: DataFrame) -> DataFrame:
     return ranked
 
 
-def bucket_pairs(rows: dict[str, np.ndarray], first: int, stop: int, close: Close | None, small: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row numbers (a, b) of pairs of different components in buckets, and the keys of buckets of which
-    pairs may be missing. ``rows`` hold whole buckets in order. The members ``first`` to ``stop - 1``
-    of each bucket are hubs, paired with all members after them; of buckets of at most ``small``, all are."""
+def bucket_pairs(rows: dict[str, np.ndarray], growth: int, close: Close | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers (a, b) of pairs of different components in buckets, and of buckets of which pairs may
+    be missing the keys, and the number of members that have been hubs.
+
+    ``rows`` hold whole buckets in order. One member after the other, from ``start`` on, is the hub: it
+    is paired with all after it. A bucket is left when its pairs are ``growth`` times its members or more.
+    """
     key, component = rows["key"], rows["component"]
     heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     size = np.diff(np.append(heads, len(key)))
     mixed = np.maximum.reduceat(component, heads) > np.minimum.reduceat(component, heads)
+    hub, made = rows["start"][heads].copy(), np.zeros(len(heads), np.int64)
     found = [NO_PAIRS]
-    last = np.where(size <= small, size, stop)
-    for hub in range(first, max(stop, small)):
-        use = np.flatnonzero(mixed & (size > hub + 1) & (last > hub))
-        if not len(use):
-            break
-        after = size[use] - hub - 1
-        a = np.repeat(heads[use] + hub, after)
+    use = np.flatnonzero(mixed & (hub < size - 1))
+    while len(use):
+        after = size[use] - hub[use] - 1
+        bucket = np.repeat(use, after)
+        a = heads[bucket] + hub[bucket]
         b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(after) - after, after)
-        fits = component[a] != component[b]
-        a, b = a[fits], b[fits]
+        fits = np.flatnonzero(component[a] != component[b])
         if close:
-            fits = close.near({c: rows[c][a] for c in close.columns}, {c: rows[c][b] for c in close.columns})
-            a, b = a[fits], b[fits]
-        found.append((a, b))
+            fits = fits[close.near({c: rows[c][a[fits]] for c in close.columns}, {c: rows[c][b[fits]] for c in close.columns})]
+        found.append((a[fits], b[fits]))
+        made += np.bincount(bucket[fits], minlength=len(made))
+        hub[use] += 1
+        use = use[(hub[use] < size[use] - 1) & (made[use] < growth * size[use])]
     a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-    return a, b, key[heads[mixed & (size > last + 1)]]
+    left = np.flatnonzero(mixed & (hub < size - 1))
+    return a, b, key[heads[left]], hub[left]
 
 
-def _scan(columns: list[str], first: int, stop: int, close: Close | None):
-    """``(hub, rep, open)`` from rows in the order of buckets: pairs, and keys of buckets left open."""
-    small = SMALL if close else 0  # such a bucket has few pairs, of which few are close
+def _scan(columns: list[str], growth: int, close: Close | None):
+    """``(hub, rep, open, start)`` from rows in the order of buckets: pairs, and the buckets left open."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict[str, np.ndarray]] = []
 
         def done(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
-            a, b, left = bucket_pairs(rows, first, stop, close, small)
-            low, high = np.minimum(rows["rep"][a], rows["rep"][b]), np.maximum(rows["rep"][a], rows["rep"][b])
-            ends = [pa.concat_arrays([pa.array(x), pa.nulls(len(left), pa.int64())]) for x in (low, high)]
-            return pa.RecordBatch.from_arrays([*ends, pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(left)])], names=["hub", "rep", "open"])
+            a, b, left, start = bucket_pairs(rows, growth, close)
+            ends = np.minimum(rows["rep"][a], rows["rep"][b]), np.maximum(rows["rep"][a], rows["rep"][b])
+            columns = [pa.concat_arrays([pa.array(x), pa.nulls(len(left), pa.int64())]) for x in ends]
+            columns += [pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(x)]) for x in (left, start)]
+            return pa.RecordBatch.from_arrays(columns, names=["hub", "rep", "open", "start"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -113,28 +116,35 @@ def linked_components(members: DataFrame, verified: Callable[[DataFrame], DataFr
 
     ``verified`` adds ``linked`` to distinct pairs (hub, rep), hub < rep. In the first round the first
     member of each bucket, by ``order``, is a hub: it is paired with all others of other components.
-    Buckets that still span several components are read again with the next 2, 4, 8 ... members
-    as hubs, until every member has been one. So each close pair of a bucket is tested once or has
+    If these pairs are fewer than the bucket's members, the next member is a hub as well, and so on.
+    Buckets that still span several components are read again from there, with four times as many
+    pairs, until every member has been a hub. So each close pair of a bucket is tested once or has
     its ends in one component, while a bucket of like members gives a star. A bucket is read by one
     task; it holds the bucket's numbers, no texts.
     """
-    columns = ["key", "rep", "component", *(close.columns if close else [])]
-    rows, tried, components, owned, first, stop = members.withColumn("component", F.col("rep")), [], None, None, 0, 1
+    columns = ["key", "rep", "component", "start", *(close.columns if close else [])]
+    rows = members.withColumn("component", F.col("rep")).withColumn("start", F.lit(0).cast("bigint"))
+    tried, components, owned, growth = [], None, None, 1
     while True:
         dealt = rows.repartition("key").sortWithinPartitions("key", order, "rep").select(*columns)
-        found = materialize(dealt.mapInArrow(_scan(columns, first, stop, close), "hub long, rep long, open long"), "scanned")
+        found = materialize(dealt.mapInArrow(_scan(columns, growth, close), "hub long, rep long, open long, start long"), "scanned")
         fresh = found.where("hub IS NOT NULL").select("hub", "rep").distinct()
         for past in tried:
             fresh = fresh.join(past.select("hub", "rep"), ["hub", "rep"], "left_anti")
-        fresh = materialize(verified(fresh), "verified")
-        tried.append(fresh)
-        components = _merged(components, fresh.where("linked"))
-        left = materialize(found.where("open IS NOT NULL").select(F.col("open").alias("key")).distinct(), "open")
+        fresh = materialize(fresh, "pairs")
+        if components is None or not fresh.isEmpty():
+            judged = materialize(verified(fresh), "verified")
+            tried.append(judged)
+            if components is None or not judged.where("linked").isEmpty():
+                components = _merged(components, judged.where("linked"))
+        discard(fresh)
+        left = materialize(found.where("open IS NOT NULL").select(F.col("open").alias("key"), "start"), "open")
+        discard(found)
         if left.isEmpty():
-            discard(owned, found, left, *tried)
+            discard(owned, left, *tried)
             return components
-        still = materialize(members.join(left, "key"), "open-members")
-        discard(owned, found, left)
+        still = materialize(members.drop("start").join(left, "key"), "open-members")
+        discard(owned, left)
         members = owned = still
         named = members.join(components.withColumnRenamed("node", "rep"), "rep", "left")
-        rows, first, stop = named.withColumn("component", F.coalesce("component", "rep")), stop, 2 * stop + 1
+        rows, growth = named.withColumn("component", F.coalesce("component", "rep")), 4 * growth

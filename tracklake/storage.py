@@ -38,6 +38,17 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return table
 
 
+def materialize_by(df: DataFrame, column: str, parts: int, tag: str) -> DataFrame:
+    """As ``materialize``, as a table of ``parts`` buckets of ``column``: what groups by that column later
+    reads each bucket in one task, without moving it again."""
+    spark = df.sparkSession
+    name, path = f"{tag}_{uuid.uuid4().hex}".replace("-", "_"), f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    df.repartition(parts, column).write.bucketBy(parts, column).option("path", path).format("parquet").saveAsTable(name)
+    table = spark.table(name)
+    table.written_to, table.table_name = path, name
+    return table
+
+
 def discard(*tables: DataFrame | None) -> None:
     """Delete tables of ``materialize`` that nothing reads any more, and let the context cleaner drop
     the shuffle files of the jobs that wrote them. None and tables from elsewhere are passed over."""
@@ -49,6 +60,8 @@ def discard(*tables: DataFrame | None) -> None:
             where = jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
             table.written_to = None
+            if name := getattr(table, "table_name", None):
+                table.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
     if jvm is not None:
         gc.collect()
         jvm.System.gc()

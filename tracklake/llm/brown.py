@@ -2,7 +2,8 @@
 
 A block is a stretch of documents with its own list of words; all passes work on numbered words
 of blocks. Buckets by word hash hold what all blocks know of a word. Counts, classes and
-transitions are taken over all training documents.
+transitions are taken over all training documents. Blocks and buckets are stored as bucketed
+tables, so that a pass moves only classes and contexts.
 """
 
 from __future__ import annotations
@@ -12,30 +13,44 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracklake.llm._text import encoded, hashes, pieces, words
-from tracklake.storage import materialize
+from tracklake.storage import discard, materialize, materialize_by
 
 END = b" "  # no word holds a space
+NONE = 255  # the class of a word that has none yet
+BLOCK_BYTES = 6 << 20
+BUCKET_TOKENS = 2 << 20
 
 BLOCK = "block long, docs array<long>, train binary, at binary, ids binary, data binary, ends binary, tokens long"
 SLICE = "bucket int, block long, data binary, ends binary, counts binary"
 MERGED = "bucket int, block long, gid binary, counts binary, top array<struct<word:binary,n:long,gid:int>>"
 CONTEXT = "bucket int, block long, keys binary, n binary"
 CLASSED = "bucket int, block long, cls binary, counts binary, stats array<long>"
-SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, emission double, base_score double, pairs binary, times binary"
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
 def _binary(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values).tobytes()
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers of 32 bits as compressed byte planes."""
+    return zstandard.ZstdCompressor(level=1).compress(_binary(values.astype("<i4").view(np.uint8).reshape(-1, 4).T))
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
-    for batch in pieces(batches):
+    for batch in pieces(batches, limit=BLOCK_BYTES):
         flat, at = words(batch.column("text"))
         ids, vocabulary = encoded(flat)
         values = [*vocabulary.to_pylist(), END]
@@ -53,7 +68,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict(
             {
                 "block": [number], "docs": [batch.column("doc_id").to_pylist()], "train": [_binary(batch.column("train").to_numpy(zero_copy_only=False).astype(bool))],
-                "at": [_binary(np.append(0, tail + 1).astype(np.int64))], "ids": [_binary(sequence)], "data": [b"".join(ordered)], "ends": [_binary(np.cumsum([len(x) for x in ordered]).astype(np.int32))], "tokens": [len(sequence)],
+                "at": [_binary(np.append(0, tail + 1).astype(np.int64))], "ids": [_packed(sequence)], "data": [b"".join(ordered)], "ends": [_binary(np.cumsum([len(x) for x in ordered]).astype(np.int32))], "tokens": [len(sequence)],
             },
             schema=pa.schema([("block", pa.int64()), ("docs", pa.list_(pa.int64())), *((k, pa.binary()) for k in ("train", "at", "ids", "data", "ends")), ("tokens", pa.int64())]),
         )
@@ -68,7 +83,7 @@ class _Block:
         self.block, self.docs = get("block"), get("docs")
         self.train = np.frombuffer(get("train"), bool)
         self.at = np.frombuffer(get("at"), np.int64)
-        self.ids = np.frombuffer(get("ids"), np.int32)
+        self.ids = _unpacked(get("ids"))
         ends = np.frombuffer(get("ends"), np.int32)
         self.words = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(np.append(np.int32(0), ends)), pa.py_buffer(get("data"))])
         self.used = np.repeat(self.train, np.diff(self.at))
@@ -98,7 +113,7 @@ def _slices(buckets: int):
             counts, bounds = own.counts(), own.bounds(buckets)
             ends = np.append(0, np.frombuffer(own.words.buffers()[1], np.int32)[1:])
             data = own.words.buffers()[2].to_pybytes() if own.words.buffers()[2] else b""
-            rows = [(b, own.block, data[ends[x] : ends[y]], _binary((ends[x + 1 : y + 1] - ends[x]).astype(np.int32)), _binary(counts[x:y])) for b, (x, y) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if x < y]
+            rows = [(b, own.block, data[ends[x] : ends[y]], _binary((ends[x + 1 : y + 1] - ends[x]).astype(np.int32)), _packed(counts[x:y])) for b, (x, y) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if x < y]
             columns = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[2:])], names=["bucket", "block", "data", "ends", "counts"])
 
@@ -112,7 +127,7 @@ def _merge(most: int):
         for r in range(table.num_rows):
             ends = np.frombuffer(table.column("ends")[r].as_py(), np.int32)
             parts.append(pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(np.append(np.int32(0), ends)), pa.py_buffer(table.column("data")[r].as_py())]))
-            counts.append(np.frombuffer(table.column("counts")[r].as_py(), np.int64))
+            counts.append(_unpacked(table.column("counts")[r].as_py()))
         flat = pa.concat_arrays(parts).dictionary_encode()
         gid = flat.indices.to_numpy(zero_copy_only=False)
         total = np.bincount(gid, np.concatenate(counts), len(flat.dictionary)).astype(np.int64)
@@ -124,7 +139,7 @@ def _merge(most: int):
         return pa.table(
             {
                 "bucket": pa.array([bucket] * (len(parts) + 1), pa.int32()), "block": pa.array([*table.column("block").to_pylist(), -1], pa.int64()),
-                "gid": pa.array([*(_binary(gid[x:y]) for x, y in zip(at[:-1], at[1:], strict=True)), None], pa.binary()), "counts": pa.array([None] * len(parts) + [_binary(total)], pa.binary()), "top": pa.array([None] * len(parts) + [top], kind),
+                "gid": pa.array([*(_packed(gid[x:y]) for x, y in zip(at[:-1], at[1:], strict=True)), None], pa.binary()), "counts": pa.array([None] * len(parts) + [_binary(total)], pa.binary()), "top": pa.array([None] * len(parts) + [top], kind),
             }
         )
 
@@ -202,79 +217,128 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int = 8) -> np.ndarray:
     return cls
 
 
-def _contexts(shared, classes: int, buckets: int):
-    """For each word of a block, how often its neighbours on either side are of each class."""
+def _local_classes(classed: pa.Table) -> np.ndarray:
+    """The class of each word of a block; its words lie in the order of the buckets."""
+    classed = classed.sort_by("bucket")
+    return np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(x.as_py(), np.uint8) for x in classed.column("cls"))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds, cls = shared.value
-        known = np.append(cls, -1)
-        for own in _each(batches):
-            seed = pc.index_in(own.words, pa.array(seeds, pa.binary())).fill_null(len(seeds)).to_numpy(zero_copy_only=False)
-            local = known[seed]
-            before, token = local[own.previous()], own.ids.astype(np.int64)
-            use = own.used & (before >= 0)
-            keys = token[use] * (2 * classes) + before[use]
-            here = local[own.ids]
-            previous = own.previous().astype(np.int64)
-            use = own.used & (here >= 0)
-            keys = np.concatenate([keys, previous[use] * (2 * classes) + classes + here[use]])
-            n = np.bincount(keys, minlength=len(own.words) * 2 * classes)
-            keys = np.flatnonzero(n)
-            n = n[keys].astype(np.int32)
+
+def _contexts(classes: int, buckets: int, half: int | None):
+    """For each word of a block, how often its neighbours on either side are of each class, as rows of
+    its bucket; and the block's class bigrams, as a row of bucket -1. ``half``: only for words whose
+    hash has this last bit; -1: for none."""
+
+    def run(blocks: pa.Table, classed: pa.Table) -> pa.Table:
+        out = []
+        for own in _each(blocks.to_batches()):
+            cls = _local_classes(classed)
+            moving = np.ones(len(cls), bool) if half is None else np.zeros(len(cls), bool) if half < 0 else (hashes(own.words) & np.uint64(1)).astype(int) == half
+            token, previous = own.ids, own.previous()
+            here, before = cls[token], cls[previous]
+            both = own.used & (here < NONE) & (before < NONE)
+            code = np.bincount(before[both].astype(np.int64) * classes + here[both], minlength=classes * classes)
+            pairs = np.flatnonzero(code)
+            rows = [(-1, own.block, _packed(pairs), _packed(code[pairs]))]
+            use = own.used & (before < NONE) & moving[token]
+            keys = token[use].astype(np.int64) * (2 * classes) + before[use]
+            use = own.used & (here < NONE) & moving[previous]
+            keys = np.sort(np.concatenate([keys, previous[use].astype(np.int64) * (2 * classes) + classes + here[use]]))
+            heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+            n, keys = np.diff(np.append(heads, len(keys))), keys[heads]
             bounds = own.bounds(buckets)
             cut = np.searchsorted(keys, bounds * (2 * classes))
-            use = [b for b in range(buckets) if bounds[b] < bounds[b + 1]]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(use, pa.int32()), pa.array([own.block] * len(use), pa.int64()),
-                    pa.array([_binary((keys[cut[b] : cut[b + 1]] - bounds[b] * 2 * classes).astype(np.int32)) for b in use], pa.binary()), pa.array([_binary(n[cut[b] : cut[b + 1]]) for b in use], pa.binary()),
-                ],
-                names=["bucket", "block", "keys", "n"],
-            )
+            for b in np.flatnonzero(cut[:-1] < cut[1:]).tolist():
+                part = keys[cut[b] : cut[b + 1]] - bounds[b] * 2 * classes
+                rows.append((b, own.block, _packed(np.diff(part, prepend=0)), _packed(n[cut[b] : cut[b + 1]])))
+            columns = list(zip(*rows, strict=True))
+            out.append(pa.table([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.binary())], names=["bucket", "block", "keys", "n"]))
+        return pa.concat_tables(out) if out else pa.table({"bucket": pa.array([], pa.int32()), "block": pa.array([], pa.int64()), "keys": pa.array([], pa.binary()), "n": pa.array([], pa.binary())})
+
+    return run
+
+
+def _bigram_sums(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            for keys, n in zip(batch.column("keys").to_pylist(), batch.column("n").to_pylist(), strict=True):
+                total[_unpacked(keys)] += _unpacked(n)
+        use = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(use.astype(np.int32)), pa.array(total[use])], names=["code", "n"])
 
     return run
 
 
-def _assign(shared, classes: int):
-    """Move every word of a bucket into the class that its neighbours make most likely.
+def move_gains(word: np.ndarray, side: np.ndarray, other: np.ndarray, n: np.ndarray, cls: np.ndarray, g: np.ndarray, chunk: int = 1 << 16) -> np.ndarray:
+    """For each word and class, what the likelihood of the class bigrams ``g`` gains if the word stands in
+    that class and its counts are taken out of its present one (NONE: it has none).
 
-    A word counts little beside a class, so the change of the class bigrams' likelihood is taken to
-    first order: the sum over its neighbours of the logarithm of G(c, k) / (G(c) G(k)).
+    The word's neighbours are entries, sorted by word: ``n`` times class ``other`` stands before it
+    (``side`` 0) or after it (1). Other words stay where they are; bigrams of the word with itself
+    count as if the other were one of them.
     """
+    classes = len(g)
+    gain = np.zeros((len(cls), classes))
+    for first in range(0, len(word), chunk):
+        w, s, j, m = (x[first : first + chunk] for x in (word, side, other, n))
+        base = np.where((s == 0)[:, None], g[j], g.T[j]).astype(float)
+        own = np.flatnonzero(cls[w] != NONE)
+        base[own, cls[w[own]]] = np.maximum(base[own, cls[w[own]]] - m[own], 0)
+        heads = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+        gain[w[heads]] += np.add.reduceat(_phi(base + m[:, None]) - _phi(base), heads, axis=0)
+    for k, margin in ((0, g.sum(axis=0)), (1, g.sum(axis=1))):
+        total = np.bincount(word[side == k], n[side == k], len(cls))
+        base = np.broadcast_to(margin.astype(float), gain.shape).copy()
+        own = np.flatnonzero(cls != NONE)
+        base[own, cls[own]] = np.maximum(base[own, cls[own]] - total[own], 0)
+        gain -= _phi(base + total[:, None]) - _phi(base)
+    return gain
+
+
+def _assign(shared, classes: int, with_counts: bool):
+    """Move every word of a bucket into the class that its neighbours make most likely; words without
+    counted neighbours stay, and get the class with most bigrams if they have none."""
 
     def run(merged: pa.Table, contexts: pa.Table) -> pa.Table:
-        g, fixed = shared.value
+        g = shared.value
+        empty = pa.table({"bucket": pa.array([], pa.int32()), "block": pa.array([], pa.int64()), "cls": pa.array([], pa.binary()), "counts": pa.array([], pa.binary()), "stats": pa.array([], pa.list_(pa.int64()))})
         if not merged.num_rows:
-            return pa.table({"bucket": pa.array([], pa.int32()), "block": pa.array([], pa.int64()), "cls": pa.array([], pa.binary()), "counts": pa.array([], pa.binary()), "stats": pa.array([], pa.list_(pa.int64()))})
+            return empty
         bucket = merged.column("bucket")[0].as_py()
         gids, counts = {}, None
         for r in range(merged.num_rows):
             if (block := merged.column("block")[r].as_py()) >= 0:
-                gids[block] = np.frombuffer(merged.column("gid")[r].as_py(), np.int32)
+                gids[block] = merged.column("gid")[r].as_py()
             else:
                 counts = np.frombuffer(merged.column("counts")[r].as_py(), np.int64)
-        seen = np.zeros(len(counts) * 2 * classes, np.float32)
+        cls = np.full(len(counts), NONE, np.uint8)
+        seen = np.zeros(len(counts) * 2 * classes, np.int32)
         for r in range(contexts.num_rows):
-            keys = np.frombuffer(contexts.column("keys")[r].as_py(), np.int32)
-            gid = gids[contexts.column("block")[r].as_py()].astype(np.int64)
-            seen[gid[keys // (2 * classes)] * (2 * classes) + keys % (2 * classes)] += np.frombuffer(contexts.column("n")[r].as_py(), np.int32)
-        seen = seen.reshape(-1, 2 * classes)
-        smooth = g + 0.5
-        link = np.log(smooth / smooth.sum(axis=1, keepdims=True) / smooth.sum(axis=0, keepdims=True)).astype(np.float32)
-        gain = seen[:, :classes] @ link + seen[:, classes:] @ link.T
-        cls = gain.argmax(axis=1).astype(np.uint8)
-        bare = ~seen.any(axis=1)
-        if bare.any():
-            cls[bare] = np.bincount(cls[~bare], minlength=classes).argmax()
-        for gid, c in fixed.get(bucket, {}).items():
-            cls[gid] = c
+            keys, n = contexts.column("keys")[r].as_py(), contexts.column("n")[r].as_py()
+            if n is None:
+                cls = np.frombuffer(keys, np.uint8).copy()
+                continue
+            keys = np.cumsum(_unpacked(keys), dtype=np.int64)
+            gid = _unpacked(gids[contexts.column("block")[r].as_py()]).astype(np.int64)
+            seen[gid[keys // (2 * classes)] * (2 * classes) + keys % (2 * classes)] += _unpacked(n)
+        entry = np.flatnonzero(seen)
+        word, rest = entry // (2 * classes), entry % (2 * classes)
+        moving, own = np.unique(word, return_inverse=True)
+        if len(moving):
+            gain = move_gains(own, rest // classes, rest % classes, seen[entry].astype(float), cls[moving], g)
+            best = gain.argmax(axis=1)
+            here = cls[moving]
+            held = np.where(here == NONE, -np.inf, gain[np.arange(len(moving)), np.where(here == NONE, 0, here)])
+            cls[moving] = np.where(gain.max(axis=1) > held + 1e-9, best, here)
+        cls[cls == NONE] = g.sum(axis=1).argmax()
         known = counts > 0
-        stats = [np.bincount(cls[use], None if weight is None else weight[use], classes).astype(np.int64) for use, weight in ((known, counts), (known, None))]
+        stats = [np.bincount(cls[known], None if weight is None else weight[known], classes).astype(np.int64) for weight in (counts, None)]
         blocks = sorted(gids)
+        local = [_unpacked(gids[b]) for b in blocks]
         return pa.table(
             {
                 "bucket": pa.array([bucket] * (len(blocks) + 1), pa.int32()), "block": pa.array([*blocks, -1], pa.int64()),
-                "cls": pa.array([*(_binary(cls[gids[b]]) for b in blocks), None], pa.binary()), "counts": pa.array([*(_binary(counts[gids[b]]) for b in blocks), None], pa.binary()),
+                "cls": pa.array([*(_binary(cls[x]) for x in local), _binary(cls)], pa.binary()), "counts": pa.array([*(_packed(counts[x]) if with_counts else None for x in local), None], pa.binary()),
                 "stats": pa.array([*[None] * len(blocks), np.concatenate(stats).tolist()], pa.list_(pa.int64())),
             }
         )
@@ -282,126 +346,121 @@ def _assign(shared, classes: int):
     return run
 
 
+def _seeded(shared):
+    """The first classes: those of the seed words; the others have none."""
+
+    def run(merged: pa.Table) -> pa.Table:
+        fixed = shared.value
+        merged = merged.sort_by("block")
+        bucket = merged.column("bucket")[0].as_py()
+        cls = np.full(len(np.frombuffer(merged.column("counts")[0].as_py(), np.int64)), NONE, np.uint8)
+        for gid, c in fixed.get(bucket, {}).items():
+            cls[gid] = c
+        blocks = merged.column("block").to_pylist()
+        rows = [_binary(cls), *(_binary(cls[_unpacked(x)]) for x in merged.column("gid").to_pylist()[1:])]
+        none = [None] * len(blocks)
+        return pa.table({"bucket": pa.array([bucket] * len(blocks), pa.int32()), "block": pa.array(blocks, pa.int64()), "cls": pa.array(rows, pa.binary()), "counts": pa.array(none, pa.binary()), "stats": pa.array(none, pa.list_(pa.int64()))})
+
+    return run
+
+
 def _emit(shared, classes: int):
-    """What a document's score needs but for the transitions: emissions, and how often each pair of classes stands in it."""
+    """Scores of the documents of a block."""
 
     def run(blocks: pa.Table, classed: pa.Table) -> pa.Table:
-        mass, discount, tokens, types = shared.value
+        mass, discount, tokens, types, logs = shared.value
         out = []
-        classed = classed.sort_by("bucket")
-        for row in range(blocks.num_rows):
-            own = _Block(blocks, row)
-            cls = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in classed.column("cls")]).astype(np.int64)
-            count = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in classed.column("counts")])
+        for own in _each(blocks.to_batches()):
+            cls = _local_classes(classed).astype(np.int64)
+            count = np.concatenate([_unpacked(x.as_py()) for x in classed.sort_by("bucket").column("counts")]).astype(np.int64)
             known = count > 0
             cls[~known] = classes
             emission = np.where(known, np.log10(np.maximum(count - discount, 1e-9) / np.append(mass, 1)[cls]), 0.0)
             base = np.log10((count + 1) / (tokens + types + 1))
             here = cls[own.ids]
             starts = own.at[:-1]
-            place = np.arange(len(here))
-            last = np.where(here < classes, place, -1)
+            last = np.where(here < classes, np.arange(len(here)), -1)
             last = np.maximum.accumulate(np.append(-1, last[:-1]))
             first = np.repeat(starts, np.diff(own.at))
             history = np.where(last >= first, here[np.maximum(last, 0)], cls[own.end] if cls[own.end] < classes else 0)
-            code = history * (classes + 1) + here
-            doc = np.repeat(np.arange(len(own.docs)), np.diff(own.at))
-            keys, n = np.unique(doc * (classes * (classes + 1)) + code, return_counts=True)
-            cut = np.searchsorted(keys, np.arange(len(own.docs) + 1) * (classes * (classes + 1)))
-            keys = (keys % (classes * (classes + 1))).astype(np.uint16)
-            n = n.astype(np.int32)
-            out.append(
-                pa.table(
-                    {
-                        "doc_id": pa.array(own.docs, pa.int64()), "held_out": pa.array(~own.train), "n_tokens": pa.array(np.diff(own.at)), "n_known": pa.array(np.add.reduceat(known[own.ids].astype(np.int64), starts)),
-                        "emission": pa.array(np.add.reduceat(emission[own.ids], starts)), "base_score": pa.array(np.add.reduceat(base[own.ids], starts)),
-                        "pairs": pa.array([_binary(keys[x:y]) for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary()), "times": pa.array([_binary(n[x:y]) for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
-                    }
-                )
-            )
-        return pa.concat_tables(out)
-
-    return run
-
-
-def _transitions(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
-        for batch in batches:
-            for held, pairs, times in zip(batch.column("held_out").to_pylist(), batch.column("pairs").to_pylist(), batch.column("times").to_pylist(), strict=True):
-                if not held:
-                    total[np.frombuffer(pairs, np.uint16)] += np.frombuffer(times, np.int32)
-        use = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(use.astype(np.int32)), pa.array(total[use])], names=["code", "n"])
-
-    return run
-
-
-def _final(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs = shared.value
-        for batch in batches:
-            more = [float(logs[np.frombuffer(p, np.uint16)] @ np.frombuffer(n, np.int32)) for p, n in zip(batch.column("pairs").to_pylist(), batch.column("times").to_pylist(), strict=True)]
-            score = batch.column("emission").to_numpy() + np.array(more)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score")), pa.array(score)], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+            score = emission[own.ids] + logs[history, here]
+            sums = [np.add.reduceat(x, starts) for x in (known[own.ids].astype(np.int64), base[own.ids], score)]
+            out.append(pa.table({"doc_id": pa.array(own.docs, pa.int64()), "held_out": pa.array(~own.train), "n_tokens": pa.array(np.diff(own.at)), "n_known": pa.array(sums[0]), "base_score": pa.array(sums[1]), "score": pa.array(sums[2])}))
+        kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        return pa.concat_tables(out) if out else pa.table([pa.array([], k) for k in kinds], names=[c.split()[0] for c in SCORED.split(", ")])
 
     return run
 
 
-def brown_scores(docs: DataFrame, train: Column, classes: int = 32, seeds: int = 512) -> DataFrame:
+def brown_scores(docs: DataFrame, train: Column, classes: int = 32, seeds: int = 512, sweeps: int = 3) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity`` of every row.
 
     ``train`` says which rows are learnt from. Tokens are the words, A-Z lower-cased, and one end a text.
-    The ``seeds`` most frequent words are clustered by exact exchange on their bigrams in all of the
-    training texts; then every other word moves to the class that its seed neighbours, counted in all
-    training texts, make most likely. The model is P(class | last known class) P(word | class): transitions
-    are smoothed with the class frequencies, emissions by an absolute discount, whose mass goes to one
-    unknown type. Scores are log10 probabilities of whole texts; ``base_score`` is the unigram with one added.
+    Words are clustered by exchange on the class bigrams of all training texts. It starts from the
+    ``seeds`` most frequent words, exchanged one by one on their own bigrams; the first sweep gives every
+    word of the vocabulary the class in which its neighbours are most likely. In each further sweep half of
+    the words (by a bit of their hash, in turn) move to the class of the largest gain in likelihood, with all
+    neighbours and class bigrams counted anew. The model is P(class | last known class) P(word | class):
+    transitions are smoothed with the class frequencies, emissions by an absolute discount, whose mass goes
+    to one unknown type. Scores are log10 probabilities of whole texts; ``base_score`` is the unigram with
+    one added.
 
     Null, empty and blank texts hold the end alone. Without training rows all scores are 0, as the unknown
     type is all there is. A null doc_id is scored by the value of ``train`` (null: not learnt from). Repeated
-    rows count each; other columns are ignored. ``classes`` is at most 255.
+    rows count each; other columns are ignored. ``classes`` is at most 254.
     """
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
     chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
-    blocks = materialize(chosen.mapInArrow(_blocks, BLOCK), "blocks")
-    buckets = int(max(8, -(-(blocks.agg(F.sum("tokens")).first()[0] or 0) // (8 << 20))))
-    merged = materialize(blocks.mapInArrow(_slices(buckets), SLICE).groupBy("bucket").applyInArrow(_merge(seeds), MERGED), "vocabulary")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = materialize_by(chosen.mapInArrow(_blocks, BLOCK), "block", parts, "brown-blocks")
+    buckets = int(max(16, -(-(blocks.agg(F.sum("tokens")).first()[0] or 0) // BUCKET_TOKENS)))
+    merged = materialize_by(blocks.mapInArrow(_slices(buckets), SLICE).groupBy("bucket").applyInArrow(_merge(seeds), MERGED), "bucket", parts, "brown-vocabulary")
     sums = merged.where("block < 0").select("counts").mapInArrow(_sums, "tokens long, types long, once long, twice long")
     tokens, types, once, twice = (x or 0 for x in sums.groupBy().sum("tokens", "types", "once", "twice").first())
     top = merged.where("block < 0").select("bucket", F.explode("top").alias("x")).select("bucket", "x.*").orderBy(F.desc("n"), "word").limit(seeds).collect()
     classes = max(1, min(classes, len(top)))
     names = [bytes(r.word) for r in top]
+    fixed: dict[int, dict[int, int]] = {}
     if names:
         rows = blocks.mapInArrow(_seed_pairs(share(names)), "a int, row binary").groupBy("a").applyInArrow(_row_sum, "a int, row binary")
         pairs = np.stack([np.frombuffer(r.row, np.int64) for r in sorted(rows.collect(), key=lambda r: r.a)])
-        cls = exchange(pairs, classes)
-    else:
-        pairs, cls = np.zeros((0, 0)), np.zeros(0, np.int64)
-    member = np.eye(classes)[cls]
-    g = member.T @ pairs @ member if names else np.zeros((classes, classes))
-    fixed: dict[int, dict[int, int]] = {}
-    for r, c in zip(top, cls.tolist(), strict=True):
-        fixed.setdefault(r.bucket, {})[r.gid] = c
-    contexts = blocks.mapInArrow(_contexts(share((names, cls)), classes, buckets), CONTEXT)
-    classed = merged.select("bucket", "block", "gid", "counts").groupBy("bucket").cogroup(contexts.groupBy("bucket")).applyInArrow(_assign(share((g, fixed)), classes), CLASSED)
-    classed = materialize(classed, "classes")
+        for r, c in zip(top, exchange(pairs, classes).tolist(), strict=True):
+            fixed.setdefault(r.bucket, {})[r.gid] = c
+    members = merged.select("bucket", "block", "gid", "counts")
+    classed = materialize(members.groupBy("bucket").applyInArrow(_seeded(share(fixed)), CLASSED), "brown-classes")
+
+    def contexts(half: int | None) -> tuple[DataFrame, np.ndarray]:
+        """What the blocks count under the present classes, and the bigrams of these."""
+        own = classed.where("block >= 0").select("bucket", "block", "cls")
+        found = materialize(blocks.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(_contexts(classes, buckets, half), CONTEXT), "brown-contexts")
+        g = np.zeros(classes * classes)
+        summed = found.where("bucket < 0").select("keys", "n").mapInArrow(_bigram_sums(classes * classes), "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
+        for r in summed.collect():  # a cell of the class bigrams each
+            g[r.code] = r.n
+        return found, g.reshape(classes, classes)
+
+    for sweep in range(max(1, sweeps)):
+        found, g = contexts(None if sweep == 0 else sweep % 2)
+        present = classed.where("block < 0").select("bucket", "block", F.col("cls").alias("keys"), F.lit(None).cast("binary").alias("n"))
+        counted = found.where("bucket >= 0").unionByName(present)
+        moved = members.groupBy("bucket").cogroup(counted.groupBy("bucket")).applyInArrow(_assign(share(g), classes, sweep == max(1, sweeps) - 1), CLASSED)
+        moved = materialize(moved, "brown-classes")
+        discard(found, classed)
+        classed = moved
+    discard(merged)
+    found, total = contexts(-1)
     stats = np.zeros(2 * classes, np.int64)
     summed = classed.where("block < 0").select(F.posexplode("stats").alias("k", "n")).groupBy("k").agg(F.sum("n").alias("n"))
     for r in summed.collect():
         stats[r.k] = r.n
     mass, kinds = stats[:classes], stats[classes:]
     discount = once / (once + 2 * twice) if once and twice else 0.5
-    emitted = blocks.groupBy("block").cogroup(classed.where("block >= 0").groupBy("block")).applyInArrow(_emit(share((np.maximum(mass, 1), discount, tokens, types)), classes), SCORED)
-    emitted = materialize(emitted, "emissions")
-    table = np.zeros((classes, classes + 1))
-    for r in emitted.mapInArrow(_transitions(classes * (classes + 1)), "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).collect():
-        table[divmod(r.code, classes + 1)] = r.n
-    total = table[:, :classes]
     prior = (mass + 1) / (mass + 1).sum()
     after = (total + 50 * prior) / (total.sum(axis=1, keepdims=True) + 50)
     unknown = (after * np.where(mass > 0, discount * kinds / np.maximum(mass, 1), 1.0)).sum(axis=1)
-    logs = np.log10(np.column_stack([after, np.maximum(unknown, 1e-300)])).ravel()
-    scored = emitted.mapInArrow(_final(share(logs)), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    logs = np.log10(np.column_stack([after, np.maximum(unknown, 1e-300)]))
+    own = classed.where("block >= 0").select("bucket", "block", "cls", "counts")
+    scored = materialize(blocks.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(_emit(share((np.maximum(mass, 1), discount, tokens, types, logs)), classes), SCORED), "brown-scores")
+    discard(found, classed, blocks)
     return scored.withColumn("train_tokens", F.lit(int(tokens))).withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

@@ -13,6 +13,7 @@ from tracklake.llm.brown import brown_scores
 from tracklake.llm.line_dedup import fuzzy_lines
 from tracklake.llm.mixing import mix_sources
 from tracklake.llm.near_dedup import near_duplicates
+from tracklake.llm.oracles import ORACLE_SQL
 from tracklake.llm.rp_forest import forest_neighbours
 from tracklake.llm.sanitise import KINDS, find_private, listed
 from tracklake.llm.sentencepiece_bpe import encode_documents
@@ -86,6 +87,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), F.size("spans").alias("n_offending"))
 
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES: dict[str, Query] = {
     "op1_brown": op1_brown,
     "op2_kd_shards": op2_kd_shards,
@@ -98,4 +101,3 @@ QUERIES: dict[str, Query] = {
     "op9_mix_sources": op9_mix_sources,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE_SQL: dict[str, str] = {}

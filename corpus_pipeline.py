@@ -1,4 +1,9 @@
-"""A training-data pipeline over ``documents``: five stages, each on all that the stage before kept."""
+"""A training-data pipeline over ``documents``: five stages, each on all that the stage before kept.
+
+Every stage takes and all but the last return the columns of ``documents``; other columns are left
+out. A row is judged by itself: rows without doc_id, and rows that repeat a doc_id, get a key of
+their own within the stage. An empty table passes through as an empty table.
+"""
 
 from __future__ import annotations
 
@@ -10,69 +15,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklake.llm.line_dedup import dropped_lines, fuzzy_lines, without_lines
-from tracklake.llm.mixing import mix_sources
+from tracklake.llm.mixing import mixed
 from tracklake.llm.near_dedup import near_duplicates
 from tracklake.llm.sentencepiece_bpe import encode_documents
 from tracklake.llm.toxicity import fit, score_documents
-from tracklake.storage import materialize
+from tracklake.storage import discard, materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 REJECT = 0.7
+WORD = r"[^\x20\x09-\x0D]"
 
 
-def _chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    return docs.join(ids, "doc_id", "left_semi").select(*COLUMNS)
-
-
-def _null_ids_named(stage: Callable) -> Callable:
-    """The stage on documents whose null ids are replaced by ones of their own above all others, so
-    that each follows its own verdict and comes last where the smallest id counts; null again in the result."""
+def _by_row(stage: Callable) -> Callable:
+    """The stage on rows whose ``doc_id`` is a key of the row, with the given doc_id in ``given``; the keys
+    follow the order of the table, so that of equal documents the first is the one that stays."""
 
     @wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        if docs.where("doc_id IS NULL").isEmpty():
-            return stage(spark, docs, sf_dir)
-        ids = docs.select("doc_id").unionAll(spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id"))
-        top = F.lit(max(0, ids.agg(F.max("doc_id")).first()[0] or 0)).cast("bigint")
-        named = docs.withColumn("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), top + 1 + F.monotonically_increasing_id()))
-        out = stage(spark, materialize(named.select(*COLUMNS), "named"), sf_dir)
-        return out.withColumn("doc_id", F.when(F.col("doc_id") <= top, F.col("doc_id")))
+        keyed = docs.select(*COLUMNS).withColumn("given", F.col("doc_id")).withColumn("doc_id", F.monotonically_increasing_id())
+        return stage(spark, keyed, sf_dir).withColumn("doc_id", F.col("given")).select(*COLUMNS)
 
     return run
 
 
-@_null_ids_named
+@_by_row
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score of 0.7 or more go; the field is fitted on the labelled documents among ``docs``."""
-    field = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    toxic = materialize(score_documents(docs, field).where(F.col("score") >= REJECT).select("doc_id").distinct(), "toxic")
-    return docs.join(toxic, "doc_id", "left_anti").select(*COLUMNS)
+    """Documents with a toxicity score of 0.7 or more go; the field is fitted on the labelled documents
+    among ``docs``. Null and empty texts score as texts without toxic words; with labels of one kind
+    only, nothing goes."""
+    field = fit(docs.withColumn("doc_id", F.col("given")), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    toxic = materialize(score_documents(docs, field).where(F.col("score") >= REJECT).select("doc_id"), "toxic")
+    return docs.join(toxic, "doc_id", "left_anti")
 
 
-@_null_ids_named
+@_by_row
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of a line are cut; a document of which no word is left goes, one that had none stays."""
+    """Later occurrences of a line, fuzzy ones too, are cut, and ``n_chars`` counted again. A document of
+    which no word is left goes; null, empty and blank texts stay as they are."""
     dropped = materialize(dropped_lines(fuzzy_lines(docs)), "dropped")
-    cut = without_lines(docs.withColumn("had", F.col("text").rlike(r"[^\x20\x09-\x0D]")), dropped)
-    bare = F.coalesce(F.col("had"), F.lit(False)) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    return cut.where(~bare).withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
+    cut = without_lines(docs.withColumn("had", F.coalesce(F.col("text").rlike(WORD), F.lit(False))), dropped)
+    return cut.where(~F.col("had") | F.col("text").rlike(WORD)).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
-@_null_ids_named
+@_by_row
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    return _chosen(docs, materialize(near_duplicates(docs).where("kept").select("doc_id"), "kept"))
+    """The first row of each group of near duplicates stays, repeated rows included; texts without words stay."""
+    lost = materialize(near_duplicates(docs).where("NOT kept").select("doc_id"), "near-copies")
+    return docs.join(lost, "doc_id", "left_anti")
 
 
-@_null_ids_named
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are taken as often as the mix of sources says, up to three times."""
-    taken = materialize(mix_sources(docs).where("copies > 0").select("doc_id", "copies").distinct(), "taken")
-    return docs.join(taken, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))).select(*COLUMNS)
+    """Rows are taken as often as the mix of sources says, up to three times. A null source is one of its
+    own; rows that are equal are taken alike."""
+    return mixed(docs.select(*COLUMNS))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each document, as digests, and of the text decoded from them."""
+    """``doc_id``, the number of ids of each row, and digests of the ids and of the text decoded from them; null is empty."""
     coded = encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
@@ -89,9 +88,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = materialize(docs, name.replace(" ", "-"))
+            discard(last)
+            last = docs
     return docs

@@ -160,6 +160,49 @@ def test_brown(docs, rows):
     assert brown_scores(docs.limit(0), train).count() == 0
 
 
+def test_move_gains_are_differences_of_the_likelihood():
+    from tracklake.llm.brown import NONE, move_gains
+
+    rng = np.random.default_rng(4)
+    classes, fixed = 4, rng.integers(0, 4, 12)
+    counts = rng.integers(0, 9, (15, 15))
+    counts[12:, 12:] = 0  # the three words that move do not meet
+
+    def likelihood(cls):
+        use = np.flatnonzero(cls != NONE)
+        member = np.zeros((15, classes))
+        member[use, cls[use]] = 1
+        g = member.T @ counts @ member
+        phi = lambda x: float((x[x > 0] * np.log(x[x > 0])).sum())
+        return phi(g) - phi(g.sum(axis=0)) - phi(g.sum(axis=1)), g
+
+    for present in range(classes):
+        for w in range(3):
+            cls = np.append(fixed, [NONE] * 3).astype(np.uint8)
+            cls[12 + w] = present
+            now, g = likelihood(cls)
+            n = np.append(np.bincount(fixed, counts[:12, 12 + w], classes), np.bincount(fixed, counts[12 + w, :12], classes))
+            gain = move_gains(np.zeros(8, int), np.repeat([0, 1], 4), np.tile(np.arange(4), 2), n, np.array([present], np.uint8), g)[0]
+            for k in range(classes):
+                cls[12 + w] = k
+                assert gain[k] - gain[present] == pytest.approx(likelihood(cls)[0] - now, abs=1e-6)
+
+
+def test_brown_clusters_all_words(spark):
+    rnd = random.Random(9)
+    kinds = [[f"a{i}" for i in range(60)], [f"b{i}" for i in range(60)], [f"c{i}" for i in range(60)]]
+    texts = [" ".join(rnd.choice(kinds[k % 3]) for k in range(30)) for _ in range(300)]
+    one = ["a1"]
+    rows = [(i, t, True) for i, t in enumerate(texts)] + [(1000 + i, " ".join(rnd.choice(kinds[k % 3]) for k in range(30)), False) for i in range(40)]
+    rows += [(5000, one[0], False), (5001, f"{one[0]} never-seen", False)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, train boolean").withColumn("score", F.lit("clash")).withColumn("block", F.lit(1))
+    got = {r.doc_id: r for r in brown_scores(df, F.col("train"), classes=5, seeds=12).collect()}
+    held = [got[1000 + i] for i in range(40)]
+    # classes follow in turn, so a word is one of about 60, whereas the unigram chooses among 180
+    assert sum(r.score for r in held) > 0.86 * sum(r.base_score for r in held) and np.mean([r.perplexity for r in held]) < 80
+    assert got[5001].n_known == 2 and got[5001].score < got[5000].score
+
+
 def test_exchange_finds_alternating_classes():
     pairs = np.zeros((6, 6))
     pairs[:3, 3:] = pairs[3:, :3] = 10
@@ -315,6 +358,48 @@ def test_recall_on_the_embeddings(spark):
         assert own == [(int(ids[o]), int(s[o])) for o in order]
 
 
+def test_marginals_against_enumeration():
+    from itertools import product
+
+    from tracklake.llm.toxicity import marginals
+
+    rng = np.random.default_rng(8)
+    trans, bounds = rng.standard_normal(4), np.array([0, 1, 4, 10])
+    e = rng.standard_normal(10) * 2
+    got, counts, _ = marginals(e, bounds, trans, pairs=True)
+    want, expected = np.zeros(10), np.zeros(4)
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        z, own, moves = 0.0, np.zeros(b - a), np.zeros(4)
+        for y in product((0, 1), repeat=int(b - a)):
+            steps = [2 * u + v for u, v in zip(y, y[1:])]
+            w = math.exp(sum(e[a + i] for i, t in enumerate(y) if t) + sum(trans[s] for s in steps))
+            z += w
+            own += w * np.array(y)
+            moves += w * np.bincount(steps, minlength=4)
+        want[a:b] = own / z
+        expected += moves / z
+    assert np.allclose(got, want) and np.allclose(counts, expected)
+
+
+def test_marginals_of_a_long_chain():
+    from tracklake.llm.toxicity import marginals
+
+    rng = np.random.default_rng(9)
+    n, trans = 1000, rng.standard_normal(4)
+    e = rng.standard_normal(n) * 3
+    step = np.exp(trans).reshape(2, 2)
+    fore, back = np.zeros((n, 2)), np.ones((n, 2))
+    for t in range(n):
+        own = np.array([1, math.exp(e[t])])
+        fore[t] = own if t == 0 else own * (fore[t - 1] @ step)
+        fore[t] /= fore[t].sum()
+    for t in range(n - 2, -1, -1):
+        back[t] = step @ (np.array([1, math.exp(e[t + 1])]) * back[t + 1])
+        back[t] /= back[t].sum()
+    both = fore * back
+    assert np.allclose(marginals(e, np.array([0, n]), trans), both[:, 1] / both.sum(axis=1))
+
+
 def test_toxicity(spark):
     rnd = random.Random(6)
     words = [f"w{i}" for i in range(300)]

@@ -273,24 +273,35 @@ def move_gains(word: np.ndarray, side: np.ndarray, other: np.ndarray, n: np.ndar
     """For each word and class, what the likelihood of the class bigrams ``g`` gains if the word stands in
     that class and its counts are taken out of its present one (NONE: it has none).
 
-    The word's neighbours are entries, sorted by word: ``n`` times class ``other`` stands before it
-    (``side`` 0) or after it (1). Other words stay where they are; bigrams of the word with itself
-    count as if the other were one of them.
+    The word's neighbours are entries, one for each class on each side, sorted by word: ``n`` times class
+    ``other`` stands before it (``side`` 0) or after it (1). Other words stay where they are, so bigrams of
+    a word with itself count as if the other were one of them.
     """
     classes = len(g)
-    gain = np.zeros((len(cls), classes))
+    gain, sides = np.zeros((len(cls), classes)), np.zeros((2, len(cls), classes), np.float32)
+    sides[side, word, other] = n
     for first in range(0, len(word), chunk):
         w, s, j, m = (x[first : first + chunk] for x in (word, side, other, n))
         base = np.where((s == 0)[:, None], g[j], g.T[j]).astype(float)
-        own = np.flatnonzero(cls[w] != NONE)
-        base[own, cls[w[own]]] = np.maximum(base[own, cls[w[own]]] - m[own], 0)
+        home = cls[w]
+        meets = np.flatnonzero(home == j)
+        base[meets] -= sides[1 - s[meets], w[meets]]
+        own = np.flatnonzero(home != NONE)
+        base[own, home[own]] -= m[own]
+        base = np.maximum(base, 0)
         heads = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
         gain[w[heads]] += np.add.reduceat(_phi(base + m[:, None]) - _phi(base), heads, axis=0)
+    w, k = np.nonzero((sides[0] > 0) & (sides[1] > 0))  # both go into one cell of the diagonal
+    x, y = sides[0, w, k].astype(float), sides[1, w, k].astype(float)
+    base = np.maximum(g[k, k] - (x + y) * (cls[w] == k), 0)
+    gain[w, k] += _phi(base + x + y) - _phi(base + x) - _phi(base + y) + _phi(base)
     for k, margin in ((0, g.sum(axis=0)), (1, g.sum(axis=1))):
-        total = np.bincount(word[side == k], n[side == k], len(cls))
+        total = sides[k].sum(axis=1, dtype=float)
         base = np.broadcast_to(margin.astype(float), gain.shape).copy()
-        own = np.flatnonzero(cls != NONE)
-        base[own, cls[own]] = np.maximum(base[own, cls[own]] - total[own], 0)
+        own = cls != NONE
+        base[np.flatnonzero(own), cls[own]] -= total[own]
+        base[~own] += sides[1 - k, ~own]
+        base = np.maximum(base, 0)
         gain -= _phi(base + total[:, None]) - _phi(base)
     return gain
 

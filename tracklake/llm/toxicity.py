@@ -9,13 +9,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracklake.llm._text import encoded, located_words, pieces, text_bytes
 
 BUCKETS = 1 << 18
-CHAIN = 64
+RUN = 64
 EDGES = b".,;:!?\"'()[]"
 
 
@@ -40,20 +40,57 @@ def _digests(words: list[bytes]) -> np.ndarray:
 
 
 def chains(ids: np.ndarray, at: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Offsets of the chains: a chain ends after a word that ends a sentence, with its row, or after 64 words."""
-    n = len(ids)
-    cut = np.zeros(n + 1, bool)
+    """Offsets of the chains: a chain ends after a word that ends a sentence, and with its row."""
+    cut = np.zeros(len(ids) + 1, bool)
     cut[at] = True
     cut[1:] |= ends[ids]
-    cut[n] = True
+    cut[-1] = True
     starts = np.flatnonzero(cut)
-    if not n:
-        return starts[:1]
-    size = np.diff(starts)
-    parts = -(-size // CHAIN)
-    first = np.repeat(starts[:-1], parts)
-    nth = np.arange(len(first)) - np.repeat(np.cumsum(parts) - parts, parts)
-    return np.append(first + nth * CHAIN, n)
+    return starts if len(ids) else starts[:1]
+
+
+def _forward(psi: np.ndarray, bounds: np.ndarray, t00: float, t01: float, t10: float, t11: float) -> np.ndarray:
+    """Forward messages of all chains at once, as ratios of the two tags.
+
+    Chains are cut into runs of ``RUN`` tokens. A step is a map of the ratio given by a matrix of two by
+    two, so the runs of a long chain are first multiplied out, then their ends are found run by run, and
+    then all runs are filled from where they begin: the messages are those of the whole chain.
+    """
+    out = np.empty_like(psi)
+    size = np.diff(bounds)
+    parts = -(-size // RUN)
+    nth = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+    start = np.repeat(bounds[:-1], parts) + RUN * nth
+    length = np.minimum(RUN, np.repeat(bounds[1:], parts) - start)
+
+    def fill(which: np.ndarray, before: np.ndarray | None) -> None:
+        order = np.argsort(-length[which], kind="stable")
+        s, n = start[which][order], length[which][order]
+        ratio = None if before is None else before[order]
+        active = np.searchsorted(-n, -np.arange(1, RUN + 1), side="right")
+        for t in range(int(n[0]) if len(n) else 0):
+            k = s[: active[t]] + t
+            ratio = psi[k] if ratio is None else psi[k] * (t01 + ratio[: active[t]] * t11) / (t00 + ratio[: active[t]] * t10)
+            out[k] = ratio
+
+    fill(np.flatnonzero(nth == 0), None)
+    later = np.flatnonzero(nth > 0)
+    if len(later):
+        later = later[np.argsort(nth[later], kind="stable")]
+        low, high = np.tile([1.0, 0.0], (len(start), 1)), np.tile([0.0, 1.0], (len(start), 1))
+        for t in range(RUN):
+            k = later[length[later] > t]
+            a, b = low[k] * t00 + high[k] * t10, psi[start[k] + t][:, None] * (low[k] * t01 + high[k] * t11)
+            scale = np.maximum(a.max(axis=1), b.max(axis=1))[:, None]
+            low[k], high[k] = a / scale, b / scale
+        ended, begun = np.empty(len(start)), np.empty(len(start))
+        first = np.flatnonzero(nth == 0)
+        ended[first] = out[start[first] + length[first] - 1]
+        for k in np.split(later, np.flatnonzero(np.diff(nth[later])) + 1):
+            begun[k] = ended[k - 1]
+            ended[k] = (high[k, 0] + high[k, 1] * begun[k]) / np.maximum(low[k, 0] + low[k, 1] * begun[k], 1e-300)
+        fill(later, begun[later])
+    return out
 
 
 def marginals(emission: np.ndarray, bounds: np.ndarray, trans: np.ndarray, pairs: bool = False):
@@ -61,35 +98,18 @@ def marginals(emission: np.ndarray, bounds: np.ndarray, trans: np.ndarray, pairs
 
     With two tags each message is a ratio. ``pairs`` also gives the expected count of each transition.
     """
-    size = np.diff(bounds)
-    order = np.argsort(-size, kind="stable")
-    starts, size = bounds[:-1][order], size[order]
     t00, t01, t10, t11 = np.exp(trans)
     psi = np.exp(np.clip(emission, -30, 30))
-    fore, back = np.empty_like(psi), np.ones_like(psi)
-    longest = int(size[0]) if len(size) else 0
-    active = np.searchsorted(-size, -np.arange(1, longest + 1), side="right")
-    for t in range(longest):
-        k = starts[: active[t]] + t
-        if t == 0:
-            fore[k] = psi[k]
-        else:
-            r = fore[k - 1]
-            fore[k] = psi[k] * (t01 + r * t11) / (t00 + r * t10)
-    for t in range(longest - 2, -1, -1):
-        k = starts[: active[t + 1]] + t
-        b = psi[k + 1] * back[k + 1]
-        back[k] = (t10 + t11 * b) / (t00 + t01 * b)
-    odds = fore * back
+    fore = _forward(psi, bounds, t00, t01, t10, t11)
+    back = _forward(psi[::-1], len(psi) - bounds[::-1], t00, t10, t01, t11)[::-1]  # with the token's own weight
+    odds = fore * back / psi
     p = odds / (1 + odds)
     if not pairs:
         return p
     linked = np.ones(len(psi), bool)
-    linked[bounds[1:-1] if len(bounds) > 2 else bounds[:0]] = False
-    linked[:1] = False
+    linked[bounds[:-1]] = False
     k = np.flatnonzero(linked)
-    b = psi[k] * back[k]
-    joint = np.stack([np.full(len(k), t00), t01 * b, fore[k - 1] * t10, fore[k - 1] * t11 * b])
+    joint = np.stack([np.full(len(k), t00), t01 * back[k], fore[k - 1] * t10, fore[k - 1] * t11 * back[k]])
     return p, (joint / joint.sum(axis=0)).sum(axis=1), k
 
 
@@ -131,11 +151,13 @@ def _tags(words: list[bytes], ids: np.ndarray, at: np.ndarray, toxic: np.ndarray
     return hit[ids] & np.repeat(toxic, np.diff(at))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = 1500, most_clean: int = 3000, most_chars: int = 10_000, steps: int = 60) -> Field | None:
-    """Learn from a bounded sample: the first ``most_toxic`` and ``most_clean`` labelled ids in hash
-    order, of whose texts those of at most ``most_chars`` characters are used. The rates of the
-    labels are counted over all of them. ``labels`` holds doc_id and toxic and is filtered by the
-    caller; null labels are left out and of repeated ones the larger holds. None if a class is missing.
+def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = 1500, most_clean: int = 3000, most_chars: int = 8_000_000, most_tokens: int = 300_000, steps: int = 60) -> Field | None:
+    """Learn from a bounded sample: of the toxic and of the clean labelled documents the first in hash
+    order, at most ``most_toxic`` and ``most_clean`` and of ``most_chars`` characters together in each
+    class, long texts as they come. The field is trained on all their chains with a marked token and on
+    others, by a fixed draw, of ``most_tokens`` tokens together; the calibration uses the whole sample.
+    The rates of the labels are counted over all labels. ``labels`` holds doc_id and toxic and is filtered
+    by the caller; null labels are left out and of repeated ones the larger holds. None if a class is missing.
     """
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg((F.max("toxic") > 0).alias("toxic"))
     counts = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -145,8 +167,10 @@ def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = 1500, most_clean:
     drawn = F.xxhash64("doc_id", F.lit(3))
     chosen = [known.where("toxic").orderBy(drawn).limit(most_toxic), known.where("NOT toxic").orderBy(drawn).limit(most_clean)]
     chosen = chosen[0].unionAll(chosen[1])  # at most 4,500 rows of two narrow columns
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.length("text") <= most_chars)
-    sample = texts.join(F.broadcast(chosen), "doc_id").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
+    order = Window.partitionBy("toxic").orderBy(drawn, "doc_id", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, 0)
+    found = texts.join(F.broadcast(chosen), "doc_id").withColumn("upto", F.sum(F.length("text")).over(order))
+    sample = found.where(F.col("upto") <= most_chars).select("doc_id", "text", "toxic").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
     toxic = np.array(sample.column("toxic").to_pylist(), bool)
     if toxic.all() or not toxic.any():
         return None
@@ -159,20 +183,20 @@ def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = 1500, most_clean:
     ends = np.fromiter((w.endswith(b".") for w in words), bool, len(words))
     bounds = chains(ids, at, ends)
     features = _digests(words)
-    theta, trans = _train(features, ids, bounds, tag, steps)
+    theta, trans = _train(features, ids, bounds, tag, steps, most_tokens)
     parts = np.stack([theta[features[:, :4]].sum(axis=1), theta[features[:, 4]], theta[features[:, 5]]], axis=1)
     x = _summary(marginals(_emission(parts, ids, bounds) + theta[BUCKETS], bounds, trans), at)
     scale = np.maximum(x.std(axis=0), 1e-6)
     return Field(theta, trans, _logistic(x / scale, toxic, np.where(toxic, 1.0, weight)), scale)
 
 
-def _train(features: np.ndarray, ids: np.ndarray, bounds: np.ndarray, tag: np.ndarray, steps: int, most_tokens: int = 300_000) -> tuple[np.ndarray, np.ndarray]:
-    """Penalised likelihood by full-batch Adam on all chains with a toxic token and, by a fixed draw, others up to a bound."""
+def _train(features: np.ndarray, ids: np.ndarray, bounds: np.ndarray, tag: np.ndarray, steps: int, most_tokens: int) -> tuple[np.ndarray, np.ndarray]:
+    """Penalised likelihood by full-batch Adam on all chains with a toxic token and, by a fixed draw, others of ``most_tokens`` tokens."""
     marked = np.add.reduceat(tag, bounds[:-1]) > 0
     size = np.diff(bounds)
     rank = np.random.RandomState(7).random_sample(len(size))
-    order = np.lexsort((rank, ~marked))
-    use = np.sort(order[np.cumsum(size[order]) <= most_tokens])
+    others = np.flatnonzero(~marked)[np.argsort(rank[~marked])]
+    use = np.sort(np.concatenate([np.flatnonzero(marked), others[np.cumsum(size[others]) <= most_tokens]]))
     token = np.concatenate([np.arange(bounds[c], bounds[c + 1]) for c in use]) if len(use) else np.zeros(0, np.int64)
     own, y = ids[token], tag[token].astype(float)
     at = np.concatenate([[0], np.cumsum(size[use])])
@@ -254,7 +278,7 @@ def _scored(shared):
 def score_documents(docs: DataFrame, field: Field | None) -> DataFrame:
     """``doc_id, score, spans`` of every row; spans are the offending tokens in code points, end exclusive.
 
-    The field tags chains of at most 64 words, a sentence each, over the whole text. The score is
+    The field tags chains, a sentence each whatever its length, over the whole text. The score is
     a calibrated function of the expected number of toxic tokens and of the largest marginal; the
     text is the only input. Null, empty and blank texts get the score of a text without toxic
     tokens. Without a field (labels of one kind only) every score is 0. Repeated rows are scored

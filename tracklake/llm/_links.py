@@ -25,13 +25,14 @@ class Close:
     near: Callable[[dict, dict], np.ndarray]
 
 
-def shared_buckets(keys: DataFrame) -> DataFrame:
-    """``(key, rep, company)`` of the buckets with two members or more. ``company``, negative, counts the
-    fellows of a member in all its buckets: the text that others were copied from has most."""
+def shared_buckets(keys: DataFrame, more: DataFrame) -> DataFrame:
+    """``(key, rep, company)`` and the columns that ``more`` (rep, ...) has, of the buckets with two members
+    or more. ``company``, negative, counts the fellows of a member in all its buckets: the text that
+    others were copied from has most."""
     shared = materialize(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     members = materialize(keys.join(shared, "key"), "members")
     company = materialize(members.groupBy("rep").agg((-F.sum("n")).alias("company")), "company")
-    ranked = materialize(members.join(company, "rep").select("key", "rep", "company"), "ranked-members")
+    ranked = materialize(members.select("key", "rep").join(company.join(more, "rep"), "rep"), "ranked-members")
     discard(shared, members, company)
     return ranked
 
@@ -67,6 +68,14 @@ def bucket_pairs(rows: dict[str, np.ndarray], growth: int, close: Close | None)
     return a, b, key[heads[left]], hub[left]
 
 
+def _values(column: pa.Array) -> np.ndarray:
+    """Numbers, or a row of 64-bit words for each binary; these are all of one length."""
+    if not pa.types.is_binary(column.type):
+        return column.to_numpy(zero_copy_only=False)
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[at[0] : at[-1]].view(np.uint64).reshape(len(column), -1)
+
+
 def _scan(columns: list[str], growth: int, close: Close | None):
     """``(hub, rep, open, start)`` from rows in the order of buckets: pairs, and the buckets left open."""
 
@@ -83,7 +92,7 @@ def _scan(columns: list[str], growth: int, close: Close | None):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in columns}
+            rows = {c: _values(batch.column(c)) for c in columns}
             last = int(np.flatnonzero(np.concatenate([[True], rows["key"][1:] != rows["key"][:-1]]))[-1])
             if held and (last or rows["key"][0] != held[-1]["key"][-1]):
                 cut = last if last else 0

@@ -10,11 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklake.llm._links import linked_components, shared_buckets
+from tracklake.llm._links import Close, linked_components, shared_buckets
 from tracklake.llm._text import encoded, hashes, long_column, mix, pieces, shingles, words
 from tracklake.storage import discard, materialize
 
-SKETCH = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"
+SKETCH = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, lanes binary"
+LANES = 16  # bins whose last four bits make one 64-bit word
 
 
 @lru_cache
@@ -63,7 +64,11 @@ def _sketches(bands: int, rows: int, width: int):
             for r in range(rows):
                 key = mix(key + signs.reshape(n, bands, rows)[:, :, r])
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(size > 0, bands, 0))]).astype(np.int32)), long_column(key[size > 0].ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(size), long_column(k1), long_column(k2), lists], names=["doc_id", "n_shingles", "k1", "k2", "bands"])
+            wide = np.zeros((n, -(-bands * rows // LANES) * LANES), np.uint64)
+            wide[:, : bands * rows] = signs & np.uint64(15)
+            lanes = (wide.reshape(n, -1, LANES) << (np.uint64(4) * np.arange(LANES, dtype=np.uint64))).sum(axis=2, dtype=np.uint64)
+            packed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * lanes.shape[1]), n, [None, pa.py_buffer(np.ascontiguousarray(lanes))]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(size), long_column(k1), long_column(k2), lists, packed], names=["doc_id", "n_shingles", "k1", "k2", "bands", "lanes"])
 
     return run
 
@@ -90,12 +95,29 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(b, "rep").join(a, "hub").withColumn("common", common).select("hub", "rep", (100 * F.col("common") >= percent * union).alias("linked"))
 
 
+def _close(percent: int, bins: int) -> Close:
+    """Sizes and sketches that two sets at the threshold can have: the sketches differ in as many bins as
+    the similarity says, and 4.75 standard deviations more, counted over the bins that small sets fill."""
+    apart = (1 - percent / 100) * 15 / 16
+
+    def near(x: dict, y: dict) -> np.ndarray:
+        low, high = np.minimum(x["n"], y["n"]), np.maximum(x["n"], y["n"])
+        differ = x["lanes"] ^ y["lanes"]
+        differ |= differ >> np.uint64(2)
+        differ |= differ >> np.uint64(1)
+        count = np.bitwise_count(differ & np.uint64(0x1111111111111111)).sum(axis=1, dtype=np.int64)
+        filled = bins * (1 - np.exp(-low / bins))
+        return (100 * low >= percent * high) & (count <= bins * (apart + 4.75 * np.sqrt(apart * (1 - apart) / filled)))
+
+    return Close(["n", "lanes"], near)
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5, bands: int = 64, rows: int = 6) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (doc_id, text).
 
     Documents with the same shingle set are collapsed first. The representatives are banded;
-    each bucket gives star edges from the member that shares most buckets with others, and every pair
-    is verified on the full sets. Buckets whose members still lie in different components are read
+    each bucket gives star edges from the member that shares most buckets with others. Pairs whose
+    whole sketches exclude the threshold are left out, and every other one is verified on the full sets. Buckets whose members still lie in different components are read
     again until no pair across components is untested, so all pairs that share a band count. Two documents at the
     threshold share one of the 64 bands of 6 with a probability above 0.99999.
 
@@ -105,13 +127,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5, bands: i
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketches = materialize(docs.mapInArrow(_sketches(bands, rows, width), SKETCH), "sketches")
-    reps = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"))
+    reps = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"), F.any_value("n_shingles").alias("n"), F.any_value("lanes").alias("lanes"))
     reps = materialize(reps, "representatives")
     keys = reps.select("rep", F.explode("bands").alias("key"))
-    members = shared_buckets(keys)
+    members = shared_buckets(keys, reps.select("rep", "n", "lanes"))
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = materialize(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(width), "doc_id long, hashes array<long>"), "sets")
-    components = linked_components(members, lambda pairs: _verified(pairs, sets, percent), order="company")
+    components = linked_components(members, lambda pairs: _verified(pairs, sets, percent), _close(percent, bands * rows), order="company")
     discard(members, sets)
     named = reps.select("k1", "k2", "rep").join(components.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
     out = sketches.select("doc_id", "n_shingles", "k1", "k2").join(materialize(named, "classes"), ["k1", "k2"], "left")

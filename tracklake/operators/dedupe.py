@@ -33,8 +33,19 @@ def hamming_pairs(hashes: DataFrame, threshold: int = 6, blocks: int = 8) -> Dat
 
     ``hashes`` holds idx, h and mirror; null hashes take no part. Two codes within the threshold
     agree on ``blocks - threshold`` blocks of bits at least, so pairs meet by equality on each
-    choice of that many blocks and are verified there; equal codes are grouped first.
+    choice of that many blocks and are verified there. All pairs of equal codes are in the result;
+    ``hamming_edges`` links the same groups without them.
     """
+    keys = _block_keys(threshold, blocks)
+    own = hashes.where("idx IS NOT NULL AND h IS NOT NULL")
+    left = own.select(F.col("idx").alias("i"), "h", F.explode(F.array_distinct(F.array("h", F.coalesce("mirror", "h")))).alias("probe")).withColumn("key", keys("probe"))
+    right = own.select(F.col("idx").alias("j"), F.col("h").alias("other")).withColumn("key", keys("other"))
+    met = left.join(right, "key").where((F.col("i") < F.col("j")) & (hamming(F.col("probe"), F.col("other")) <= threshold))
+    return met.groupBy("i", "j").agg(F.min(hamming(F.col("probe"), F.col("other"))).alias("d"))
+
+
+def _block_keys(threshold: int, blocks: int):
+    """Keys of a code: a hash of each choice of ``blocks - threshold`` of its blocks of bits."""
     agree = blocks - threshold
     if agree < 1:
         raise ValueError("blocks must exceed the threshold")
@@ -44,11 +55,32 @@ def hamming_pairs(hashes: DataFrame, threshold: int = 6, blocks: int = 8) -> Dat
     def keys(h: str) -> Column:
         return F.explode(F.array(*(F.hash(F.lit(n), *(part(h, k) for k in chosen)) for n, chosen in enumerate(combinations(range(blocks), agree)))))
 
-    own = hashes.where("idx IS NOT NULL AND h IS NOT NULL")
-    left = own.select(F.col("idx").alias("i"), "h", F.explode(F.array_distinct(F.array("h", F.coalesce("mirror", "h")))).alias("probe")).withColumn("key", keys("probe"))
-    right = own.select(F.col("idx").alias("j"), F.col("h").alias("other")).withColumn("key", keys("other"))
-    met = left.join(right, "key").where((F.col("i") < F.col("j")) & (hamming(F.col("probe"), F.col("other")) <= threshold))
-    return met.groupBy("i", "j").agg(F.min(hamming(F.col("probe"), F.col("other"))).alias("d"))
+    return keys
+
+
+def blocks_for(codes: int, threshold: int) -> int:
+    """Blocks so that the keys of so many codes seldom meet by chance: more codes, more and wider keys."""
+    return threshold + (2 if codes <= 200_000 else 3 if codes <= 4_000_000 else 4)
+
+
+def hamming_edges(hashes: DataFrame, threshold: int = 6, blocks: int | None = None) -> DataFrame:
+    """``src, dst``: edges that connect the same groups as ``hamming_pairs``. Images of equal code and equal
+    mirror code are one class, linked as a star to its smallest index; pairs are made of classes only."""
+    own = hashes.where("idx IS NOT NULL AND h IS NOT NULL").select("idx", "h", F.coalesce("mirror", "h").alias("mirror"))
+    classes = own.groupBy("h", "mirror").agg(F.min("idx").alias("low"), F.max("idx").alias("high"))
+    stars = own.join(classes, ["h", "mirror"]).where("idx > low").select(F.col("low").alias("src"), F.col("idx").alias("dst"))
+    keys = _block_keys(threshold, blocks or blocks_for(classes.count(), threshold))
+    left = classes.select(F.col("low").alias("a"), "h", F.explode(F.array_distinct(F.array("h", "mirror"))).alias("probe")).withColumn("key", keys("probe"))
+    right = classes.select(F.col("low").alias("b"), F.col("high").alias("b_high"), F.col("h").alias("other")).withColumn("key", keys("other"))
+    # a mirror code counts for the smaller index of a pair only, so some image of the other class must come later
+    fits = (F.col("a") != F.col("b")) & (hamming(F.col("probe"), F.col("other")) <= threshold) & ((F.col("probe") == F.col("h")) | (F.col("a") < F.col("b_high")))
+    met = left.join(right, "key").where(fits).select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
+    return stars.unionAll(met)
+
+
+def group_counts(grouped: DataFrame) -> DataFrame:
+    """Images, groups, and images kept, of a manifest after ``keep_policy``."""
+    return grouped.agg(F.count("*").alias("n_images"), F.countDistinct("group_id").alias("n_groups"), F.count_if("keep").alias("n_kept"))
 
 
 def groups(items: DataFrame, edges: DataFrame) -> DataFrame:
@@ -90,9 +122,13 @@ def group_split(items: DataFrame, val_frac: float, seed: int = 0) -> DataFrame:
         raise ValueError("val_frac must lie in [0, 1)")
     sizes = items.groupBy("source", "group_id").agg(F.count("*").alias("n"))
     key = F.md5(F.concat_ws("|", F.col("group_id").cast("string"), F.lit(str(seed))))
-    order = Window.partitionBy("source").orderBy("key", "group_id")
-    run = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    chosen = sizes.withColumn("key", key).withColumn("before", run).withColumn("total", F.sum("n").over(Window.partitionBy("source")))
+    # running sums by leading hash digits and then within, so that no task sorts a whole source
+    sizes = sizes.withColumn("key", key).withColumn("head", F.substring("key", 1, 3))
+    heads = sizes.groupBy("source", "head").agg(F.sum("n").alias("own"))
+    upto = Window.partitionBy("source").orderBy("head").rowsBetween(Window.unboundedPreceding, -1)
+    heads = heads.select("source", "head", F.coalesce(F.sum("own").over(upto), F.lit(0)).alias("start"), F.sum("own").over(Window.partitionBy("source")).alias("total"))
+    within = Window.partitionBy("source", "head").orderBy("key", "group_id").rowsBetween(Window.unboundedPreceding, -1)
+    chosen = sizes.withColumn("within", F.coalesce(F.sum("n").over(within), F.lit(0))).join(heads, ["source", "head"]).withColumn("before", F.col("start") + F.col("within"))
     chosen = chosen.select("source", "group_id", F.when(F.col("before") < val_frac * F.col("total"), "val").otherwise("train").alias("split"))
     return items.join(chosen, ["source", "group_id"])
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracklake.functions.geometry import iou, size_bucket
+from tracklake.operators.learning import cells_of
+from tracklake.storage import materialize
 
 BOX = ("x1", "y1", "x2", "y2")
 
@@ -19,13 +21,15 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def match(gt: DataFrame, pred: DataFrame, iou_thr: float = 0.5) -> DataFrame:
-    """``pred`` (image, det_idx, cls, conf, box) with ``tp``.
+def match(gt: DataFrame, pred: DataFrame, iou_thr: float = 0.5, images: DataFrame | None = None) -> DataFrame:
+    """``pred`` (image, det_idx, cls, conf, box) with ``tp``; with ``images``, of these alone.
 
     Within image and class, predictions in descending confidence (then det_idx) each take the ground
     truth of largest overlap that is still free, the first of equals, and hit if it reaches
     ``iou_thr``. Each group is one array, folded in the JVM; groups are the boxes of one image.
     """
+    if images is not None:
+        pred = pred.join(images.select("image"), "image", "left_semi")
     truth = gt.groupBy("image", "cls").agg(F.array_sort(F.collect_list(F.struct("gt_idx", *BOX))).alias("truth"))
     order = F.array_sort(F.collect_list(F.struct((-F.col("conf")).alias("down"), "det_idx", *BOX)))
     grouped = pred.groupBy("image", "cls").agg(order.alias("found")).join(truth, ["image", "cls"], "left")
@@ -63,16 +67,23 @@ def suppress(pred: DataFrame, iou_thr: float = 0.6) -> DataFrame:
 def average_precision(matched: DataFrame, gt_counts: DataFrame) -> DataFrame:
     """``cls, n_gt, ap``: area under the precision envelope at all points; null without ground truth.
 
-    The running sums go over the distinct ranks of one class after a count by confidence, image and
-    detection, in a total order.
+    Ranks are by confidence, image and detection, a total order. Running sums and maxima go over stretches
+    of confidence first and then within each, so that a class of any size is spread over tasks.
     """
-    order = Window.partitionBy("cls").orderBy(F.desc("conf"), "image", "det_idx")
-    counted = matched.withColumn("ctp", F.sum(F.col("tp").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("n", F.row_number().over(order))
-    counted = counted.withColumn("precision", F.col("ctp") / F.col("n"))
+    placed = matched.withColumn("cell", cells_of(matched, "conf"))
+    sums = placed.groupBy("cls", "cell").agg(F.sum(F.col("tp").cast("int")).alias("hits"), F.count("*").alias("rows"))
+    higher = Window.partitionBy("cls").orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("cls", "cell", F.coalesce(F.sum("hits").over(higher), F.lit(0)).alias("hits"), F.coalesce(F.sum("rows").over(higher), F.lit(0)).alias("rows"))
+    order = Window.partitionBy("cls", "cell").orderBy(F.desc("conf"), "image", "det_idx")
+    run = order.rowsBetween(Window.unboundedPreceding, 0)
+    counted = placed.select("cls", "cell", "tp", F.sum(F.col("tp").cast("int")).over(run).alias("own"), F.row_number().over(order).alias("n")).join(starts, ["cls", "cell"])
+    counted = materialize(counted.select("cls", "cell", "tp", "n", ((F.col("hits") + F.col("own")) / (F.col("rows") + F.col("n"))).alias("precision")), "precisions")
+    lower = Window.partitionBy("cls").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    later = counted.groupBy("cls", "cell").agg(F.max("precision").alias("top")).select("cls", "cell", F.coalesce(F.max("top").over(lower), F.lit(0.0)).alias("later"))
     # from the last rank on, as a frame that ends at the last row is summed anew for every row
-    back = Window.partitionBy("cls").orderBy(F.desc("n"))
-    envelope = F.max("precision").over(back.rowsBetween(Window.unboundedPreceding, 0))
-    area = counted.withColumn("envelope", envelope).groupBy("cls").agg(F.sum(F.when(F.col("tp"), F.col("envelope")).otherwise(0.0)).alias("area"))
+    back = Window.partitionBy("cls", "cell").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
+    envelope = counted.withColumn("within", F.max("precision").over(back)).join(later, ["cls", "cell"]).withColumn("envelope", F.greatest("within", "later"))
+    area = envelope.groupBy("cls").agg(F.sum(F.when(F.col("tp"), F.col("envelope")).otherwise(0.0)).alias("area"))
     joined = gt_counts.join(area, "cls", "full")
     ap = F.when(F.coalesce("n_gt", F.lit(0)) > 0, F.coalesce("area", F.lit(0.0)) / F.col("n_gt"))
     return joined.select("cls", F.coalesce("n_gt", F.lit(0).cast("bigint")).alias("n_gt"), ap.alias("ap"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracklake.storage import discard, materialize
+
 
 def moments(rows: DataFrame, features: list[str], floor: float = 0.05) -> DataFrame:
     """Mean and population deviation of each feature, the latter at least ``floor``."""
@@ -16,11 +18,26 @@ def standardised(rows: DataFrame, stats: DataFrame, features: list[str], most: f
     return rows.join(F.broadcast(stats)).withColumns(z).drop(*(f"{f}_{k}" for f in features for k in ("mean", "std")))
 
 
+def cells_of(rows: DataFrame, value: str, cells: int = 256) -> Column:
+    """Which stretch of ``value`` a row is in, larger values in later ones; the cuts are approximate quantiles."""
+    cuts = rows.agg(F.percentile_approx(value, [k / cells for k in range(1, cells)], 10_000).alias("cuts")).first().cuts or []
+    distinct = sorted({c for c in cuts if c is not None})
+    array = F.array(*map(F.lit, distinct)) if distinct else F.array().cast("array<double>")
+    return F.size(F.filter(array, lambda c: c <= F.col(value)))
+
+
 def auroc(scored: DataFrame) -> DataFrame:
-    """Area under the curve from the counts of each distinct score; null with one class only."""
+    """Area under the curve from the counts of each distinct score; null with one class only.
+
+    The running count goes over stretches of scores first and then within each, so that no task orders all scores.
+    """
     per = scored.groupBy("score").agg(F.count_if("label").alias("pos"), F.count_if(~F.col("label")).alias("neg"))
-    below = F.coalesce(F.sum("neg").over(Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    won = per.withColumn("won", F.col("pos") * (below + F.col("neg") / 2))
+    per = materialize(per, "distinct-scores")
+    placed = per.withColumn("cell", cells_of(per, "score"))
+    sums = placed.groupBy("cell").agg(F.sum("neg").alias("n"))
+    starts = sums.select("cell", F.coalesce(F.sum("n").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
+    within = F.coalesce(F.sum("neg").over(Window.partitionBy("cell").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    won = placed.withColumn("within", within).join(F.broadcast(starts), "cell").withColumn("won", F.col("pos") * (F.col("start") + F.col("within") + F.col("neg") / 2))
     return won.agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), F.try_divide(F.sum("won"), F.sum("pos") * F.sum("neg")).alias("auroc"))
 
 
@@ -36,22 +53,53 @@ def balance(labelled: DataFrame) -> DataFrame:
 
 def group_fold(rows: DataFrame, val_frac: float, key: Column) -> DataFrame:
     """Adds ``val``: within each label, groups in a seeded order until one of n folds is filled; the
-    number of folds is that of the smaller class of groups, at most 1 / val_frac."""
-    groups = rows.groupBy("group").agg(F.max(F.col("label").cast("int")).alias("y"))
-    sizes = groups.groupBy("y").agg(F.count("*").alias("n"))
-    folds = sizes.agg(F.greatest(F.lit(2), F.least(F.lit(round(1 / val_frac)), F.min("n"))).alias("folds"))
-    order = Window.partitionBy("y").orderBy(key, "group")
-    chosen = groups.withColumn("place", F.row_number().over(order)).join(F.broadcast(sizes), "y").join(F.broadcast(folds))
-    return rows.join(chosen.select("group", (F.col("place") <= F.ceil(F.col("n") / F.col("folds"))).alias("val")), "group")
-
-
-def fit_windows(rows: DataFrame, features: list[str], steps: int = 60):
-    """Logistic regression on window features, weighted by class balance; a stand-in for a convolution net."""
+    number of folds is that of the smaller class of groups, at most 1 / val_frac. Fewer than two groups in a
+    class, or one class alone, is an error when the rows are read.
+
+    Groups are numbered by leading digits of ``key``, a hexadecimal hash, and then within, so no task sorts all.
+    """
+    groups = rows.groupBy("group").agg(F.max(F.col("label").cast("int")).alias("y")).withColumn("key", key).withColumn("head", F.substring("key", 1, 3))
+    heads = groups.groupBy("y", "head").agg(F.count("*").alias("n"))
+    starts = heads.select("y", "head", F.coalesce(F.sum("n").over(Window.partitionBy("y").orderBy("head").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
+    sizes = heads.groupBy("y").agg(F.sum("n").alias("n"))
+    folds = sizes.agg(F.least(F.lit(max(2, round(1 / val_frac))), F.min("n")).alias("folds"), F.count("*").alias("kinds"))
+    within = F.row_number().over(Window.partitionBy("y", "head").orderBy("key", "group"))
+    chosen = groups.withColumn("within", within).join(F.broadcast(starts), ["y", "head"]).join(F.broadcast(sizes), "y").join(F.broadcast(folds))
+    quota = F.when((F.col("folds") < 2) | (F.col("kinds") < 2), F.raise_error(F.lit("both classes need two groups at least"))).otherwise(F.ceil(F.col("n") / F.col("folds")))
+    return rows.join(chosen.select("group", (F.col("start") + F.col("within") <= quota).alias("val")), "group")
+
+
+def fit_windows(train: DataFrame, val: DataFrame, features: list[str], noise: float = 0.02, strengths: tuple[float, ...] = (0.003, 0.01, 0.03, 0.1), steps: int = 60, seed: int = 0):
+    """A classifier of windows on pooled features (label, features); the model and its AUROC on ``val``.
+
+    A linear stand-in for a convolution net: values are standardised and clipped to 10, classes weighted by
+    their balance, and normal noise is added to the training values. Of the penalties in ``strengths`` the
+    snapshot with the best AUROC on ``val`` is kept. Its ``write().overwrite().save`` and
+    ``PipelineModel.load`` are the checkpoint's save and load.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
-
-    weight = balance(rows).first().pos_weight
-    weighted = rows.withColumn("weight", F.when(F.col("label"), F.lit(float(weight))).otherwise(1.0)).withColumn("y", F.col("label").cast("double"))
-    parts = [VectorAssembler(inputCols=features, outputCol="raw"), StandardScaler(inputCol="raw", outputCol="features", withMean=True), LogisticRegression(labelCol="y", weightCol="weight", maxIter=steps, regParam=0.01)]
-    return Pipeline(stages=parts).fit(weighted)
+    from pyspark.ml.feature import SQLTransformer, VectorAssembler
+
+    stats = moments(train, features).first()
+    weight = float(balance(train).first().pos_weight)
+    z = {f: f"greatest(-10D, least(10D, (`{f}` - {stats[f + '_mean']!r}D) / {stats[f + '_std']!r}D))" for f in features}
+    scaled = SQLTransformer(statement=f"SELECT *, {', '.join(f'{e} AS `z_{f}`' for f, e in z.items())} FROM __THIS__")
+    noisy = train.withColumns({f: F.col(f) + noise * float(stats[f + "_std"]) * F.randn(seed + i) for i, f in enumerate(features)})
+    noisy = materialize(noisy.withColumn("weight", F.when(F.col("label"), F.lit(weight)).otherwise(1.0)).withColumn("y", F.col("label").cast("double")), "noisy-windows")
+    best = (None, -1.0)
+    for c in strengths:
+        stages = [scaled, VectorAssembler(inputCols=[f"z_{f}" for f in features], outputCol="features"), LogisticRegression(labelCol="y", weightCol="weight", maxIter=steps, regParam=c)]
+        model = Pipeline(stages=stages).fit(noisy)
+        area = auroc(window_scores(model, val).select("label", "score")).first().auroc
+        if best[0] is None or (area is not None and area > best[1]):
+            best = (model, -1.0 if area is None else area)
+    discard(noisy)
+    return best
+
+
+def window_scores(model, windows: DataFrame) -> DataFrame:
+    """``windows`` with ``score``, the probability of a positive."""
+    from pyspark.ml.functions import vector_to_array
+
+    return model.transform(windows).withColumn("score", F.element_at(vector_to_array("probability"), 2)).select(*windows.columns, "score")

@@ -7,26 +7,115 @@ from pyspark.sql import functions as F
 
 from tracklake.functions.motion import episodes, fuse, motion_score, smoothed
 from tracklake.params import EventParams, FusionParams, MotionParams, OnlineParams
-from tracklake.storage import materialize
 
 FILL = 3.0  # distance of a hand that was never seen (fixed value)
 
 
+BASE_FEATURES = (
+    "d_left", "d_right", "d_min", "d_min_delta", "l_wrist_above_shoulder", "r_wrist_above_shoulder", "l_elbow_angle", "r_elbow_angle",
+    "nose_conf", "l_wrist_conf", "r_wrist_conf", "present",
+)  # fmt: skip  (fixed names and order)
+FILLED = {"d_left": FILL, "d_right": FILL, "d_min": FILL, "l_elbow_angle": 1.0, "r_elbow_angle": 1.0}  # a hand far away, an arm straight (fixed values)
+
+
+def _keys(obs: DataFrame) -> list[str]:
+    """A track's numbers begin anew in each clip."""
+    return ["clip", "track"] if "clip" in obs.columns else ["track"]
+
+
 def sessions(obs: DataFrame, max_missing: int) -> DataFrame:
-    """Adds ``session``: a track that stays unseen for more than ``max_missing`` steps begins anew."""
-    order = Window.partitionBy("track").orderBy("step")
+    """Adds ``session``: a track of a clip that stays unseen for more than ``max_missing`` steps begins anew."""
+    order = Window.partitionBy(*_keys(obs)).orderBy("step")
     gap = F.col("step") - F.lag("step").over(order) > max_missing + 1
     return obs.withColumn("session", F.sum(F.coalesce(gap, F.lit(False)).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
 
 
-def dense(obs: DataFrame, keys: list[str], tail: int = 0, last: Column | None = None) -> DataFrame:
-    """Every step from the first to the last of each sequence, and ``tail`` more but not beyond ``last``; unseen steps have nulls."""
-    ends = obs.groupBy(*keys).agg(F.min("step").alias("_a"), F.max("step").alias("_b"))
-    stop = F.col("_b") + tail
-    if last is not None:
-        stop = F.greatest(F.col("_b"), F.least(stop, last))
+def clip_ends(obs: DataFrame) -> DataFrame:
+    """``clip_end``: the last step of each clip, or of all where there is no clip."""
+    return obs.groupBy("clip").agg(F.max("step").alias("clip_end")) if "clip" in obs.columns else obs.agg(F.max("step").alias("clip_end"))
+
+
+def _with_clip_end(rows: DataFrame, obs: DataFrame) -> DataFrame:
+    ends = clip_ends(obs)
+    return rows.join(ends, "clip") if "clip" in obs.columns else rows.join(F.broadcast(ends))
+
+
+def session_grid(obs: DataFrame, max_missing: int) -> DataFrame:
+    """Every step of each session, and ``max_missing`` more as far as the clip goes, with ``present``; unseen steps have nulls."""
+    keyed, keys = sessions(obs, max_missing), [*_keys(obs), "session"]
+    ends = _with_clip_end(keyed.groupBy(*keys).agg(F.min("step").alias("_a"), F.max("step").alias("_b")), obs)
+    stop = F.greatest("_b", F.least(F.col("_b") + max_missing, F.col("clip_end")))
     grid = ends.select(*keys, F.explode(F.sequence("_a", stop)).alias("step"))
-    return grid.join(obs.withColumn("present", F.lit(1)), [*keys, "step"], "left").withColumn("present", F.coalesce("present", F.lit(0)))
+    return grid.join(keyed.withColumn("present", F.lit(1)), [*keys, "step"], "left").withColumn("present", F.coalesce("present", F.lit(0)))
+
+
+def sequence_features(grid: DataFrame, keys: list[str], classes: list[str]) -> DataFrame:
+    """All features of each step of ``grid`` (keys, step, f), which holds every step; ``f`` is the struct of
+    ``frame_features``, null at unseen steps.
+
+    A seen step has its own values, with ``FILLED`` for missing distances and angles and 0 for other missing
+    ones. An unseen step repeats the step before (``FILLED`` and 0 ahead of the first seen one) with present
+    and object scores 0. ``d_min_delta`` is the change of the filled ``d_min``.
+    """
+    order = Window.partitionBy(*keys).orderBy("step")
+    finite = lambda c: F.when(~F.isnan(c) & (F.abs(c) < float("inf")), c)
+    own = [n for n in BASE_FEATURES if n not in ("d_min_delta", "present")]
+    seen = F.when(F.col("f").isNotNull(), F.struct(*(F.coalesce(finite(F.col(f"f.{n}").cast("double")), F.lit(FILLED.get(n, 0.0))).alias(n) for n in own)))
+    out = grid.withColumn("_seen", F.last(seen, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    values = {n: F.coalesce(F.col(f"_seen.{n}"), F.lit(FILLED.get(n, 0.0))) for n in own}
+    values["d_min_delta"] = values["d_min"] - F.coalesce(F.lag(values["d_min"]).over(order), values["d_min"])
+    values["present"] = F.col("f").isNotNull().cast("double")
+    objects = {f"obj_{c}": F.coalesce(finite(F.col(f"f.obj_{c}").cast("double")), F.lit(0.0)) for c in classes}
+    return out.select(*keys, "step", *((values | objects)[n].alias(n) for n in (*BASE_FEATURES, *objects)))
+
+
+def window_frames(rows: DataFrame, keys: list[str], window: int, hop: int) -> DataFrame:
+    """``keys, start, place`` and the columns of ``rows`` for each place of each window of ``sliding_windows``; the
+    places that a short sequence lacks repeat its first row. ``rows`` hold every step. Only row numbers meet in the join."""
+    order = Window.partitionBy(*keys).orderBy("step")
+    numbered = rows.withColumn("_row", (F.row_number().over(order) - 1).cast("bigint"))
+    windows = sliding_windows(rows.groupBy(*keys).agg(F.count("*").alias("n")), window, hop)
+    places = windows.select(*keys, "start", "pad", F.explode(F.sequence(F.lit(0), F.lit(window - 1))).alias("place"))
+    places = places.withColumn("_row", F.greatest(F.col("start") + F.col("place") - F.col("pad"), F.lit(0)).cast("bigint"))
+    return places.drop("pad").join(numbered, [*keys, "_row"]).drop("_row")
+
+
+def pooled_windows(frames: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
+    """Mean and maximum of each feature over each window of ``window_frames``."""
+    return frames.groupBy(*keys, "start").agg(*(f(n).alias(f"{n}_{k}") for n in features for k, f in (("mean", F.avg), ("max", F.max))))
+
+
+def dense(obs: DataFrame, keys: list[str]) -> DataFrame:
+    """Every step from the first to the last of each sequence; unseen steps have nulls."""
+    ends = obs.groupBy(*keys).agg(F.min("step").alias("_a"), F.max("step").alias("_b"))
+    grid = ends.select(*keys, F.explode(F.sequence("_a", "_b")).alias("step"))
+    return grid.join(obs, [*keys, "step"], "left")
+
+
+def long_tracks(obs: DataFrame, fps: float, least_s: float) -> DataFrame:
+    """The rows of tracks with int(least_s * fps) seen steps or more."""
+    keys = _keys(obs)
+    enough = obs.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") >= int(least_s * fps)).select(*keys)
+    return obs.join(enough, keys, "left_semi")
+
+
+def frame_stride(fps: Column, target: float) -> Column:
+    """Every how manieth frame is used; halves round to the even neighbour."""
+    return F.greatest(F.lit(1), F.bround(fps / target, 0)).cast("int")
+
+
+def used_frames(frames: DataFrame, target: float = 10.0) -> DataFrame:
+    """``frames`` (clip, frame_no, fps, start_s, end_s) that are used, with ``t``, the seconds in the clip, and
+    ``step``. A missing fps is 30; the end of the range counts, a missing one is the clip's."""
+    fps = F.coalesce(F.nullif(F.col("fps"), F.lit(0.0)), F.lit(30.0))
+    t = F.coalesce("start_s", F.lit(0.0)) + F.col("frame_no") / fps
+    stride = frame_stride(fps, target)
+    timed = frames.withColumn("t", t).withColumn("step", F.floor(F.col("frame_no") / stride)).withColumn("effective_fps", fps / stride)
+    return timed.where((F.col("frame_no") % stride == 0) & (F.col("end_s").isNull() | (F.col("t") <= F.col("end_s"))))
+
+
+def box_area(box: Column) -> Column:
+    return (box["x2"] - box["x1"]) * (box["y2"] - box["y1"])
 
 
 def gap_filled(grid: DataFrame, keys: list[str], value: str = "d", objects: str = "obj") -> DataFrame:
@@ -55,36 +144,56 @@ def sliding_windows(lengths: DataFrame, window: int, hop: int) -> DataFrame:
     return lengths.where("n > 0").withColumn("start", F.explode(starts)).withColumn("pad", F.greatest(window - F.col("n"), F.lit(0)))
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+SEEN = "array<struct<step:bigint,d:double,obj:double>>"
+
+
+def buffer_scores(seen: Column, low: Column, step: Column, online: OnlineParams, motion: MotionParams, fusion: FusionParams) -> Column:
+    """``struct(obj_score, mot_score, fused)`` of the buffer of steps ``low`` to ``step``; ``seen``, an array of
+    (step, d, obj) in order, holds those of its steps that were seen, at least one.
+
+    A seen step without a distance counts as ``FILL``; unseen ones repeat the step before, and ``FILL`` ahead of
+    the first seen one. Their object score is 0. The object score looks at the last ``window`` steps alone.
+    """
+    until = F.transform(seen, lambda x, i: F.coalesce(F.try_element_at(seen, i + 2)["step"], step + 1))
+    runs = F.arrays_zip(seen.alias("x"), until.alias("next"))
+    ahead = (F.element_at(seen, 1)["step"] - low).cast("int")
+    length = lambda r: (r["next"] - r["x"]["step"]).cast("int")
+    series = F.concat(F.array_repeat(F.lit(FILL), ahead), F.flatten(F.transform(runs, lambda r: F.array_repeat(F.coalesce(r["x"]["d"], F.lit(FILL)), length(r)))))
+    objects = F.concat(F.array_repeat(F.lit(0.0), ahead), F.flatten(F.transform(runs, lambda r: F.concat(F.array(F.coalesce(r["x"]["obj"], F.lit(0.0))), F.array_repeat(F.lit(0.0), length(r) - 1)))))
+    recent = lambda o: F.slice(o, F.greatest(F.size(o) - online.window + 1, F.lit(1)), online.window)
+
+    def judged(s: Column) -> Column:
+        mot = _let(episodes(s, online.fps, motion), lambda e: motion_score(e, F.size(s), online.fps, online.window, motion))
+        obj = _let(objects, lambda o: _let(recent(o), lambda r: percentile(r, fusion.obj_percentile)))
+        return _let(F.struct(obj.alias("obj_score"), mot.alias("mot_score")), lambda x: F.struct(x["obj_score"].alias("obj_score"), x["mot_score"].alias("mot_score"), fuse(x["obj_score"], x["mot_score"], fusion).alias("fused")))
+
+    return _let(series, lambda s: _let(smoothed(s, motion.smooth), judged))
+
+
 def decisions(obs: DataFrame, online: OnlineParams, motion: MotionParams, fusion: FusionParams, first_seen: int | None = None) -> DataFrame:
-    """``track, session, step, obj_score, mot_score, decision, score, reason`` at each due step.
+    """``track, session, step, obj_score, mot_score, decision, score, reason`` (and clip, if given) at each due step.
 
-    Every ``hop`` steps, a live track with enough seen steps in its buffer is judged: the object
-    score is a percentile over the last ``window`` steps, the motion score goes over the whole
-    buffer, filled anew from the buffer's first step. Steps are dealt out by session, and a buffer
-    is at most ``buffer`` steps, so the rows made are a fixed multiple of the grid.
+    Every ``hop`` steps, a live track with enough seen steps in its buffer is judged. Each seen step is dealt to
+    the due steps whose buffers hold it, so the rows made are ``buffer / hop`` times the observations; unseen
+    steps are never rows. A row of ``obs`` is a seen step, with or without a distance.
     """
     need = first_seen if first_seen is not None else max(3, online.window // 3)
-    keyed = sessions(obs, online.max_missing)
-    clip_end = keyed.agg(F.max("step").alias("clip_end"))
-    ends = keyed.groupBy("track", "session").agg(F.min("step").alias("a"), F.max("step").alias("b")).join(F.broadcast(clip_end))
-    grid = ends.select("track", "session", F.explode(F.sequence("a", F.greatest("b", F.least(F.col("b") + online.max_missing, F.col("clip_end"))))).alias("step"))
-    grid = grid.join(keyed, ["track", "session", "step"], "left")
-    order = Window.partitionBy("track", "session").orderBy("step").rowsBetween(-(online.buffer - 1), 0)
-    buffered = grid.select("track", "session", "step", F.collect_list(F.struct(F.col("d").isNotNull().alias("seen"), "d", "obj")).over(order).alias("buf"))
-    due = buffered.where((F.col("step") % online.hop == 0) & (F.size(F.filter("buf", lambda x: x["seen"])) >= need))
-
-    zero = F.struct(F.lit(FILL).alias("last"), F.array().cast("array<double>").alias("out"))
-    fill = lambda a, x: F.struct(F.coalesce(x["d"], a["last"]).alias("last"), F.concat(a["out"], F.array(F.coalesce(x["d"], a["last"]))).alias("out"))
-    series = F.aggregate("buf", zero, fill, lambda a: a["out"])
-    recent = F.transform(F.slice("buf", F.greatest(F.size("buf") - online.window + 1, F.lit(1)), online.window), lambda x: F.coalesce(x["obj"], F.lit(0.0)))
-    # each step is written, as folding projections into one would compute a series once for every use
-    due = materialize(due.select("track", "session", "step", recent.alias("recent"), series.alias("series")), "series")
-    due = due.select("track", "session", "step", percentile(F.col("recent"), fusion.obj_percentile).alias("obj_score"), smoothed(F.col("series"), motion.smooth).alias("series"))
-    due = materialize(due, "smooth")
-    due = materialize(due.withColumn("eps", episodes(F.col("series"), online.fps, motion)), "episodes")
-    due = due.withColumn("mot_score", motion_score(F.col("eps"), F.size("series"), online.fps, online.window, motion)).withColumn("fused", fuse(F.col("obj_score"), F.col("mot_score"), fusion))
-    due = materialize(due.drop("series", "eps"), "fused")
-    return due.select("track", "session", "step", "obj_score", "mot_score", "fused.decision", "fused.score", "fused.reason")
+    keyed, keys = sessions(obs, online.max_missing), [*_keys(obs), "session"]
+    ends = _with_clip_end(keyed.groupBy(*keys).agg(F.min("step").alias("a"), F.max("step").alias("b")), obs)
+    ends = ends.withColumn("stop", F.greatest("b", F.least(F.col("b") + online.max_missing, F.col("clip_end"))))
+    first = F.ceil(F.col("step") / online.hop) * online.hop
+    last = F.least(F.col("step") + online.buffer - 1, F.col("stop"))
+    dealt = keyed.join(ends.select(*keys, "a", "stop"), keys).where(first <= last).withColumn("due", F.explode(F.sequence(first, last, F.lit(online.hop).cast("bigint"))))
+    seen = F.array_sort(F.collect_list(F.struct(F.col("step").cast("bigint").alias("step"), F.col("d").cast("double").alias("d"), F.col("obj").cast("double").alias("obj")))).cast(SEEN)
+    due = dealt.groupBy(*keys, "due").agg(F.min("a").alias("a"), seen.alias("seen")).where(F.size("seen") >= need)
+    low = F.greatest("a", F.col("due") - online.buffer + 1)
+    scored = due.select(*keys, F.col("due").alias("step"), buffer_scores(F.col("seen"), low, F.col("due"), online, motion, fusion).alias("x"))
+    return scored.select(*keys, "step", "x.obj_score", "x.mot_score", "x.fused.decision", "x.fused.score", "x.fused.reason")
 
 
 def percentile(values: Column, q: float) -> Column:
@@ -96,54 +205,78 @@ def percentile(values: Column, q: float) -> Column:
     return F.when(n == 0, 0.0).otherwise(a + (b - a) * (place - low))
 
 
-def events(judged: DataFrame, p: EventParams, ends: DataFrame | None = None) -> DataFrame:
-    """Hysteresis events: ``track, session, start_step, end_step, peaks, n_positive, triggered_by``.
+EVENT = "struct<start:bigint,stop:bigint,score:double,obj:double,mot:double,reasons:array<string>>"
+MACHINE = f"struct<hist:array<boolean>,neg:int,open:{EVENT},out:array<{EVENT}>>"
 
-    ``k_on`` positives among the last ``n_on`` decisions open an event, ``m_off`` negatives in a row close
-    it. ``ends`` (track, session, close_step) closes what is still open at the end of a session. Each session is
-    folded once over its ordered decisions.
-    """
-    item = F.struct("step", "decision", "score", "obj_score", "mot_score", "reason")
-    rows = judged.groupBy("track", "session").agg(F.array_sort(F.collect_list(item)).alias("rows"))
-    event = "struct<start:bigint,stop:bigint,score:double,obj:double,mot:double,reasons:array<string>>"
-    state = f"struct<hist:array<boolean>,neg:int,open:{event},out:array<{event}>>"
-    zero = F.struct(F.array().cast("array<boolean>").alias("hist"), F.lit(0).alias("neg"), F.lit(None).cast(event).alias("open"), F.array().cast(f"array<{event}>").alias("out")).cast(state)
+
+def machine_start() -> Column:
+    return F.struct(F.array().cast("array<boolean>").alias("hist"), F.lit(0).alias("neg"), F.lit(None).cast(EVENT).alias("open"), F.array().cast(f"array<{EVENT}>").alias("out")).cast(MACHINE)
+
+
+def machine_run(rows: Column, start: Column, p: EventParams) -> Column:
+    """The event machine's state after the decisions in ``rows``, an array of structs in the order of steps,
+    from the state ``start``; ``out`` holds the events that closed."""
 
     def step(a: Column, x: Column) -> Column:
         grown = F.concat(a["hist"], F.array(x["decision"]))
         hist = F.slice(grown, F.greatest(F.size(grown) - p.n_on + 1, F.lit(1)), p.n_on)
         neg = F.when(x["decision"], 0).otherwise(a["neg"] + 1)
-        fresh = F.struct(x["step"].cast("bigint").alias("start"), F.lit(None).cast("bigint").alias("stop"), F.lit(0.0).alias("score"), F.lit(0.0).alias("obj"), F.lit(0.0).alias("mot"), F.array().cast("array<string>").alias("reasons")).cast(event)
+        fresh = F.struct(x["step"].cast("bigint").alias("start"), F.lit(None).cast("bigint").alias("stop"), F.lit(0.0).alias("score"), F.lit(0.0).alias("obj"), F.lit(0.0).alias("mot"), F.array().cast("array<string>").alias("reasons")).cast(EVENT)
         held = F.coalesce(a["open"], F.when(F.size(F.filter(hist, lambda h: h)) >= p.k_on, fresh))
 
         def grow(e: Column) -> Column:
-            more = F.struct(e["start"].alias("start"), e["stop"].alias("stop"), F.greatest(e["score"], x["score"]).alias("score"), F.greatest(e["obj"], x["obj_score"]).alias("obj"), F.greatest(e["mot"], x["mot_score"]).alias("mot"), F.concat(e["reasons"], F.array(x["reason"])).alias("reasons")).cast(event)
+            more = F.struct(e["start"].alias("start"), e["stop"].alias("stop"), F.greatest(e["score"], x["score"]).alias("score"), F.greatest(e["obj"], x["obj_score"]).alias("obj"), F.greatest(e["mot"], x["mot_score"]).alias("mot"), F.concat(e["reasons"], F.array(x["reason"])).alias("reasons")).cast(EVENT)
             return F.when(e.isNotNull() & x["decision"], more).otherwise(e)
 
         def close(e: Column) -> Column:
             ends_now = e.isNotNull() & (neg >= p.m_off)
-            done = F.struct(e["start"].alias("start"), x["step"].cast("bigint").alias("stop"), *(e[c].alias(c) for c in ("score", "obj", "mot", "reasons"))).cast(event)
-            return F.struct(hist.alias("hist"), neg.alias("neg"), F.when(~ends_now, e).alias("open"), F.when(ends_now, F.concat(a["out"], F.array(done))).otherwise(a["out"]).alias("out")).cast(state)
+            done = F.struct(e["start"].alias("start"), x["step"].cast("bigint").alias("stop"), *(e[c].alias(c) for c in ("score", "obj", "mot", "reasons"))).cast(EVENT)
+            return F.struct(hist.alias("hist"), neg.alias("neg"), F.when(~ends_now, e).alias("open"), F.when(ends_now, F.concat(a["out"], F.array(done))).otherwise(a["out"]).alias("out")).cast(MACHINE)
+
+        return _let(_let(held, grow), close)
+
+    return F.aggregate(rows, start, step)
+
+
+def decision_rows() -> Column:
+    return F.array_sort(F.collect_list(F.struct("step", "decision", "score", "obj_score", "mot_score", "reason")))
+
 
-        return F.element_at(F.transform(F.transform(F.array(held), grow), close), 1)
+def event_columns(e: str = "e") -> list[Column]:
+    """Start, end, peaks and reasons of an event struct; the end is null while it is open."""
+    kinds = F.array_sort(F.array_distinct(f"{e}.reasons"))
+    histogram = F.map_from_arrays(kinds, F.transform(kinds, lambda r: F.size(F.filter(f"{e}.reasons", lambda y: y == r))))
+    peaks = [F.col(f"{e}.{c}").alias(n) for c, n in (("score", "peak_score"), ("obj", "peak_object"), ("mot", "peak_motion"))]
+    return [F.col(f"{e}.start").alias("start_step"), F.col(f"{e}.stop").alias("end_step"), *peaks, F.size(f"{e}.reasons").alias("n_positive"), histogram.alias("triggered_by")]
 
-    finish = lambda a: F.when(a["open"].isNull(), a["out"]).otherwise(F.concat(a["out"], F.array(a["open"])))
-    found = rows.select("track", "session", F.explode(F.aggregate("rows", zero, step, finish)).alias("e"))
+
+def events(judged: DataFrame, p: EventParams, ends: DataFrame | None = None, ordered: bool = False) -> DataFrame:
+    """Hysteresis events: ``track, session, start_step, end_step, peaks, n_positive, triggered_by`` (and clip, if given).
+
+    ``k_on`` positives among the last ``n_on`` decisions open an event, ``m_off`` negatives in a row close
+    it. ``ends`` (track, session, close_step) closes what is still open at the end of a session. Each session is
+    folded once over its ordered decisions. ``ordered``: by start, then track.
+    """
+    keys = [*_keys(judged), "session"]
+    after = judged.groupBy(*keys).agg(decision_rows().alias("rows")).select(*keys, machine_run(F.col("rows"), machine_start(), p).alias("m"))
+    every = F.when(F.col("m.open").isNull(), F.col("m.out")).otherwise(F.concat("m.out", F.array("m.open")))
+    found = after.select(*keys, F.explode(every).alias("e")).select(*keys, *event_columns())
     if ends is not None:
-        found = found.join(ends, ["track", "session"], "left")
-    else:
-        found = found.withColumn("close_step", F.lit(None).cast("bigint"))
-    kinds = F.array_sort(F.array_distinct("e.reasons"))
-    histogram = F.map_from_arrays(kinds, F.transform(kinds, lambda r: F.size(F.filter("e.reasons", lambda y: y == r))))
-    return found.select("track", "session", F.col("e.start").alias("start_step"), F.coalesce("e.stop", "close_step").alias("end_step"), F.col("e.score").alias("peak_score"), F.col("e.obj").alias("peak_object"), F.col("e.mot").alias("peak_motion"), F.size("e.reasons").alias("n_positive"), histogram.alias("triggered_by"))
+        found = found.join(ends, keys, "left").withColumn("end_step", F.coalesce("end_step", "close_step")).drop("close_step")
+    return found.orderBy("start_step", *keys) if ordered else found
 
 
 def session_ends(obs: DataFrame, max_missing: int) -> DataFrame:
     """``close_step``: the step after ``max_missing`` unseen ones, or the step after the clip's last."""
-    keyed = sessions(obs, max_missing)
-    last = keyed.agg(F.max("step").alias("clip_end"))
-    per = keyed.groupBy("track", "session").agg(F.max("step").alias("b")).join(F.broadcast(last))
-    return per.select("track", "session", F.least(F.col("b") + max_missing + 1, F.col("clip_end") + 1).cast("bigint").alias("close_step"))
+    keyed, keys = sessions(obs, max_missing), [*_keys(obs), "session"]
+    per = _with_clip_end(keyed.groupBy(*keys).agg(F.max("step").alias("b")), obs)
+    return per.select(*keys, F.least(F.col("b") + max_missing + 1, F.col("clip_end") + 1).cast("bigint").alias("close_step"))
+
+
+def active_tracks(found: DataFrame, step: Column) -> DataFrame:
+    """The sessions with an event that is open at ``step``."""
+    keys = [*_keys(found), "session"]
+    return found.where((F.col("start_step") <= step) & (F.col("end_step").isNull() | (F.col("end_step") > step))).select(*keys).distinct()
 
 
 def main_track(tracks: DataFrame) -> DataFrame:

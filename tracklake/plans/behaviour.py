@@ -48,12 +48,7 @@ UNION ALL SELECT m.track, m.session, open_at, least(e.b + 25, e.c + 1), n FROM m
 
 
 def _grid(spark, sf):
-    obs = V.observations(spark, sf)
-    keyed = T.sessions(obs, ONLINE.max_missing).join(F.broadcast(obs.agg(F.max("step").alias("clip_end"))))
-    ends = keyed.groupBy("track", "session").agg(F.min("step").alias("a"), F.max("step").alias("b"), F.first("clip_end").alias("c"))
-    grid = ends.select("track", "session", F.explode(F.sequence("a", F.greatest("b", F.least(F.col("b") + ONLINE.max_missing, F.col("c"))))).alias("step"))
-    seen = keyed.select("track", "session", "step", "d", "obj", F.lit(1).alias("present"))
-    return grid.join(seen, ["track", "session", "step"], "left").withColumn("present", F.coalesce("present", F.lit(0)))
+    return T.session_grid(V.observations(spark, sf).select("track", "step", "d", "obj"), ONLINE.max_missing)
 
 
 def track_sessions(spark, sf):

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tracklake.functions.geometry import polygon_box
 from tracklake.functions.names import IMAGE_TYPES, label_path, name_key
@@ -45,6 +47,12 @@ def source_register(spark: SparkSession, config: dict) -> tuple[DataFrame, DataF
     return spark.createDataFrame(rows, SOURCES), spark.createDataFrame(pairs, CLASS_MAP).withColumn("name", name_key(F.col("name")))
 
 
+def names_table(spark: SparkSession, names: dict[str, list | dict]) -> DataFrame:
+    """``source, src_id, name``: the class names of each source by number."""
+    rows = [(source, i, str(n)) for source, own in names.items() for i, n in enumerate(class_names(own))]
+    return spark.createDataFrame(rows, "source string, src_id int, name string")
+
+
 def class_names(names: list | dict) -> list[str]:
     """Names of a dataset, given as a list or by number."""
     return [names[k] for k in sorted(names, key=int)] if isinstance(names, dict) else list(names)
@@ -71,23 +79,108 @@ def read_labels(spark: SparkSession, folder: str) -> DataFrame:
     return parse_labels(whole)
 
 
-def list_images(spark: SparkSession, folder: str) -> DataFrame:
-    """``path, split, label`` of the images under a folder; only names are read, in no order."""
+SPLITS = ("train", "valid", "val", "test")
+
+
+def list_images(spark: SparkSession, folder: str, types: tuple[str, ...] = IMAGE_TYPES, ordered: bool = False) -> DataFrame:
+    """``path, split, label`` of the images under a folder; only names are read.
+
+    With folders ``<split>/images`` these alone count; without any, every image below the folder does,
+    with an empty split. ``ordered``: by split as trainers name them, then by path.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path")
-    split = F.regexp_extract("path", r"/(train|valid|val|test)/images/[^/]*$", 1)
-    return files.where(F.lower(F.substring_index("path", ".", -1)).isin(*IMAGE_TYPES)).select("path", split.alias("split"), label_path(F.col("path")).alias("label"))
+    named = files.where(F.lower(F.substring_index("path", ".", -1)).isin(*types)).withColumn("split", F.regexp_extract("path", r"/(train|valid|val|test)/images/[^/]*$", 1))
+    some = named.agg(F.coalesce(F.max(F.col("split") != ""), F.lit(False)).alias("some"))
+    out = named.join(F.broadcast(some)).where(~F.col("some") | (F.col("split") != "")).select("path", "split", label_path(F.col("path")).alias("label"))
+    rank = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, SPLITS)), F.col("split")), F.lit(0)), F.lit(len(SPLITS) + 1))
+    return out.orderBy(rank, "path") if ordered else out
+
+
+def image_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """``path, width, height`` from the image files; unreadable ones are left out."""
+    read = spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True).load(folder)
+    return read.select(F.col("image.origin").alias("path"), "image.width", "image.height")
+
+
+def labelled(images: DataFrame, labels: DataFrame) -> DataFrame:
+    """Each image with its boxes, one row a box; an image without a label file, or with an empty one, has one row of nulls."""
+    return images.join(labels.withColumnRenamed("path", "label"), "label", "left")
+
+
+def pixel_truth(labels: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``image, gt_idx, cls, x1, y1, x2, y2`` in pixels, from ``labelled`` rows (path, line_no, cls, box) and image sizes."""
+    own = labels.where("cls IS NOT NULL").join(sizes, "path")
+    half = {"x": F.col("w") / 2, "y": F.col("h") / 2}
+    side = {"x": F.col("width"), "y": F.col("height")}
+    corners = [((F.col(f"c{c}") + sign * half[c]) * side[c]).alias(f"{c}{n}") for n, sign in ((1, -1), (2, 1)) for c in ("x", "y")]
+    return own.select(F.col("path").alias("image"), F.col("line_no").alias("gt_idx"), "cls", *corners)
 
 
 def read_paths(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where("trim(value) <> ''").select(F.trim("value").alias("path"))
 
 
-def read_clip_labels(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CLIP_LABELS).option("header", True).csv(path)
+def read_clip_labels(spark: SparkSession, path: str, root: str = "") -> DataFrame:
+    """Clip labels; paths that are not absolute are taken below ``root``."""
+    clips = spark.read.schema(CLIP_LABELS).option("header", True).csv(path)
+    if not root:
+        return clips
+    whole = F.col("video_path").rlike(r"^(/|[A-Za-z][A-Za-z0-9+.-]*:)")
+    return clips.withColumn("video_path", F.when(whole, F.col("video_path")).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), "video_path")))
+
+
+def encoded_maps(df: DataFrame) -> DataFrame:
+    """Map columns as JSON text, for formats that have no maps."""
+    return df.withColumns({f.name: F.to_json(f.name) for f in df.schema.fields if f.dataType.typeName() == "map"})
+
+
+def write_table(df: DataFrame, path: str, form: str = "parquet", by: list[str] | None = None) -> None:
+    """The sink of every step's table: manifests, pair samples, negatives, mined lists, track summaries, tracks.
+    ``form`` parquet keeps all types; csv has a header and maps as JSON."""
+    writer = (encoded_maps(df) if form == "csv" else df).write.mode("overwrite")
+    writer = writer.partitionBy(*by) if by else writer
+    writer.option("header", True).csv(path) if form == "csv" else writer.parquet(path)
 
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(MANIFEST).parquet(path)
+def read_table(spark: SparkSession, path: str, schema: str | StructType, form: str = "parquet") -> DataFrame:
+    """What ``write_table`` wrote; JSON text in a map column is decoded."""
+    kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if form == "parquet":
+        return spark.read.schema(kind).parquet(path)
+    flat = StructType([StructField(f.name, StringType() if f.dataType.typeName() == "map" else f.dataType) for f in kind])
+    read = spark.read.schema(flat).option("header", True).csv(path)
+    return read.select(*(F.from_json(f.name, f.dataType.simpleString()).alias(f.name) if f.dataType.typeName() == "map" else F.col(f.name) for f in kind))
+
+
+def read_manifest(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
+    return read_table(spark, path, MANIFEST, form)
+
+
+def write_tracks(rows: DataFrame, path: str) -> None:
+    """Sequences (label, clip, track, step, features), one folder a label."""
+    write_table(rows.sortWithinPartitions("clip", "track", "step"), path, by=["label"])
+
+
+def read_tracks(spark: SparkSession, path: str) -> DataFrame:
+    """The sequences of ``write_tracks``; their order is the columns clip, track and step, not that of files."""
+    return spark.read.parquet(path)
+
+
+def decoded_frames(spark: SparkSession, folder: str, decode: Callable[[str, bytes], Iterator[dict]], schema: str, types: tuple[str, ...] = ("mp4", "avi", "mov", "mkv")) -> DataFrame:
+    """Frames of the clips under a folder by the caller's decoder (path, content) -> rows of ``schema``; a clip is
+    one task's work. Without a decoder, pipelines start from a table of observations."""
+    clips = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).where(F.lower(F.substring_index("path", ".", -1)).isin(*types))
+
+    def run(batches):
+        import pandas as pd
+
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                rows = list(decode(path, content))
+                if rows:
+                    yield pd.DataFrame(rows)
+
+    return clips.select("path", "content").mapInPandas(run, schema)
 
 
 def label_lines(boxes: DataFrame) -> DataFrame:
@@ -97,6 +190,13 @@ def label_lines(boxes: DataFrame) -> DataFrame:
     return boxes.groupBy("image").agg(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n").alias("value"))
 
 
+def write_labels(images: DataFrame, boxes: DataFrame, folder: str) -> None:
+    """A folder of text for each image, with a line for each box, and an empty text for images without boxes.
+    ``images`` holds image, ``boxes`` image, box_idx, cls and the box."""
+    texts = images.select("image").distinct().join(label_lines(boxes), "image", "left")
+    texts.select("image", F.coalesce("value", F.lit("")).alias("value")).write.mode("overwrite").partitionBy("image").text(folder)
+
+
 def write_splits(split: DataFrame, folder: str) -> None:
     """One folder of text for each split, one path a line."""
     split.select("split", F.col("path").alias("value")).write.mode("overwrite").partitionBy("split").text(folder)
@@ -107,9 +207,27 @@ def write_report(report: DataFrame, path: str) -> None:
 
 
 def dataset_config(classes: list[str], folder: str) -> str:
-    """The dataset description that trainers read, as text."""
-    return json.dumps({"path": folder, "train": "train", "val": "val", "test": "test", "names": dict(enumerate(classes))}, indent=1)
-
-
-def format_report(metrics: dict[str, float | None]) -> str:
-    return "\n".join(f"{k:<24}{'n/a' if v is None else f'{v:.4f}'}" for k, v in metrics.items())
+    """The dataset description that trainers read, as YAML."""
+    rows = [f"path: {json.dumps(folder)}", *(f"{s}: splits/{s}.txt" for s in ("train", "val", "test")), "names:", *(f"  {i}: {json.dumps(c)}" for i, c in enumerate(classes))]
+    return "\n".join(rows) + "\n"
+
+
+def format_report(report: dict) -> str:
+    """Text of a report: ``map50``, ``ap50`` and ``n_gt`` by class, ``image_level`` counts and rates, ``recall_by_size`` and
+    ``n_by_size``. Numbers have three decimals, missing ones read nan."""
+    f = lambda v: "nan" if v is None else f"{v:.3f}"
+    level = report["image_level"]
+    head = [f"mAP@0.5: {f(report['map50'])}", "", f"{'class':<12} AP@0.5   boxes"]
+    rows = [f"{c:<12} {f(v):>6}   {report['n_gt'].get(c, 0)}" for c, v in report["ap50"].items()]
+    rates = f"image level @conf {level['conf_thr']}: precision {f(level['precision'])}  recall {f(level['recall'])}  false-positive rate {f(level['fpr'])}"
+    counts = " ".join(f"{k} {level[k]}" for k in ("tp", "fp", "fn", "tn"))
+    sizes = "  ".join(f"{k} {f(v)} (n={report['n_by_size'].get(k, 0)})" for k, v in report["recall_by_size"].items())
+    return "\n".join([*head, *rows, "", f"{rates}  ({counts})", f"recall by object size: {sizes}"])
+
+
+def audit_text(source: dict, images: dict, classes: list[dict]) -> str:
+    """Markdown of one source's audit: ``source`` (name, role, version, license), ``images`` (n_images, n_empty),
+    ``classes`` (src_id, name, n_boxes, n_images, target; target "" is dropped, None unmapped)."""
+    head = f"## {source['name']}  (role: {source['role']}, version {source['version']}, license: {source['license']})"
+    rows = [f"| {c['src_id']} | {c['name']} | {c['n_boxes']} | {c['n_images']} | {'**UNMAPPED**' if c['target'] is None else c['target'] or 'drop'} |" for c in classes]
+    return "\n".join([head, "", f"{images['n_images']} images, {images['n_empty']} with no boxes.", "", "| id | class name | boxes | images | maps to |", "| --- | --- | --- | --- | --- |", *rows, ""])

@@ -1,58 +1,120 @@
-"""The event machine as a stream: one state for each track, fed by decisions in step order."""
+"""The online pipeline as streams: observations -> buffers -> decisions -> events.
+
+The buffers are the one stateful step with a state of its own; scores and events use the definitions of
+``operators.tracks``, so batch and stream cannot drift apart.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tracklake.params import EventParams
+from tracklake.operators.tracks import EVENT, MACHINE, SEEN, buffer_scores, decision_rows, event_columns, machine_run, machine_start
+from tracklake.params import EventParams, FusionParams, MotionParams, OnlineParams
+
+OBSERVATION = "clip bigint, track bigint, ts timestamp, step bigint, d double, obj double"
+BUFFER = f"clip bigint, track bigint, session bigint, step bigint, low bigint, seen {SEEN}, closed_at bigint"
+STATE = "steps array<bigint>, ds array<double>, objs array<double>, first bigint, session bigint, clock bigint"
+
+
+def observation_stream(spark: SparkSession, folder: str, schema: str = OBSERVATION, files_per_batch: int = 100) -> DataFrame:
+    """Observations that arrive as Parquet files in a folder."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
-EVENTS = "track long, start_step long, end_step long, peak_score double, n_positive int"
-STATE = "hist array<boolean>, neg int, start long, score double, n int, last long"
 
+class _Buffers:
+    """What one track of one clip does with its observations, in the order of their steps."""
 
-def _machine(p: EventParams):
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        hist, neg, start, score, n, last = state.get if state.exists else ([], 0, None, 0.0, 0, -1)
-        hist, out = list(hist), []
+    def __init__(self, p: OnlineParams, need: int, step_ms: int):
+        self.p, self.need, self.step_ms = p, need, step_ms
+
+    def due(self, key: tuple, kept: list, first: int, session: int, a: int, b: int) -> list[tuple]:
+        """A row for each due step from a to b at which enough of the buffer was seen."""
+        rows = []
+        for s in range(-(-a // self.p.hop) * self.p.hop, b + 1, self.p.hop):
+            low = max(first, s - self.p.buffer + 1)
+            seen = [{"step": t, "d": d, "obj": o} for t, d, o in kept if low <= t <= s]
+            if len(seen) >= self.need:
+                rows.append((*key, session, s, low, seen, None))
+        return rows
+
+    def __call__(self, key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        steps, ds, objs, first, session, clock = state.get if state.exists else ([], [], [], None, 0, None)
+        kept, out = list(zip(steps, ds, objs, strict=True)), []
+        alive = self.p.max_missing
         if state.hasTimedOut:
-            if start is not None:
-                out.append((key[0], start, last, score, n))
+            last = kept[-1][0]
+            out += self.due(key, kept, first, session, clock + 1, last + alive)
+            out.append((*key, session, None, None, None, last + alive + 1))
             state.remove()
         else:
-            rows = pd.concat(list(batches)).sort_values("step")
-            for step, decision, value in zip(rows["step"].tolist(), rows["decision"].tolist(), rows["score"].tolist(), strict=True):
-                hist, neg, last = [*hist, bool(decision)][-p.n_on :], 0 if decision else neg + 1, step
-                if start is None and sum(hist) >= p.k_on:
-                    start, score, n = step, 0.0, 0
-                if start is not None:
-                    if decision:
-                        score, n = max(score, value), n + 1
-                    if neg >= p.m_off:
-                        out.append((key[0], start, step, score, n))
-                        start = None
-            state.update((hist, neg, start, score, n, last))
-            state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), int(rows["ts"].max().timestamp() * 1000)) + run.close_ms)
-        yield pd.DataFrame(out, columns=["track", "start_step", "end_step", "peak_score", "n_positive"])
-
-    run.close_ms = 60_000
-    return run
-
-
-def event_stream(decisions: DataFrame, p: EventParams | None = None, delay: str = "10 minutes", close_ms: int = 60_000) -> DataFrame:
-    """Events of a stream of decisions (track, ts, step, decision, score).
-
-    Late rows beyond ``delay`` are dropped by the watermark; a track unheard of for ``close_ms`` of event
-    time is closed and its state removed, so state is bounded by the live tracks.
+            rows = pd.concat(list(batches)).sort_values("step").drop_duplicates("step")
+            for t, d, o in zip(rows["step"].tolist(), rows["d"].tolist(), rows["obj"].tolist(), strict=True):
+                if clock is not None and t <= clock:
+                    continue  # late beyond what has been judged
+                if kept:
+                    last = kept[-1][0]
+                    out += self.due(key, kept, first, session, clock + 1, min(t - 1, last + alive))
+                    if t - last > alive + 1:
+                        out.append((*key, session, None, None, None, last + alive + 1))
+                        kept, first, session = [], None, session + 1
+                first = t if first is None else first
+                kept = [k for k in kept if k[0] > t - self.p.buffer] + [(t, None if pd.isna(d) else d, None if pd.isna(o) else o)]
+                out += self.due(key, kept, first, session, t, t)
+                clock = t
+            if kept:
+                state.update(([k[0] for k in kept], [k[1] for k in kept], [k[2] for k in kept], first, session, clock))
+                state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs() + 1, int(rows["ts"].max().timestamp() * 1000) + (alive + 1) * self.step_ms))
+        yield pd.DataFrame(out, columns=["clip", "track", "session", "step", "low", "seen", "closed_at"]).astype({c: "Int64" for c in ("session", "step", "low", "closed_at")})
+
+
+def decision_stream(obs: DataFrame, online: OnlineParams, motion: MotionParams | None = None, fusion: FusionParams | None = None, first_seen: int | None = None, delay: str = "10 minutes", step_ms: int = 100) -> DataFrame:
+    """Decisions of a stream of observations (clip, track, ts, step, d, obj), as ``operators.tracks.decisions`` makes them,
+    and for each session that has ended a row with ``closed_at`` and no decision.
+
+    A track's state is its buffer. It is judged at a due step as soon as a later observation of the track, or
+    the watermark, shows that the step is over; a track unheard of for ``max_missing`` steps is closed by the
+    watermark and its state removed. Later observations of steps that are over are left out.
     """
-    machine = _machine(p or EventParams())
-    machine.close_ms = close_ms
-    timed = decisions.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
-    return timed.groupBy("track").applyInPandasWithState(machine, EVENTS, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    need = first_seen if first_seen is not None else max(3, online.window // 3)
+    timed = obs.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+    made = timed.groupBy("clip", "track").applyInPandasWithState(_Buffers(online, need, step_ms), BUFFER, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    x = F.when(F.col("closed_at").isNull(), buffer_scores(F.col("seen"), F.col("low"), F.col("step"), online, motion or MotionParams(), fusion or FusionParams()))
+    return made.withColumn("x", x).select("clip", "track", "session", "step", "x.obj_score", "x.mot_score", "x.fused.decision", "x.fused.score", "x.fused.reason", "closed_at")
+
+
+def write_events(decisions: DataFrame, folder: str, p: EventParams | None = None) -> StreamingQuery:
+    """Events of a stream of ``decision_stream`` rows, as Parquet under ``folder/events``; ends when the stream has
+    no more data for now.
+
+    The machines of all open sessions are a table, read and written with each batch under the batch's number,
+    so a batch that is run again gives the same. ``folder/state`` tells which sessions are active: those with ``m.open``.
+    """
+    params, keys = p or EventParams(), ["clip", "track", "session"]
+
+    def run(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        held = spark.read.parquet(f"{folder}/state/{number - 1}") if number else None
+        fresh = batch.where("decision IS NOT NULL").groupBy(*keys).agg(decision_rows().alias("rows"))
+        closed = batch.where("closed_at IS NOT NULL").groupBy(*keys).agg(F.max("closed_at").alias("closed_at"))
+        joined = fresh.join(closed, keys, "full")
+        joined = joined.join(held, keys, "full") if held is not None else joined.withColumn("m", F.lit(None))
+        start = F.coalesce(F.col("m").cast(MACHINE), machine_start()) if held is not None else machine_start()
+        after = joined.select(*keys, "closed_at", machine_run(F.coalesce("rows", F.array()), start, params).alias("m"))
+        path = f"{folder}/machines/{number}"
+        after.write.mode("overwrite").parquet(path)
+        after = spark.read.parquet(path)
+        rest = F.when(F.col("closed_at").isNotNull() & F.col("m.open").isNotNull(), F.array(F.col("m.open").withField("stop", F.col("closed_at")))).otherwise(F.array().cast(f"array<{EVENT}>"))
+        after.select(*keys, F.explode(F.concat("m.out", rest)).alias("e")).select(*keys, *event_columns()).write.mode("overwrite").parquet(f"{folder}/events/batch={number}")
+        cleared = F.col("m").withField("out", F.array().cast(f"array<{EVENT}>"))
+        after.where("closed_at IS NULL").select(*keys, cleared.alias("m")).write.mode("overwrite").parquet(f"{folder}/state/{number}")
+
+    return decisions.writeStream.foreachBatch(run).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
 
 
 def hop_scores(observations: DataFrame, window: str = "6 hours", hop: str = "1 hour", delay: str = "1 hour") -> DataFrame:

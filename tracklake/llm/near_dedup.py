@@ -15,7 +15,8 @@ from tracklake.llm._text import encoded, hashes, long_column, mix, pieces, shing
 from tracklake.storage import discard, materialize
 
 SKETCH = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, lanes binary"
-LANES = 16  # bins whose last four bits make one 64-bit word
+BROADCAST_BYTES = 64 << 20
+SHORT, WORDS = 256, 16  # sets of at most SHORT shingles have a bitmap of WORDS * 64 bits, larger ones four bits of WORDS * 16 bins
 
 
 @lru_cache
@@ -64,10 +65,15 @@ def _sketches(bands: int, rows: int, width: int):
             for r in range(rows):
                 key = mix(key + signs.reshape(n, bands, rows)[:, :, r])
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(size > 0, bands, 0))]).astype(np.int32)), long_column(key[size > 0].ravel()))
-            wide = np.zeros((n, -(-bands * rows // LANES) * LANES), np.uint64)
-            wide[:, : bands * rows] = signs & np.uint64(15)
-            lanes = (wide.reshape(n, -1, LANES) << (np.uint64(4) * np.arange(LANES, dtype=np.uint64))).sum(axis=2, dtype=np.uint64)
-            packed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * lanes.shape[1]), n, [None, pa.py_buffer(np.ascontiguousarray(lanes))]).cast(pa.binary())
+            short = (size > 0) & (size <= SHORT)
+            marks = np.zeros((n, 64 * WORDS), bool)
+            for i in np.flatnonzero(short):
+                marks[i, (h[bounds[i] : bounds[i + 1]] >> np.uint64(20)) % np.uint64(64 * WORDS)] = True
+            wide = np.zeros((n, 16 * WORDS), np.uint64)
+            wide[:, : bands * rows] = signs[:, : 16 * WORDS] & np.uint64(15)
+            lanes = (wide.reshape(n, WORDS, 16) << (np.uint64(4) * np.arange(16, dtype=np.uint64))).sum(axis=2, dtype=np.uint64)
+            lanes[short] = np.packbits(marks[short], axis=1).view(np.uint64)
+            packed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * WORDS), n, [None, pa.py_buffer(np.ascontiguousarray(lanes))]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(size), long_column(k1), long_column(k2), lists, packed], names=["doc_id", "n_shingles", "k1", "k2", "bands", "lanes"])
 
     return run
@@ -96,18 +102,27 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _close(percent: int, bins: int) -> Close:
-    """Sizes and sketches that two sets at the threshold can have: the sketches differ in as many bins as
-    the similarity says, and 4.75 standard deviations more, counted over the bins that small sets fill."""
+    """Sizes and signatures that two sets at the threshold can have.
+
+    For small sets the signature is a bitmap of the shingles: the union has as many members as the two
+    bitmaps together have bits at least, which bounds the similarity from above for certain. For larger ones it
+    is a part of the sketch: it differs in as many bins as the similarity says, and 4.75 standard deviations more.
+    """
+    bins = min(bins, 16 * WORDS)
     apart = (1 - percent / 100) * 15 / 16
+    most = bins * (apart + 4.75 * np.sqrt(apart * (1 - apart) / (bins * (1 - np.exp(-SHORT / bins)))))
 
     def near(x: dict, y: dict) -> np.ndarray:
         low, high = np.minimum(x["n"], y["n"]), np.maximum(x["n"], y["n"])
-        differ = x["lanes"] ^ y["lanes"]
+        fits = 100 * low >= percent * high
+        small, large = np.flatnonzero(fits & (high <= SHORT)), np.flatnonzero(fits & (low > SHORT))
+        union = np.bitwise_count(x["lanes"][small] | y["lanes"][small]).sum(axis=1, dtype=np.int64)
+        fits[small] = (100 + percent) * union <= 100 * (low + high)[small]
+        differ = x["lanes"][large] ^ y["lanes"][large]
         differ |= differ >> np.uint64(2)
         differ |= differ >> np.uint64(1)
-        count = np.bitwise_count(differ & np.uint64(0x1111111111111111)).sum(axis=1, dtype=np.int64)
-        filled = bins * (1 - np.exp(-low / bins))
-        return (100 * low >= percent * high) & (count <= bins * (apart + 4.75 * np.sqrt(apart * (1 - apart) / filled)))
+        fits[large] = np.bitwise_count(differ & np.uint64(0x1111111111111111)).sum(axis=1, dtype=np.int64) <= most
+        return fits
 
     return Close(["n", "lanes"], near)
 
@@ -117,7 +132,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5, bands: i
 
     Documents with the same shingle set are collapsed first. The representatives are banded;
     each bucket gives star edges from the member that shares most buckets with others. Pairs whose
-    whole sketches exclude the threshold are left out, and every other one is verified on the full sets. Buckets whose members still lie in different components are read
+    signatures exclude the threshold are left out, and every other one is verified on the full sets. Buckets whose members still lie in different components are read
     again until no pair across components is untested, so all pairs that share a band count. Two documents at the
     threshold share one of the 64 bands of 6 with a probability above 0.99999.
 
@@ -131,10 +146,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5, bands: i
     reps = materialize(reps, "representatives")
     keys = reps.select("rep", F.explode("bands").alias("key"))
     members = shared_buckets(keys, reps.select("rep", "n", "lanes"))
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    sets = materialize(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(width), "doc_id long, hashes array<long>"), "sets")
+    wanted = materialize(members.select(F.col("rep").alias("doc_id")).distinct(), "wanted")
+    small = 48 * wanted.count() <= BROADCAST_BYTES  # beyond, the texts are shuffled
+    sets = materialize(docs.join(F.broadcast(wanted) if small else wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(width), "doc_id long, hashes array<long>"), "sets")
     components = linked_components(members, lambda pairs: _verified(pairs, sets, percent), _close(percent, bands * rows), order="company")
-    discard(members, sets)
+    discard(members, sets, wanted)
     named = reps.select("k1", "k2", "rep").join(components.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
     out = sketches.select("doc_id", "n_shingles", "k1", "k2").join(materialize(named, "classes"), ["k1", "k2"], "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))

@@ -11,6 +11,7 @@ from tracklake.operators import tracks as T
 from tracklake.params import EventParams, FusionParams, MotionParams, OnlineParams
 from tracklake.plans import views as V
 from tracklake.plans.views import with_views
+from tracklake.storage import materialize
 
 ONLINE = OnlineParams(fps=1.0, window=12, hop=6, buffer=48, max_missing=24)
 MOTION, FUSION, EVENTS = MotionParams(), FusionParams(), EventParams()
@@ -157,15 +158,78 @@ def group_fold(spark, sf):
     return L.group_fold(rows, 0.2, F.md5(F.col("group").cast("string"))).select("group", "label", "val")
 
 
-def window_classifier(spark, sf):
-    """Scores of the window classifier on the gap-filled windows; no SQL equivalent."""
-    w = T.gap_filled(_grid(spark, sf), ["track", "session"]).groupBy("track", "session").agg(F.avg("d").alias("mean_d"), F.min("d").alias("min_d"), F.max("obj").alias("max_obj"), F.avg("obj").alias("mean_obj"))
-    rows = w.withColumn("label", F.col("max_obj") >= 0.9)
-    scored = L.fit_windows(rows, ["mean_d", "min_d", "mean_obj"]).transform(rows)
-    return scored.select("track", "session", "label", F.col("prediction").cast("int").alias("predicted"))
+CLASSES = ["cigarette", "vape"]
+
+
+def _frames(spark, sf):
+    """Observations as frames with features, some of which are missing, in two clips."""
+    o = V.observations(spark, sf).where("step < 400").withColumn("clip", F.col("step") % 2)
+    d = F.round("d", 6)
+    left, right = F.when(F.col("cls") != 1, d), F.when(F.col("cls") != 2, F.least(F.lit(3.0), d + 0.25))
+    values = {"d_left": left, "d_right": right, "d_min": F.least(left, right), "l_elbow_angle": F.when(F.col("cls") != 3, F.col("conf")), "nose_conf": F.when(F.col("cls") != 4, F.col("conf")), "obj_cigarette": F.col("obj"), "obj_vape": 1 - F.col("conf")}
+    names = ["l_wrist_above_shoulder", "r_wrist_above_shoulder", "r_elbow_angle", "l_wrist_conf", "r_wrist_conf"]
+    f = F.struct(*(v.alias(n) for n, v in values.items()), *(F.lit(0.5).alias(n) for n in names))
+    return o.select("clip", "track", F.floor(F.col("step") / 2).alias("step"), f.alias("f"))
+
+
+def _features(spark, sf):
+    return T.sequence_features(T.dense(_frames(spark, sf), ["clip", "track"]), ["clip", "track"], CLASSES)
+
+
+def sequence_features(spark, sf):
+    names = [*T.BASE_FEATURES, "obj_cigarette", "obj_vape"]
+    return _features(spark, sf).select("clip", "track", "step", *(F.round(F.col(n) + 0.0, 6).alias(n) for n in names))
+
+
+def window_frames(spark, sf):
+    rows = V.table(spark, sf, "conversations").select("conv_id", F.col("turn").alias("step"), F.length("text").alias("n_chars"))
+    return T.window_frames(rows, ["conv_id"], 4, 2).select("conv_id", "start", "place", "step", "n_chars")
 
 
-QUERIES = {f.__name__: f for f in (track_sessions, track_grid, gap_filled, moving_average, sliding_windows, rolling_decisions, track_decisions, track_events, event_peaks, main_tracks, track_summary, median_interval, subsampled, clip_roles, feature_moments, standardised, auroc, f1_score, class_balance, group_fold, window_classifier)}
+def pooled_windows(spark, sf):
+    frames = T.window_frames(_features(spark, sf), ["clip", "track"], 24, 12)
+    return T.pooled_windows(frames, ["clip", "track"], ["d_min", "obj_cigarette"]).select("clip", "track", "start", *(F.round(F.col(c), 6).alias(c) for c in ("d_min_mean", "d_min_max", "obj_cigarette_mean", "obj_cigarette_max")))
+
+
+def clip_decisions(spark, sf):
+    """Decisions of tracks whose numbers begin anew in each of three clips."""
+    o = V.observations(spark, sf).select(F.floor(F.col("step") / 200).alias("clip"), "track", (F.col("step") % 200).alias("step"), "d", "obj")
+    out = T.decisions(o, ONLINE, MOTION, FUSION)
+    return out.select("clip", "track", "session", "step", F.round("obj_score", 6).alias("obj_score"), F.round("mot_score", 6).alias("mot_score"), "decision", "reason")
+
+
+def used_frames(spark, sf):
+    """Frames of clips of 30, 25 and unknown frames a second, within a range of time."""
+    e = V.table(spark, sf, "events").select((F.col("event_id") % 3).alias("clip"), F.floor(F.col("event_id") / 3).alias("frame_no"))
+    fps = F.when(F.col("clip") == 0, 30.0).when(F.col("clip") == 1, 25.0)
+    clips = e.withColumn("fps", fps).withColumn("start_s", F.when(F.col("clip") == 1, 2.0)).withColumn("end_s", F.when(F.col("clip") != 2, 40.0))
+    return T.used_frames(clips, 10.0).select("clip", "frame_no", "step", F.round("t", 6).alias("t"), F.round("effective_fps", 6).alias("effective_fps"))
+
+
+def long_tracks(spark, sf):
+    return T.long_tracks(V.observations(spark, sf), 10.0, 1.95).groupBy("track").agg(F.count("*").alias("seen"))
+
+
+def window_classifier(spark, sf):
+    """Scores of held-out windows by a classifier whose label, a purchase in the clip, is none of its features; no SQL equivalent."""
+    bought = V.observations(spark, sf).where("step < 400").groupBy((F.col("step") % 2).alias("clip"), "track").agg((F.sum((F.col("cls") == 3).cast("int")) >= 2).alias("label"))
+    names = ["d_min", "obj_cigarette", "d_min_delta", "present"]
+    pooled = T.pooled_windows(T.window_frames(_features(spark, sf), ["clip", "track"], 24, 12), ["clip", "track"], names).join(bought, ["clip", "track"])
+    rows = materialize(L.group_fold(pooled.withColumnRenamed("track", "group"), 0.2, F.md5(F.col("group").cast("string"))), "labelled-windows")
+    model, _ = L.fit_windows(rows.where("NOT val"), rows.where("val"), [f"{n}_{k}" for n in names for k in ("mean", "max")])
+    return L.window_scores(model, rows.where("val")).select("clip", F.col("group").alias("track"), "start", "label", F.round("score", 4).alias("score"))
+
+
+QUERIES = {f.__name__: f for f in (track_sessions, track_grid, gap_filled, moving_average, sliding_windows, rolling_decisions, track_decisions, track_events, event_peaks, main_tracks, track_summary, median_interval, subsampled, clip_roles, feature_moments, standardised, auroc, f1_score, class_balance, group_fold, window_classifier, sequence_features, window_frames, pooled_windows, clip_decisions, used_frames, long_tracks)}
+FEATURES = """fr AS (SELECT step % 2 AS clip, track, step // 2 AS step, cls, round(d, 6) AS d, conf, obj FROM obs WHERE step < 400),
+f AS (SELECT clip, track, step, CASE WHEN cls <> 1 THEN d END AS l, CASE WHEN cls <> 2 THEN least(3.0, d + 0.25) END AS r, CASE WHEN cls <> 3 THEN conf END AS el, CASE WHEN cls <> 4 THEN conf END AS nc, obj AS oc, 1 - conf AS ov FROM fr),
+allsteps AS (SELECT clip, track, unnest(generate_series(min(step), max(step))) AS step FROM f GROUP BY clip, track),
+own AS (SELECT s.clip, s.track, s.step, f.step IS NOT NULL AS seen, CASE WHEN f.step IS NOT NULL THEN {'l': coalesce(l, 3.0), 'r': coalesce(r, 3.0), 'm': coalesce(least(l, r), 3.0), 'el': coalesce(el, 1.0), 'nc': coalesce(nc, 0.0)} END AS v, coalesce(oc, 0.0) AS oc, coalesce(ov, 0.0) AS ov FROM allsteps s LEFT JOIN f ON s.clip = f.clip AND s.track = f.track AND s.step = f.step),
+held AS (SELECT clip, track, step, seen, last_value(v IGNORE NULLS) OVER (PARTITION BY clip, track ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v, oc, ov FROM own),
+feats AS (SELECT clip, track, step, v.l AS d_left, v.r AS d_right, v.m AS d_min, v.m - coalesce(lag(v.m) OVER (PARTITION BY clip, track ORDER BY step), v.m) AS d_min_delta, 0.5 AS l_wrist_above_shoulder, 0.5 AS r_wrist_above_shoulder, v.el AS l_elbow_angle, 0.5 AS r_elbow_angle, v.nc AS nose_conf, 0.5 AS l_wrist_conf, 0.5 AS r_wrist_conf, seen::INT::DOUBLE AS present, oc AS obj_cigarette, ov AS obj_vape FROM held)"""
+FEATURE_NAMES = ["d_left", "d_right", "d_min", "d_min_delta", "l_wrist_above_shoulder", "r_wrist_above_shoulder", "l_elbow_angle", "r_elbow_angle", "nose_conf", "l_wrist_conf", "r_wrist_conf", "present", "obj_cigarette", "obj_vape"]
+CLIPPED = "clipped AS (SELECT step // 200 AS clip, track, step % 200 AS step, d, obj FROM obs)"
+IN_CLIPS = ", ".join((GRID, DECIDED)).replace("FROM obs) AS c", "FROM clipped o WHERE o.clip = sess.clip) AS c").replace("FROM obs", "FROM clipped").replace("track, session", "clip, track, session").replace("PARTITION BY track", "PARTITION BY clip, track").replace("s.track = o.track", "s.clip = o.clip AND s.track = o.track").replace("SELECT s.track, s.session", "SELECT s.clip, s.track, s.session").replace("SELECT x.track, x.session", "SELECT x.clip, x.track, x.session")
 SCORED = "sc AS (SELECT d < 0.6 AS label, conf AS score FROM obs)"
 ORACLE_SQL = {
     "track_sessions": with_views("SELECT track, session::BIGINT AS session, count(*) AS seen, min(step) AS first_step, max(step) AS last_step FROM sess GROUP BY ALL", "obs", more=SESSION),
@@ -187,4 +251,12 @@ ORACLE_SQL = {
     "f1_score": with_views("SELECT count(*) FILTER (score >= 0.5 AND label) AS tp, count(*) FILTER (score >= 0.5 AND NOT label) AS fp, count(*) FILTER (score < 0.5 AND label) AS fn, round(2 * tp / (2 * tp + fp + fn), 9) AS f1 FROM sc", "obs", more=SCORED),
     "class_balance": with_views("SELECT count(*) FILTER (label) AS pos, count(*) FILTER (NOT label) AS neg, round(neg / greatest(pos, 1), 9) AS pos_weight FROM sc", "obs", more=SCORED),
     "group_fold": with_views("SELECT grp AS \"group\", label, place <= ceil(n / f) AS val FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(grp::VARCHAR), grp) AS place, count(*) OVER (PARTITION BY label) AS n FROM g), (SELECT greatest(2, least(5, min(n))) AS f FROM (SELECT count(*) AS n FROM g GROUP BY label))", "obs", more="g AS (SELECT track AS grp, max(obj) >= 0.99 AS label FROM obs GROUP BY 1)"),
+    "event_peaks": with_views("""SELECT track, session::BIGINT AS session, start_step, round(max(score), 3) AS peak_score, round(max(obj_score), 3) AS peak_object, round(max(mot_score), 3) AS peak_motion, '{' || string_agg('"' || reason || '":' || n, ',' ORDER BY reason) || '}' AS triggered_by
+        FROM (SELECT e.track, e.session, start_step, reason, max(score) AS score, max(obj_score) AS obj_score, max(mot_score) AS mot_score, count(*) AS n FROM evs e JOIN judged j ON e.track = j.track AND e.session = j.session AND j.decision AND j.step BETWEEN e.start_step AND e.end_step GROUP BY ALL) GROUP BY ALL""", "obs", recursive=True, more=f"{GRID}, {DECIDED}, {EVENT}"),
+    "sequence_features": with_views("SELECT clip, track, step, " + ", ".join(f"round({n} + 0.0, 6) AS {n}" for n in FEATURE_NAMES) + " FROM feats", "obs", more=FEATURES),
+    "window_frames": "WITH c AS (SELECT conv_id, turn AS step, length(text)::INT AS n_chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS k, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations), s AS (SELECT DISTINCT conv_id, n, unnest(list_append(generate_series(0, greatest(n - 4, 0), 2), greatest(n - 4, 0))) AS start FROM c), p AS (SELECT *, unnest(range(4))::INT AS place FROM s) SELECT p.conv_id, start, place, step, n_chars FROM p JOIN c ON p.conv_id = c.conv_id AND c.k = greatest(start + place - greatest(4 - p.n, 0), 0)",
+    "pooled_windows": with_views("SELECT clip, track, start, round(avg(d_min), 6) AS d_min_mean, round(max(d_min), 6) AS d_min_max, round(avg(obj_cigarette), 6) AS obj_cigarette_mean, round(max(obj_cigarette), 6) AS obj_cigarette_max FROM (SELECT p.clip, p.track, start, d_min, obj_cigarette FROM (SELECT *, unnest(range(24)) AS place FROM (SELECT DISTINCT clip, track, n, unnest(list_append(generate_series(0, greatest(n - 24, 0), 12), greatest(n - 24, 0))) AS start FROM numbered)) p JOIN numbered c ON p.clip = c.clip AND p.track = c.track AND c.k = greatest(start + place - greatest(24 - p.n, 0), 0)) GROUP BY ALL", "obs", more=FEATURES + ", numbered AS (SELECT *, row_number() OVER (PARTITION BY clip, track ORDER BY step) - 1 AS k, count(*) OVER (PARTITION BY clip, track) AS n FROM feats)"),
+    "clip_decisions": with_views("SELECT clip, track, session::BIGINT AS session, step, round(obj_score, 6) AS obj_score, round(mot_score, 6) AS mot_score, decision, reason FROM judged", "obs", recursive=True, more=f"{CLIPPED}, {IN_CLIPS}"),
+    "used_frames": "WITH e AS (SELECT event_id % 3 AS clip, event_id // 3 AS frame_no FROM events), c AS (SELECT clip, frame_no, CASE clip WHEN 1 THEN 25.0 ELSE 30.0 END::DOUBLE AS fps, CASE clip WHEN 1 THEN 2.0 ELSE 0.0 END::DOUBLE AS start_s, CASE clip WHEN 2 THEN NULL ELSE 40.0 END AS end_s, CASE clip WHEN 1 THEN 2 ELSE 3 END AS stride FROM e) SELECT clip, frame_no, frame_no // stride AS step, round(start_s + frame_no / fps, 6) AS t, round(fps / stride, 6) AS effective_fps FROM c WHERE frame_no % stride = 0 AND (end_s IS NULL OR start_s + frame_no / fps <= end_s)",
+    "long_tracks": with_views("SELECT track, count(*) AS seen FROM obs GROUP BY 1 HAVING count(*) >= 19", "obs"),
 }

@@ -27,13 +27,24 @@ WORD = r"[^\x20\x09-\x0D]"
 
 
 def _by_row(stage: Callable) -> Callable:
-    """The stage on rows whose ``doc_id`` is a key of the row, with the given doc_id in ``given``; the keys
-    follow the order of the table, so that of equal documents the first is the one that stays."""
+    """The stage on rows whose ``doc_id`` is a key of the row, with the given doc_id in ``given``. The key is
+    the doc_id where one row alone has it; rows without doc_id, and rows that share one, get keys above
+    all others. So each row follows its own verdict, and of copies the smallest doc_id stays."""
 
     @wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        keyed = docs.select(*COLUMNS).withColumn("given", F.col("doc_id")).withColumn("doc_id", F.monotonically_increasing_id())
-        return stage(spark, keyed, sf_dir).withColumn("doc_id", F.col("given")).select(*COLUMNS)
+        docs = docs.select(*COLUMNS).withColumn("given", F.col("doc_id")).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+        own = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("shared"), F.lit(True).alias("rekeyed"))
+        keyed = None
+        if not own.isEmpty():
+            top = max(0, docs.agg(F.max("doc_id")).first()[0] or 0)
+            key = F.when(F.col("rekeyed"), F.lit(top + 1) + F.monotonically_increasing_id()).otherwise(F.col("doc_id"))
+            docs = keyed = materialize(docs.join(own, F.col("doc_id").eqNullSafe(F.col("shared")), "left").withColumn("doc_id", key).drop("shared", "rekeyed"), "keyed")
+        out = stage(spark, docs, sf_dir).withColumn("doc_id", F.col("given")).select(*COLUMNS)
+        if keyed is not None:
+            out = materialize(out, "unkeyed")
+            discard(keyed)
+        return out
 
     return run
 
@@ -59,7 +70,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 @_by_row
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first row of each group of near duplicates stays, repeated rows included; texts without words stay."""
+    """Of each group of near duplicates, repeated rows included, the one with the smallest key stays; texts without words stay."""
     lost = materialize(near_duplicates(docs).where("NOT kept").select("doc_id"), "near-copies")
     return docs.join(lost, "doc_id", "left_anti")
 

@@ -6,12 +6,14 @@ work on single bytes, so whole batches are handled as byte arrays.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
+TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -19,9 +21,17 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+def tidy() -> None:
+    """Give free memory back to the system: a worker lives on for other tasks, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if TRIM is not None:
+        TRIM(0)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``limit`` bytes of text each; one row at least."""
     for batch in batches:
+        tidy()
         n = batch.num_rows
         if not n:
             continue
@@ -33,6 +43,8 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             stop = min(n, max(stop, start + 1))
             yield batch.slice(start, stop - start)
             start = stop
+        batch = texts = None
+    tidy()
 
 
 def _offsets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -25,16 +25,16 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def without_repeats(vectors: DataFrame) -> DataFrame:
-    """``vec_id, vector`` without repeats of the same row; nothing is moved where no id stands twice."""
-    vectors = vectors.select("vec_id", "vector")
+    """``vec_id, vector`` without repeats of the same row and without null ids; nothing is moved where no id stands twice."""
+    vectors = vectors.where("vec_id IS NOT NULL").select(F.col("vec_id").cast("bigint").alias("vec_id"), "vector")
     if vectors.groupBy("vec_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
         return vectors
     return materialize(vectors.distinct(), "vectors")
 
 
 def one_a_query(queries: DataFrame) -> DataFrame:
-    """``vec_id, vector`` with one row an id; of several vectors the smallest."""
-    return queries.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    """``vec_id, vector`` with one row an id; of several vectors the smallest. Null ids ask nothing."""
+    return queries.where("vec_id IS NOT NULL").withColumn("vec_id", F.col("vec_id").cast("bigint")).groupBy("vec_id").agg(F.min("vector").alias("vector"))
 
 
 def width_of(vectors: DataFrame, column: str) -> int:

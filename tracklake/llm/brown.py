@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklake.llm._text import encoded, hashes, pieces, words
+from tracklake.llm._text import encoded, hashes, pieces, tidy, words
 from tracklake.storage import discard, materialize, materialize_by
 
 END = b" "  # no word holds a space
@@ -105,6 +105,7 @@ def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
     for batch in batches:
         for row in range(batch.num_rows):
             yield _Block(batch, row)
+            tidy()
 
 
 def _slices(buckets: int):
@@ -311,6 +312,7 @@ def _assign(shared, classes: int, with_counts: bool):
     counted neighbours stay, and get the class with most bigrams if they have none."""
 
     def run(merged: pa.Table, contexts: pa.Table) -> pa.Table:
+        tidy()
         g = shared.value
         empty = pa.table({"bucket": pa.array([], pa.int32()), "block": pa.array([], pa.int64()), "cls": pa.array([], pa.binary()), "counts": pa.array([], pa.binary()), "stats": pa.array([], pa.list_(pa.int64()))})
         if not merged.num_rows:

@@ -223,7 +223,7 @@ def forest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, trees
 
     On 51,282 vectors of 64 components almost without clusters, 123 of 4,096 leaves find 0.95 of
     the neighbours and meet 36 % of the rows; of fewer vectors, 20 are a larger part and take more.
-    Repeated rows count once; an id with several vectors is a candidate with each, and asks with the
+    Repeated rows count once, rows without id not at all; an id with several vectors is a candidate with each, and asks with the
     smallest. No vectors or no queries give no rows.
     """
     spark = vectors.sparkSession

@@ -25,7 +25,7 @@ from tracklake.llm._text import pieces, text_bytes
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE = 300_000
+CACHE = 150_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, bytes | int]]:

@@ -109,7 +109,7 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, bits: int =
     passes through the driver.
 
     Of equal scores the smaller vec_id comes first; the row with the query's own vec_id is no
-    candidate. Repeated rows count once; an id with several vectors is a candidate with each, and
+    candidate. Repeated rows count once, rows without id not at all; an id with several vectors is a candidate with each, and
     asks with the smallest. No vectors or no queries give no rows.
     """
     spark = vectors.sparkSession

@@ -86,10 +86,10 @@ def fit_windows(train: DataFrame, val: DataFrame, features: list[str], noise: fl
     z = {f: f"greatest(-10D, least(10D, (`{f}` - {stats[f + '_mean']!r}D) / {stats[f + '_std']!r}D))" for f in features}
     scaled = SQLTransformer(statement=f"SELECT *, {', '.join(f'{e} AS `z_{f}`' for f, e in z.items())} FROM __THIS__")
     noisy = train.withColumns({f: F.col(f) + noise * float(stats[f + "_std"]) * F.randn(seed + i) for i, f in enumerate(features)})
-    noisy = materialize(noisy.withColumn("weight", F.when(F.col("label"), F.lit(weight)).otherwise(1.0)).withColumn("y", F.col("label").cast("double")), "noisy-windows")
+    noisy = materialize(noisy.withColumn("_weight", F.when(F.col("label"), F.lit(weight)).otherwise(1.0)).withColumn("_target", F.col("label").cast("double")), "noisy-windows")
     best = (None, -1.0)
     for c in strengths:
-        stages = [scaled, VectorAssembler(inputCols=[f"z_{f}" for f in features], outputCol="features"), LogisticRegression(labelCol="y", weightCol="weight", maxIter=steps, regParam=c)]
+        stages = [scaled, VectorAssembler(inputCols=[f"z_{f}" for f in features], outputCol="features"), LogisticRegression(labelCol="_target", weightCol="_weight", maxIter=steps, regParam=c)]
         model = Pipeline(stages=stages).fit(noisy)
         area = auroc(window_scores(model, val).select("label", "score")).first().auroc
         if best[0] is None or (area is not None and area > best[1]):

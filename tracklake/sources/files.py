@@ -99,7 +99,8 @@ def list_images(spark: SparkSession, folder: str, types: tuple[str, ...] = IMAGE
 def image_sizes(spark: SparkSession, folder: str) -> DataFrame:
     """``path, width, height`` from the image files; unreadable ones are left out."""
     read = spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True).load(folder)
-    return read.select(F.col("image.origin").alias("path"), "image.width", "image.height")
+    # the image source writes an empty host, the other sources do not
+    return read.select(F.regexp_replace("image.origin", "^(\\w+):///", "$1:/").alias("path"), "image.width", "image.height")
 
 
 def labelled(images: DataFrame, labels: DataFrame) -> DataFrame:

@@ -405,7 +405,7 @@ def _emit(shared, classes: int):
     return run
 
 
-def brown_scores(docs: DataFrame, train: Column, classes: int = 32, seeds: int = 512, sweeps: int = 3) -> DataFrame:
+def brown_scores(docs: DataFrame, train: Column, classes: int = 32, seeds: int = 512, sweeps: int = 5) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity`` of every row.
 
     ``train`` says which rows are learnt from. Tokens are the words, A-Z lower-cased, and one end a text.

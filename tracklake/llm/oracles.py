@@ -57,4 +57,43 @@ cells AS (SELECT s.source, place, sum(size) AS size, sum(sum(size)) OVER (PARTIT
 cuts AS (SELECT source, place + CASE WHEN 2 * (need - upto + size) >= size THEN 1 ELSE 0 END AS cut FROM cells WHERE upto > need QUALIFY row_number() OVER (PARTITION BY source ORDER BY place) = 1)
 SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM (SELECT s.*, source_size, target, whole + CASE WHEN place < coalesce(cut, 0) THEN 1 ELSE 0 END AS copies FROM sizes s JOIN budgets b ON s.source IS NOT DISTINCT FROM b.source LEFT JOIN cuts c ON s.source IS NOT DISTINCT FROM c.source)"""
 
-ORACLE_SQL = {"op2_kd_shards": kd_shards(), "op4_near_duplicates": NEAR, "op7_va_file": EXACT, "op9_mix_sources": MIX}
+PRIVATE = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+    "ip": (r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "len(list_filter(string_split(v, '.'), lambda p: p::DOUBLE > 255)) = 0"),
+    "card": (r"[0-9](?:[\x20-]?[0-9])+", "length(d) BETWEEN 16 AND 19 AND list_sum(list_transform(range(length(d)), lambda i: CASE WHEN i % 2 = 0 THEN d[length(d) - i]::INT WHEN d[length(d) - i]::INT > 4 THEN 2 * d[length(d) - i]::INT - 9 ELSE 2 * d[length(d) - i]::INT END)) % 10 = 0"),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "length(d) BETWEEN 8 AND 15"),
+}
+
+
+def _found(name: str, source: str, pattern: str, more: str = "") -> str:
+    """Matches of a pattern with their places in code points, from the matches and the gaps between them."""
+    return f"""{name}_lists AS (SELECT doc_id{more}, regexp_extract_all(t, '{pattern}') AS f, regexp_split_to_array(t, '{pattern}') AS g FROM {source}),
+{name} AS (SELECT doc_id{more}, f[i] AS v, (list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: length(x))), 0))::BIGINT AS a FROM (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM {name}_lists))"""
+
+
+def private() -> str:
+    """Base spans by kind; then the terms that tell of their values, counted over distinct texts."""
+    ctes = ["docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)"]
+    for kind, (pattern, test) in PRIVATE.items():
+        ctes.append(_found(f"all_{kind}", "docs", pattern))
+        ctes.append(f"own_{kind} AS (SELECT doc_id, '{kind}' AS kind, a, a + length(v) AS b, v FROM (SELECT *, regexp_replace(v, '[^0-9]', '', 'g') AS d FROM all_{kind}) WHERE {test})")
+    ctes += [
+        "base AS (" + " UNION ALL ".join(f"SELECT *, {k} AS k FROM own_{kind}" for k, kind in enumerate(PRIVATE)) + ")",
+        "held AS (SELECT DISTINCT doc_id, kind || ':' || lower(v) AS entity FROM base)",
+        "texts AS (SELECT min(doc_id) AS doc_id, t FROM docs GROUP BY t)",
+        "known AS (SELECT entity, count(*) AS n_entity FROM held SEMI JOIN texts USING (doc_id) GROUP BY 1 HAVING count(*) >= 3)",
+        r"terms AS (SELECT doc_id, unnest(list_distinct(list_filter(regexp_split_to_array(lower(t), '[\x20\x09-\x0D]+'), lambda w: regexp_matches(w, '\p{L}')))) AS term FROM texts)",
+        "n_term AS (SELECT term, count(*) AS n_term FROM terms GROUP BY 1)",
+        "both_counts AS (SELECT entity, any_value(n_entity) AS n_entity, term, count(*) AS n_both FROM held JOIN known USING (entity) JOIN terms USING (doc_id) GROUP BY entity, term HAVING count(*) >= 3 AND NOT contains(entity, term))",
+        "flagged AS (SELECT entity, term FROM both_counts JOIN n_term USING (term), (SELECT count(*) AS n FROM texts) WHERE ln(n::DOUBLE * n_both / (greatest(n_term, n_both) * n_entity)) >= 0.8 * ln(n::DOUBLE / n_entity))",
+        "tellers AS (SELECT d.doc_id, t FROM docs d SEMI JOIN (SELECT doc_id FROM held JOIN flagged USING (entity)) h ON d.doc_id = h.doc_id)",
+        _found("placed", "tellers", WORD),
+        r"hits AS (SELECT DISTINCT p.doc_id, a, a + length(v) AS b FROM placed p JOIN held h ON p.doc_id = h.doc_id JOIN flagged f ON f.entity = h.entity AND f.term = lower(p.v) WHERE regexp_matches(v, '\p{L}'))",
+        "free AS (SELECT * FROM hits h WHERE NOT EXISTS (SELECT 1 FROM base x WHERE x.doc_id = h.doc_id AND x.a < h.b AND h.a < x.b))",
+        "shown AS (SELECT doc_id, kind, k, a, kind || ':' || a || ':' || b AS s FROM base UNION ALL SELECT doc_id, 'term', 9, a, 'term:' || a || ':' || b FROM free)",
+    ]
+    counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in PRIVATE)
+    return f"""WITH {", ".join(ctes)} SELECT docs.doc_id, {counts}, sha256(coalesce(string_agg(s, ',' ORDER BY k, a) FILTER (kind <> 'term'), '')) AS base_sha256, coalesce(string_agg(s, ',' ORDER BY k, a), '') AS spans FROM docs LEFT JOIN shown ON docs.doc_id = shown.doc_id GROUP BY docs.doc_id"""
+
+
+ORACLE_SQL = {"op2_kd_shards": kd_shards(), "op4_near_duplicates": NEAR, "op6_sanitise": private(), "op7_va_file": EXACT, "op9_mix_sources": MIX}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracklake.storage import materialize
+from tracklake.storage import discard, materialize
 
 KINDS = ("email", "ip", "card", "phone")
 # Each finds what the plain pattern finds from left to right. The guard in front lets a search start
@@ -71,8 +71,8 @@ def find_private(docs: DataFrame, threshold: float = 0.8, support: int = 3) -> D
     log(N n(t,e) / (n(t) n(e))). Where that reaches ``threshold`` of the entity's own information
     log(N / n(e)), and both stand together in ``support`` different texts at least, t discloses e:
     in all texts that hold e, each occurrence of t outside of the base spans is a term span. Pairs
-    are made only of terms and entities of the same text, and texts that are equal count once
-    in all four counts.
+    are made only of terms and entities of the same text, of which terms that are too frequent to reach the
+    threshold are left out first; texts that are equal count once in all four counts.
 
     Null and empty texts have no spans. A null doc_id stays null; repeated rows are handled each.
     An empty table gives no rows. Other columns are ignored.
@@ -90,20 +90,24 @@ def find_private(docs: DataFrame, threshold: float = 0.8, support: int = 3) -> D
     def terms(t: Column) -> Column:
         return F.filter(F.array_distinct(F.split(F.lower(t), r"[\x20\x09-\x0D]+")), lambda w: w.rlike(r"\p{L}"))
 
-    pairs = holders.select("row", "digest", "text", F.explode("entities").alias("entity"))
-    n_entity = holders.dropDuplicates(["digest"]).select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
+    distinct = docs.select(text.alias("text")).withColumn("digest", F.xxhash64("text")).dropDuplicates(["digest"])
+    n_term = materialize(distinct.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term")).where(F.col("n_term") >= support), "terms-counted")
+    pairs = holders.select("row", "digest", F.explode("entities").alias("entity"))
+    own_texts = holders.dropDuplicates(["digest"])
+    n_entity = own_texts.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
     n_entity = materialize(n_entity, "entities")
     known = materialize(pairs.join(n_entity, "entity"), "holders")
-    both = known.dropDuplicates(["digest", "entity"]).select("entity", "n_entity", F.explode(terms(F.col("text"))).alias("term"))
-    both = both.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.first("n_entity").alias("n_entity")).where(F.col("n_both") >= support)
-    both = materialize(both.where(~F.contains("entity", "term")), "pairs")
-    distinct = docs.select(text.alias("text")).withColumn("digest", F.xxhash64("text")).dropDuplicates(["digest"])
-    n_term = distinct.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    of_texts = known.dropDuplicates(["digest", "entity"]).select("digest", "entity", "n_entity")
+    counted = own_texts.select("digest", F.explode(terms(F.col("text"))).alias("term")).join(n_term, "term")
+    # n_both is n_entity at most, so no term more frequent than this can reach the threshold with the entity
+    rare = F.col("n_term") <= F.pow(F.col("n_entity").cast("double"), F.lit(threshold)) * float(max(1, n_docs)) ** (1 - threshold) * (1 + 1e-9)
+    both = of_texts.join(counted, "digest").where(rare).groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.first("n_entity").alias("n_entity"), F.first("n_term").alias("n_term"))
+    both = both.where((F.col("n_both") >= support) & ~F.contains("entity", "term"))
     told = F.log(F.lit(float(n_docs)) * F.col("n_both") / (F.greatest("n_term", "n_both") * F.col("n_entity")))
     shares = told >= threshold * F.log(F.lit(float(n_docs)) / F.col("n_entity"))
-    flagged = materialize(both.join(n_term, "term").where(shares).select("entity", "term", F.lit(True).alias("flagged")), "flagged")
+    flagged = materialize(both.where(shares).select("entity", "term", F.lit(True).alias("flagged")), "flagged")
     # the words of the texts that hold an entity with a flagged term, with their places
-    tellers = known.join(flagged.select("entity").distinct(), "entity").groupBy("row").agg(F.first("text").alias("text"), F.collect_set("entity").alias("held"))
+    tellers = known.join(flagged.select("entity").distinct(), "entity").groupBy("row").agg(F.collect_set("entity").alias("held")).join(holders.select("row", "text"), "row")
     parts = F.arrays_zip(F.split("text", WORD, -1).alias("gap"), F.regexp_extract_all("text", F.lit(WORD), 0).alias("word"))
     placed = tellers.select("row", "held", F.posexplode(parts).alias("k", "x")).where("x.word IS NOT NULL").select("row", "held", "k", F.col("x.word").alias("word"), F.length("x.gap").alias("gap"))
     reach = Window.partitionBy("row").orderBy("k")
@@ -111,6 +115,7 @@ def find_private(docs: DataFrame, threshold: float = 0.8, support: int = 3) -> D
     hits = placed.select("row", "stop", "word", "term", F.explode("held").alias("entity")).join(flagged, ["entity", "term"])
     hits = hits.groupBy("row").agg(F.array_sort(F.collect_set(F.struct((F.col("stop") - F.length("word")).alias("begin"), "stop", F.col("word").alias("value")))).alias("term"))
     found = rows.join(materialize(hits, "terms"), "row", "left")
+    discard(n_term, n_entity, known, flagged)
     base = F.concat(*KINDS)
     free = F.filter("term", lambda t: ~F.exists(base, lambda b: (b["begin"] < t["stop"]) & (t["begin"] < b["stop"])))
     return found.select("doc_id", *KINDS, F.coalesce(free, F.array().cast(SPAN)).alias("term"))

@@ -12,11 +12,11 @@ from pyspark.sql import SparkSession
 
 from tracklake.plans import registry
 
-HEADLINE = ["source_audit", "class_sample", "hamming_pairs", "components", "keep_policy", "match_detections", "nms", "average_precision", "image_level", "recall_by_size", "gap_filled", "moving_average", "rolling_decisions", "track_decisions", "track_events", "auroc"]
+HEADLINE = ["source_audit", "class_sample", "hamming_pairs", "components", "keep_policy", "match_detections", "nms", "average_precision", "image_level", "recall_by_size", "gap_filled", "moving_average", "rolling_decisions", "track_decisions", "track_events", "auroc", "sequence_features", "curation_run"]
 
 
 def main() -> None:
-    sf_dir, cpus, warm = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"), os.environ.get("BENCH_CPUS", "8"), int(os.environ.get("BENCH_WARM", "1"))
+    sf_dir, cpus, warm = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"), os.environ.get("BENCH_CPUS", "8"), int(os.environ.get("BENCH_WARM", "3"))
     conf = {"spark.sql.shuffle.partitions": "16", "spark.driver.memory": "8g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.session.timeZone": "UTC"}
     spark = SparkSession.builder.master(f"local[{cpus}]").config(map=conf).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

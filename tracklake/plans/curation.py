@@ -127,8 +127,7 @@ def hamming_pairs(spark, sf):
 
 
 def duplicate_groups(spark, sf):
-    pairs = hamming_pairs(spark, sf)
-    return D.groups(V.manifest(spark, sf), pairs.select(F.col("i").alias("src"), F.col("j").alias("dst")))
+    return D.groups(V.manifest(spark, sf), D.hamming_edges(materialize(_simhash(spark, sf), "simhash")))
 
 
 def components(spark, sf):

@@ -120,7 +120,7 @@ def _merged(components: DataFrame | None, linked: DataFrame) -> DataFrame:
     return out
 
 
-def linked_components(members: DataFrame, verified: Callable[[DataFrame], DataFrame], close: Close | None = None, order: str = "rep") -> DataFrame:
+def linked_components(members: DataFrame, verified: Callable[[DataFrame], DataFrame], close: Close | None = None, order: str = "rep", waves: int = 1) -> DataFrame:
     """``(node, component)`` of all linked members of ``members`` (key, rep, ``order``, columns of ``close``).
 
     ``verified`` adds ``linked`` to distinct pairs (hub, rep), hub < rep. In the first round the first
@@ -129,11 +129,14 @@ def linked_components(members: DataFrame, verified: Callable[[DataFrame], DataFr
     Buckets that still span several components are read again from there, with four times as many
     pairs, until every member has been a hub. So each close pair of a bucket is tested once or has
     its ends in one component, while a bucket of like members gives a star. A bucket is read by one
-    task; it holds the bucket's numbers, no texts.
+    task; it holds the bucket's numbers, no texts. With ``waves``, one bucket in so many goes ahead, so
+    that members who share many buckets are mostly linked before the others are read.
     """
     columns = ["key", "rep", "component", "start", *(close.columns if close else [])]
     rows = members.withColumn("component", F.col("rep")).withColumn("start", F.lit(0).cast("bigint"))
-    tried, components, owned, growth = [], None, None, 1
+    every, tried, components, owned, growth, ahead = rows, [], None, None, 1, waves > 1
+    if ahead:
+        rows = rows.where(F.pmod("key", F.lit(waves)) == 0)
     while True:
         dealt = rows.repartition("key").sortWithinPartitions("key", order, "rep").select(*columns)
         found = materialize(dealt.mapInArrow(_scan(columns, growth, close), "hub long, rep long, open long, start long"), "scanned")
@@ -147,6 +150,11 @@ def linked_components(members: DataFrame, verified: Callable[[DataFrame], DataFr
             if components is None or not judged.where("linked").isEmpty():
                 components = _merged(components, judged.where("linked"))
         discard(fresh)
+        if ahead:
+            discard(found)
+            named = every.drop("component").join(components.withColumnRenamed("node", "rep"), "rep", "left")
+            rows, ahead = named.withColumn("component", F.coalesce("component", "rep")), False
+            continue
         left = materialize(found.where("open IS NOT NULL").select(F.col("open").alias("key"), "start"), "open")
         discard(found)
         if left.isEmpty():

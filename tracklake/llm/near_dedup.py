@@ -149,7 +149,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5, bands: i
     wanted = materialize(members.select(F.col("rep").alias("doc_id")).distinct(), "wanted")
     small = 48 * wanted.count() <= BROADCAST_BYTES  # beyond, the texts are shuffled
     sets = materialize(docs.join(F.broadcast(wanted) if small else wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(width), "doc_id long, hashes array<long>"), "sets")
-    components = linked_components(members, lambda pairs: _verified(pairs, sets, percent), _close(percent, bands * rows), order="company")
+    components = linked_components(members, lambda pairs: _verified(pairs, sets, percent), _close(percent, bands * rows), order="company", waves=bands // 4)
     discard(members, sets, wanted)
     named = reps.select("k1", "k2", "rep").join(components.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
     out = sketches.select("doc_id", "n_shingles", "k1", "k2").join(materialize(named, "classes"), ["k1", "k2"], "left")

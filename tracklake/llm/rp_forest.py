@@ -116,14 +116,16 @@ def _counted(shared, width: int):
     return run
 
 
-def _dealt(shared, width: int, visits: int | None, least: int = 0):
-    """Rows ``(place, salt, vec_id, data)``: each vector once a tree (``visits`` None), each query once a visited leaf."""
+def _dealt(shared, width: int, kind: str, visits: int | None, least: int = 0):
+    """Rows ``(place, salt, ids, data)``: each vector once a tree (``visits`` None), each query once a visited leaf,
+    packed by leaf within a stretch of rows. ``kind`` is the type of the packed components."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest, salts, counts = shared.value
+        step = 4096 if visits is None else 512
         for big in batches:
-            for first in range(0, big.num_rows, 256):
-                batch = big.slice(first, 256)
+            for first in range(0, big.num_rows, step):
+                batch = big.slice(first, step)
                 v, ids = matrix(batch.column("vector"), width), batch.column("vec_id").to_numpy(zero_copy_only=False)
                 if visits is None:
                     place = (forest.leaf(v) + np.arange(len(forest.planes)) * forest.leaves).astype(np.int64)
@@ -132,24 +134,27 @@ def _dealt(shared, width: int, visits: int | None, least: int = 0):
                     row, place = forest.visited(v, visits, counts, least)
                 mixed = (ids[row].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
                 salt = (mixed % salts[place].astype(np.uint64)).astype(np.int32)
-                data = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width * 8), len(row), [None, pa.py_buffer(np.ascontiguousarray(v[row]))]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(salt), pa.array(ids[row]), data], names=["place", "salt", "vec_id", "data"])
+                order = np.lexsort((salt, place))
+                row, place, salt = row[order], place[order], salt[order]
+                heads = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (salt[1:] != salt[:-1])])[: len(place)])
+                ends = np.append(heads, len(place)).astype(np.int32)
+                packed = [pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(ends * size), pa.py_buffer(np.ascontiguousarray(x))]) for x, size in ((ids[row], 8), (v.astype(kind)[row], width * np.dtype(kind).itemsize))]
+                yield pa.RecordBatch.from_arrays([pa.array(place[heads].astype(np.int32)), pa.array(salt[heads]), *packed], names=["place", "salt", "ids", "data"])
 
     return run
 
 
 def _pack(table: pa.Table) -> pa.Table:
-    ids = table.column("vec_id").to_numpy()
-    data = b"".join(table.column("data").to_pylist())
-    return pa.table({**{c: pa.array([table.column(c)[0].as_py()], pa.int32()) for c in ("place", "salt")}, "ids": pa.array([ids.tobytes()], pa.binary()), "data": pa.array([data], pa.binary())})
+    joined = {c: pa.array([b"".join(table.column(c).to_pylist())], pa.binary()) for c in ("ids", "data")}
+    return pa.table({**{c: table.column(c)[:1] for c in ("place", "salt")}, **joined})
 
 
-def _rerank(width: int, k: int):
+def _rerank(width: int, kind: str, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
                 query_ids, ids = (np.frombuffer(batch.column(c)[r].as_py(), np.int64) for c in ("query_ids", "ids"))
-                q, v = (np.frombuffer(batch.column(c)[r].as_py(), np.float64).reshape(-1, width) for c in ("queries", "data"))
+                q, v = (np.frombuffer(batch.column(c)[r].as_py(), kind).reshape(-1, width).astype(np.float64) for c in ("queries", "data"))
                 near = q @ v.T
                 near[query_ids[:, None] == ids[None, :]] = -np.inf
                 floor = np.partition(near, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(q), -np.inf)
@@ -240,14 +245,15 @@ def forest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, trees
     for r in found.collect():  # at most one row a leaf
         counts[r.place] = r.n
     salts = np.maximum(1, -(-counts // most))
-    rows = "place int, salt int, vec_id long, data binary"
-    dealt = vectors.mapInArrow(_dealt(share_out((forest, salts, counts)), width, None), rows)
+    narrow = F.forall("vector", lambda x: x.cast("float").cast("double") == x)  # then single precision holds them whole
+    kind = "f4" if vectors.unionAll(queries).where(~narrow).isEmpty() else "f8"
+    dealt = vectors.mapInArrow(_dealt(share_out((forest, salts, counts)), width, kind, None), PACKED)
     blocks = materialize(dealt.groupBy("place", "salt").applyInArrow(_pack, PACKED), "leaves")
     visits = _visits(vectors, sample, forest, counts, width, k, recall, probes)
     query_salts = np.full(size, -(-queries.count() // most), np.int64)
-    asked = queries.mapInArrow(_dealt(share_out((forest, query_salts, counts)), width, visits, k + 1), rows)
+    asked = queries.mapInArrow(_dealt(share_out((forest, query_salts, counts)), width, kind, visits, k + 1), PACKED)
     asked = materialize(asked.groupBy("place", "salt").applyInArrow(_pack, PACKED), "asked").select("place", F.col("ids").alias("query_ids"), F.col("data").alias("queries"))
     parts = blocks.groupBy("place").agg(F.collect_list("salt").alias("salts"))
     asked = asked.join(parts, "place").select("place", F.explode("salts").alias("salt"), "query_ids", "queries")
-    met = blocks.join(asked, ["place", "salt"]).select("query_ids", "queries", "ids", "data").mapInArrow(_rerank(width, k), "query_id long, ids array<long>, scores array<double>")
+    met = blocks.join(asked, ["place", "salt"]).select("query_ids", "queries", "ids", "data").mapInArrow(_rerank(width, kind, k), "query_id long, ids array<long>, scores array<double>")
     return ranked(met, k)

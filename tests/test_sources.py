@@ -52,6 +52,32 @@ def test_images_and_labels(spark, dataset, tmp_path):
     assert (truth.x1, truth.y1, truth.x2, truth.y2) == (30.0, 16.0, 50.0, 48.0)
 
 
+def test_crops(spark, dataset):
+    from tracklake.functions.crops import crop_images
+
+    path = files.list_images(spark, str(dataset), ordered=True).first().path
+    asked = spark.createDataFrame([(path, "00", (8, 8, 24, 40))], "path string, name string, crop struct<x1:int,y1:int,x2:int,y2:int>")
+    read = spark.read.format("image").option("recursiveFileLookup", True).load(str(dataset))
+    got = crop_images(read, asked).collect()
+    assert len(got) == 1 and bytes(got[0].png) == png(picture(2)[8:40, 8:24])
+
+
+def test_prompts_and_candidates(spark):
+    taxonomy = spark.createDataFrame([(0, "cigarette", []), (1, "vape", ["e-cig", "pod"])], "class_id int, class string, prompts array<string>")
+    assert sorted((r.class_id is None, r.prompt) for r in annotations.prompts(taxonomy, background=True).collect()) == [(False, "cigarette"), (False, "e-cig"), (False, "pod"), (True, "")]
+    sources = spark.createDataFrame([("a", "train"), ("b", "skip"), ("c", "test")], "source string, role string")
+    assert sorted(r.source for r in annotations.chosen_sources(sources).collect()) == ["a", "c"] and annotations.chosen_sources(sources, ["c", "b"]).count() == 1
+    boxes = spark.createDataFrame([(0,), (1,), (4,)], "cls int")
+    assert annotations.class_subset(boxes, [1, 4]).count() == 2 and annotations.usable(boxes).count() == 3
+
+
+def test_decoded_clips(spark, tmp_path):
+    (tmp_path / "a.mp4").write_bytes(b"xyz")
+    (tmp_path / "note.txt").write_text("no clip")
+    rows = files.decoded_frames(spark, str(tmp_path), lambda path, data: ({"clip": path[-5:], "frame_no": i, "value": b} for i, b in enumerate(data)), "clip string, frame_no long, value int")
+    assert [(r.clip, r.frame_no, r.value) for r in rows.orderBy("frame_no").collect()] == [("a.mp4", 0, 120), ("a.mp4", 1, 121), ("a.mp4", 2, 122)]
+
+
 def test_hashes_of_mirrored_images(spark, tmp_path):
     one = picture(7)
     for name, pixels in (("a", one), ("b", np.clip(one * 0.9 + 5, 0, 255)), ("c", one[:, ::-1]), ("d", picture(8))):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# fixed values
 IMAGE_TYPES = ("jpg", "jpeg", "png", "bmp", "webp")
 TRUE_LABELS = ("1", "smoking", "smoke", "yes", "true", "positive")
 
@@ -35,7 +36,14 @@ def is_image(path: Column) -> Column:
 
 
 def safe_name(name: Column, most: int = 40) -> Column:
-    return F.left(F.regexp_replace(name, r"[^A-Za-z0-9._-]+", "_"), F.lit(most))
+    """A folder's name: runs of other characters than letters and digits become one underscore; cut to ``most``."""
+    return F.left(F.regexp_replace(name, r"[^A-Za-z0-9]+", "_"), F.lit(most))
+
+
+def clip_name(path: Column) -> Column:
+    """A clip's name in file names: its stem, in which runs of other characters than letters, digits, _ and - become one underscore."""
+    stem = F.regexp_replace(base_name(path), r"(?<=.)\.[^.]*$", "")
+    return F.regexp_replace(stem, r"[^A-Za-z0-9_-]+", "_")
 
 
 def is_positive(label: Column) -> Column:

@@ -78,10 +78,14 @@ def all_dropped(mapping: DataFrame) -> DataFrame:
     return mapping.groupBy("source").agg(F.every(F.col("target").isNull()).alias("_all")).where("_all").select("source")
 
 
-def prompts(taxonomy: DataFrame) -> DataFrame:
-    """One row for each prompt, in class order; a class without prompts is its own."""
+def prompts(taxonomy: DataFrame, background: bool = False) -> DataFrame:
+    """One row for each prompt, in class order; a class without prompts is its own. ``background`` adds an empty
+    prompt of no class, for detectors that need one to leave things alone."""
     own = F.when(F.coalesce(F.size("prompts"), F.lit(0)) > 0, F.col("prompts")).otherwise(F.array("class"))
-    return taxonomy.select("class_id", F.posexplode(own).alias("place", "prompt"))
+    rows = taxonomy.select("class_id", F.posexplode(own).alias("place", "prompt"))
+    if not background:
+        return rows
+    return rows.unionByName(taxonomy.sparkSession.sql("SELECT CAST(NULL AS INT) AS class_id, 0 AS place, '' AS prompt"))
 
 
 def audit(boxes: DataFrame) -> DataFrame:

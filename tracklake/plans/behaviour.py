@@ -99,7 +99,7 @@ def track_events(spark, sf):
 def event_peaks(spark, sf):
     """Peaks and reasons of each event, rounded for output."""
     out = T.events(_decisions(spark, sf), EVENTS, T.session_ends(V.observations(spark, sf), ONLINE.max_missing))
-    return out.select("track", "session", "start_step", *(F.round(c, 3).alias(c) for c in ("peak_score", "peak_object", "peak_motion")), F.to_json("triggered_by").alias("triggered_by"))
+    return out.select("track", "session", "start_step", *(F.bround(c, 3).alias(c) for c in ("peak_score", "peak_object", "peak_motion")), F.to_json("triggered_by").alias("triggered_by"))
 
 
 def main_tracks(spark, sf):
@@ -124,7 +124,8 @@ def subsampled(spark, sf):
 
 
 def clip_roles(spark, sf):
-    return V.table(spark, sf, "conversations").groupBy("role").agg(F.count("*").alias("n"), F.count_if(is_positive(F.col("role"))).alias("n_positive"))
+    label = F.when(F.col("role") == "assistant", " Yes ").when(F.col("turn") == 0, "SMOKING").otherwise(F.col("role"))
+    return V.table(spark, sf, "conversations").withColumn("label", label).groupBy("label").agg(F.count("*").alias("n"), F.count_if(is_positive(F.col("label"))).alias("n_positive"))
 
 
 def feature_moments(spark, sf):
@@ -244,14 +245,14 @@ ORACLE_SQL = {
     "track_summary": with_views("SELECT count(*) AS n_tracks, count(*) FILTER (top >= 0.9) AS n_positive, round(sum(seen) / 60, 6) AS minutes FROM (SELECT track, count(*) AS seen, max(obj) AS top FROM obs GROUP BY 1) WHERE seen >= 20", "obs"),
     "median_interval": with_views("SELECT median(gap)::DOUBLE AS median_gap FROM (SELECT step - lag(step) OVER (PARTITION BY track ORDER BY step) AS gap FROM obs)", "obs"),
     "subsampled": with_views("SELECT track, count(*) AS n FROM obs WHERE step % 2 = 0 AND step BETWEEN 100 AND 400 GROUP BY 1", "obs"),
-    "clip_roles": "SELECT role, count(*) AS n, count(*) FILTER (lower(trim(role)) IN ('1', 'smoking', 'smoke', 'yes', 'true', 'positive')) AS n_positive FROM conversations GROUP BY 1",
+    "clip_roles": "SELECT label, count(*) AS n, count(*) FILTER (lower(trim(label)) IN ('1', 'smoking', 'smoke', 'yes', 'true', 'positive')) AS n_positive FROM (SELECT CASE WHEN role = 'assistant' THEN ' Yes ' WHEN turn = 0 THEN 'SMOKING' ELSE role END AS label FROM conversations) GROUP BY 1",
     "feature_moments": with_views("SELECT round(avg(d), 6) AS d_mean, round(avg(obj), 6) AS obj_mean, round(greatest(stddev_pop(d), 0.05), 6) AS d_std, round(greatest(stddev_pop(obj), 0.05), 6) AS obj_std FROM obs", "obs"),
     "standardised": with_views("SELECT track, round(sum(greatest(-10, least(10, (d - md) / sd))), 4) AS d, round(sum(greatest(-10, least(10, (obj - mo) / so))), 4) AS obj FROM obs, (SELECT avg(d) AS md, greatest(stddev_pop(d), 0.05) AS sd, avg(obj) AS mo, greatest(stddev_pop(obj), 0.05) AS so FROM obs) GROUP BY 1", "obs"),
     "auroc": with_views("SELECT sum(label::INT)::BIGINT AS n_pos, sum((NOT label)::INT)::BIGINT AS n_neg, round((sum(CASE WHEN label THEN r END) - sum(label::INT) * (sum(label::INT) + 1) / 2) / (sum(label::INT) * sum((NOT label)::INT)), 9) AS auroc FROM (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS r FROM sc)", "obs", more=SCORED),
     "f1_score": with_views("SELECT count(*) FILTER (score >= 0.5 AND label) AS tp, count(*) FILTER (score >= 0.5 AND NOT label) AS fp, count(*) FILTER (score < 0.5 AND label) AS fn, round(2 * tp / (2 * tp + fp + fn), 9) AS f1 FROM sc", "obs", more=SCORED),
     "class_balance": with_views("SELECT count(*) FILTER (label) AS pos, count(*) FILTER (NOT label) AS neg, round(neg / greatest(pos, 1), 9) AS pos_weight FROM sc", "obs", more=SCORED),
     "group_fold": with_views("SELECT grp AS \"group\", label, place <= ceil(n / f) AS val FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(grp::VARCHAR), grp) AS place, count(*) OVER (PARTITION BY label) AS n FROM g), (SELECT greatest(2, least(5, min(n))) AS f FROM (SELECT count(*) AS n FROM g GROUP BY label))", "obs", more="g AS (SELECT track AS grp, max(obj) >= 0.99 AS label FROM obs GROUP BY 1)"),
-    "event_peaks": with_views("""SELECT track, session::BIGINT AS session, start_step, round(max(score), 3) AS peak_score, round(max(obj_score), 3) AS peak_object, round(max(mot_score), 3) AS peak_motion, '{' || string_agg('"' || reason || '":' || n, ',' ORDER BY reason) || '}' AS triggered_by
+    "event_peaks": with_views("""SELECT track, session::BIGINT AS session, start_step, round_even(max(score), 3) AS peak_score, round_even(max(obj_score), 3) AS peak_object, round_even(max(mot_score), 3) AS peak_motion, '{' || string_agg('"' || reason || '":' || n, ',' ORDER BY reason) || '}' AS triggered_by
         FROM (SELECT e.track, e.session, start_step, reason, max(score) AS score, max(obj_score) AS obj_score, max(mot_score) AS mot_score, count(*) AS n FROM evs e JOIN judged j ON e.track = j.track AND e.session = j.session AND j.decision AND j.step BETWEEN e.start_step AND e.end_step GROUP BY ALL) GROUP BY ALL""", "obs", recursive=True, more=f"{GRID}, {DECIDED}, {EVENT}"),
     "sequence_features": with_views("SELECT clip, track, step, " + ", ".join(f"round({n} + 0.0, 6) AS {n}" for n in FEATURE_NAMES) + " FROM feats", "obs", more=FEATURES),
     "window_frames": "WITH c AS (SELECT conv_id, turn AS step, length(text)::INT AS n_chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS k, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations), s AS (SELECT DISTINCT conv_id, n, unnest(list_append(generate_series(0, greatest(n - 4, 0), 2), greatest(n - 4, 0))) AS start FROM c), p AS (SELECT *, unnest(range(4))::INT AS place FROM s) SELECT p.conv_id, start, place, step, n_chars FROM p JOIN c ON p.conv_id = c.conv_id AND c.k = greatest(start + place - greatest(4 - p.n, 0), 0)",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tracklake.functions.names import hash_hex, label_path, name_key, photo_stem, safe_name
+from tracklake.functions.names import clip_name, hash_hex, label_path, name_key, photo_stem, safe_name
 from tracklake.operators import annotations as A
 from tracklake.operators import dedupe as D
 from tracklake.plans import views as V
@@ -75,7 +75,7 @@ def label_paths(spark, sf):
 
 
 def safe_names(spark, sf):
-    return V.table(spark, sf, "pages").select("page_id", safe_name(F.col("url")).alias("name"))
+    return V.table(spark, sf, "pages").select("page_id", safe_name(F.col("url")).alias("name"), clip_name(F.col("url")).alias("clip"))
 
 
 def _boxes(spark, sf):
@@ -274,7 +274,7 @@ ORACLE_SQL = {
     "stem_edges": f"WITH {FILES}, s AS (SELECT *, min(idx) OVER (PARTITION BY source, {STEM}) AS src FROM files) SELECT src, idx AS dst FROM s WHERE idx > src",
     "unique_names": f"WITH {FILES}, plain AS (SELECT idx, source, regexp_replace(name, '\\.rf\\.\\d+', '') AS name FROM files), t AS (SELECT *, row_number() OVER (PARTITION BY source, name ORDER BY idx) - 1 AS k FROM plain) SELECT idx, CASE WHEN k = 0 THEN name ELSE regexp_replace(name, '\\.[^.]*$', '') || '_' || k || regexp_extract(name, '\\.[^.]*$') END AS out_name FROM t",
     "label_paths": "SELECT page_id, '/data/images/a/labels/p' || page_id || '.txt' AS label FROM pages",
-    "safe_names": "SELECT page_id, left(regexp_replace(url, '[^A-Za-z0-9._-]+', '_', 'g'), 40) AS name FROM pages",
+    "safe_names": "SELECT page_id, left(regexp_replace(url, '[^A-Za-z0-9]+', '_', 'g'), 40) AS name, regexp_replace(regexp_replace(regexp_extract(url, '[^/]*$'), '(.)\\.[^.]*$', '\\1'), '[^A-Za-z0-9_-]+', '_', 'g') AS clip FROM pages",
     "source_audit": with_views("SELECT source, cls, count(*) AS n_boxes, count(DISTINCT image) AS n_images FROM boxes GROUP BY ALL", "boxes"),
     "coverage": with_views("SELECT source, " + ", ".join(f"count(*) FILTER (cls = {c}) AS c{c}" for c in range(5)) + " FROM boxes GROUP BY 1", "boxes"),
     "partial_classes": with_views("SELECT cls, count(DISTINCT source) AS n_sources, (SELECT count(DISTINCT source) FROM boxes WHERE source <> 'N') AS n_all FROM boxes WHERE source <> 'N' AND NOT (source = 'R' AND cls = 2) GROUP BY 1 HAVING n_sources < n_all", "boxes"),

@@ -6,6 +6,8 @@ import gc
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,8 +25,22 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
+@contextmanager
+def _batches_of(spark: SparkSession, rows: int | None) -> Iterator[None]:
+    """While a job runs, at most ``rows`` rows in a batch that goes to Python: whole texts are large rows, and a
+    batch of them stands in the executor and in the worker at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if rows is not None and int(before) > rows:
+        spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def materialize(df: DataFrame, tag: str, batch_rows: int | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back; ``batch_rows`` bounds batches that go to Python.
 
     The files outlive any executor, so a lost executor costs a re-read and no recomputation,
     and readers see a plan with known sizes, which lets adaptive execution choose joins by
@@ -32,18 +48,20 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _batches_of(spark, batch_rows):
+        df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table.written_to = path
     return table
 
 
-def materialize_by(df: DataFrame, column: str, parts: int, tag: str) -> DataFrame:
+def materialize_by(df: DataFrame, column: str, parts: int, tag: str, batch_rows: int | None = None) -> DataFrame:
     """As ``materialize``, as a table of ``parts`` buckets of ``column``: what groups by that column later
     reads each bucket in one task, without moving it again."""
     spark = df.sparkSession
     name, path = f"{tag}_{uuid.uuid4().hex}".replace("-", "_"), f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.repartition(parts, column).write.bucketBy(parts, column).option("path", path).format("parquet").saveAsTable(name)
+    with _batches_of(spark, batch_rows):
+        df.repartition(parts, column).write.bucketBy(parts, column).option("path", path).format("parquet").saveAsTable(name)
     table = spark.table(name)
     table.written_to, table.table_name = path, name
     return table

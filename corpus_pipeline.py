@@ -14,6 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracklake.llm._text import TEXT_ROWS
 from tracklake.llm.line_dedup import dropped_lines, fuzzy_lines, without_lines
 from tracklake.llm.mixing import mixed
 from tracklake.llm.near_dedup import near_duplicates
@@ -55,7 +56,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     among ``docs``. Null and empty texts score as texts without toxic words; with labels of one kind
     only, nothing goes."""
     field = fit(docs.withColumn("doc_id", F.col("given")), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    toxic = materialize(score_documents(docs, field).where(F.col("score") >= REJECT).select("doc_id"), "toxic")
+    toxic = materialize(score_documents(docs, field).where(F.col("score") >= REJECT).select("doc_id"), "toxic", TEXT_ROWS)
     return docs.join(toxic, "doc_id", "left_anti")
 
 
@@ -103,7 +104,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = materialize(docs, name.replace(" ", "-"))
+            docs = materialize(docs, name.replace(" ", "-"), TEXT_ROWS)
             discard(last)
             last = docs
     return docs

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 2 << 20
+TEXT_ROWS = 2000  # whole texts in a batch that goes to Python
 TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 _LOWER = np.arange(256, dtype=np.uint8)

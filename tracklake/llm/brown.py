@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklake.llm._text import encoded, hashes, pieces, tidy, words
+from tracklake.llm._text import TEXT_ROWS, encoded, hashes, pieces, tidy, words
 from tracklake.storage import discard, materialize, materialize_by
 
 END = b" "  # no word holds a space
@@ -426,7 +426,7 @@ def brown_scores(docs: DataFrame, train: Column, classes: int = 32, seeds: int =
     share = spark.sparkContext.broadcast
     chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = materialize_by(chosen.mapInArrow(_blocks, BLOCK), "block", parts, "brown-blocks")
+    blocks = materialize_by(chosen.mapInArrow(_blocks, BLOCK), "block", parts, "brown-blocks", TEXT_ROWS)
     buckets = int(max(16, -(-(blocks.agg(F.sum("tokens")).first()[0] or 0) // BUCKET_TOKENS)))
     merged = materialize_by(blocks.mapInArrow(_slices(buckets), SLICE).groupBy("bucket").applyInArrow(_merge(seeds), MERGED), "bucket", parts, "brown-vocabulary")
     sums = merged.where("block < 0").select("counts").mapInArrow(_sums, "tokens long, types long, once long, twice long")

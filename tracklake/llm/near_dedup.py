@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklake.llm._links import Close, linked_components, shared_buckets
-from tracklake.llm._text import encoded, hashes, long_column, mix, pieces, shingles, words
+from tracklake.llm._text import TEXT_ROWS, encoded, hashes, long_column, mix, pieces, shingles, words
 from tracklake.storage import discard, materialize
 
 SKETCH = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, lanes binary"
@@ -141,14 +141,14 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5, bands: i
     back as often as they were given. Other columns of ``docs`` are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketches = materialize(docs.mapInArrow(_sketches(bands, rows, width), SKETCH), "sketches")
+    sketches = materialize(docs.mapInArrow(_sketches(bands, rows, width), SKETCH), "sketches", TEXT_ROWS)
     reps = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"), F.any_value("n_shingles").alias("n"), F.any_value("lanes").alias("lanes"))
     reps = materialize(reps, "representatives")
     keys = reps.select("rep", F.explode("bands").alias("key"))
     members = shared_buckets(keys, reps.select("rep", "n", "lanes"))
     wanted = materialize(members.select(F.col("rep").alias("doc_id")).distinct(), "wanted")
     small = 48 * wanted.count() <= BROADCAST_BYTES  # beyond, the texts are shuffled
-    sets = materialize(docs.join(F.broadcast(wanted) if small else wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(width), "doc_id long, hashes array<long>"), "sets")
+    sets = materialize(docs.join(F.broadcast(wanted) if small else wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(width), "doc_id long, hashes array<long>"), "sets", TEXT_ROWS)
     components = linked_components(members, lambda pairs: _verified(pairs, sets, percent), _close(percent, bands * rows), order="company", waves=bands // 4)
     discard(members, sets, wanted)
     named = reps.select("k1", "k2", "rep").join(components.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))

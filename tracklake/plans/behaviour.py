@@ -227,7 +227,7 @@ f AS (SELECT clip, track, step, CASE WHEN cls <> 1 THEN d END AS l, CASE WHEN cl
 allsteps AS (SELECT clip, track, unnest(generate_series(min(step), max(step))) AS step FROM f GROUP BY clip, track),
 own AS (SELECT s.clip, s.track, s.step, f.step IS NOT NULL AS seen, CASE WHEN f.step IS NOT NULL THEN {'l': coalesce(l, 3.0), 'r': coalesce(r, 3.0), 'm': coalesce(least(l, r), 3.0), 'el': coalesce(el, 1.0), 'nc': coalesce(nc, 0.0)} END AS v, coalesce(oc, 0.0) AS oc, coalesce(ov, 0.0) AS ov FROM allsteps s LEFT JOIN f ON s.clip = f.clip AND s.track = f.track AND s.step = f.step),
 held AS (SELECT clip, track, step, seen, last_value(v IGNORE NULLS) OVER (PARTITION BY clip, track ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v, oc, ov FROM own),
-feats AS (SELECT clip, track, step, v.l AS d_left, v.r AS d_right, v.m AS d_min, v.m - coalesce(lag(v.m) OVER (PARTITION BY clip, track ORDER BY step), v.m) AS d_min_delta, 0.5 AS l_wrist_above_shoulder, 0.5 AS r_wrist_above_shoulder, v.el AS l_elbow_angle, 0.5 AS r_elbow_angle, v.nc AS nose_conf, 0.5 AS l_wrist_conf, 0.5 AS r_wrist_conf, seen::INT::DOUBLE AS present, oc AS obj_cigarette, ov AS obj_vape FROM held)"""
+feats AS (SELECT clip, track, step, v.l AS d_left, v.r AS d_right, v.m AS d_min, v.m - coalesce(lag(v.m) OVER (PARTITION BY clip, track ORDER BY step), v.m) AS d_min_delta, 0.5::DOUBLE AS l_wrist_above_shoulder, 0.5::DOUBLE AS r_wrist_above_shoulder, v.el AS l_elbow_angle, 0.5::DOUBLE AS r_elbow_angle, v.nc AS nose_conf, 0.5::DOUBLE AS l_wrist_conf, 0.5::DOUBLE AS r_wrist_conf, seen::INT::DOUBLE AS present, oc AS obj_cigarette, ov AS obj_vape FROM held)"""
 FEATURE_NAMES = ["d_left", "d_right", "d_min", "d_min_delta", "l_wrist_above_shoulder", "r_wrist_above_shoulder", "l_elbow_angle", "r_elbow_angle", "nose_conf", "l_wrist_conf", "r_wrist_conf", "present", "obj_cigarette", "obj_vape"]
 CLIPPED = "clipped AS (SELECT step // 200 AS clip, track, step % 200 AS step, d, obj FROM obs)"
 IN_CLIPS = ", ".join((GRID, DECIDED)).replace("FROM obs) AS c", "FROM clipped o WHERE o.clip = sess.clip) AS c").replace("FROM obs", "FROM clipped").replace("track, session", "clip, track, session").replace("PARTITION BY track", "PARTITION BY clip, track").replace("s.track = o.track", "s.clip = o.clip AND s.track = o.track").replace("SELECT s.track, s.session", "SELECT s.clip, s.track, s.session").replace("SELECT x.track, x.session", "SELECT x.clip, x.track, x.session")

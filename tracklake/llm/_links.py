@@ -120,12 +120,12 @@ def _merged(components: DataFrame | None, linked: DataFrame) -> DataFrame:
     return out
 
 
-def linked_components(members: DataFrame, verified: Callable[[DataFrame], DataFrame], close: Close | None = None, order: str = "rep", waves: int = 1) -> DataFrame:
+def linked_components(members: DataFrame, verified: Callable[[DataFrame], DataFrame], close: Close | None = None, order: str = "rep", waves: int = 1, growth: int = 1) -> DataFrame:
     """``(node, component)`` of all linked members of ``members`` (key, rep, ``order``, columns of ``close``).
 
     ``verified`` adds ``linked`` to distinct pairs (hub, rep), hub < rep. In the first round the first
     member of each bucket, by ``order``, is a hub: it is paired with all others of other components.
-    If these pairs are fewer than the bucket's members, the next member is a hub as well, and so on.
+    If these pairs are fewer than ``growth`` times the bucket's members, the next member is a hub as well, and so on.
     Buckets that still span several components are read again from there, with four times as many
     pairs, until every member has been a hub. So each close pair of a bucket is tested once or has
     its ends in one component, while a bucket of like members gives a star. A bucket is read by one
@@ -134,7 +134,7 @@ def linked_components(members: DataFrame, verified: Callable[[DataFrame], DataFr
     """
     columns = ["key", "rep", "component", "start", *(close.columns if close else [])]
     rows = members.withColumn("component", F.col("rep")).withColumn("start", F.lit(0).cast("bigint"))
-    every, tried, components, owned, growth, ahead = rows, [], None, None, 1, waves > 1
+    every, tried, components, owned, ahead = rows, [], None, None, waves > 1
     if ahead:
         rows = rows.where(F.pmod("key", F.lit(waves)) == 0)
     while True:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -141,7 +142,8 @@ def linked_components(members: DataFrame, verified: Callable[[DataFrame], DataFr
         dealt = rows.repartition("key").sortWithinPartitions("key", order, "rep").select(*columns)
         found = materialize(dealt.mapInArrow(_scan(columns, growth, close), "hub long, rep long, open long, start long"), "scanned")
         fresh = found.where("hub IS NOT NULL").select("hub", "rep").distinct()
-        for past in tried:
+        if tried:
+            past = reduce(DataFrame.unionAll, tried)
             fresh = fresh.join(past.select("hub", "rep"), ["hub", "rep"], "left_anti")
         fresh = materialize(fresh, "pairs")
         if components is None or not fresh.isEmpty():

@@ -16,7 +16,7 @@ from tracklake.storage import discard, materialize
 
 SKETCH = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, lanes binary"
 BROADCAST_BYTES = 64 << 20
-SHORT, WORDS = 256, 16  # sets of at most SHORT shingles have a bitmap of WORDS * 64 bits, larger ones four bits of WORDS * 16 bins
+SHORT, WORDS = 256, 32  # sets of at most SHORT shingles have a bitmap of WORDS * 64 bits, larger ones four bits of WORDS * 16 bins
 
 
 @lru_cache

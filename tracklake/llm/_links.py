@@ -38,18 +38,24 @@ def shared_buckets(keys: DataFrame, more: DataFrame) -> DataFrame:
     return ranked
 
 
-def bucket_pairs(rows: dict[str, np.ndarray], growth: int, close: Close | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def bucket_pairs(rows: dict[str, np.ndarray], growth: int, close: Close | None, thrifty: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Row numbers (a, b) of pairs of different components in buckets, and of buckets of which pairs may
     be missing the keys, and the number of members that have been hubs.
 
     ``rows`` hold whole buckets in order. One member after the other, from ``start`` on, is the hub: it
-    is paired with all after it. A bucket is left when its pairs are ``growth`` times its members or more.
+    is paired with all after it. A bucket is left when its pairs are ``growth`` times its members or more;
+    if ``thrifty``, times the links that would make it one component.
     """
     key, component = rows["key"], rows["component"]
     heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     size = np.diff(np.append(heads, len(key)))
     mixed = np.maximum.reduceat(component, heads) > np.minimum.reduceat(component, heads)
     hub, made = rows["start"][heads].copy(), np.zeros(len(heads), np.int64)
+    base = size
+    if thrifty:
+        number = np.repeat(np.arange(len(heads)), size)
+        order = np.lexsort((component, number))
+        base = np.bincount(number[order][1:][(component[order][1:] != component[order][:-1]) & (number[order][1:] == number[order][:-1])], minlength=len(heads))
     found = [NO_PAIRS]
     use = np.flatnonzero(mixed & (hub < size - 1))
     while len(use):
@@ -63,7 +69,7 @@ def bucket_pairs(rows: dict[str, np.ndarray], growth: int, close: Close | None)
         found.append((a[fits], b[fits]))
         made += np.bincount(bucket[fits], minlength=len(made))
         hub[use] += 1
-        use = use[(hub[use] < size[use] - 1) & (made[use] < growth * size[use])]
+        use = use[(hub[use] < size[use] - 1) & (made[use] < growth * base[use])]
     a, b = (np.concatenate(x) for x in zip(*found, strict=True))
     left = np.flatnonzero(mixed & (hub < size - 1))
     return a, b, key[heads[left]], hub[left]
@@ -77,14 +83,14 @@ def _values(column: pa.Array) -> np.ndarray:
     return np.frombuffer(column.buffers()[2], np.uint8)[at[0] : at[-1]].view(np.uint64).reshape(len(column), -1)
 
 
-def _scan(columns: list[str], growth: int, close: Close | None):
+def _scan(columns: list[str], growth: int, close: Close | None, thrifty: bool):
     """``(hub, rep, open, start)`` from rows in the order of buckets: pairs, and the buckets left open."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict[str, np.ndarray]] = []
 
         def done(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
-            a, b, left, start = bucket_pairs(rows, growth, close)
+            a, b, left, start = bucket_pairs(rows, growth, close, thrifty)
             ends = np.minimum(rows["rep"][a], rows["rep"][b]), np.maximum(rows["rep"][a], rows["rep"][b])
             columns = [pa.concat_arrays([pa.array(x), pa.nulls(len(left), pa.int64())]) for x in ends]
             columns += [pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(x)]) for x in (left, start)]
@@ -131,7 +137,8 @@ def linked_components(members: DataFrame, verified: Callable[[DataFrame], DataFr
     pairs, until every member has been a hub. So each close pair of a bucket is tested once or has
     its ends in one component, while a bucket of like members gives a star. A bucket is read by one
     task; it holds the bucket's numbers, no texts. With ``waves``, one bucket in so many goes ahead, so
-    that members who share many buckets are mostly linked before the others are read.
+    that members who share many buckets are mostly linked before the others are read, and a bucket's
+    pairs are counted against the links it lacks instead of its members.
     """
     columns = ["key", "rep", "component", "start", *(close.columns if close else [])]
     rows = members.withColumn("component", F.col("rep")).withColumn("start", F.lit(0).cast("bigint"))
@@ -140,7 +147,7 @@ def linked_components(members: DataFrame, verified: Callable[[DataFrame], DataFr
         rows = rows.where(F.pmod("key", F.lit(waves)) == 0)
     while True:
         dealt = rows.repartition("key").sortWithinPartitions("key", order, "rep").select(*columns)
-        found = materialize(dealt.mapInArrow(_scan(columns, growth, close), "hub long, rep long, open long, start long"), "scanned")
+        found = materialize(dealt.mapInArrow(_scan(columns, growth, close, waves > 1), "hub long, rep long, open long, start long"), "scanned")
         fresh = found.where("hub IS NOT NULL").select("hub", "rep").distinct()
         if tried:
             past = reduce(DataFrame.unionAll, tried)

@@ -31,9 +31,8 @@ def tidy() -> None:
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``limit`` bytes of text each; one row at least."""
-    for turn, batch in enumerate(batches):
-        if turn % 16 == 15:
-            tidy()
+    for batch in batches:
+        tidy()
         n = batch.num_rows
         if not n:
             continue

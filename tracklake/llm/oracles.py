@@ -95,5 +95,40 @@ def private() -> str:
     counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in PRIVATE)
     return f"""WITH {", ".join(ctes)} SELECT docs.doc_id, {counts}, sha256(coalesce(string_agg(s, ',' ORDER BY k, a) FILTER (kind <> 'term'), '')) AS base_sha256, coalesce(string_agg(s, ',' ORDER BY k, a), '') AS spans FROM docs LEFT JOIN shown ON docs.doc_id = shown.doc_id GROUP BY docs.doc_id"""
 
-
-ORACLE_SQL = {"op2_kd_shards": kd_shards(), "op4_near_duplicates": NEAR, "op6_sanitise": private(), "op7_va_file": EXACT, "op9_mix_sources": MIX}
+# The phrases of a language with their counts, their cuts, and what a longer phrase with most of the count takes out.
+PHRASES = rf"""WITH texts AS (SELECT coalesce(lang, 'und') AS lang, {LOWER.replace("text,", "coalesce(text, ''),")} AS t FROM documents),
+cut AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM texts),
+split AS (SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM cut),
+piece AS (SELECT lang, w, count(*) AS m FROM split WHERE len(w) > 0 GROUP BY ALL),
+total AS (SELECT lang, sum(m * len(w))::BIGINT AS n FROM piece GROUP BY 1),
+gram AS (SELECT lang, k AS size, array_to_string(w[i:i + k - 1], ' ') AS phrase, sum(m)::BIGINT AS f FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM (SELECT *, unnest([1, 2, 3, 4]) AS k FROM piece) WHERE len(w) >= k) GROUP BY ALL HAVING sum(m) >= 30),
+candidate AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM gram WHERE size > 1),
+parts AS (SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest FROM (SELECT *, unnest(range(1, size)) AS k FROM candidate)),
+scored AS (SELECT p.lang, p.phrase, a, k, x.f AS l, y.f AS r, ((2000000::HUGEINT * a) // (x.f + y.f))::BIGINT AS score FROM parts p JOIN gram x ON x.lang = p.lang AND x.phrase = p.first JOIN gram y ON y.lang = p.lang AND y.phrase = p.rest),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_parts AS (SELECT lang, a, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT *, unnest(range(1, size - k + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS k FROM candidate WHERE size > 2))),
+covers AS (SELECT lang, phrase, max(a) AS cover FROM inner_parts GROUP BY ALL)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (SELECT w.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM worst w LEFT JOIN covers c USING (lang, phrase) WHERE cover IS NULL OR 100::HUGEINT * cover < 80::HUGEINT * a) JOIN total USING (lang) WHERE rank <= 2000"""
+
+# Row by row, the cheapest edits that reach each state of the roles (0 none, 1 system, 2 user, 3 assistant).
+REPAIR = r"""WITH RECURSIVE crc_table AS (SELECT list(v ORDER BY n) AS t FROM (SELECT n, list_reduce(range(8), lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, n) AS v FROM (SELECT unnest(range(256)) AS n))),
+named AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+hit AS (SELECT *, xor(list_reduce(list_transform(range(1, length(k) + 1), lambda i: ascii(k[i])::BIGINT), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1]), 4294967295::BIGINT), 4294967295) % 20 AS what FROM named, crc_table),
+hurt AS (SELECT conv_id, turn, CASE WHEN what = 4 THEN 'user' ELSE role END AS role, CASE what WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN what = 3 THEN 2 ELSE 1 END)) AS copy FROM hit WHERE what <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS again, right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS tip FROM hurt),
+judged AS (SELECT conv_id, i, turn, role, text, left(role, 1) AS c, CASE WHEN tip = '' THEN 1 WHEN again > 1 THEN 2 WHEN tip NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault FROM placed),
+insertion(q, q1, put, said) AS (VALUES (0, 0, 0, ''), (0, 2, 3, 'I'), (0, 3, 6, 'II'), (1, 1, 0, ''), (1, 2, 3, 'I'), (1, 3, 6, 'II'), (2, 2, 0, ''), (2, 3, 3, 'I'), (3, 3, 0, ''), (3, 2, 3, 'I')),
+edit(q1, c, q2, price, letter) AS (VALUES (0, 's', 1, 0, 'K'), (0, 'u', 2, 0, 'K'), (1, 'u', 2, 0, 'K'), (3, 'u', 2, 0, 'K'), (2, 'a', 3, 0, 'K'), (0, NULL, 2, 3, 'R'), (1, NULL, 2, 3, 'R'), (3, NULL, 2, 3, 'R'), (2, NULL, 3, 3, 'R'), (0, NULL, 0, 4, 'D'), (1, NULL, 1, 4, 'D'), (2, NULL, 2, 4, 'D'), (3, NULL, 3, 4, 'D')),
+best(conv_id, i, q, b) AS (SELECT DISTINCT conv_id, 0::BIGINT, 0, {'cost': 0, 'audit': ''} FROM conversations
+UNION ALL SELECT b.conv_id, j.i, e.q2, min({'cost': b.b.cost + s.put + e.price + CASE WHEN j.fault = 3 AND e.letter <> 'D' THEN 3 ELSE 0 END, 'audit': b.b.audit || s.said || e.letter})
+FROM best b JOIN judged j ON j.conv_id IS NOT DISTINCT FROM b.conv_id AND j.i = b.i + 1 JOIN insertion s ON s.q = b.q JOIN edit e ON e.q1 = s.q1 AND (e.c IS NULL OR e.c = j.c) AND (j.fault IN (0, 3) OR e.letter = 'D') GROUP BY b.conv_id, j.i, e.q2),
+ends AS (SELECT b.conv_id, min({'cost': b.b.cost + s.put, 'audit': b.b.audit || s.said}) AS b FROM best b JOIN (SELECT conv_id, max(i) AS i FROM best GROUP BY 1) m ON m.conv_id IS NOT DISTINCT FROM b.conv_id AND m.i = b.i JOIN insertion s ON s.q = b.q AND s.q1 IN (0, 3) GROUP BY b.conv_id),
+letters AS (SELECT conv_id, p, b.audit[p] AS letter, length(replace(b.audit[1:p], 'I', '')) AS i, length(replace(b.audit[1:p], 'D', '')) AS place FROM (SELECT *, unnest(range(1, length(b.audit) + 1)) AS p FROM ends)),
+said AS (SELECT l.*, j.role, j.text, j.c, max(CASE WHEN l.letter = 'K' AND j.c = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY l.conv_id) AS head FROM letters l LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM l.conv_id AND j.i = l.i),
+mended AS (SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (place - head) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS t FROM said WHERE letter <> 'D' GROUP BY 1),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (before || c NOT IN ('su', 'ua', 'au')) AS illegal FROM (SELECT *, lag(c) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM judged) GROUP BY 1)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, e.b.cost::BIGINT AS cost, e.b.audit AS audit, sha256(coalesce(m.t, '')) AS repaired_sha256
+FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN mended m ON m.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+
+ORACLE_SQL = {"op2_kd_shards": kd_shards(), "op4_near_duplicates": NEAR, "op6_sanitise": private(), "op7_va_file": EXACT, "op9_mix_sources": MIX, "op11_collocations": PHRASES, "op13_conversation_repair": REPAIR}

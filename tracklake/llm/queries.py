@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tracklake.llm._vectors import usable
 from tracklake.llm.brown import brown_scores
+from tracklake.llm.collocations import collocations
+from tracklake.llm.conversation_repair import repaired
 from tracklake.llm.line_dedup import fuzzy_lines
 from tracklake.llm.mixing import mix_sources
 from tracklake.llm.near_dedup import near_duplicates
@@ -20,6 +22,7 @@ from tracklake.llm.sentencepiece_bpe import encode_documents
 from tracklake.llm.sharding import kd_shards
 from tracklake.llm.toxicity import fit, score_documents
 from tracklake.llm.va_file import exact_top_k
+from tracklake.llm.vp_tree import simhash_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +90,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), F.size("spans").alias("n_offending"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_simhash_vp_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_groups(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("mark")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired(_table(spark, sf_dir, "conversations"))
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES: dict[str, Query] = {
@@ -100,4 +116,7 @@ QUERIES: dict[str, Query] = {
     "op8_rp_forest": op8_rp_forest,
     "op9_mix_sources": op9_mix_sources,
     "op10_toxicity": op10_toxicity,
+    "op11_collocations": op11_collocations,
+    "op12_simhash_vp_tree": op12_simhash_vp_tree,
+    "op13_conversation_repair": op13_conversation_repair,
 }

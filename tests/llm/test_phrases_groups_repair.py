@@ -77,11 +77,15 @@ def test_phrase_counts_of_blocks_and_spills(texts, monkeypatch, tmp_path):
     for size in (4 << 20, 64):
         monkeypatch.setattr(C, "BLOCK_BYTES", size)
         sums = Counter()
-        for part in C._counted(iter([table])):
+        for part in C._counted((1, 2, 3, 4))(iter([table])):
             for r in part.to_pylist():
                 sums[r["lang"], r["phrase"], r["size"]] += r["f"]
         totals.append(sums)
     assert totals[0] == totals[1]
+    marks = C._marks(pa.array([b"en"] * 3000), pa.array([b"a b%d" % i for i in range(3000)]))
+    known = np.zeros(1 << 13, np.uint8)
+    np.bitwise_or.at(known, (C._bits(marks[:1000], 1 << 16) >> np.uint64(3)).astype(int), np.uint8(1) << (C._bits(marks[:1000], 1 << 16) & np.uint64(7)).astype(np.uint8))
+    assert C._may_hold(known, marks[:1000]).all() and C._may_hold(known, marks[1000:]).mean() < 0.02
     monkeypatch.setenv("SPARK_EXECUTOR_DIRS", str(tmp_path))
     n = 400_000
     make = lambda k: pa.RecordBatch.from_arrays([pa.array(["en"] * n), pa.array([f"a phrase of some length {(i * 7919 + k) % n}" for i in range(n)]), pa.array(np.full(n, 3, np.int32)), pa.array(np.full(n, 10))], names=["lang", "phrase", "size", "f"])

@@ -17,7 +17,7 @@ def kd_shards(levels: int = 4) -> str:
     the running sum of bytes passes half; that key's rows go where they bring the halves closer."""
     parts = [
         CRC,
-        "base AS (SELECT doc_id, (octet_length(encode(coalesce(text, ''))) + 1)::BIGINT AS size, source, lang, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 10))::BIGINT AS spread FROM documents)",
+        "base AS (SELECT doc_id, (octet_length(encode(coalesce(text, ''))) + 1)::BIGINT AS size, source, lang, ('0x' || substr(CASE number WHEN 1 THEN own ELSE md5(own || ':' || number) END, 1, 10))::BIGINT AS spread FROM (SELECT *, md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS own, row_number() OVER (PARTITION BY doc_id, text) AS number FROM documents))",
         "valued AS (SELECT *, floor(log2(size::DOUBLE) * 64)::BIGINT AS octave FROM base)",
     ]
     for i, value in enumerate(("source", "lang", "octave")):

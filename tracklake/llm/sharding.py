@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tracklake.llm._lookup import lookup
 from tracklake.storage import discard, materialize
 
 CODE_BITS, HASH_BITS, STEP = 20, 40, 10
@@ -24,28 +25,29 @@ def kd_shards(docs: DataFrame, shards: int | None = 16, target_bytes: int | None
     node holds one value has no width there, whatever its type. The tree splits every node that
     stands for more than one shard at the median of its bytes (or, for an odd number of shards, at
     the fitting share) along the dimension that is widest in the node. Rows with equal coordinates
-    are ordered by a hash of doc_id, so that a value that a third of the rows share is split as
-    well. All nodes of a level are split together: a histogram of at most 1,024 cells a node finds
+    are ordered by a hash of doc_id and text, and repeats of one row by a hash of their number as well, so
+    that a value that a third of the rows share is split too, be it a row. All nodes of a level are split together: a histogram of at most 1,024 cells a node finds
     the cell of the median, and only that cell is refined, until it holds one document. Sizes of
     shards so differ by a few documents at most. Give ``shards``, or ``target_bytes`` with
     ``shards=None``. Distinct values of a dimension are ranked in one task: bin finer ones, as size is.
 
-    Null texts have size 1 and checksum 0; null metadata is a value of its own, the first. Rows with
-    equal doc_id and equal coordinates stay together. An empty table gives no rows. Other columns
-    are ignored.
+    Null texts have size 1 and checksum 0; null metadata is a value of its own, the first. Rows may share a
+    doc_id or have none. An empty table gives no rows. Other columns are ignored.
     """
     dimensions = dimensions or default_dimensions()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.withColumn("size", (F.octet_length(text) + 1).cast("bigint"))
-    spread = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit("")).cast("binary")), 1, 10), 16, 10).cast("bigint")
+    own = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit("")), text).cast("binary"))
     values = [c.alias(f"value_{i}") for i, c in enumerate(dimensions.values())]
-    rows = materialize(rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "size", F.crc32(text).alias("text_crc32"), spread.alias("spread"), *values), "valued-rows")
-    coded, codes = rows, []
+    rows = materialize(rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "size", F.crc32(text).alias("text_crc32"), own.alias("own"), *values), "valued-rows")
+    numbered, spent = _told_apart(rows)
+    spread = F.conv(F.substring(F.when(F.col("number") == 1, F.col("own")).otherwise(F.md5(F.concat_ws(":", "own", "number"))), 1, 10), 16, 10).cast("bigint")
+    coded, codes = numbered.withColumn("spread", spread).drop("own", "number"), []
     for i in range(len(values)):
         codes.append(materialize(_coordinates(rows, f"value_{i}", f"code_{i}"), "coordinates"))
         coded = coded.join(codes[i].withColumnRenamed(f"value_{i}", f"own_{i}"), F.col(f"value_{i}").eqNullSafe(F.col(f"own_{i}"))).drop(f"value_{i}", f"own_{i}")
     coded = materialize(coded.withColumn("node", F.lit(0).cast("bigint")), "rows")
-    discard(rows, *codes)
+    discard(rows, *spent, *codes)
     rows = coded
     if target_bytes:
         total = rows.agg(F.sum("size")).first()[0] or 0
@@ -56,6 +58,22 @@ def kd_shards(docs: DataFrame, shards: int | None = 16, target_bytes: int | None
     return _slots(rows)
 
 
+def _told_apart(rows: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Adds ``number``, which counts the rows that have one ``own``, from 1, and the tables that are read for it.
+    Repeats are counted within the parts of a written table first, so that no task holds all repeats of a row."""
+    repeated = materialize(rows.groupBy("own").agg(F.count("*").alias("n")).where("n > 1").select("own", F.lit(True).alias("again")), "repeated")
+    if repeated.isEmpty():
+        return rows.withColumn("number", F.lit(1).cast("bigint")), [repeated]
+    found, hot = lookup(rows, repeated, ["own"])
+    marked = materialize(found.withColumn("part", F.spark_partition_id()), "marked")
+    again = marked.where("again")
+    upto = Window.partitionBy("own").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = materialize(again.groupBy("own", "part").agg(F.count("*").alias("n")).select("own", "part", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("start")), "starts")
+    place = F.row_number().over(Window.partitionBy("own", "part").orderBy("size"))
+    many = again.withColumn("place", place).join(starts, ["own", "part"]).withColumn("number", F.col("place") + F.col("start"))
+    return marked.where("again IS NULL").withColumn("number", F.lit(1).cast("bigint")).select(*rows.columns, "number").unionAll(many.select(*rows.columns, "number")), [repeated, hot, marked, starts]
+
+
 def _coordinates(rows: DataFrame, value: str, code: str) -> DataFrame:
     """``value`` with its ``code``, from 0 to 2**20 - 1."""
     upto = Window.orderBy(F.col(value).asc_nulls_first())

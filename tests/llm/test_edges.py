@@ -122,3 +122,42 @@ def test_pipeline_against_plain_python(spark, tmp_path):
     expected = sorted((i, len(library.encode(t, add_bos=True, add_eos=True))) for i, t in want)
     # one source takes its own size: every document once
     assert sorted((r.doc_id, r.n_tokens) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == expected
+
+
+def test_shards_of_rows_without_or_with_one_id(spark):
+    """Rows that share all metadata and their id, or have none, texts equal or not: shards stay near equal in bytes."""
+    rows = [(None, "same text here", "en", "s")] * 800 + [(7, "same text here", "en", "s")] * 300 + [(7, f"other text {i:03d}", "en", "s") for i in range(400)] + [(i, "same text here", "en", "s") for i in range(500)]
+    from tracklake.llm.sharding import kd_shards
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(7)
+    got = kd_shards(docs, 16).collect()
+    sizes = [sum(r.size for r in got if r.shard == s) for s in range(16)]
+    assert len(got) == 2000 and max(sizes) - min(sizes) <= 45, sizes
+    assert sorted((r.shard, r.slot) for r in kd_shards(docs.coalesce(1), 16).collect()) == sorted((r.shard, r.slot) for r in got)
+
+
+def test_fit_beside_a_very_long_text(spark):
+    from tracklake.llm.toxicity import fit, score_documents
+
+    rnd = random.Random(2)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(rnd.choice(words) for _ in range(30)) + (" vilest words" if i % 3 == 0 else "")) for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    first = labels.where("toxic = 1").orderBy(F.xxhash64("doc_id", F.lit(3))).first().doc_id
+    rows[first] = (first, "vilest " + "a b " * 20_000)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (60_000, 100):  # all but one text fit; not one does
+        field = fit(docs, labels, most_chars=most)
+        assert field is not None
+    scores = {r.doc_id: r.score for r in score_documents(docs, fit(docs, labels, most_chars=60_000)).collect()}
+    assert sum(scores[i] >= 0.7 for i in range(300) if i % 3 == 0 and i != first) > 80 and sum(scores[i] >= 0.7 for i in range(300) if i % 3) < 10
+
+
+def test_stages_with_ids_at_the_top(spark, folders):
+    import corpus_pipeline
+
+    top = (1 << 63) - 1
+    rows = [(top, "one fine text of words that stands here alone", "en", "s1", 1), (None, "another text without any id of its own", "en", "s1", 1), (top, "a third text under the greatest id", "en", "s1", 1), (top - 1, "one fine text of words that stands here alone", "en", "s1", 1), (-(1 << 63), "the last of the texts", None, None, 1), (None, "the last of the texts", None, None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, folders[0]["odd"]).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in kept) == sorted((r[0] is None, r[0] or 0, r[1]) for r in (rows[1], rows[2], rows[3], rows[4]))

@@ -154,7 +154,7 @@ def _tags(words: list[bytes], ids: np.ndarray, at: np.ndarray, toxic: np.ndarray
 def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = 1500, most_clean: int = 3000, most_chars: int = 8_000_000, most_tokens: int = 300_000, steps: int = 60) -> Field | None:
     """Learn from a bounded sample: of the toxic and of the clean labelled documents the first in hash
     order, at most ``most_toxic`` and ``most_clean`` and of ``most_chars`` characters together in each
-    class, long texts as they come. The field is trained on all their chains with a marked token and on
+    class; texts with more than an eighth of these come after all others, and the first text is taken whatever its length. The field is trained on all their chains with a marked token and on
     others, by a fixed draw, of ``most_tokens`` tokens together; the calibration uses the whole sample.
     The rates of the labels are counted over all labels. ``labels`` holds doc_id and toxic and is filtered
     by the caller; null labels are left out and of repeated ones the larger holds. None if a class is missing.
@@ -168,9 +168,10 @@ def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = 1500, most_clean:
     chosen = [known.where("toxic").orderBy(drawn).limit(most_toxic), known.where("NOT toxic").orderBy(drawn).limit(most_clean)]
     chosen = chosen[0].unionAll(chosen[1])  # at most 4,500 rows of two narrow columns
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
-    order = Window.partitionBy("toxic").orderBy(drawn, "doc_id", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, 0)
-    found = texts.join(F.broadcast(chosen), "doc_id").withColumn("upto", F.sum(F.length("text")).over(order))
-    sample = found.where(F.col("upto") <= most_chars).select("doc_id", "text", "toxic").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    order = Window.partitionBy("toxic").orderBy(F.length("text") > most_chars // 8, drawn, "doc_id", F.xxhash64("text"))
+    upto = F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    found = texts.join(F.broadcast(chosen), "doc_id").withColumn("upto", upto).withColumn("place", F.row_number().over(order))
+    sample = found.where((F.col("upto") <= most_chars) | (F.col("place") == 1)).select("doc_id", "text", "toxic").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
     toxic = np.array(sample.column("toxic").to_pylist(), bool)
     if toxic.all() or not toxic.any():
         return None

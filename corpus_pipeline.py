@@ -27,20 +27,33 @@ REJECT = 0.7
 WORD = r"[^\x20\x09-\x0D]"
 
 
+def _dense(docs: DataFrame) -> DataFrame:
+    """``docs``, written, with dense numbers from 0 as ``doc_id``, in the order of the given ones, rows without one last."""
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
+    rows = docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    placed = materialize(rows, "sorted")  # the upper bits of ``at`` are the part, the lower ones the place in it
+    starts, upto = [], 0
+    for r in sorted(placed.groupBy(F.shiftright("at", 33).alias("part")).agg(F.count("*").alias("n")).collect()):
+        starts.append((r.part, upto))
+        upto += r.n
+    table = docs.sparkSession.createDataFrame(starts, "part long, start long")  # a row for each part
+    key = F.col("start") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    keyed = placed.join(F.broadcast(table), F.shiftright("at", 33) == F.col("part")).withColumn("doc_id", key).drop("at", "part", "start")
+    keyed.written_to = placed.written_to
+    return keyed
+
+
 def _by_row(stage: Callable) -> Callable:
-    """The stage on rows whose ``doc_id`` is a key of the row, with the given doc_id in ``given``. The key is
-    the doc_id where one row alone has it; rows without doc_id, and rows that share one, get keys above
-    all others. So each row follows its own verdict, and of copies the smallest doc_id stays."""
+    """The stage on rows whose ``doc_id`` is a key of the row, with the given doc_id in ``given``. If some rows have no doc_id
+    or share one, all get dense keys in the order of their ids, rows without one last; else the ids are the keys. So each row
+    follows its own verdict, and of copies the smallest doc_id stays."""
 
     @wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         docs = docs.select(*COLUMNS).withColumn("given", F.col("doc_id")).withColumn("doc_id", F.col("doc_id").cast("bigint"))
-        own = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("shared"), F.lit(True).alias("rekeyed"))
         keyed = None
-        if not own.isEmpty():
-            top = max(0, docs.agg(F.max("doc_id")).first()[0] or 0)
-            key = F.when(F.col("rekeyed"), F.lit(top + 1) + F.monotonically_increasing_id()).otherwise(F.col("doc_id"))
-            docs = keyed = materialize(docs.join(own, F.col("doc_id").eqNullSafe(F.col("shared")), "left").withColumn("doc_id", key).drop("shared", "rekeyed"), "keyed")
+        if not docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").isEmpty():
+            docs = keyed = _dense(docs)
         out = stage(spark, docs, sf_dir).withColumn("doc_id", F.col("given")).select(*COLUMNS)
         if keyed is not None:
             out = materialize(out, "unkeyed")
@@ -53,7 +66,7 @@ def _by_row(stage: Callable) -> Callable:
 @_by_row
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score of 0.7 or more go; the field is fitted on the labelled documents
-    among ``docs``. Null and empty texts score as texts without toxic words; with labels of one kind
+    among ``docs``, on all their labels: a labelled document may thus be judged by a field that has learned from it. Null and empty texts score as texts without toxic words; with labels of one kind
     only, nothing goes."""
     field = fit(docs.withColumn("doc_id", F.col("given")), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     toxic = materialize(score_documents(docs, field).where(F.col("score") >= REJECT).select("doc_id"), "toxic", TEXT_ROWS)

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tracklake.functions.names import is_positive
+from tracklake.operators import event_evaluation as X
 from tracklake.operators import learning as L
 from tracklake.operators import tracks as T
 from tracklake.params import EventParams, FusionParams, MotionParams, OnlineParams
@@ -48,6 +49,16 @@ evs AS (SELECT track, session, done_start AS start_step, done_end AS end_step, d
 UNION ALL SELECT m.track, m.session, open_at, least(e.b + 25, e.c + 1), n FROM machine m JOIN ends e USING (track, session) WHERE open_at IS NOT NULL AND k = (SELECT max(k) FROM ordered o WHERE o.track = m.track AND o.session = m.session))"""
 
 
+# pairs of events and marked intervals, and of these, longest overlap first, those whose ends are free
+OVERLAP = """marks AS (SELECT track, step AS start, step + 1 + floor(conf * 60)::BIGINT AS stop FROM obs WHERE cls = 3 AND conf >= 0.5),
+pairs AS (SELECT e.track, e.start_step, e.end_step, m.start AS marked_step, m.stop, least(e.end_step, m.stop) - greatest(e.start_step, m.start) AS shared FROM evs e JOIN marks m ON e.track = m.track AND e.start_step < m.stop AND m.start < e.end_step),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY track ORDER BY shared DESC, start_step, marked_step) AS k FROM pairs),
+taking(track, k, es, ms, start_step, marked_step, shared) AS (SELECT DISTINCT track, 0::BIGINT, []::BIGINT[], []::BIGINT[], NULL::BIGINT, NULL::BIGINT, NULL::BIGINT FROM ranked
+UNION ALL SELECT t.track, r.k, CASE WHEN f.free THEN list_append(t.es, r.start_step) ELSE t.es END, CASE WHEN f.free THEN list_append(t.ms, r.marked_step) ELSE t.ms END, CASE WHEN f.free THEN r.start_step END, r.marked_step, r.shared
+FROM taking t JOIN ranked r ON t.track = r.track AND r.k = t.k + 1, LATERAL (SELECT NOT list_contains(t.es, r.start_step) AND NOT list_contains(t.ms, r.marked_step) AS free) f),
+taken AS (SELECT track, start_step, marked_step, shared FROM taking WHERE start_step IS NOT NULL)"""
+
+
 def _grid(spark, sf):
     return T.session_grid(V.observations(spark, sf).select("track", "step", "d", "obj"), ONLINE.max_missing)
 
@@ -102,6 +113,33 @@ def event_peaks(spark, sf):
     return out.select("track", "session", "start_step", *(F.bround(c, 3).alias(c) for c in ("peak_score", "peak_object", "peak_motion")), F.to_json("triggered_by").alias("triggered_by"))
 
 
+def _marked(spark, sf):
+    """Purchases as hand-marked intervals of a track, and its events."""
+    found = T.events(_decisions(spark, sf), EVENTS, T.session_ends(V.observations(spark, sf), ONLINE.max_missing))
+    events = materialize(found.select("track", F.col("start_step").alias("idx"), F.col("start_step").alias("start"), F.col("end_step").alias("stop")), "events")
+    own = V.observations(spark, sf).where("cls = 3 AND conf >= 0.5")
+    marks = own.select("track", F.col("step").alias("idx"), F.col("step").alias("start"), (F.col("step") + 1 + F.floor(F.col("conf") * 60)).alias("stop"))
+    return events, marks, materialize(X.overlaps(events, marks, ["track"], 24), "overlapping")
+
+
+def event_overlaps(spark, sf):
+    _, _, pairs = _marked(spark, sf)
+    return pairs.select("track", F.col("e_idx").alias("start_step"), F.col("m_idx").alias("marked_step"), "shared", F.round(X.interval_iou(), 9).alias("iou"))
+
+
+def event_matches(spark, sf):
+    _, _, pairs = _marked(spark, sf)
+    return X.assigned(pairs, ["track"]).select("track", F.col("e_idx").alias("start_step"), F.col("m_idx").alias("marked_step"), "shared")
+
+
+def event_evaluation(spark, sf):
+    """Events of tracks against marked intervals; a step is an hour."""
+    events, marks, pairs = _marked(spark, sf)
+    steps = V.observations(spark, sf).groupBy("track").agg((F.max("step") - F.min("step") + 1).alias("n"))
+    out = X.event_report(events, marks, X.assigned(pairs, ["track"]), steps, 1 / 3600)
+    return out.select(*(F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in out.dtypes))
+
+
 def main_tracks(spark, sf):
     e = V.observations(spark, sf).select((F.col("step") % 24).alias("clip"), "track", (F.col("cls") + 1).alias("area"))
     return T.main_track(e)
@@ -221,7 +259,7 @@ def window_classifier(spark, sf):
     return L.window_scores(model, rows.where("val")).select("clip", F.col("group").alias("track"), "start", "label", F.round("score", 4).alias("score"))
 
 
-QUERIES = {f.__name__: f for f in (track_sessions, track_grid, gap_filled, moving_average, sliding_windows, rolling_decisions, track_decisions, track_events, event_peaks, main_tracks, track_summary, median_interval, subsampled, clip_roles, feature_moments, standardised, auroc, f1_score, class_balance, group_fold, window_classifier, sequence_features, window_frames, pooled_windows, clip_decisions, used_frames, long_tracks)}
+QUERIES = {f.__name__: f for f in (track_sessions, track_grid, gap_filled, moving_average, sliding_windows, rolling_decisions, track_decisions, track_events, event_peaks, event_overlaps, event_matches, event_evaluation, main_tracks, track_summary, median_interval, subsampled, clip_roles, feature_moments, standardised, auroc, f1_score, class_balance, group_fold, window_classifier, sequence_features, window_frames, pooled_windows, clip_decisions, used_frames, long_tracks)}
 FEATURES = """fr AS (SELECT step % 2 AS clip, track, step // 2 AS step, cls, round(d, 6) AS d, conf, obj FROM obs WHERE step < 400),
 f AS (SELECT clip, track, step, CASE WHEN cls <> 1 THEN d END AS l, CASE WHEN cls <> 2 THEN least(3.0, d + 0.25) END AS r, CASE WHEN cls <> 3 THEN conf END AS el, CASE WHEN cls <> 4 THEN conf END AS nc, obj AS oc, 1 - conf AS ov FROM fr),
 allsteps AS (SELECT clip, track, unnest(generate_series(min(step), max(step))) AS step FROM f GROUP BY clip, track),
@@ -241,6 +279,9 @@ ORACLE_SQL = {
     "rolling_decisions": with_views("SELECT track, step, sum(dec) OVER (PARTITION BY track ORDER BY step ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)::BIGINT AS positives, rn - coalesce(max(CASE WHEN dec = 1 THEN rn END) OVER (PARTITION BY track ORDER BY step), 0) AS neg_run FROM (SELECT track, step, (obj >= 0.35)::INT AS dec, row_number() OVER (PARTITION BY track ORDER BY step) AS rn FROM obs)", "obs"),
     "track_decisions": with_views("SELECT track, session::BIGINT AS session, step, round(obj_score, 6) AS obj_score, round(mot_score, 6) AS mot_score, decision, reason, round(score, 6) AS score FROM judged", "obs", recursive=True, more=f"{GRID}, {DECIDED}"),
     "track_events": with_views("SELECT track, session::BIGINT AS session, start_step, end_step, n_positive FROM evs", "obs", recursive=True, more=f"{GRID}, {DECIDED}, {EVENT}"),
+    "event_overlaps": with_views("SELECT track, start_step, marked_step, shared, round(shared / (end_step - start_step + stop - marked_step - shared), 9) AS iou FROM pairs", "obs", recursive=True, more=f"{GRID}, {DECIDED}, {EVENT}, {OVERLAP}"),
+    "event_matches": with_views("SELECT * FROM taken", "obs", recursive=True, more=f"{GRID}, {DECIDED}, {EVENT}, {OVERLAP}"),
+    "event_evaluation": with_views("SELECT n_events, n_marked, n_hit, round(n_hit / n_events, 6) AS precision, round(n_hit / n_marked, 6) AS recall, round(2 * n_hit / (n_events + n_marked), 6) AS f1, n_events - n_hit AS false_alarms, round(hours::DOUBLE, 6) AS camera_hours, round((n_events - n_hit) / hours, 6) AS false_alarms_per_hour, round(delay * 3600, 6) AS mean_delay FROM (SELECT (SELECT count(*) FROM evs) AS n_events, (SELECT count(*) FROM marks) AS n_marked, (SELECT count(*) FROM taken) AS n_hit, (SELECT avg(start_step - marked_step) FROM taken) AS delay, (SELECT sum(n) FROM (SELECT max(step) - min(step) + 1 AS n FROM obs GROUP BY track)) AS hours)", "obs", recursive=True, more=f"{GRID}, {DECIDED}, {EVENT}, {OVERLAP}"),
     "main_tracks": with_views("SELECT clip, track, seen FROM (SELECT step % 24 AS clip, track, count(*) AS seen, avg(cls + 1) AS area FROM obs GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY clip ORDER BY seen * area DESC, track) = 1", "obs"),
     "track_summary": with_views("SELECT count(*) AS n_tracks, count(*) FILTER (top >= 0.9) AS n_positive, round(sum(seen) / 60, 6) AS minutes FROM (SELECT track, count(*) AS seen, max(obj) AS top FROM obs GROUP BY 1) WHERE seen >= 20", "obs"),
     "median_interval": with_views("SELECT median(gap)::DOUBLE AS median_gap FROM (SELECT step - lag(step) OVER (PARTITION BY track ORDER BY step) AS gap FROM obs)", "obs"),

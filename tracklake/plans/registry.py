@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tracklake.plans import behaviour, curation, detection
+from tracklake.plans import behaviour, curation, detection, frames
 
 FLAGSHIP = "track_events"
-QUERIES = curation.QUERIES | detection.QUERIES | behaviour.QUERIES
-ORACLE_SQL = curation.ORACLE_SQL | detection.ORACLE_SQL | behaviour.ORACLE_SQL
+QUERIES = curation.QUERIES | detection.QUERIES | behaviour.QUERIES | frames.QUERIES
+ORACLE_SQL = curation.ORACLE_SQL | detection.ORACLE_SQL | behaviour.ORACLE_SQL | frames.ORACLE_SQL

@@ -7,7 +7,7 @@ import pytest
 from tracklake.plans import registry
 
 DATA = "/root/testdata/sf0.001"
-NAMES = ["source_audit", "class_counts", "match_detections", "nms", "image_level", "gap_filled", "track_decisions", "track_events", "auroc", "event_peaks", "sequence_features", "window_frames", "clip_decisions", "curation_manifest", "curation_names", "kept_negatives", "average_precision", "group_fold", "event_overlaps", "event_evaluation", "frame_features", "box_forms"]
+NAMES = ["source_audit", "class_counts", "match_detections", "nms", "image_level", "gap_filled", "track_decisions", "track_events", "auroc", "event_peaks", "sequence_features", "window_frames", "clip_decisions", "curation_manifest", "curation_names", "kept_negatives", "average_precision", "group_fold", "event_overlaps", "event_evaluation", "frame_features", "box_forms", "row_folds"]
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")

@@ -69,6 +69,45 @@ def group_fold(rows: DataFrame, val_frac: float, key: Column) -> DataFrame:
     return rows.join(chosen.select("group", (F.col("start") + F.col("within") <= quota).alias("val")), "group")
 
 
+FINE = 16  # counts below stand for themselves, above an eighth of an octave is one cell
+
+
+def _cell(n: Column) -> Column:
+    return F.when(n < FINE, n).otherwise(F.floor(F.log2(n.cast("double")) * 8) - F.lit(4 * 8 - FINE)).cast("bigint")
+
+
+def row_folds(rows: DataFrame, folds: int, key: Column) -> DataFrame:
+    """``group, n_pos, n_neg, fold``: every group in one of ``folds`` folds that hold about as many rows of each label.
+
+    Groups with about the same counts of rows are a cell. Cells are dealt heaviest first: every fold gets the same
+    number of a cell's groups, and the rest go one each to the folds that hold least so far, in shares of both labels. The groups of a
+    cell are numbered by ``key``, a hexadecimal hash, over its leading digits and then within. What the driver holds are the
+    cells, some hundreds at most for each power of two in the counts, whatever the number of groups. A label may be rare or missing.
+    """
+    own = rows.groupBy("group").agg(F.count_if("label").alias("n_pos"), F.count_if(~F.col("label")).alias("n_neg"))
+    own = materialize(own.withColumn("cp", _cell(F.col("n_pos"))).withColumn("cn", _cell(F.col("n_neg"))).withColumn("key", key).withColumn("head", F.substring("key", 1, 3)), "groups")
+    cells = own.groupBy("cp", "cn").agg(F.count("*").alias("n"), F.sum("n_pos").alias("pos"), F.sum("n_neg").alias("neg")).collect()
+    all_pos, all_neg = max(1, sum(c.pos for c in cells)), max(1, sum(c.neg for c in cells))
+    weighed = sorted(((-((c.pos * all_neg + c.neg * all_pos) // c.n), c.cp, c.cn, c.n) for c in cells))
+    load, dealt = [0] * folds, []
+    for down, cp, cn, n in weighed:
+        least = sorted(range(folds), key=lambda f: (load[f], f))
+        for f in range(folds):
+            load[f] -= down * (n // folds)
+        for f in least[: n % folds]:
+            load[f] -= down
+        dealt.append((cp, cn, n - n % folds, least))
+    table = rows.sparkSession.createDataFrame(dealt, "cp long, cn long, even long, least array<int>")
+    heads = own.groupBy("cp", "cn", "head").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("cp", "cn").orderBy("head").rowsBetween(Window.unboundedPreceding, -1)
+    starts = heads.select("cp", "cn", "head", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    within = F.row_number().over(Window.partitionBy("cp", "cn", "head").orderBy("key", "group"))
+    placed = own.withColumn("within", within).join(starts, ["cp", "cn", "head"]).join(F.broadcast(table), ["cp", "cn"])
+    place = F.col("start") + F.col("within") - 1
+    fold = F.when(place < F.col("even"), place % folds).otherwise(F.element_at("least", (place - F.col("even") + 1).cast("int")))
+    return placed.select("group", "n_pos", "n_neg", fold.cast("int").alias("fold"))
+
+
 def fit_windows(train: DataFrame, val: DataFrame, features: list[str], noise: float = 0.02, strengths: tuple[float, ...] = (0.003, 0.01, 0.03, 0.1), steps: int = 60, seed: int = 0):
     """A classifier of windows on pooled features (label, features); the model and its AUROC on ``val``.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tracklake.functions.names import is_positive
 from tracklake.operators import event_evaluation as X
 from tracklake.operators import learning as L
+from tracklake.operators import temporal as N
 from tracklake.operators import tracks as T
 from tracklake.params import EventParams, FusionParams, MotionParams, OnlineParams
 from tracklake.plans import views as V
@@ -197,6 +198,15 @@ def group_fold(spark, sf):
     return L.group_fold(rows, 0.2, F.md5(F.col("group").cast("string"))).select("group", "label", "val")
 
 
+# cells of groups with like counts, heaviest first; each deals its rest to the folds that hold least
+ROW_FOLDS = """own AS (SELECT track AS grp, count(*) FILTER (obj >= 0.8) AS n_pos, count(*) FILTER (obj < 0.8) AS n_neg FROM obs GROUP BY 1),
+celled AS (SELECT *, CASE WHEN n_pos < 16 THEN n_pos ELSE floor(log2(n_pos) * 8)::BIGINT - 16 END AS cp, CASE WHEN n_neg < 16 THEN n_neg ELSE floor(log2(n_neg) * 8)::BIGINT - 16 END AS cn FROM own),
+placed AS (SELECT *, row_number() OVER (PARTITION BY cp, cn ORDER BY md5(grp::VARCHAR), grp) AS place FROM celled),
+wholes AS (SELECT greatest(sum(n_pos), 1) AS all_pos, greatest(sum(n_neg), 1) AS all_neg FROM own),
+cells AS (SELECT cp, cn, n, w, row_number() OVER (ORDER BY w DESC, cp, cn) AS k FROM (SELECT cp, cn, count(*) AS n, ((sum(n_pos) * max(all_neg) + sum(n_neg) * max(all_pos)) // count(*))::BIGINT AS w FROM celled, wholes GROUP BY cp, cn)),
+dealing(k, cp, cn, n, least, load) AS (SELECT 0::BIGINT, NULL::BIGINT, NULL::BIGINT, NULL::BIGINT, NULL::BIGINT[], [0, 0, 0, 0, 0]::BIGINT[]
+UNION ALL SELECT c.k, c.cp, c.cn, c.n, x.least, list_transform(range(5), lambda f: d.load[f + 1] + c.w * (c.n // 5 + CASE WHEN list_contains(x.least[1:c.n % 5], f) THEN 1 ELSE 0 END))
+FROM dealing d JOIN cells c ON c.k = d.k + 1, LATERAL (SELECT list_transform(list_sort(list_transform(range(5), lambda f: {'load': d.load[f + 1], 'fold': f})), lambda s: s.fold) AS least) x)"""
 CLASSES = ["cigarette", "vape"]
 
 
@@ -249,17 +259,39 @@ def long_tracks(spark, sf):
     return T.long_tracks(V.observations(spark, sf), 10.0, 1.95).groupBy("track").agg(F.count("*").alias("seen"))
 
 
+def row_folds(spark, sf):
+    """Tracks in folds that balance the rows of both labels."""
+    rows = V.observations(spark, sf).select(F.col("track").alias("group"), (F.col("obj") >= 0.8).alias("label"))
+    return L.row_folds(rows, 5, F.md5(F.col("group").cast("string")))
+
+
+def _labelled(spark, sf, windows):
+    """Windows with ``label``, whether a fifth of the track's events in the clip or more are purchases, which is none of their features,
+    and ``val``: a fifth of the tracks, balanced by windows of each label."""
+    share = F.sum((F.col("cls") == 3).cast("int")) * 5 >= F.count("*")
+    bought = V.observations(spark, sf).where("step < 400").groupBy((F.col("step") % 2).alias("clip"), "track").agg(share.alias("label"))
+    rows = materialize(windows.join(bought, ["clip", "track"]).withColumnRenamed("track", "group"), "windows")
+    folds = L.row_folds(rows, 5, F.md5(F.col("group").cast("string"))).select("group", (F.col("fold") == 0).alias("val"))
+    return materialize(rows.join(folds, "group").withColumnRenamed("group", "track"), "labelled-windows")
+
+
 def window_classifier(spark, sf):
-    """Scores of held-out windows by a classifier whose label, a purchase in the clip, is none of its features; no SQL equivalent."""
-    bought = V.observations(spark, sf).where("step < 400").groupBy((F.col("step") % 2).alias("clip"), "track").agg((F.sum((F.col("cls") == 3).cast("int")) >= 2).alias("label"))
+    """Scores of held-out windows by a classifier of pooled features; no SQL equivalent."""
     names = ["d_min", "obj_cigarette", "d_min_delta", "present"]
-    pooled = T.pooled_windows(T.window_frames(_features(spark, sf), ["clip", "track"], 24, 12), ["clip", "track"], names).join(bought, ["clip", "track"])
-    rows = materialize(L.group_fold(pooled.withColumnRenamed("track", "group"), 0.2, F.md5(F.col("group").cast("string"))), "labelled-windows")
+    rows = _labelled(spark, sf, T.pooled_windows(T.window_frames(_features(spark, sf), ["clip", "track"], 24, 12), ["clip", "track"], names))
     model, _ = L.fit_windows(rows.where("NOT val"), rows.where("val"), [f"{n}_{k}" for n in names for k in ("mean", "max")])
-    return L.window_scores(model, rows.where("val")).select("clip", F.col("group").alias("track"), "start", "label", F.round("score", 4).alias("score"))
+    return L.window_scores(model, rows.where("val")).select("clip", "track", "start", "label", F.round("score", 4).alias("score"))
+
+
+def temporal_net(spark, sf):
+    """Scores of held-out windows by a temporal convolution net; no SQL equivalent."""
+    names = ["d_min", "obj_cigarette", "d_min_delta", "present"]
+    rows = _labelled(spark, sf, N.window_rows(T.window_frames(_features(spark, sf), ["clip", "track"], 24, 12), ["clip", "track"], names))
+    net, _, _ = N.fit_net(rows.where("NOT val"), rows.where("val"), len(names), 24, hidden=8, epochs=4, batches=3, rate=0.01)
+    return N.scored(net, rows.where("val").select("clip", "track", "start", "label", "x")).withColumn("score", F.round("score", 4))
 
 
-QUERIES = {f.__name__: f for f in (track_sessions, track_grid, gap_filled, moving_average, sliding_windows, rolling_decisions, track_decisions, track_events, event_peaks, event_overlaps, event_matches, event_evaluation, main_tracks, track_summary, median_interval, subsampled, clip_roles, feature_moments, standardised, auroc, f1_score, class_balance, group_fold, window_classifier, sequence_features, window_frames, pooled_windows, clip_decisions, used_frames, long_tracks)}
+QUERIES = {f.__name__: f for f in (track_sessions, track_grid, gap_filled, moving_average, sliding_windows, rolling_decisions, track_decisions, track_events, event_peaks, event_overlaps, event_matches, event_evaluation, main_tracks, track_summary, median_interval, subsampled, clip_roles, feature_moments, standardised, auroc, f1_score, class_balance, group_fold, row_folds, window_classifier, temporal_net, sequence_features, window_frames, pooled_windows, clip_decisions, used_frames, long_tracks)}
 FEATURES = """fr AS (SELECT step % 2 AS clip, track, step // 2 AS step, cls, round(d, 6) AS d, conf, obj FROM obs WHERE step < 400),
 f AS (SELECT clip, track, step, CASE WHEN cls <> 1 THEN d END AS l, CASE WHEN cls <> 2 THEN least(3.0, d + 0.25) END AS r, CASE WHEN cls <> 3 THEN conf END AS el, CASE WHEN cls <> 4 THEN conf END AS nc, obj AS oc, 1 - conf AS ov FROM fr),
 allsteps AS (SELECT clip, track, unnest(generate_series(min(step), max(step))) AS step FROM f GROUP BY clip, track),
@@ -293,6 +325,8 @@ ORACLE_SQL = {
     "f1_score": with_views("SELECT count(*) FILTER (score >= 0.5 AND label) AS tp, count(*) FILTER (score >= 0.5 AND NOT label) AS fp, count(*) FILTER (score < 0.5 AND label) AS fn, round(2 * tp / (2 * tp + fp + fn), 9) AS f1 FROM sc", "obs", more=SCORED),
     "class_balance": with_views("SELECT count(*) FILTER (label) AS pos, count(*) FILTER (NOT label) AS neg, round(neg / greatest(pos, 1), 9) AS pos_weight FROM sc", "obs", more=SCORED),
     "group_fold": with_views("SELECT grp AS \"group\", label, place <= ceil(n / f) AS val FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(grp::VARCHAR), grp) AS place, count(*) OVER (PARTITION BY label) AS n FROM g), (SELECT greatest(2, least(5, min(n))) AS f FROM (SELECT count(*) AS n FROM g GROUP BY label))", "obs", more="g AS (SELECT track AS grp, max(obj) >= 0.99 AS label FROM obs GROUP BY 1)"),
+    "row_folds": with_views("""SELECT grp AS "group", n_pos, n_neg, CASE WHEN place <= n - n % 5 THEN (place - 1) % 5 ELSE least[place - (n - n % 5)] END::INT AS fold
+        FROM placed JOIN dealing USING (cp, cn)""", "obs", recursive=True, more=ROW_FOLDS),
     "event_peaks": with_views("""SELECT track, session::BIGINT AS session, start_step, round_even(max(score), 3) AS peak_score, round_even(max(obj_score), 3) AS peak_object, round_even(max(mot_score), 3) AS peak_motion, '{' || string_agg('"' || reason || '":' || n, ',' ORDER BY reason) || '}' AS triggered_by
         FROM (SELECT e.track, e.session, start_step, reason, max(score) AS score, max(obj_score) AS obj_score, max(mot_score) AS mot_score, count(*) AS n FROM evs e JOIN judged j ON e.track = j.track AND e.session = j.session AND j.decision AND j.step BETWEEN e.start_step AND e.end_step GROUP BY ALL) GROUP BY ALL""", "obs", recursive=True, more=f"{GRID}, {DECIDED}, {EVENT}"),
     "sequence_features": with_views("SELECT clip, track, step, " + ", ".join(f"round({n} + 0.0, 6) AS {n}" for n in FEATURE_NAMES) + " FROM feats", "obs", more=FEATURES),

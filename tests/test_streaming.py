@@ -45,10 +45,49 @@ def test_stream_equals_batch(spark, tmp_path):
     made = spark.read.parquet(f"{folder}/decisions").where("track <> 99")
     assert made.where("decision IS NOT NULL").select(columns).exceptAll(judged.where("track <> 99").select(columns)).count() == 0
     assert made.where("decision IS NOT NULL").count() == judged.where("track <> 99").count() > 100
-    S.write_events(spark.readStream.schema(made.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/decisions"), f"{folder}/online").awaitTermination()
-    names = ["clip", "track", "session", "start_step", "end_step", "peak_score", "n_positive"]
-    got = spark.read.parquet(f"{folder}/online/events").where("track <> 99").select(names)
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(names).collect())) and got.count() > 5
+    stream = lambda: spark.readStream.schema(made.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/later")
+    names = ["clip", "track", "session", "start_step", "end_step", "n_positive"]
+    everything = spark.read.parquet(f"{folder}/decisions")
+    # the stream stops in the middle and goes on from its checkpoint
+    turn = F.coalesce("step", "closed_at")
+    for k, part in enumerate((turn <= 150, (turn > 150) & (turn <= 260), turn > 260)):
+        everything.where(part).coalesce(1).write.mode("append").parquet(f"{folder}/later")
+        S.write_events(stream(), f"{folder}/online").awaitTermination()
+        upto = (150, 260, 10_000)[k]
+        half = T.events(made.where((F.col("step") <= upto) & F.col("decision").isNotNull()), EventParams()).where("end_step IS NULL")
+        gone = everything.where(F.col("closed_at") <= upto).select("clip", "track", "session")
+        left = half.join(gone, ["clip", "track", "session"], "left_anti").select("clip", "track", "session", "start_step")
+        active = S.open_events(spark, f"{folder}/online/checkpoint").where("track <> 99").select("clip", "track", "session", "start_step")
+        assert sorted(map(tuple, active.collect())) == sorted(map(tuple, left.collect())), k
+    got = spark.read.parquet(f"{folder}/online/events").where("track <> 99")
+    assert sorted(map(tuple, got.select(names).collect())) == sorted(map(tuple, want.select(names).collect())) and got.count() > 5
+    rounded = lambda df: sorted((r.clip, r.track, r.start_step, *(round(r[c], 9) for c in ("peak_score", "peak_object", "peak_motion")), sorted(r.triggered_by.items())) for r in df.collect())
+    assert rounded(got) == rounded(want)
+    for name in ("open", "recent", "negatives", "reasons"):  # sessions that have ended leave nothing behind
+        state = spark.read.format("statestore").option("stateVarName", name).load(f"{folder}/online/checkpoint")
+        assert {r.track for r in state.select("key.track").collect()} <= {99}, name
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    """Seven rows come after their step was judged, three more after the watermark has passed them."""
+    schema = "clip long, track long, ts timestamp, step long, d double, obj double"
+    row = lambda track, step: (1, track, BEGIN + timedelta(seconds=step), step, 1.0, 0.5)
+    batches = [[row(t, s) for t in (1, 2) for s in range(0, 60)], [row(1, s) for s in (50, 51, 52, 53)] + [row(2, s) for s in (57, 58, 59)] + [row(2, 60)], [row(1, 300)], [row(1, s) for s in (3, 4, 5)] + [row(1, 301)]]
+    late = S.LateRows()
+    spark.streams.addListener(late)
+    try:
+        query = None
+        for k, rows in enumerate(batches):
+            (tmp_path / "in").mkdir(exist_ok=True)
+            spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/one/{k}")
+            (tmp_path / "in" / f"{k}.parquet").write_bytes(next((tmp_path / "one" / str(k)).glob("part-*")).read_bytes())
+            stream = S.observation_stream(spark, f"{tmp_path}/in", files_per_batch=1)
+            query = S.decision_stream(stream, ONLINE, delay="30 seconds", step_ms=1000).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start()
+            query.awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        assert (late.judged, late.dropped) == (7, 3)
+    finally:
+        spark.streams.removeListener(late)
 
 
 def test_active_tracks(spark):

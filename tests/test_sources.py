@@ -114,10 +114,6 @@ def test_tables_round_trip(spark, tmp_path):
     seq = spark.createDataFrame([(1, 0, 5, s, [0.1, 0.2]) for s in range(3)], "label int, clip long, track long, step long, features array<double>")
     files.write_tracks(seq, str(tmp_path / "tracks"))
     assert files.read_tracks(spark, str(tmp_path / "tracks")).count() == 3
-    images, boxes = spark.createDataFrame([(1,), (2,)], "image long"), spark.createDataFrame([(1, 0, 2, 0.5, 0.5, 0.1, 0.25)], "image long, box_idx int, cls int, cx double, cy double, w double, h double")
-    files.write_labels(images, boxes, str(tmp_path / "labels"))
-    text = {r.image: r.value for r in spark.read.option("wholetext", True).text(str(tmp_path / "labels")).collect()}
-    assert text[1].strip() == "2 0.500000 0.500000 0.100000 0.250000" and text.get(2, "").strip() == ""
     (tmp_path / "clips.csv").write_text("video_path,label,start_s,end_s,notes\na/b.mp4,smoking,,3.5,\n/abs/c.mp4,no,1,,x\n")
     clips = files.read_clip_labels(spark, str(tmp_path / "clips.csv"), "/root")
     assert [(r.video_path, r.start_s, r.end_s) for r in clips.collect()] == [("/root/a/b.mp4", None, 3.5), ("/abs/c.mp4", 1.0, None)]
@@ -222,3 +218,50 @@ def test_windows_of_short_sequences(spark):
     for r in tracks.window_frames(rows, ["k"], 4, 2).orderBy("k", "start", "place").collect():
         got.setdefault((r.k, r.start), []).append(r.v)
     assert got == {(1, 0): [0, 0, 1, 2], (2, 0): [0, 1, 2, 3], (2, 2): [2, 3, 4, 5], (2, 3): [3, 4, 5, 6]}
+
+
+def test_labels_and_splits_are_read_back(spark, tmp_path):
+    """Label files lie at the label paths, the split lists where the description says."""
+    import yaml
+
+    paths = []
+    for split, name in (("train", "a.b"), ("train", "b"), ("valid", "c")):
+        (tmp_path / "d" / split / "images").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "d" / split / "images" / f"{name}.png").write_bytes(png(picture(len(paths))))
+        paths.append(str(tmp_path / "d" / split / "images" / f"{name}.png"))
+    kind = "image string, box_idx int, cls int, cx double, cy double, w double, h double"
+    boxes = spark.createDataFrame([(paths[0], 1, 3, 0.25, 0.5, 0.125, 0.0625), (paths[0], 0, 2, 0.5, 0.5, 0.1, 0.25), (f"file:{paths[2]}", 0, 1, 0.5, 0.5, 1.0, 1.0)], kind)
+    images = spark.createDataFrame([(paths[0],), (paths[1],), (f"file:{paths[2]}",), (paths[0],)], "image string")
+    for _ in range(2):  # again is the same
+        assert files.write_labels(images, boxes) == 3
+    assert (tmp_path / "d" / "train" / "labels" / "a.b.txt").read_text() == "2 0.500000 0.500000 0.100000 0.250000\n3 0.250000 0.500000 0.125000 0.062500\n"
+    read = files.labelled(files.list_images(spark, f"{tmp_path}/d"), files.read_labels(spark, f"{tmp_path}/d"))
+    got = sorted((r.path.rpartition("/")[2], r.cls, r.w) for r in read.collect() if r.cls is not None)
+    assert got == [("a.b.png", 2, 0.1), ("a.b.png", 3, 0.125), ("c.png", 1, 1.0)] and read.count() == 4
+    split = spark.createDataFrame([("train", paths[1]), ("train", paths[0]), ("test", paths[2])], "split string, path string").repartition(3)
+    for _ in range(2):
+        files.write_splits(split, f"{tmp_path}/out/splits")
+    config = yaml.safe_load(files.dataset_config(["x"], f"{tmp_path}/out"))
+    lists = {s: files.read_paths(spark, f"{config['path']}/{config[s]}").collect() for s in ("train", "val", "test")}
+    assert [r.path for r in lists["train"]] == sorted(paths[:2]) and [r.path for r in lists["test"]] == paths[2:] and lists["val"] == []
+
+
+def test_turned_images_hash_as_upright(spark, tmp_path):
+    import struct
+    import zlib
+
+    upright = picture(9)
+    turned = {1: upright, 2: upright[:, ::-1], 3: upright[::-1, ::-1], 4: upright[::-1], 5: upright.transpose(1, 0, 2), 6: np.rot90(upright), 7: np.rot90(upright, 2).transpose(1, 0, 2), 8: np.rot90(upright, -1)}
+    for tag, pixels in turned.items():
+        data = png(np.ascontiguousarray(pixels))
+        for order, mark in (("<", b"II*\0"), (">", b"MM\0*")):
+            tiff = mark + struct.pack(f"{order}IHHHIHHI", 8, 1, 0x0112, 3, 1, tag, 0, 0)
+            chunk = b"eXIf" + tiff
+            (tmp_path / f"{tag}{'l' if order == '<' else 'b'}.png").write_bytes(data[:33] + struct.pack(">I", len(tiff)) + chunk + struct.pack(">I", zlib.crc32(chunk)) + data[33:])
+        app = b"Exif\0\0" + tiff
+        assert hashing.orientation(b"\xff\xd8\xff\xe0\x00\x04ab\xff\xe1" + struct.pack(">H", len(app) + 2) + app + b"\xff\xda") == tag
+    assert hashing.orientation(b"") == hashing.orientation(b"\xff\xd8\xff\xda") == hashing.orientation(png(upright)) == 1
+    images = spark.read.format("image").load(str(tmp_path))
+    found = hashing.image_hashes(images, hashing.orientations(spark, str(tmp_path))).collect()
+    assert len(found) == 16 and len({(r.h, r.mirror) for r in found}) == 1
+    assert len({r.h for r in hashing.image_hashes(images).collect()}) > 4

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import json
+import re
+import uuid
 from collections.abc import Callable, Iterator
+from itertools import islice
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -19,6 +23,7 @@ CLASS_MAP = "source string, name string, target string"
 MANIFEST = "image string, source string, role string, priority int, orig_name string, orig_stem string, n_boxes int, boxes_per_class map<string,bigint>, orig_empty boolean, emptied boolean"
 CLIP_LABELS = "video_path string, label string, start_s double, end_s double, notes string"
 ROLES = ("train", "test", "skip")
+FRAMES = 64
 
 
 def read_yaml(path: str) -> dict:
@@ -169,7 +174,7 @@ def read_tracks(spark: SparkSession, path: str) -> DataFrame:
 
 def decoded_frames(spark: SparkSession, folder: str, decode: Callable[[str, bytes], Iterator[dict]], schema: str, types: tuple[str, ...] = ("mp4", "avi", "mov", "mkv")) -> DataFrame:
     """Frames of the clips under a folder by the caller's decoder (path, content) -> rows of ``schema``; a clip is
-    one task's work. Without a decoder, pipelines start from a table of observations."""
+    one task's work, and ``FRAMES`` of its frames are held at a time. Without a decoder, pipelines start from a table of observations."""
     clips = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).where(F.lower(F.substring_index("path", ".", -1)).isin(*types))
 
     def run(batches):
@@ -177,8 +182,8 @@ def decoded_frames(spark: SparkSession, folder: str, decode: Callable[[str, byte
 
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
-                rows = list(decode(path, content))
-                if rows:
+                frames = iter(decode(path, content))
+                while rows := list(islice(frames, FRAMES)):
                     yield pd.DataFrame(rows)
 
     return clips.select("path", "content").mapInPandas(run, schema)
@@ -191,16 +196,55 @@ def label_lines(boxes: DataFrame) -> DataFrame:
     return boxes.groupBy("image").agg(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n").alias("value"))
 
 
-def write_labels(images: DataFrame, boxes: DataFrame, folder: str) -> None:
-    """A folder of text for each image, with a line for each box, and an empty text for images without boxes.
-    ``images`` holds image, ``boxes`` image, box_idx, cls and the box."""
-    texts = images.select("image").distinct().join(label_lines(boxes), "image", "left")
-    texts.select("image", F.coalesce("value", F.lit("")).alias("value")).write.mode("overwrite").partitionBy("image").text(folder)
+def file_system(path: str):
+    """The file system of a path or URI, and the path within it; for use in tasks."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(re.sub("^file:/+", "/", path))
 
 
-def write_splits(split: DataFrame, folder: str) -> None:
-    """One folder of text for each split, one path a line."""
-    split.select("split", F.col("path").alias("value")).write.mode("overwrite").partitionBy("split").text(folder)
+def write_labels(images: DataFrame, boxes: DataFrame) -> int:
+    """One file for each image at its label path, a line for each box, empty for images without boxes; how many were written.
+    ``images`` holds image, a whole path or URI, ``boxes`` image, box_idx, cls and the box. Tasks write their files themselves; a
+    task that runs again writes the same ones. ``read_labels`` and ``labelled`` read them back."""
+    texts = images.select("image").distinct().join(label_lines(boxes), "image", "left")
+    named = texts.select(label_path(F.col("image")).alias("label"), F.coalesce(F.concat("value", F.lit("\n")), F.lit("")).alias("value"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: set[str] = set()
+        for batch in batches:
+            for label, value in zip(batch.column("label").to_pylist(), batch.column("value").to_pylist(), strict=True):
+                system, path = file_system(label)
+                folder = path.rpartition("/")[0]
+                if folder not in made:
+                    system.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with system.open_output_stream(path) as out:
+                    out.write(value.encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    return named.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def write_splits(split: DataFrame, folder: str, splits: tuple[str, ...] = ("train", "val", "test")) -> None:
+    """``folder/<split>.txt``, one path a line, in order, for each of ``splits``, which ``dataset_config`` names; without rows, an empty file.
+    Each split is written by one task, row by row, as its readers want one file."""
+    spark = split.sparkSession
+    parts = f"{folder}/.parts-{uuid.uuid4().hex}"
+    own = split.where(F.col("split").isin(*splits)).select("split", F.col("path").alias("value"))
+    own.repartition("split").sortWithinPartitions("split", "value").write.partitionBy("split").text(parts)
+    jvm = spark.sparkContext._jvm
+    path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    system = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name in splits:
+        target = path(f"{folder}/{name}.txt")
+        system.delete(target, False)
+        found = [f.getPath() for f in system.globStatus(path(f"{parts}/split={name}/part-*")) or ()]
+        if found:
+            system.rename(found[0], target)
+        else:
+            system.create(target).close()
+    system.delete(path(parts), True)
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tracklake.functions.motion import episodes, fuse, motion_score, smoothed
 from tracklake.params import EventParams, FusionParams, MotionParams, OnlineParams
+from tracklake.storage import discard, materialize
 
 FILL = 3.0  # distance of a hand that was never seen (fixed value)
 
@@ -205,64 +206,59 @@ def percentile(values: Column, q: float) -> Column:
     return F.when(n == 0, 0.0).otherwise(a + (b - a) * (place - low))
 
 
-EVENT = "struct<start:bigint,stop:bigint,score:double,obj:double,mot:double,reasons:array<string>>"
-MACHINE = f"struct<hist:array<boolean>,neg:int,open:{EVENT},out:array<{EVENT}>>"
-
-
-def machine_start() -> Column:
-    return F.struct(F.array().cast("array<boolean>").alias("hist"), F.lit(0).alias("neg"), F.lit(None).cast(EVENT).alias("open"), F.array().cast(f"array<{EVENT}>").alias("out")).cast(MACHINE)
-
-
-def machine_run(rows: Column, start: Column, p: EventParams) -> Column:
-    """The event machine's state after the decisions in ``rows``, an array of structs in the order of steps,
-    from the state ``start``; ``out`` holds the events that closed."""
-
-    def step(a: Column, x: Column) -> Column:
-        grown = F.concat(a["hist"], F.array(x["decision"]))
-        hist = F.slice(grown, F.greatest(F.size(grown) - p.n_on + 1, F.lit(1)), p.n_on)
-        neg = F.when(x["decision"], 0).otherwise(a["neg"] + 1)
-        fresh = F.struct(x["step"].cast("bigint").alias("start"), F.lit(None).cast("bigint").alias("stop"), F.lit(0.0).alias("score"), F.lit(0.0).alias("obj"), F.lit(0.0).alias("mot"), F.array().cast("array<string>").alias("reasons")).cast(EVENT)
-        held = F.coalesce(a["open"], F.when(F.size(F.filter(hist, lambda h: h)) >= p.k_on, fresh))
-
-        def grow(e: Column) -> Column:
-            more = F.struct(e["start"].alias("start"), e["stop"].alias("stop"), F.greatest(e["score"], x["score"]).alias("score"), F.greatest(e["obj"], x["obj_score"]).alias("obj"), F.greatest(e["mot"], x["mot_score"]).alias("mot"), F.concat(e["reasons"], F.array(x["reason"])).alias("reasons")).cast(EVENT)
-            return F.when(e.isNotNull() & x["decision"], more).otherwise(e)
-
-        def close(e: Column) -> Column:
-            ends_now = e.isNotNull() & (neg >= p.m_off)
-            done = F.struct(e["start"].alias("start"), x["step"].cast("bigint").alias("stop"), *(e[c].alias(c) for c in ("score", "obj", "mot", "reasons"))).cast(EVENT)
-            return F.struct(hist.alias("hist"), neg.alias("neg"), F.when(~ends_now, e).alias("open"), F.when(ends_now, F.concat(a["out"], F.array(done))).otherwise(a["out"]).alias("out")).cast(MACHINE)
-
-        return _let(_let(held, grow), close)
-
-    return F.aggregate(rows, start, step)
-
-
-def decision_rows() -> Column:
-    return F.array_sort(F.collect_list(F.struct("step", "decision", "score", "obj_score", "mot_score", "reason")))
-
-
-def event_columns(e: str = "e") -> list[Column]:
-    """Start, end, peaks and reasons of an event struct; the end is null while it is open."""
-    kinds = F.array_sort(F.array_distinct(f"{e}.reasons"))
-    histogram = F.map_from_arrays(kinds, F.transform(kinds, lambda r: F.size(F.filter(f"{e}.reasons", lambda y: y == r))))
-    peaks = [F.col(f"{e}.{c}").alias(n) for c, n in (("score", "peak_score"), ("obj", "peak_object"), ("mot", "peak_motion"))]
-    return [F.col(f"{e}.start").alias("start_step"), F.col(f"{e}.stop").alias("end_step"), *peaks, F.size(f"{e}.reasons").alias("n_positive"), histogram.alias("triggered_by")]
-
-
-def events(judged: DataFrame, p: EventParams, ends: DataFrame | None = None, ordered: bool = False) -> DataFrame:
+def events(judged: DataFrame, p: EventParams, ends: DataFrame | None = None, ordered: bool = False, chunk: int = 8192) -> DataFrame:
     """Hysteresis events: ``track, session, start_step, end_step, peaks, n_positive, triggered_by`` (and clip, if given).
 
     ``k_on`` positives among the last ``n_on`` decisions open an event, ``m_off`` negatives in a row close
-    it. ``ends`` (track, session, close_step) closes what is still open at the end of a session. Each session is
-    folded once over its ordered decisions. ``ordered``: by start, then track.
+    it. ``ends`` (track, session, close_step) closes what is still open at the end of a session. ``ordered``: by start, then track.
+
+    A session may be of any length: its decisions are handled in stretches of ``chunk`` steps, all at once. What a stretch does to those
+    behind it is small: its last decisions, its last positive, whether it leaves an event open, and where that began. These
+    summaries are composed in order, and each stretch then starts from what lies before it.
     """
     keys = [*_keys(judged), "session"]
-    after = judged.groupBy(*keys).agg(decision_rows().alias("rows")).select(*keys, machine_run(F.col("rows"), machine_start(), p).alias("m"))
-    every = F.when(F.col("m.open").isNull(), F.col("m.out")).otherwise(F.concat("m.out", F.array("m.open")))
-    found = after.select(*keys, F.explode(every).alias("e")).select(*keys, *event_columns())
+    part = [*keys, "_chunk"]
+    own, between = Window.partitionBy(*part).orderBy("step"), Window.partitionBy(*keys).orderBy("_chunk")
+    upto, ahead = own.rowsBetween(Window.unboundedPreceding, 0), own.rowsBetween(Window.unboundedPreceding, -1)
+    before = between.rowsBetween(Window.unboundedPreceding, -1)
+    rows = judged.withColumn("_chunk", F.floor(F.col("step") / chunk)).withColumn("_n", F.row_number().over(own))
+    rows = materialize(rows.select(*part, "step", "_n", "decision", "score", "obj_score", "mot_score", "reason"), "decisions")
+
+    positive = F.when(F.col("decision"), F.col("_n"))
+    tail = F.transform(F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("_n", "decision")))), 1, max(1, p.n_on - 1)), lambda x: x["decision"])
+    sums = rows.groupBy(*part).agg(F.max("_n").alias("_rows"), F.max(positive).alias("_own_last"), tail.alias("_own_tail"))
+    sums = sums.withColumn("_base", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    last = F.coalesce(F.max(F.col("_base") + F.col("_own_last")).over(before), F.lit(0)).alias("_last")
+    # newest first: the decisions just before the stretch, over as many stretches as it may take
+    tails = F.flatten(F.reverse(F.collect_list("_own_tail").over(between.rowsBetween(-max(1, p.n_on - 1), -1)))).alias("_tail")
+    lacking = F.lit(p.n_on) - F.col("_n")
+    carried = F.when(lacking > 0, F.size(F.filter(F.slice("_tail", F.lit(1), F.greatest(lacking, F.lit(0))), lambda x: x))).otherwise(0)
+    said = F.sum(F.col("decision").cast("int")).over(own.rowsBetween(-(p.n_on - 1), 0)) + carried
+    negatives = F.col("_base") + F.col("_n") - F.coalesce(F.max(positive).over(upto) + F.col("_base"), F.col("_last"))
+    flagged = rows.join(sums.select(*part, "_base", last, tails), part).withColumn("_on", said >= p.k_on).withColumn("_off", negatives >= p.m_off)
+    state = F.when(F.col("_on") | F.col("_off"), F.col("_on") & ~F.col("_off"))  # null: as before
+    flagged = materialize(flagged.withColumn("_state", state).drop("_base", "_last", "_tail"), "flagged")
+
+    left = flagged.where("_state IS NOT NULL").groupBy(*part).agg(F.max_by("_state", "_n").alias("_left"))
+    left = flagged.groupBy(*part).agg(F.count("*")).select(*part).join(left, part, "left")
+    entered = left.select(*part, F.coalesce(F.last("_left", ignorenulls=True).over(before), F.lit(False)).alias("_entered"))
+    was_open = F.coalesce(F.last("_state", ignorenulls=True).over(ahead), F.col("_entered"))
+    held = flagged.join(entered, part).withColumn("_open", was_open).withColumn("_opens", F.col("_on") & ~F.col("_open"))
+    held = materialize(held.where("_open OR _opens").drop("_entered", "_state", "_on"), "open-steps")
+    began = held.groupBy(*part).agg(F.max(F.when(F.col("_opens"), F.col("step"))).alias("_began"))
+    began = began.select(*part, F.max("_began").over(before).alias("_began"))
+    start = F.coalesce(F.max(F.when(F.col("_opens"), F.col("step"))).over(upto), F.col("_began"))
+    named = held.join(began, part).withColumn("start_step", start)
+
+    value = lambda c: F.max(F.when(F.col("decision"), F.col(c))).alias(c)
+    kinds = named.groupBy(*keys, "start_step", "reason").agg(F.max(F.when(F.col("_off"), F.col("step"))).alias("_stop"), *map(value, ("score", "obj_score", "mot_score")), F.count_if("decision").alias("_n"))
+    histogram = F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("_n") > 0, F.struct("reason", F.col("_n").cast("int"))))))
+    peak = lambda c, n: F.coalesce(F.max(c), F.lit(0.0)).alias(n)
+    found = kinds.groupBy(*keys, "start_step").agg(F.max("_stop").alias("end_step"), peak("score", "peak_score"), peak("obj_score", "peak_object"), peak("mot_score", "peak_motion"), F.sum("_n").cast("int").alias("n_positive"), histogram.alias("triggered_by"))
     if ends is not None:
         found = found.join(ends, keys, "left").withColumn("end_step", F.coalesce("end_step", "close_step")).drop("close_step")
+    found = materialize(found, "events")
+    discard(rows, flagged, held)
     return found.orderBy("start_step", *keys) if ordered else found
 
 

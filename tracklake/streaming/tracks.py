@@ -119,7 +119,7 @@ FOUND = "clip bigint, track bigint, session bigint, start_step bigint, end_step
 
 
 class _Machine(StatefulProcessor):
-    """The event machine of one track of one clip, a step of ``operators.tracks.machine_run`` for each decision."""
+    """The event machine of one track of one clip, by the rules of ``operators.tracks.events``."""
 
     def __init__(self, p: EventParams, ttl_ms: int | None):
         self.p, self.ttl_ms = p, ttl_ms

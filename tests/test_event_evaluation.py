@@ -53,3 +53,18 @@ def test_report(spark):
     none = events.limit(0)
     r = X.event_report(none, none, X.assigned(X.overlaps(none, none, ["clip"]), ["clip"]), steps.limit(0), 10.0).first()
     assert (r.n_hit, r.precision, r.recall, r.false_alarms_per_hour, r.mean_delay) == (0, None, None, None, None)
+
+
+def test_cells_follow_the_values(spark, monkeypatch):
+    from tracklake.operators import learning as L
+
+    monkeypatch.setattr(L, "ONE_CELL", 10)
+    rnd = random.Random(3)
+    values = [rnd.choice((rnd.random(), 0.5, rnd.gauss(0, 1e-6), 1e9 * rnd.random())) for _ in range(3000)]
+    rows = spark.createDataFrame([(v, bool(rnd.random() < 0.3)) for v in values], "score double, label boolean")
+    got = sorted(map(tuple, rows.select("score", L.cells_of(rows, "score").alias("cell")).collect()))
+    assert [c for _, c in got] == sorted(c for _, c in got) and len({c for _, c in got}) > 100
+    assert all(a[1] == b[1] for a, b in zip(got, got[1:], strict=False) if a[0] == b[0])
+    spread = L.auroc(rows).first()
+    monkeypatch.setattr(L, "ONE_CELL", 10_000)
+    assert abs(spread.auroc - L.auroc(rows).first().auroc) < 1e-12

@@ -18,12 +18,24 @@ def standardised(rows: DataFrame, stats: DataFrame, features: list[str], most: f
     return rows.join(F.broadcast(stats)).withColumns(z).drop(*(f"{f}_{k}" for f in features for k in ("mean", "std")))
 
 
-def cells_of(rows: DataFrame, value: str, cells: int = 256) -> Column:
-    """Which stretch of ``value`` a row is in, larger values in later ones; the cuts are approximate quantiles."""
-    cuts = rows.agg(F.percentile_approx(value, [k / cells for k in range(1, cells)], 10_000).alias("cuts")).first().cuts or []
+ONE_CELL = 1 << 16  # rows that one task may as well order
+
+
+def cells_of(rows: DataFrame, value: str, fan: int = 16) -> Column:
+    """Which stretch of ``value`` a row is in, larger values in later ones; the cuts are approximate quantiles, ``fan`` times ``fan`` of them.
+    ``rows`` are read twice: give a written table. Few rows are one stretch.
+
+    A row is held against the coarse cuts and then against the fine ones of its coarse stretch.
+    """
+    if rows.count() <= ONE_CELL:
+        return F.lit(0)
+    cuts = rows.agg(F.percentile_approx(value, [k / fan**2 for k in range(1, fan**2)], 10_000).alias("cuts")).first().cuts or []
     distinct = sorted({c for c in cuts if c is not None})
-    array = F.array(*map(F.lit, distinct)) if distinct else F.array().cast("array<double>")
-    return F.size(F.filter(array, lambda c: c <= F.col(value)))
+    lots = [distinct[k : k + fan] for k in range(0, len(distinct), fan)] or [[]]
+    numbers = lambda xs: F.array(*map(F.lit, xs)).cast("array<double>")
+    reached = lambda array: F.size(F.filter(array, lambda c: c <= F.col(value)))
+    coarse = reached(numbers([lot[0] for lot in lots[1:]]))
+    return coarse * fan + reached(F.element_at(F.array(*map(numbers, lots)), coarse + 1))
 
 
 def auroc(scored: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from tracklake.functions import geometry as G
 from tracklake.functions.names import clip_name, safe_name
 from tracklake.functions.pose import frame_features as features_of
 from tracklake.operators import annotations as A
+from tracklake.operators import association as S
 from tracklake.plans import views as V
 from tracklake.plans.views import with_views
 
@@ -76,7 +77,13 @@ def subset_boxes(spark, sf):
     return A.class_subset(V.truth(spark, sf), [0, 2]).groupBy("cls").agg(F.count("*").alias("n"), F.sum("x1").alias("x1"))
 
 
-QUERIES = {f.__name__: f for f in (frame_features, box_forms, polygon_boxes, part_prompts, dropped_sources, latest_versions, clip_names, subset_boxes)}
+def box_tracks(spark, sf):
+    """Orders as frames, 500 to a clip, and their boxes as detections, joined to tracks; no SQL equivalent."""
+    b = V.boxes(spark, sf).where("cls < 2").select(F.floor(F.col("image") / 500).alias("clip"), (F.col("image") % 500).alias("frame_no"), F.col("idx").alias("det_idx"), ((F.col("disc") + 1) / 11).alias("conf"), "x1", "y1", "x2", "y2")
+    return S.associated(b, S.AssociationParams(near_low=0.3, max_missing=8))
+
+
+QUERIES = {f.__name__: f for f in (box_tracks, frame_features, box_forms, polygon_boxes, part_prompts, dropped_sources, latest_versions, clip_names, subset_boxes)}
 
 
 def _features_sql() -> str:

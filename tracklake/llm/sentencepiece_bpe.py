@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklake.llm._text import pieces, text_bytes
+from tracklake.llm._text import pieces, text_bytes, tidy
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -176,6 +176,12 @@ class Model:
             self.known[chunk] = found
         return found
 
+    def forget(self) -> None:
+        """Empty the caches: a worker lives on for other tasks."""
+        self.known, self.older = {}, {}
+        self.compatible.clear()
+        self.shorter.clear()
+
     def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids without begin and end ids, and the offsets of the rows into them."""
         texts = texts.fill_null("")
@@ -235,13 +241,17 @@ def _model(data: bytes) -> Model:
 def _coded(shared, name: str, decode: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(shared.value)
-        for batch in pieces(batches, limit=2 << 20):
-            ids, at = model.encode_batch(batch.column("text"))
-            rows = [np.concatenate([[model.bos], ids[a:b], [model.eos]]).astype("<u4") for a, b in zip(at[:-1], at[1:], strict=True)]
-            columns = [batch.column("doc_id").cast(pa.int64()), pa.array(np.diff(at) + 2), pa.array([r.tobytes() for r in rows], pa.binary())]
-            if decode:
-                columns.append(pa.array([model.decode_bytes(r.tolist()) for r in rows], pa.binary()).cast(pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids", "decoded"][: len(columns)])
+        try:
+            for batch in pieces(batches, limit=2 << 20):
+                ids, at = model.encode_batch(batch.column("text"))
+                rows = [np.concatenate([[model.bos], ids[a:b], [model.eos]]).astype("<u4") for a, b in zip(at[:-1], at[1:], strict=True)]
+                columns = [batch.column("doc_id").cast(pa.int64()), pa.array(np.diff(at) + 2), pa.array([r.tobytes() for r in rows], pa.binary())]
+                if decode:
+                    columns.append(pa.array([model.decode_bytes(r.tolist()) for r in rows], pa.binary()).cast(pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids", "decoded"][: len(columns)])
+        finally:
+            model.forget()
+            tidy()
 
     return run
 

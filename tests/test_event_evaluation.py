@@ -62,9 +62,32 @@ def test_cells_follow_the_values(spark, monkeypatch):
     rnd = random.Random(3)
     values = [rnd.choice((rnd.random(), 0.5, rnd.gauss(0, 1e-6), 1e9 * rnd.random())) for _ in range(3000)]
     rows = spark.createDataFrame([(v, bool(rnd.random() < 0.3)) for v in values], "score double, label boolean")
-    got = sorted(map(tuple, rows.select("score", L.cells_of(rows, "score").alias("cell")).collect()))
+    got = sorted(map(tuple, L.in_cells(rows, "score").select("score", "cell").collect()))
     assert [c for _, c in got] == sorted(c for _, c in got) and len({c for _, c in got}) > 100
     assert all(a[1] == b[1] for a, b in zip(got, got[1:], strict=False) if a[0] == b[0])
     spread = L.auroc(rows).first()
     monkeypatch.setattr(L, "ONE_CELL", 10_000)
     assert abs(spread.auroc - L.auroc(rows).first().auroc) < 1e-12
+
+
+def test_average_precision_over_stretches(spark, monkeypatch):
+    from tracklake.operators import evaluate as E
+    from tracklake.operators import learning as L
+
+    rnd = random.Random(5)
+    rows = [(rnd.choice((0, 0, 0, 1, 3)), i // 3, i % 3, rnd.choice((round(rnd.random(), 2), 0.9)), rnd.random() < 0.4) for i in range(2000)] + [(4, 1, 0, 0.5, False)]
+    counts = {0: 700, 1: 300, 2: 9, 4: 2}
+    want = {2: (9, 0.0), 3: (0, None)}
+    for cls in (0, 1, 4):
+        own = sorted((r for r in rows if r[0] == cls), key=lambda r: (-r[3], r[1], r[2]))
+        hits = [sum(r[4] for r in own[: k + 1]) for k in range(len(own))]
+        precision = [h / (k + 1) for k, h in enumerate(hits)]
+        want[cls] = (counts[cls], sum(max(precision[k:]) for k, r in enumerate(own) if r[4]) / counts[cls])
+    matched = spark.createDataFrame(rows, "cls int, image long, det_idx int, conf double, tp boolean")
+    truth = spark.createDataFrame(list(counts.items()), "cls int, n_gt long")
+    for size in (10, 10_000):
+        monkeypatch.setattr(L, "ONE_CELL", size)
+        got = {r.cls: (r.n_gt, r.ap) for r in E.average_precision(matched, truth).collect()}
+        assert got.keys() == want.keys()
+        for cls, (n, ap) in want.items():
+            assert got[cls][0] == n and (got[cls][1] == ap if ap is None else abs(got[cls][1] - ap) < 1e-12)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracklake.functions.geometry import iou, size_bucket
-from tracklake.operators.learning import cells_of
+from tracklake.operators.learning import in_cells
 from tracklake.storage import materialize
 
 BOX = ("x1", "y1", "x2", "y2")
@@ -68,22 +68,26 @@ def average_precision(matched: DataFrame, gt_counts: DataFrame) -> DataFrame:
     """``cls, n_gt, ap``: area under the precision envelope at all points; null without ground truth.
 
     Ranks are by confidence, image and detection, a total order. Running sums and maxima go over stretches
-    of confidence first and then within each, so that a class of any size is spread over tasks.
+    of confidence first and then within each, so that a class of any size is spread over tasks. The envelope
+    is made of hits alone, as a miss never has a higher precision than the hit before it; equal heights of a stretch are one
+    row before stretches meet. ``matched`` is read twice: give a written table.
     """
-    placed = matched.withColumn("cell", cells_of(matched, "conf"))
-    sums = placed.groupBy("cls", "cell").agg(F.sum(F.col("tp").cast("int")).alias("hits"), F.count("*").alias("rows"))
+    placed = in_cells(matched, "conf")
+    sums = placed.groupBy("cls", "cell").agg(F.count_if("tp").alias("hits"), F.count("*").alias("rows"))
     higher = Window.partitionBy("cls").orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("cls", "cell", F.coalesce(F.sum("hits").over(higher), F.lit(0)).alias("hits"), F.coalesce(F.sum("rows").over(higher), F.lit(0)).alias("rows"))
     order = Window.partitionBy("cls", "cell").orderBy(F.desc("conf"), "image", "det_idx")
-    run = order.rowsBetween(Window.unboundedPreceding, 0)
-    counted = placed.select("cls", "cell", "tp", F.sum(F.col("tp").cast("int")).over(run).alias("own"), F.row_number().over(order).alias("n")).join(starts, ["cls", "cell"])
-    counted = materialize(counted.select("cls", "cell", "tp", "n", ((F.col("hits") + F.col("own")) / (F.col("rows") + F.col("n"))).alias("precision")), "precisions")
-    lower = Window.partitionBy("cls").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    later = counted.groupBy("cls", "cell").agg(F.max("precision").alias("top")).select("cls", "cell", F.coalesce(F.max("top").over(lower), F.lit(0.0)).alias("later"))
+    own = F.sum(F.col("tp").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    hits = placed.select("cls", "cell", "tp", own.alias("own"), F.row_number().over(order).alias("n")).where("tp").join(starts, ["cls", "cell"])
     # from the last rank on, as a frame that ends at the last row is summed anew for every row
     back = Window.partitionBy("cls", "cell").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
-    envelope = counted.withColumn("within", F.max("precision").over(back)).join(later, ["cls", "cell"]).withColumn("envelope", F.greatest("within", "later"))
-    area = envelope.groupBy("cls").agg(F.sum(F.when(F.col("tp"), F.col("envelope")).otherwise(0.0)).alias("area"))
+    height = F.max((F.col("hits") + F.col("own")) / (F.col("rows") + F.col("n"))).over(back)
+    steps = materialize(hits.select("cls", "cell", height.alias("height")).groupBy("cls", "cell", "height").agg(F.count("*").alias("n")), "envelope")
+    lower = Window.partitionBy("cls").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    later = steps.groupBy("cls", "cell").agg(F.max("height").alias("top")).select("cls", "cell", F.coalesce(F.max("top").over(lower), F.lit(0.0)).alias("later"))
+    area = steps.join(later, ["cls", "cell"]).groupBy("cls").agg(F.sum(F.col("n") * F.greatest("height", "later")).alias("area"))
+    # a class with predictions and no hit has an area of zero, not none
+    area = sums.select("cls").distinct().join(area, "cls", "left").withColumn("area", F.coalesce("area", F.lit(0.0)))
     joined = gt_counts.join(area, "cls", "full")
     ap = F.when(F.coalesce("n_gt", F.lit(0)) > 0, F.coalesce("area", F.lit(0.0)) / F.col("n_gt"))
     return joined.select("cls", F.coalesce("n_gt", F.lit(0).cast("bigint")).alias("n_gt"), ap.alias("ap"))

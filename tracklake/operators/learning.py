@@ -18,38 +18,39 @@ def standardised(rows: DataFrame, stats: DataFrame, features: list[str], most: f
     return rows.join(F.broadcast(stats)).withColumns(z).drop(*(f"{f}_{k}" for f in features for k in ("mean", "std")))
 
 
-ONE_CELL = 1 << 16  # rows that one task may as well order
+ONE_CELL, MOST_CELLS = 1 << 16, 1 << 10  # rows that one task may as well order; stretches at most
 
 
-def cells_of(rows: DataFrame, value: str, fan: int = 16) -> Column:
-    """Which stretch of ``value`` a row is in, larger values in later ones; the cuts are approximate quantiles, ``fan`` times ``fan`` of them.
-    ``rows`` are read twice: give a written table. Few rows are one stretch.
-
-    A row is held against the coarse cuts and then against the fine ones of its coarse stretch.
+def in_cells(rows: DataFrame, value: str) -> DataFrame:
+    """``rows`` with ``cell``, the stretch of ``value`` a row is in: larger values are in later stretches, equal ones in the same,
+    nulls in the first. The cuts are approximate quantiles, one for each ``ONE_CELL`` rows, found in one pass. ``rows`` are read twice: give a written table.
     """
-    if rows.count() <= ONE_CELL:
-        return F.lit(0)
-    cuts = rows.agg(F.percentile_approx(value, [k / fan**2 for k in range(1, fan**2)], 10_000).alias("cuts")).first().cuts or []
-    distinct = sorted({c for c in cuts if c is not None})
-    lots = [distinct[k : k + fan] for k in range(0, len(distinct), fan)] or [[]]
-    numbers = lambda xs: F.array(*map(F.lit, xs)).cast("array<double>")
-    reached = lambda array: F.size(F.filter(array, lambda c: c <= F.col(value)))
-    coarse = reached(numbers([lot[0] for lot in lots[1:]]))
-    return coarse * fan + reached(F.element_at(F.array(*map(numbers, lots)), coarse + 1))
+    from pyspark.ml.feature import Bucketizer
+
+    found = rows.agg(F.count("*").alias("n"), F.percentile_approx(F.col(value).cast("double"), [k / MOST_CELLS for k in range(1, MOST_CELLS)], 10_000).alias("cuts")).first()
+    cells = min(MOST_CELLS, -(-found.n // ONE_CELL))
+    cuts = [found.cuts[MOST_CELLS * k // cells - 1] for k in range(1, cells)] if found.cuts else []
+    infinite = float("inf")
+    cuts = sorted({c for c in cuts if -infinite < c < infinite})
+    if not cuts:
+        return rows.withColumn("cell", F.lit(0))
+    placed = Bucketizer(splits=[-infinite, *cuts, infinite], inputCol=value, outputCol="cell", handleInvalid="keep").transform(rows)
+    return placed.withColumn("cell", F.when(F.col(value).isNull(), 0).otherwise(F.col("cell").cast("int")))
 
 
 def auroc(scored: DataFrame) -> DataFrame:
     """Area under the curve from the counts of each distinct score; null with one class only.
 
-    The running count goes over stretches of scores first and then within each, so that no task orders all scores.
+    The running count goes over stretches of scores first and then within each, so that no task orders all
+    scores.
     """
     per = scored.groupBy("score").agg(F.count_if("label").alias("pos"), F.count_if(~F.col("label")).alias("neg"))
-    per = materialize(per, "distinct-scores")
-    placed = per.withColumn("cell", cells_of(per, "score"))
-    sums = placed.groupBy("cell").agg(F.sum("neg").alias("n"))
-    starts = sums.select("cell", F.coalesce(F.sum("n").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
+    placed = in_cells(materialize(per, "distinct-scores"), "score")
     within = F.coalesce(F.sum("neg").over(Window.partitionBy("cell").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    won = placed.withColumn("within", within).join(F.broadcast(starts), "cell").withColumn("won", F.col("pos") * (F.col("start") + F.col("within") + F.col("neg") / 2))
+    # a pair is won within a stretch or between two, so each stretch is summed up before stretches meet
+    cells = placed.withColumn("within", within).groupBy("cell").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum(F.col("pos") * (F.col("within") + F.col("neg") / 2)).alias("won"))
+    lower = F.coalesce(F.sum("neg").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # MOST_CELLS rows
+    won = cells.withColumn("won", F.col("won") + F.col("pos") * lower)
     return won.agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), F.try_divide(F.sum("won"), F.sum("pos") * F.sum("neg")).alias("auroc"))
 
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from itertools import combinations
+from math import log2
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracklake.functions.names import name_key
 from tracklake.operators.graph import connected_components
+from tracklake.storage import materialize
 
 
 def hamming(a: Column, b: Column) -> Column:
@@ -28,32 +30,56 @@ def text_simhash(docs: DataFrame, column: str = "text") -> DataFrame:
     return bits.groupBy("doc_id").agg(*sums).select("doc_id", code.alias("h"))
 
 
-def hamming_pairs(hashes: DataFrame, threshold: int = 6, blocks: int = 8) -> DataFrame:
+def hamming_pairs(hashes: DataFrame, threshold: int = 6, blocks: int | None = None) -> DataFrame:
     """``i, j, d``: all pairs i < j with min(d(h_i, h_j), d(mirror_i, h_j)) <= threshold.
 
-    ``hashes`` holds idx, h and mirror; null hashes take no part. Two codes within the threshold
-    agree on ``blocks - threshold`` blocks of bits at least, so pairs meet by equality on each
-    choice of that many blocks and are verified there. All pairs of equal codes are in the result;
-    ``hamming_edges`` links the same groups without them.
+    ``hashes`` holds idx, h and mirror, a row for each idx (repeated rows count once); null hashes take no part, and a null mirror
+    stands for the hash. Images of equal codes are one class: only classes meet (``_met``), and each pair of classes is spelt out once. All pairs
+    of equal codes are in the result; ``hamming_edges`` links the same groups without them.
     """
-    keys = _block_keys(threshold, blocks)
-    own = hashes.where("idx IS NOT NULL AND h IS NOT NULL")
-    left = own.select(F.col("idx").alias("i"), "h", F.explode(F.array_distinct(F.array("h", F.coalesce("mirror", "h")))).alias("probe")).withColumn("key", keys("probe"))
-    right = own.select(F.col("idx").alias("j"), F.col("h").alias("other")).withColumn("key", keys("other"))
-    met = left.join(right, "key").where((F.col("i") < F.col("j")) & (hamming(F.col("probe"), F.col("other")) <= threshold))
-    return met.groupBy("i", "j").agg(F.min(hamming(F.col("probe"), F.col("other"))).alias("d"))
+    own, classes = _classes(hashes)
+    members = own.join(classes, ["h", "mirror"]).select("low", "idx").distinct()
+    first, second = members.select(F.col("low").alias("a"), F.col("idx").alias("i")), members.select(F.col("low").alias("b"), F.col("idx").alias("j"))
+    near = _met(classes, threshold, blocks).groupBy("a", "b").agg(F.min("d").alias("d"))
+    apart = near.join(first, "a").join(second, "b").where("i < j").select("i", "j", "d")
+    same = first.join(second, F.col("a") == F.col("b")).where("i < j").select("i", "j", F.lit(0).alias("d"))
+    return same.unionAll(apart)
 
 
-def _block_keys(threshold: int, blocks: int):
-    """Keys of a code: a hash of each choice of ``blocks - threshold`` of its blocks of bits."""
-    agree = blocks - threshold
+def _classes(hashes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows that take part, and ``h, mirror, low, high``: smallest and largest index of each two codes."""
+    own = hashes.where("idx IS NOT NULL AND h IS NOT NULL").select("idx", "h", F.coalesce("mirror", "h").alias("mirror"))
+    return own, materialize(own.groupBy("h", "mirror").agg(F.min("idx").alias("low"), F.max("idx").alias("high")), "hash-classes")
+
+
+def _signed(mask: int) -> Column:
+    return F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("bigint")
+
+
+def bit_blocks(entropy: list[float], blocks: int) -> list[int]:
+    """Masks of ``blocks`` sets of bits with about the same entropy in sum: the bits, those of most entropy
+    first, each go to the set that holds least. Bits that nearly all codes share so do not make up a whole block."""
+    masks, load = [0] * blocks, [(0.0, 0)] * blocks
+    for bit in sorted(range(64), key=lambda i: (-entropy[i], i)):
+        k = min(range(blocks), key=lambda n: (*load[n], n))
+        masks[k] |= 1 << bit
+        load[k] = (load[k][0] + entropy[bit], load[k][1] + 1)
+    return masks
+
+
+def _entropy(share: float) -> float:
+    return -sum(p * log2(p) for p in (share, 1 - share) if p > 0)
+
+
+def block_keys(masks: list[int], threshold: int):
+    """Keys of a code: a hash of the bits in each choice of all but ``threshold`` of its blocks. Two codes
+    within the threshold differ in that many blocks at most, so they share a key."""
+    agree = len(masks) - threshold
     if agree < 1:
         raise ValueError("blocks must exceed the threshold")
-    cuts = [64 * k // blocks for k in range(blocks + 1)]
-    part = lambda h, k: F.shiftrightunsigned(h, cuts[k]).bitwiseAND((1 << (cuts[k + 1] - cuts[k])) - 1)
 
     def keys(h: str) -> Column:
-        return F.explode(F.array(*(F.hash(F.lit(n), *(part(h, k) for k in chosen)) for n, chosen in enumerate(combinations(range(blocks), agree)))))
+        return F.explode(F.array(*(F.xxhash64(F.lit(n), F.col(h).bitwiseAND(_signed(sum(chosen)))) for n, chosen in enumerate(combinations(masks, agree)))))
 
     return keys
 
@@ -63,19 +89,48 @@ def blocks_for(codes: int, threshold: int) -> int:
     return threshold + (2 if codes <= 200_000 else 3 if codes <= 4_000_000 else 4)
 
 
+TILE, SAMPLED = 1 << 12, 16  # members of one key that a task holds; classes of which one counts for full keys
+
+
+def candidates(classes: DataFrame, threshold: int, blocks: int | None = None, tile: int = TILE) -> DataFrame:
+    """``a, b, b_high, probe, own, other``: directed pairs of classes of which a code or mirror code of the one shares a key with the code of the other.
+
+    Blocks are made of bits by their measured entropy (one row of 64 counts goes to the driver). A key of more
+    than about ``tile`` classes, as counted on one class in ``SAMPLED``, is cut into tiles of rows and columns, so that no task holds a full key; each pair
+    of its members still meets, in one tile. Tiles only share out work: whatever the sample says, the pairs are the same.
+    """
+    ones = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(1)).alias(f"s{i}") for i in range(64)]
+    n, *set_bits = classes.agg(F.count("*"), *ones).first()
+    keys = block_keys(bit_blocks([_entropy(s / n) if n else 0.0 for s in set_bits], blocks or blocks_for(n, threshold)), threshold)
+    left = classes.select(F.col("low").alias("a"), F.col("h").alias("own"), F.explode(F.array_distinct(F.array("h", "mirror"))).alias("probe")).withColumn("key", keys("probe"))
+    right = classes.select(F.col("low").alias("b"), F.col("high").alias("b_high"), F.col("h").alias("other")).withColumn("key", keys("other"))
+    meet = ["key"]
+    if n > tile:
+        counted = classes.where(F.pmod(F.xxhash64("h", F.lit(7)), F.lit(SAMPLED)) == 0).select(keys("h").alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+        # written, so that its size is known when the join is chosen
+        full = materialize(counted.where(F.col("n") * SAMPLED > tile).select("key", F.ceil(F.col("n") * SAMPLED / tile).cast("int").alias("tiles")), "full-keys")
+        if not full.isEmpty():
+            meet = ["key", "across", "down"]
+            all_tiles = F.explode(F.sequence(F.lit(0), F.coalesce("tiles", F.lit(1)) - 1))
+            place = lambda c: F.coalesce(F.pmod(F.xxhash64(c), F.col("tiles")), F.lit(0)).cast("int")
+            left = left.join(full, "key", "left").withColumn("across", place("a")).withColumn("down", all_tiles).drop("tiles")
+            right = right.join(full, "key", "left").withColumn("down", place("b")).withColumn("across", all_tiles).drop("tiles")
+    return left.join(right, meet).where("a <> b").drop(*meet)
+
+
+def _met(classes: DataFrame, threshold: int, blocks: int | None) -> DataFrame:
+    """The candidates within the threshold, with ``d``; a pair may come once for each key it shares."""
+    return candidates(classes, threshold, blocks).withColumn("d", hamming(F.col("probe"), F.col("other"))).where(F.col("d") <= threshold)
+
+
 def hamming_edges(hashes: DataFrame, threshold: int = 6, blocks: int | None = None) -> DataFrame:
     """``src, dst``: edges that connect the same groups as ``hamming_pairs``. Images of equal code and equal
     mirror code are one class, linked as a star to its smallest index; pairs are made of classes only."""
-    own = hashes.where("idx IS NOT NULL AND h IS NOT NULL").select("idx", "h", F.coalesce("mirror", "h").alias("mirror"))
-    classes = own.groupBy("h", "mirror").agg(F.min("idx").alias("low"), F.max("idx").alias("high"))
+    own, classes = _classes(hashes)
     stars = own.join(classes, ["h", "mirror"]).where("idx > low").select(F.col("low").alias("src"), F.col("idx").alias("dst"))
-    keys = _block_keys(threshold, blocks or blocks_for(classes.count(), threshold))
-    left = classes.select(F.col("low").alias("a"), "h", F.explode(F.array_distinct(F.array("h", "mirror"))).alias("probe")).withColumn("key", keys("probe"))
-    right = classes.select(F.col("low").alias("b"), F.col("high").alias("b_high"), F.col("h").alias("other")).withColumn("key", keys("other"))
     # a mirror code counts for the smaller index of a pair only, so some image of the other class must come later
-    fits = (F.col("a") != F.col("b")) & (hamming(F.col("probe"), F.col("other")) <= threshold) & ((F.col("probe") == F.col("h")) | (F.col("a") < F.col("b_high")))
-    met = left.join(right, "key").where(fits).select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
-    return stars.unionAll(met)
+    met = _met(classes, threshold, blocks).where("probe = own OR a < b_high")
+    return stars.unionAll(met.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct())
 
 
 def group_counts(grouped: DataFrame) -> DataFrame:

@@ -296,6 +296,40 @@ def test_exact_search(vectors):
     assert len(exact_top_k(df.where("vec_id < 3"), df.where("vec_id < 1")).collect()) == 2
 
 
+def test_exact_search_keeps_few_vectors_of_many_blocks(spark, monkeypatch):
+    from tracklake.llm import va_file
+
+    rng = np.random.RandomState(6)
+    v = np.floor(rng.standard_normal((12000, 8)) * 64)
+    v[3000:7000] = v[3000]  # a third of the rows are one vector, longer than most
+    v[3000] *= 2
+    v[3000:7000] = v[3000]
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, vector array<double>").repartition(6)
+    kept, write = {}, va_file.materialize
+
+    def counting(table, tag, *rest):
+        out = write(table, tag, *rest)
+        if tag == "va-bounds":
+            kept[len(kept)] = out.agg(F.sum(F.size("ids"))).first()[0]
+        return out
+
+    monkeypatch.setattr(va_file, "materialize", counting)
+    asked = list(range(0, 12000, 400))
+    for base in (4, 1 << 30):  # in levels; all blocks at once
+        got = exact_top_k(df, df.where("vec_id % 400 = 0"), rows=32, block=8, base=base).orderBy("query_id", "rank").collect()
+        for q in asked:
+            assert [r.vec_id for r in got if r.query_id == q] == best_rows(v, q)
+    # 250 blocks or more of 32 rows: at once each passes on 20 vectors of a query, in levels all of them about 4 * 20
+    assert kept[0] <= len(asked) * 20 * 4 * 2 and kept[1] >= len(asked) * 20 * 200
+
+
+def test_one_block_in_base_is_of_a_level():
+    from tracklake.llm.va_file import block_level
+
+    levels = np.array([block_level(p << 32 | n, 16) for p in range(500) for n in range(40)])
+    assert abs((levels >= 1).mean() * 16 - 1) < 0.15 and 0.5 < (levels >= 2).mean() * 256 < 1.6
+
+
 def test_forest_search(vectors):
     got = forest_neighbours(vectors[1], vectors[1].where("vec_id % 20 = 0"), leaf_rows=40).collect()
     hit = sum(len({r.vec_id for r in got if r.query_id == q} & set(best_rows(vectors[0], q))) for q in range(0, 600, 20))

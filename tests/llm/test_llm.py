@@ -1,5 +1,6 @@
 """Each operator against brute force on a fixture with nulls, empty and long texts, copies and ties."""
 
+import itertools
 import math
 import random
 import re
@@ -7,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -203,6 +205,96 @@ def test_brown_clusters_all_words(spark):
     assert got[5001].n_known == 2 and got[5001].score < got[5000].score
 
 
+def plain_brown(texts, classes, seeds, rise):
+    """Clusters and a scoring function by the definition: every gain is a difference of whole likelihoods."""
+    from tracklake.llm._text import hashes
+    from tracklake.llm.brown import likelihood
+
+    tokens_of = [[*t.encode().split(), b" "] for t in texts]
+    count, follows = Counter(w for t in tokens_of for w in t), Counter()
+    for t in tokens_of:
+        follows.update(zip([b" ", *t[:-1]], t, strict=True))
+    vocabulary = sorted(count, key=lambda w: (-count[w], w))
+    m = len(vocabulary)
+    f = np.array([[follows[a, b] for b in vocabulary] for a in vocabulary], float)
+    cls = np.full(m, -1)
+    cls[:seeds] = exchange(f[:seeds, :seeds].astype(np.int64), classes)
+
+    def bigrams(cls):
+        member = np.zeros((m, classes))
+        member[np.flatnonzero(cls >= 0), cls[cls >= 0]] = 1
+        return member.T @ f @ member
+
+    def moved(cls, use):
+        new = cls.copy()
+        for w in np.flatnonzero(use):
+            trial, values = cls.copy(), []
+            for k in range(classes):
+                trial[w] = k
+                values.append(likelihood(bigrams(trial)))
+            new[w] = int(np.argmax(values)) if cls[w] < 0 or max(values) > values[cls[w]] + 1e-9 else cls[w]
+        return new
+
+    half = (hashes(pa.array(vocabulary, pa.binary())) & np.uint64(1)).astype(int)
+    before, cls, reached = cls, moved(cls, np.ones(m, bool)), []
+    while True:
+        reached.append(likelihood(bigrams(cls)))
+        if len(reached) > 1 and reached[-1] < reached[-2]:
+            cls = before
+            break
+        if len(reached) > 2 and reached[-1] - reached[-3] <= rise * f.sum():
+            break
+        before, cls = cls, moved(cls, half == len(reached) % 2)
+    number = {w: i for i, w in enumerate(vocabulary)}
+    once, twice = (sum(c == k for c in count.values()) for k in (1, 2))
+    discount = once / (once + 2 * twice) if once and twice else 0.5
+    mass = np.array([sum(count[w] for w in vocabulary if cls[number[w]] == k) for k in range(classes)])
+    kinds = np.bincount(cls, minlength=classes)
+    g = bigrams(cls)
+    after = (g + 50 * (mass + 1) / (mass + 1).sum()) / (g.sum(axis=1, keepdims=True) + 50)
+
+    def score(text):
+        history, total = cls[number[b" "]], 0.0
+        for w in [*text.encode().split(), b" "]:
+            if w in number:
+                total += math.log10(after[history, cls[number[w]]] * (count[w] - discount) / mass[cls[number[w]]])
+                history = cls[number[w]]
+            else:
+                total += math.log10(sum(after[history, k] * (discount * kinds[k] / mass[k] if mass[k] else 1) for k in range(classes)))
+        return total
+
+    return score, len(reached)
+
+
+def test_brown_equals_brute_force(spark):
+    rnd = random.Random(31)
+    kinds = [[f"{k}{i}" for i in range(7 + k)] for k in range(4)]
+    texts = []
+    for _ in range(220):
+        k, words = rnd.randrange(4), []
+        for _ in range(rnd.randrange(1, 25)):
+            k = (k + rnd.choice((1, 1, 1, 2, 3))) % 4  # no word follows itself
+            words.append(rnd.choice(kinds[k]))
+        texts.append(" ".join(words))
+    others = ["", "unseen", "00 unseen 11 unseen unseen 22", *(" ".join(rnd.choice(kinds[rnd.randrange(4)]) for _ in range(12)) for _ in range(20))]
+    df = spark.createDataFrame([(i, t, i < len(texts)) for i, t in enumerate([*texts, *others])], "doc_id long, text string, train boolean")
+    sweeps = set()
+    for rise in (0.5, 0.001):
+        score, n = plain_brown(texts, 5, 10, rise)
+        sweeps.add(n)
+        for r in brown_scores(df, F.col("train"), classes=5, seeds=10, rise=rise).collect():
+            assert r.score == pytest.approx(score([*texts, *others][r.doc_id]), abs=1e-7), r.doc_id
+    assert len(sweeps) == 2  # the rule stops them at different sweeps
+
+
+def test_brown_probabilities_of_all_texts_sum_to_one(spark):
+    learnt = ["", "a", "b", "a b", "b a", "", "a", "", "b b", "a a", "c", ""] * 3
+    texts = [" ".join(t) for n in range(9) for t in itertools.product("abcu", repeat=n) if n < 7 or "c" not in t]
+    df = spark.createDataFrame([(-1 - i, t, True) for i, t in enumerate(learnt)] + [(i, t, False) for i, t in enumerate(texts)], "doc_id long, text string, train boolean")
+    total = brown_scores(df, F.col("train"), classes=2, seeds=3).where("doc_id >= 0").agg(F.sum(F.pow(F.lit(10.0), "score"))).first()[0]
+    assert 0.995 < total <= 1 + 1e-9  # u was never seen; what is missing are longer texts
+
+
 def test_exchange_finds_alternating_classes():
     pairs = np.zeros((6, 6))
     pairs[:3, 3:] = pairs[3:, :3] = 10

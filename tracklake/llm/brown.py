@@ -181,6 +181,11 @@ def _phi(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
+def likelihood(g: np.ndarray) -> float:
+    """Log-likelihood of class bigrams, but for what words within classes add, which no exchange changes."""
+    return float(_phi(g).sum() - _phi(g.sum(axis=0)).sum() - _phi(g.sum(axis=1)).sum())
+
+
 def exchange(pairs: np.ndarray, classes: int, sweeps: int = 8) -> np.ndarray:
     """Exchange clustering: each word in turn moves to the class in which the class bigrams are most
     likely, until a sweep moves none. ``pairs[a, b]``: how often b follows a."""
@@ -405,7 +410,7 @@ def _emit(shared, classes: int):
     return run
 
 
-def brown_scores(docs: DataFrame, train: Column, classes: int = 32, seeds: int = 512, sweeps: int = 5) -> DataFrame:
+def brown_scores(docs: DataFrame, train: Column, classes: int = 32, seeds: int = 512, rise: float = 0.05) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity`` of every row.
 
     ``train`` says which rows are learnt from. Tokens are the words, A-Z lower-cased, and one end a text.
@@ -413,7 +418,9 @@ def brown_scores(docs: DataFrame, train: Column, classes: int = 32, seeds: int =
     ``seeds`` most frequent words, exchanged one by one on their own bigrams; the first sweep gives every
     word of the vocabulary the class in which its neighbours are most likely. In each further sweep half of
     the words (by a bit of their hash, in turn) move to the class of the largest gain in likelihood, with all
-    neighbours and class bigrams counted anew. The model is P(class | last known class) P(word | class):
+    neighbours and class bigrams counted anew. Sweeps end when two of them, one for each half, have raised the
+    log-likelihood by ``rise`` a bigram or less; one that lowered it, as words that move together may, is taken
+    back and is the last. The model is P(class | last known class) P(word | class):
     transitions are smoothed with the class frequencies, emissions by an absolute discount, whose mass goes
     to one unknown type. Scores are log10 probabilities of whole texts; ``base_score`` is the unigram with
     one added.
@@ -453,16 +460,32 @@ def brown_scores(docs: DataFrame, train: Column, classes: int = 32, seeds: int =
             g[r.code] = r.n
         return found, g.reshape(classes, classes)
 
-    for sweep in range(max(1, sweeps)):
-        found, g = contexts(None if sweep == 0 else sweep % 2)
-        present = classed.where("block < 0").select("bucket", "block", F.col("cls").alias("keys"), F.lit(None).cast("binary").alias("n"))
-        counted = found.where("bucket >= 0").unionByName(present)
-        moved = members.groupBy("bucket").cogroup(counted.groupBy("bucket")).applyInArrow(_assign(share(g), classes, sweep == max(1, sweeps) - 1), CLASSED)
-        moved = materialize(moved, "brown-classes")
-        discard(found, classed)
-        classed = moved
-    discard(merged)
-    found, total = contexts(-1)
+    def moved(found: DataFrame | None, g: np.ndarray) -> DataFrame:
+        """The classes after all counted words have moved; without ``found`` none does, and known words' counts are added."""
+        counted = classed.where("block < 0").select("bucket", "block", F.col("cls").alias("keys"), F.lit(None).cast("binary").alias("n"))
+        if found is not None:
+            counted = counted.unionByName(found.where("bucket >= 0"))
+        return materialize(members.groupBy("bucket").cogroup(counted.groupBy("bucket")).applyInArrow(_assign(share(g), classes, found is None), CLASSED), "brown-classes")
+
+    before, reached, total = None, [], None
+    while True:
+        found, g = contexts(None if total is None else (len(reached) + 1) % 2)
+        if total is not None:
+            reached.append(likelihood(g))
+            fell = len(reached) > 1 and reached[-1] < reached[-2]
+            if fell:
+                discard(classed)
+                classed, before = before, None
+            else:
+                total = g
+            if fell or not g.any() or len(reached) > 2 and reached[-1] - reached[-3] <= rise * g.sum():
+                break
+        discard(before)
+        total, before, classed = g, classed, moved(found, g)
+        discard(found)
+    settled = moved(None, total)
+    discard(found, before, classed, merged)
+    classed = settled
     stats = np.zeros(2 * classes, np.int64)
     summed = classed.where("block < 0").select(F.posexplode("stats").alias("k", "n")).groupBy("k").agg(F.sum("n").alias("n"))
     for r in summed.collect():
@@ -475,5 +498,5 @@ def brown_scores(docs: DataFrame, train: Column, classes: int = 32, seeds: int =
     logs = np.log10(np.column_stack([after, np.maximum(unknown, 1e-300)]))
     own = classed.where("block >= 0").select("bucket", "block", "cls", "counts")
     scored = materialize(blocks.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(_emit(share((np.maximum(mass, 1), discount, tokens, types, logs)), classes), SCORED), "brown-scores")
-    discard(found, classed, blocks)
+    discard(classed, blocks)
     return scored.withColumn("train_tokens", F.lit(int(tokens))).withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

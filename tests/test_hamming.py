@@ -63,6 +63,14 @@ def test_blocks_by_entropy_bound_the_candidates(spark):
     assert by_entropy < in_place / 20
 
 
+def test_keys_are_not_broadcast(spark):
+    # on 256,410 documents the broadcast of 84 keys a class did not fit into a driver of 750 MB
+    _, classes = dedupe._classes(spark.createDataFrame(skewed(300, 3), SCHEMA))
+    for met in (dedupe.candidates(classes, 4, 6), dedupe.candidates(classes, 4, 6, tile=40)):
+        joins = [line for line in met._jdf.queryExecution().executedPlan().toString().splitlines() if "Join [key" in line and "Inner" in line]
+        assert len(joins) == 1 and "SortMergeJoin" in joins[0]
+
+
 def test_few_codes_and_none(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert dedupe.hamming_pairs(none).count() == 0 and dedupe.hamming_edges(none).count() == 0

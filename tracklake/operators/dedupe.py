@@ -115,7 +115,8 @@ def candidates(classes: DataFrame, threshold: int, blocks: int | None = None, ti
             place = lambda c: F.coalesce(F.pmod(F.xxhash64(c), F.col("tiles")), F.lit(0)).cast("int")
             left = left.join(full, "key", "left").withColumn("across", place("a")).withColumn("down", all_tiles).drop("tiles")
             right = right.join(full, "key", "left").withColumn("down", place("b")).withColumn("across", all_tiles).drop("tiles")
-    return left.join(right, meet).where("a <> b").drop(*meet)
+    # a merge join, as the written classes are small, and Spark takes the many keys that they are spread to for as small, and so for fit to be broadcast
+    return left.join(right.hint("merge"), meet).where("a <> b").drop(*meet)
 
 
 def _met(classes: DataFrame, threshold: int, blocks: int | None) -> DataFrame:

@@ -71,6 +71,15 @@ def test_keys_are_not_broadcast(spark):
         assert len(joins) == 1 and "SortMergeJoin" in joins[0]
 
 
+def test_cross_source_pairs_of_many_keys(spark):
+    rows = [(i, h, None) for i, h, _ in skewed(300, 4)]
+    manifest = spark.createDataFrame([(i, "ab"[i % 2]) for i, *_ in rows], "idx long, source string")
+    found = dedupe.cross_source(dedupe.hamming_pairs(spark.createDataFrame(rows, SCHEMA), 4), manifest)
+    assert not [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "BroadcastHashJoin [key" in line]
+    want = [(i, j) for i, j, _ in brute(rows, 4) if (i + j) % 2]
+    assert [(r.i, r.j) for r in found.collect()] == want[:300] and want
+
+
 def test_few_codes_and_none(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert dedupe.hamming_pairs(none).count() == 0 and dedupe.hamming_edges(none).count() == 0

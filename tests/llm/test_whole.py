@@ -79,6 +79,36 @@ def test_line_groups_against_all_pairs(spark):
     assert sum(r.kept for r in judged) == len(found)
 
 
+def test_words_are_counted_in_all_documents(spark, monkeypatch):
+    from collections import Counter
+
+    import pyarrow as pa
+
+    from tracklake.llm import line_dedup
+    from tracklake.llm._text import hashes
+
+    rnd = random.Random(9)
+    texts = [None, "", *(" ".join(f"w{int(rnd.paretovariate(0.7))}" for _ in range(60)) + "\nW1 w2" for _ in range(300))]
+    want = Counter(w for t in texts if t for w in t.lower().split())
+    code = dict(zip(want, hashes(pa.array([w.encode() for w in want], pa.binary())).tolist(), strict=True))
+    docs = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    word, n = line_dedup.listed_words(docs)
+    assert dict(zip(word.tolist(), n.tolist(), strict=True)) == {code[w]: k for w, k in want.items() if k > 16} and (np.diff(word) > 0).all()
+    few = {code[w]: k for w, k in want.items() if k > 5 and k > sum(x for x in want.values() if x > 5) // 20}
+    word, n = line_dedup.listed_words(docs, seldom=5, most=20)
+    assert 2 < len(few) < 20 and dict(zip(word.tolist(), n.tolist(), strict=True)) == few
+    none = line_dedup.listed_words(docs.limit(0))
+    assert len(none[0]) == len(none[1]) == 0
+    monkeypatch.setattr(line_dedup, "HELD", 40)
+    monkeypatch.setattr(line_dedup, "pieces", lambda batches, limit: (b.slice(k, 7) for b in batches for k in range(0, b.num_rows, 7)))
+    got = Counter()
+    parts = list(line_dedup._counted(iter([pa.RecordBatch.from_pydict({"text": texts})])))
+    for part in parts:
+        for own, times in zip(part.column("words").to_pylist(), part.column("counts").to_pylist(), strict=True):
+            got.update(dict(zip(np.frombuffer(own, np.uint64).tolist(), np.frombuffer(times, np.int64).tolist(), strict=True)))
+    assert len(parts) > 1 and got == {code[w]: k for w, k in want.items()}
+
+
 def test_lines_on_odd_rows(spark):
     from pyspark.sql import functions as F
 

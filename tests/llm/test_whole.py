@@ -109,6 +109,19 @@ def test_words_are_counted_in_all_documents(spark, monkeypatch):
     assert len(parts) > 1 and got == {code[w]: k for w, k in want.items()}
 
 
+def test_pipeline_counts_the_words_of_all_documents(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    from tracklake.llm import line_dedup
+
+    rows = [(i, f"common words here own{i}", "en", "a", 9) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    told, listed = [], line_dedup.listed_words
+    monkeypatch.setattr(line_dedup, "listed_words", lambda docs: told.append(listed(docs)) or told[0])
+    assert corpus_pipeline.drop_repeated_lines(spark, docs, str(tmp_path)).count() == 40
+    assert told[0][1].tolist() == [40, 40, 40]
+
+
 def test_lines_on_odd_rows(spark):
     from pyspark.sql import functions as F
 

@@ -80,6 +80,16 @@ def test_cross_source_pairs_of_many_keys(spark):
     assert [(r.i, r.j) for r in found.collect()] == want[:300] and want
 
 
+def test_cross_source_pairs_broadcast_no_table_that_grows(spark):
+    rows = [(i, h, None) for i, h, _ in skewed(300, 5)]
+    manifest = spark.createDataFrame([(i, "ab"[i % 2]) for i, *_ in rows], "idx long, source string")
+    found = dedupe.cross_source(dedupe.hamming_pairs(spark.createDataFrame(rows, SCHEMA), 4), manifest)
+    want = [(i, j) for i, j, _ in brute(rows, 4) if (i + j) % 2]
+    assert [(r.i, r.j) for r in found.collect()] == want[:300] and want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_few_codes_and_none(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert dedupe.hamming_pairs(none).count() == 0 and dedupe.hamming_edges(none).count() == 0

@@ -38,11 +38,12 @@ def hamming_pairs(hashes: DataFrame, threshold: int = 6, blocks: int | None = No
     of equal codes are in the result; ``hamming_edges`` links the same groups without them.
     """
     own, classes = _classes(hashes)
-    members = own.join(classes, ["h", "mirror"]).select("low", "idx").distinct()
+    # merge joins: files of codes and of sources are small beside their rows as hash tables, several of which a driver would hold at once
+    members = own.join(classes.hint("merge"), ["h", "mirror"]).select("low", "idx").distinct()
     first, second = members.select(F.col("low").alias("a"), F.col("idx").alias("i")), members.select(F.col("low").alias("b"), F.col("idx").alias("j"))
     near = _met(classes, threshold, blocks).groupBy("a", "b").agg(F.min("d").alias("d"))
-    apart = near.join(first, "a").join(second, "b").where("i < j").select("i", "j", "d")
-    same = first.join(second, F.col("a") == F.col("b")).where("i < j").select("i", "j", F.lit(0).alias("d"))
+    apart = near.join(first.hint("merge"), "a").join(second.hint("merge"), "b").where("i < j").select("i", "j", "d")
+    same = first.join(second.hint("merge"), F.col("a") == F.col("b")).where("i < j").select("i", "j", F.lit(0).alias("d"))
     return same.unionAll(apart)
 
 
@@ -168,7 +169,7 @@ def cross_source(pairs: DataFrame, manifest: DataFrame, most: int = 300) -> Data
     """The first pairs, in order, whose ends are of different sources."""
     a = manifest.select(F.col("idx").alias("i"), F.col("source").alias("source_i"))
     b = manifest.select(F.col("idx").alias("j"), F.col("source").alias("source_j"))
-    return pairs.join(a, "i").join(b, "j").where("source_i <> source_j").orderBy("i", "j").limit(most)
+    return pairs.join(a.hint("merge"), "i").join(b.hint("merge"), "j").where("source_i <> source_j").orderBy("i", "j").limit(most)
 
 
 def group_split(items: DataFrame, val_frac: float, seed: int = 0) -> DataFrame:

@@ -167,6 +167,38 @@ def test_links_in_a_bucket_of_unlike_pairs(spark):
     assert all(r.component_id == r.doc_id // 2 * 2 for r in got)
 
 
+def scanned_rows(monkeypatch):
+    """Rows that all bucket scans make, added up in a list."""
+    from tracklake.llm import _links
+
+    made, plain = [], _links.materialize
+
+    def counted(df, tag, *rest):
+        out = plain(df, tag, *rest)
+        if tag == "scanned":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(_links, "materialize", counted)
+    return made
+
+
+def test_unlinked_near_copies_do_not_leave_their_buckets(spark, monkeypatch):
+    rnd = random.Random(12)
+    base = [f"b{i}" for i in range(120)]
+    texts = [" ".join(f"n{rnd.random()}" if i in cut else w for i, w in enumerate(base)) for cut in (set(rnd.sample(range(120), rnd.randrange(3, 6))) for _ in range(400))]
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(116)} for t in texts]
+    links = [(i, j) for i in range(400) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    made = scanned_rows(monkeypatch)
+    got = near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r.component_id, set()).add(r.doc_id)
+    assert {frozenset(g) for g in found.values()} == grouped(range(400), links) and len(found) > 10
+    print("near copies, rows scanned", made)
+    assert sum(made[2:]) <= 100
+
+
 def test_pipeline_with_null_columns(spark, tmp_path):
     import corpus_pipeline
 

@@ -101,6 +101,20 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(b, "rep").join(a, "hub").withColumn("common", common).select("hub", "rep", (100 * F.col("common") >= percent * union).alias("linked"))
 
 
+def _linked(percent: int):
+    """Which pairs of sets, each the bytes of its distinct hashes, are at the threshold."""
+
+    def run(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        out = np.empty(len(x), bool)
+        for i, ends in enumerate(zip(x, y, strict=True)):
+            a, b = (np.frombuffer(end, np.int64) for end in ends)
+            common = len(np.intersect1d(a, b, assume_unique=True))
+            out[i] = 100 * common >= percent * (len(a) + len(b) - common)
+        return out
+
+    return run
+
+
 def _close(percent: int, bins: int) -> Close:
     """Sizes and signatures that two sets at the threshold can have.
 
@@ -124,7 +138,7 @@ def _close(percent: int, bins: int) -> Close:
         fits[large] = np.bitwise_count(differ & np.uint64(0x1111111111111111)).sum(axis=1, dtype=np.int64) <= most
         return fits
 
-    return Close(["n", "lanes"], near)
+    return Close(["n", "lanes"], near, _linked(percent))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5, bands: int = 64, rows: int = 6) -> DataFrame:
@@ -133,7 +147,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5, bands: i
     Documents with the same shingle set are collapsed first. The representatives are banded;
     each bucket gives star edges from the member that shares most buckets with others. Pairs whose
     signatures exclude the threshold are left out, and every other one is verified on the full sets. Buckets whose members still lie in different components are read
-    again until no pair across components is untested, so all pairs that share a band count. Two documents at the
+    again, with the full sets of at most ``SHORT`` shingles, until no pair across components is untested, so all pairs that share a band count. Two documents at the
     threshold share one of the 64 bands of 6 with a probability above 0.99999.
 
     Null, empty and blank texts have no shingles and stay alone; a null ``doc_id`` gives a null
@@ -149,7 +163,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5, bands: i
     wanted = materialize(members.select(F.col("rep").alias("doc_id")).distinct(), "wanted")
     small = 48 * wanted.count() <= BROADCAST_BYTES  # beyond, the texts are shuffled
     sets = materialize(docs.join(F.broadcast(wanted) if small else wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(width), "doc_id long, hashes array<long>"), "sets", TEXT_ROWS)
-    components = linked_components(members, lambda pairs: _verified(pairs, sets, percent), _close(percent, bands * rows), order="company", waves=bands // 4)
+    # a task holds the sets of a bucket that is read again, so only small ones
+    small = sets.where(F.size("hashes") <= SHORT).select(F.col("doc_id").alias("rep"), F.col("hashes").alias("whole"))
+    components = linked_components(members, lambda pairs: _verified(pairs, sets, percent), _close(percent, bands * rows), "company", bands // 4, lambda reps: small.join(reps, "rep", "left_semi"))
     discard(members, sets, wanted)
     named = reps.select("k1", "k2", "rep").join(components.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
     out = sketches.select("doc_id", "n_shingles", "k1", "k2").join(materialize(named, "classes"), ["k1", "k2"], "left")

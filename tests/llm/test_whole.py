@@ -199,6 +199,21 @@ def test_unlinked_near_copies_do_not_leave_their_buckets(spark, monkeypatch):
     assert sum(made[2:]) <= 100
 
 
+def test_unlinked_near_lines_do_not_leave_their_buckets(spark, monkeypatch):
+    rnd = random.Random(13)
+    base = [f"b{i}" for i in range(40)]
+    lines = [[f"n{rnd.random()}" if i in cut else w for i, w in enumerate(base)] for cut in (set(rnd.sample(range(6, 40), 6)) for _ in range(300))]
+    links = [(i, j) for i in range(300) for j in range(i) if sum(x != y for x, y in zip(lines[i], lines[j], strict=True)) <= 8]
+    made = scanned_rows(monkeypatch)
+    got = fuzzy_lines(spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], "doc_id long, text string")).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r.group, set()).add(r.doc_id)
+    assert {frozenset(g) for g in found.values()} == grouped(range(300), links) and len(found) > 10
+    print("near lines, rows scanned", made)
+    assert sum(made[1:]) <= 4 * 300
+
+
 def test_pipeline_with_null_columns(spark, tmp_path):
     import corpus_pipeline
 

@@ -251,3 +251,41 @@ def test_search_in_repeated_rows(spark):
         for q in range(0, 200, 40):
             ids = np.delete(np.arange(200), q)
             assert got[q] == ids[np.lexsort((ids, -(v[ids] @ v[q])))][:20].tolist()
+
+
+def test_edits_are_counted_only_where_words_allow_them(monkeypatch):
+    import pyarrow as pa
+
+    from tracklake.llm import line_dedup
+
+    rnd = random.Random(14)
+    pairs, want = [], []
+    for size in (5, 12, 40, 130, 500):
+        for turn in range(60):
+            a = [rnd.randrange(1 << 30) for _ in range(size)]
+            cut = size // 5 + turn % 2 * (size // 4 + 1)  # too many in every other pair
+            b = [*a[cut:], *(rnd.randrange(1 << 31, 1 << 32) for _ in range(cut))] if turn % 4 < 2 else [rnd.randrange(1 << 31, 1 << 32) if i < cut else x for i, x in enumerate(a)]
+            pairs.append((a, b) if turn % 3 else (b, a))
+            want.append(edit_distance(np.array(a), np.array(b), size) <= size // 5)
+    banded, single, judged = line_dedup._banded, line_dedup.edit_distance, []
+    monkeypatch.setattr(line_dedup, "_banded", lambda a, *rest: judged.append(len(a)) or banded(a, *rest))
+    monkeypatch.setattr(line_dedup, "edit_distance", lambda *rest: judged.append(1) or single(*rest))
+    a, b = (pa.array([np.array(p[i], np.uint32).tobytes() for p in pairs], pa.binary()) for i in (0, 1))
+    assert line_dedup.similar(a, b, 0.8).tolist() == want and 0 < sum(want) < 150
+    assert sum(judged) <= 160  # of 300 pairs, 150 have too few words in common
+    monkeypatch.setattr(line_dedup, "MOST_BINS", 4)
+    assert line_dedup.similar(a, b, 0.8).tolist() == want
+    assert line_dedup.similar(a[:0], b[:0], 0.8).tolist() == []
+
+
+def test_simhash_of_many_lines_is_that_of_each():
+    from tracklake.llm.line_dedup import simhash
+
+    rnd = np.random.default_rng(15)
+    own = rnd.integers(0, 1 << 63, 400).astype(np.uint64)
+    size = np.append(rnd.integers(1, 30, 700), [256, 600, 1])
+    ids, at = rnd.integers(0, 400, size.sum()), np.concatenate([[0], np.cumsum(size)])
+    bits = (own[ids][:, None] >> np.arange(64, dtype=np.uint64) & np.uint64(1)).astype(np.int64)
+    for k, code in enumerate(simhash(ids, own, at).tolist()):
+        twice = 2 * bits[at[k] : at[k + 1]].sum(axis=0)
+        assert code == sum(1 << i for i in range(64) if twice[i] > size[k] or twice[i] == size[k] and i % 2)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tracklake.operators import learning as L
 from tracklake.operators import temporal as N
+from tracklake.operators import tracks as T
 
 
 def test_gradient_equals_differences():
@@ -67,3 +68,39 @@ def test_folds_balance_rows_of_both_labels(spark):
         assert 1.5 < shares < 2.6, shares
     one = L.row_folds(spark.createDataFrame([(1, True)], "group long, label boolean"), 4, F.md5(F.col("group").cast("string"))).collect()
     assert [(r.group, r.n_pos, r.n_neg, r.fold) for r in one] == [(1, 1, 0, 0)]
+
+
+def test_windows_of_runs_equal_windows_of_all_steps(spark):
+    rnd = np.random.RandomState(4)
+    rows = [(k, int(s), None if rnd.random_sample() < 0.2 else float(rnd.random_sample()), float(rnd.random_sample())) for k in range(12) for s in sorted(rnd.choice(5 + 6 * k, 2 + 2 * k, replace=False))]
+    f = F.struct(F.col("d").alias("d_min"), F.col("o").alias("obj_vape"), *(F.lit(0.5).alias(n) for n in T.BASE_FEATURES if n not in ("d_min", "d_min_delta", "present")), F.lit(0.0).alias("obj_cigarette"))
+    frames = spark.createDataFrame(rows, "k long, step long, d double, o double").select("k", "step", f.alias("f"))
+    names, classes = ["d_min", "obj_vape", "d_min_delta", "present"], ["cigarette", "vape"]
+    for window, hop in ((8, 4), (5, 7), (40, 3)):
+        every = T.window_frames(T.sequence_features(T.dense(frames, ["k"]), ["k"], classes), ["k"], window, hop).collect()
+        want = {}
+        for r in sorted(every, key=lambda r: (r.k, r.start, r.place)):
+            want.setdefault((r.k, r.start), []).extend(r[n] for n in names)
+        got = N.window_rows(T.sequence_features(frames, ["k"], classes), ["k"], names, window, hop)
+        found = got.collect()
+        assert len(found) == len(want) and {(r.k, r.start): r.x for r in found} == want
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and plan.count("Exchange") <= 2  # windows meet nothing and are moved by their keys alone
+
+
+def test_steps_read_their_bucket_in_many_tasks(spark, monkeypatch):
+    rnd = np.random.RandomState(8)
+    rows = spark.createDataFrame([(bool(i % 2), rnd.randn(12).tolist()) for i in range(200)], "label boolean, x array<double>").repartition(4)
+    step, files, seen = N.step_gradient, [], []
+
+    def watched(rows, *rest):
+        files.append(rows.select(F.input_file_name()).distinct().count())
+        found = step(rows, *rest)
+        seen.append(found[0])
+        return found
+
+    monkeypatch.setattr(N, "step_gradient", watched)
+    for train in (rows, N.in_buckets(rows, 5)):  # buckets that the net did not make are all used too
+        N.fit_net(train, rows, 2, 6, hidden=4, epochs=1, batches=2)
+        assert sum(seen) == 200 and len(seen) == 2 and (train is not rows or min(files) > 1), (seen, files)
+        files.clear(), seen.clear()
